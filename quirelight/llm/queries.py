@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, mixing, oracles
+from quirelight.llm import decontaminate, mixing, oracles, token_file
 from quirelight.llm.common import table
 
 
@@ -14,12 +14,24 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.round_trip(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
+    "op4_token_files": op4_token_files,
     "op5_decontaminate": op5_decontaminate,
 }
 ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE}

@@ -8,8 +8,9 @@ index file beside it has a row per document: doc_id, its first id's place in the
 16 bits wide where the vocabulary allows, else 32.
 
 The tokenizer is byte-level BPE whose pre-tokenizer cuts the text into pieces that are encoded independently. So the
-library encodes each distinct piece of a batch once, and a document's ids are its pieces' ids. Texts with characters
-outside PLAIN, texts that hold an added token, and tokenizers of another make go to the library whole.
+library encodes a piece when it is first met, and a document's ids are its pieces' ids, found by a 64-bit hash and the
+length (for a wrong match two different pieces among the KNOWN_PIECES must share both). Texts that aren't plain (see
+ODD), texts with the first sign of an added token, and tokenizers of another make go to the library whole.
 
 Each task writes under a name of its own and the driver takes the names of the attempts that succeeded, so a task that
 is run again does no harm.
@@ -21,6 +22,7 @@ first; an empty table gives no shards and no rows; columns other than those name
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 import zlib
@@ -32,48 +34,174 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, shared_folder, small_batches
+from quirelight.llm.common import narrow, shared_folder, small_batches, utf8
+from quirelight.llm.text_hash import Ranges
 
 SEQUENCE_LENGTH = 2048
 SEQUENCES = 64
 END_ID = 2
-CACHED_PIECES = 300_000
-#: Characters about which all regular-expression libraries agree.
-PLAIN = re.compile(r"[^\t\n\r\x20-\x7EÀ-ÖØ-öø-ſ]")
+KNOWN_PIECES = 1_500_000
+SLOT_BITS = 22
+#: Plain rows have tab, line feed, carriage return, ASCII less the apostrophe, and the letters U+00C0 to U+017F.
+ODD = np.ones(256, bool)
+ODD[[0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0x80, 0xC0), 0xC3, 0xC4, 0xC5]] = False
+ODD[0x27] = True
+KIND = np.full(256, 3, np.uint8)  # white space 0, letters 1, digits 2, other signs 3
+KIND[[0x09, 0x0A, 0x0D, 0x20]] = 0
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 1
+KIND[0x30:0x3A] = 2
 _LOADED: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Texts to little-endian id bytes."""
+    """Texts to ids."""
 
     def __init__(self, path: str):
-        import regex
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         made = json.loads(self.library.to_str())
         before = made.get("pre_tokenizer") or {}
         self.by_piece = made["model"]["type"] == "BPE" and not made.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
-        self.added = [x["content"] for x in made.get("added_tokens", [])]
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        # fixed values: the published pre-tokenizer pattern of byte-level BPE
-        self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.kind).tobytes() for x in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        plain = [self.by_piece and not PLAIN.search(t) and not any(a in t for a in self.added) for t in texts]
-        cut = [self.pieces(t) if p else None for t, p in zip(texts, plain, strict=True)]
-        new = list({x for c in cut if c for x in c} - self.known.keys())
-        if len(self.known) + len(new) > CACHED_PIECES:
-            self.known.clear()
-            new = list({x for c in cut if c for x in c})
-        self.known.update(zip(new, self.whole(new), strict=True))
-        rest = iter(self.whole([t for t, p in zip(texts, plain, strict=True) if not p]))
-        get = self.known.__getitem__
-        return [next(rest) if c is None else b"".join(map(get, c)) for c in cut]
+        self.odd = ODD.copy()
+        for token in made.get("added_tokens", []):
+            self.odd[token["content"].encode()[0]] = True
+        self.token_bytes = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.token_bytes[i] = len(token)  # the vocabulary spells each byte as one sign
+        self.forget()
+
+    def forget(self) -> None:
+        """Known pieces: a hash table of open slots, and of each piece its bytes' and ids' numbers and its ids' place."""
+        self.slots, self.entry = np.zeros(1 << SLOT_BITS, np.uint64), np.zeros(1 << SLOT_BITS, np.int32)
+        self.n = self.used = 0
+        self.sizes, self.counts, self.places = (np.zeros(KNOWN_PIECES, np.int32) for _ in range(3))
+        self.pool = np.zeros(KNOWN_PIECES * 2, self.kind)
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, self.kind) for x in self.library.encode_batch(texts, add_special_tokens=False)]
+
+    def _many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces that aren't white space, and how many each has. They are encoded as few texts: each piece
+        begins with a space or is put on a line of its own, so that it stays a piece."""
+        parts = [x if x[0] == 0x20 else b"\n" + x for x in pieces]
+        sizes = np.array([len(x) for x in parts], np.int64)
+        extra = np.array([x[0] != 0x20 for x in pieces], np.int64)  # the line feed's id
+        texts = [b"".join(parts[i : i + 256]).decode() for i in range(0, len(parts), 256)]
+        ids = np.concatenate([np.array(x.ids, np.int64) for x in self.library.encode_batch_fast(texts, add_special_tokens=False)])
+        at = np.searchsorted(np.cumsum(self.token_bytes[ids]), np.cumsum(sizes)) + 1  # ids up to each part's end
+        before = np.concatenate(([0], at[:-1]))
+        keep = np.ones(len(ids), bool)
+        keep[before[extra > 0]] = False
+        return ids[keep].astype(self.kind), at - before - extra
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        if self.n + len(hashes) > KNOWN_PIECES:
+            self.forget()
+        if len(hashes) > KNOWN_PIECES:
+            bits = len(hashes).bit_length() + 1
+            self.slots, self.entry = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+            self.sizes, self.counts, self.places = (np.zeros(len(hashes), np.int32) for _ in range(3))
+        blank = np.array([x[-1] in b" \t\n\r" for x in pieces])
+        order = np.concatenate([np.flatnonzero(~blank), np.flatnonzero(blank)])
+        hashes, pieces = hashes[order], [pieces[i] for i in order]
+        words = len(order) - int(blank.sum())
+        ids, counts = self._many(pieces[:words]) if words else (np.zeros(0, self.kind), np.zeros(0, np.int64))
+        rest = self.whole([x.decode() for x in pieces[words:]])
+        ids, counts = np.concatenate([ids, *rest]), np.concatenate([counts, np.array([len(x) for x in rest], np.int64)])
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        new = slice(self.n, self.n + len(hashes))
+        self.sizes[new], self.counts[new], self.places[new] = [len(x) for x in pieces], counts, self.used + np.cumsum(counts) - counts
+        todo, number, step = hashes, np.arange(self.n, self.n + len(hashes), dtype=np.int32), 0
+        while len(todo):
+            at = (todo + np.uint64(step)) & np.uint64(len(self.slots) - 1)
+            free = self.slots[at] == 0
+            self.slots[at[free]] = todo[free]
+            placed = free & (self.slots[at] == todo)
+            self.entry[at[placed]] = number[placed]
+            todo, number, step = todo[~placed], number[~placed], step + 1
+        self.n, self.used = new.stop, self.used + len(ids)
+
+    def _find(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        out, known = np.zeros(len(hashes), np.int32), np.zeros(len(hashes), bool)
+        todo, step = np.arange(len(hashes)), 0
+        while len(todo):
+            at = (hashes[todo] + np.uint64(step)) & np.uint64(len(self.slots) - 1)
+            there = self.slots[at]
+            same = there == hashes[todo]
+            out[todo[same]] = self.entry[at[same]]
+            known[todo[same]] = True
+            todo, step = todo[~same & (there != 0)], step + 1
+        return out, known & (self.sizes[out] == sizes)
+
+    def _plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of plain rows one after another, and each row's number of ids."""
+        starts, ends, row = pieces(data, offsets)
+        hashes, sizes = Ranges(data).of(starts, ends), ends - starts
+        at, known = self._find(hashes, sizes)
+        if not known.all():
+            new, first = np.unique(hashes[~known], return_index=True)
+            first = np.flatnonzero(~known)[first]
+            self._learn(new, [data[starts[i] : ends[i]].tobytes() for i in first])
+            at, known = self._find(hashes, sizes)
+            if not known.all():  # the others were forgotten just now
+                return self._plain(data, offsets)
+        counts = self.counts[at].astype(np.int64)
+        upto = np.cumsum(counts)
+        ids = self.pool[np.repeat(self.places[at] - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)]
+        return ids, np.bincount(row, counts, len(offsets) - 1).astype(np.int64)
+
+    def __call__(self, column) -> list[np.ndarray]:
+        data, offsets = utf8(column)
+        n = len(offsets) - 1
+        if not self.by_piece or not len(data):
+            return self.whole([x or "" for x in column.to_pylist()])
+        odd = self.odd[data]
+        odd[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+        upto = np.concatenate(([0], np.cumsum(odd)))
+        rest = np.flatnonzero(upto[offsets[1:]] > upto[offsets[:-1]])
+        sizes = np.diff(offsets)
+        if len(rest):
+            keep = np.ones(n, bool)
+            keep[rest] = False
+            data = data[np.repeat(keep, sizes)]
+            sizes = np.where(keep, sizes, 0)
+            offsets = np.concatenate(([0], np.cumsum(sizes)))
+        ids, counts = self._plain(data, offsets) if len(data) else (np.zeros(0, self.kind), np.zeros(n, np.int64))
+        out = np.split(ids, np.cumsum(counts)[:-1])
+        for i, x in zip(rest, self.whole([column[int(i)].as_py() for i in rest]), strict=True):
+            out[i] = x
+        return out
+
+
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the pre-tokenizer's pieces of plain rows: runs of letters, digits or other signs, each
+    with the space before it; of a run of white space all but its last sign, or all at the row's end."""
+    kind = KIND[data]
+    border = np.zeros(len(data) + 1, bool)
+    border[offsets] = True
+    first = border[:-1].copy()
+    first[1:] |= kind[1:] != kind[:-1]
+    begin = np.flatnonzero(first)
+    stop = np.append(begin[1:], len(data))
+    blank = kind[begin] == 0
+    at_end = border[stop]
+    spaced = np.zeros(len(begin), bool)  # the run before gives it a space
+    spaced[1:] = ~blank[1:] & blank[:-1] & ~at_end[:-1] & (data[stop[:-1] - 1] == 0x20)
+    gives = np.zeros(len(begin), bool)
+    gives[:-1] = spaced[1:]
+    mark = np.zeros(len(data), bool)
+    mark[begin[~blank] - spaced[~blank]] = True
+    long = stop - begin > 1
+    mark[begin[blank & (at_end | long | ~gives)]] = True
+    mark[stop[blank & ~at_end & long & ~gives] - 1] = True
+    starts = np.flatnonzero(mark)
+    ends = np.append(starts[1:], len(data))
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
 def encoder(path: str) -> Encoder:
@@ -144,12 +272,10 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, le
                 out = Writer(sink, encode.kind, length, sequences)
                 columns = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("start", pa.int64()), ("n_tokens", pa.int64())])
                 index = pa.ipc.new_file(index_sink, columns)
-            lengths = []
-            texts = batch.column("text").to_pylist()
-            for at in range(0, len(texts), 64):
-                for x in encode([t or "" for t in texts[at : at + 64]]):
-                    out.add(x + end)
-                    lengths.append(len(x) // encode.kind.itemsize + 1)
+            encoded = encode(batch.column("text"))
+            for x in encoded:
+                out.add(x.tobytes() + end)
+            lengths = [len(x) + 1 for x in encoded]
             starts = ids + np.concatenate(([0], np.cumsum(lengths)[:-1])).astype(np.int64)
             index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(starts), pa.array(lengths, pa.int64())], schema=columns))
             docs, ids = docs + len(lengths), ids + sum(lengths)

@@ -35,13 +35,14 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 class Ranges:
-    """Hashes of ranges of one byte array."""
+    """Hashes of ranges of one array."""
 
     def __init__(self, data: np.ndarray):
+        """data: bytes, or 64-bit values that stand for longer things."""
         self.n = len(data)
         power, self.inverse = _powers(self.n + 1)
         self.total = np.zeros(self.n + 1, np.uint64)
-        np.cumsum(_BYTES[data] * power[: self.n], dtype=np.uint64, out=self.total[1:])
+        np.cumsum((_BYTES[data] if data.dtype == np.uint8 else data) * power[: self.n], dtype=np.uint64, out=self.total[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Equal byte strings get equal values, wherever they start."""

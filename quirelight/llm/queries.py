@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, mixing, oracles, sentence_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, licenses, mixing, oracles, sentence_dedup, token_file, toxicity
 from quirelight.llm.common import table
 
 
@@ -37,11 +37,16 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_dedup.digest(sentence_dedup.dedup(table(spark, sf_dir, "documents")))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
     "op4_token_files": op4_token_files,
     "op5_decontaminate": op5_decontaminate,
     "op8_sentence_spans": op8_sentence_spans,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE}

@@ -22,3 +22,20 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)
 """
+
+WORDS = r"[^\x20\x09-\x0D]+"
+
+NGRAM_JOIN = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({LOWERED}, '{WORDS}') AS w FROM documents),
+g AS (
+  SELECT DISTINCT rid, array_to_string(w[p:p + n - 1], ' ') AS s
+  FROM (SELECT rid, w, least(len(w), 5) AS n, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS p FROM d WHERE len(w) > 0)),
+size AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+common AS (SELECT a.rid AS x, b.rid AS y, count(*) AS n FROM g a JOIN g b ON a.s = b.s AND a.rid <> b.rid GROUP BY a.rid, b.rid),
+link AS (
+  SELECT x, y FROM common c JOIN size p ON p.rid = c.x JOIN size q ON q.rid = c.y
+  WHERE 5 * c.n >= 4 * (p.n + q.n - c.n)),
+reach AS (SELECT rid AS x, rid AS y FROM d UNION SELECT r.x, l.y FROM reach r JOIN link l ON l.x = r.y),
+class AS (SELECT r.x AS rid, min(d.doc_id) AS class_id FROM reach r JOIN d ON d.rid = r.y GROUP BY r.x)
+SELECT d.doc_id, class_id, (SELECT count(*) FROM link l WHERE l.x = d.rid) AS n_links FROM d JOIN class USING (rid)
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, licenses, mixing, oracles, sentence_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, licenses, mixing, ngram_join, oracles, sentence_dedup, token_file, toxicity
 from quirelight.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_dedup.digest(sentence_dedup.dedup(table(spark, sf_dir, "documents")))
 
@@ -46,7 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op4_token_files": op4_token_files,
     "op5_decontaminate": op5_decontaminate,
+    "op7_ngram_join": op7_ngram_join,
     "op8_sentence_spans": op8_sentence_spans,
     "op10_license_scan": op10_license_scan,
 }
-ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE}
+ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE, "op7_ngram_join": oracles.NGRAM_JOIN}

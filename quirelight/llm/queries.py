@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, licenses, mixing, ngram_join, oracles, sentence_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, licenses, mixing, ngram_join, oracles, sentence_dedup, suffix_dedup, token_file, toxicity
 from quirelight.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.dedup(table(spark, sf_dir, "documents")))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_source_mix": op2_source_mix,
     "op4_token_files": op4_token_files,
     "op5_decontaminate": op5_decontaminate,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_sentence_spans": op8_sentence_spans,
     "op10_license_scan": op10_license_scan,

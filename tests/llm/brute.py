@@ -22,11 +22,6 @@ def sentence_dedup(texts: dict[int, str | None], least: int = 2, min_words: int
                 if size[i : j + 1].sum() >= min_words:
                     found.add((i, j))
                     break
-        for j in range(len(keys)):
-            for i in range(j - least + 1, -1, -1):
-                if size[i : j + 1].sum() >= min_words:
-                    found.add((i, j))
-                    break
         for i, j in sorted(found):
             key = tuple(w for s in keys[i : j + 1] for w in s)
             seen.append((key, d, i, j))
@@ -36,3 +31,21 @@ def sentence_dedup(texts: dict[int, str | None], least: int = 2, min_words: int
         if first[key] != (d, i):
             gone[d].update(range(i, j + 1))
     return {d: b"".join((texts[d] or "").encode()[a:b] for k, (a, b) in enumerate(zip(c[:-1], c[1:], strict=True)) if k not in gone[d]).decode() if len(c) > 1 else texts[d] or "" for d, c in cut.items()}
+
+
+def suffix_dedup(texts: list[tuple[int, str | None]], length: int = 50) -> list[tuple[int, int, int, bytes]]:
+    """Per row: doc_id, removed bytes, removed runs, kept bytes."""
+    first: dict[bytes, int] = {}
+    for d, t in sorted(texts, key=lambda x: x[0]):
+        t = (t or "").encode()
+        for i in range(len(t) - length + 1):
+            first.setdefault(t[i : i + length], d)
+    out = []
+    for d, t in texts:
+        t = (t or "").encode()
+        gone = np.zeros(len(t) + 1, bool)
+        for i in range(len(t) - length + 1):
+            if first[t[i : i + length]] < d:
+                gone[i : i + length] = True
+        out.append((d, int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[0]), bytes(b for b, g in zip(t, gone) if not g)))
+    return out

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch handed to Python; texts are long, so Spark's default of 10,000 is too many.
 BATCH_ROWS = 512
+BATCH_BYTES = 3 << 20
+FILTER_BITS = 1 << 22
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +73,30 @@ def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     return data, at - at[0]
 
 
+def bounded(batches, column: str = "text", most: int = BATCH_BYTES):
+    """The same rows in batches of at most `most` bytes of text (a longer text alone), and at least one batch."""
+    for batch in batches:
+        sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)) if batch.num_rows else []
+        at = 0
+        while True:
+            upto = batch.num_rows if not len(sizes) else max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+            if at >= batch.num_rows:
+                break
+
+
+def bit_test(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_BITS) -> tuple[DataFrame, F.Column]:
+    """df with what a filter needs, and the test whether a row's column may be among the keys (one column). The filter
+    has one bit for each of `bits` hash values, so it is sent whole at any size of the input and lets ever more pass as
+    keys grow: it saves work before a join and decides nothing."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    key = keys.select(bit(keys.columns[0]).alias("key_bit")).groupBy(F.shiftright("key_bit", 6).alias("filter_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key_bit & 63 as int))")).alias("filter_bits"))
+    key = F.broadcast(stored(key, "filter"))  # bits / 64 rows at most
+    tested = df.withColumn("filter_bit", bit(column)).join(key, F.shiftright("filter_bit", 6) == F.col("filter_word"), "left")
+    return tested, F.coalesce(F.expr("(shiftrightunsigned(filter_bits, cast(filter_bit & 63 as int)) & 1) = 1"), F.lit(False))
+
+
 def row_key(doc_id, text) -> list[F.Column]:
     """Names of a row beyond its doc_id: rows that share doc_id and text are one document stored repeatedly."""
     return [doc_id, F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key")]

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, row_key, small_batches, utf8
+from quirelight.llm.common import bounded, narrow, row_key, small_batches, utf8
 from quirelight.llm.text_hash import ALNUM, LOWER, Ranges, words
 
 WINDOW_WORDS = 10
@@ -57,7 +57,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
     def count(batches):
         vocab = known.value
         total = np.zeros(len(vocab), np.int64)
-        for batch in batches:
+        for batch in bounded(batches):
             hashes = _hashed(batch.column("text"))[-1]
             at = np.minimum(np.searchsorted(vocab, hashes), len(vocab) - 1)
             total += np.bincount(at[vocab[at] == hashes], minlength=len(vocab))
@@ -84,7 +84,7 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], width: int) -> DataFram
 
     def search(batches):
         prefix, index, owners = sent.value
-        for batch in batches:
+        for batch in bounded(batches):
             _, _, _, row, hashes = _hashed(batch.column("text"))
             borders = np.searchsorted(row, np.arange(batch.num_rows + 1))
             spans: list[list[int]] = [[] for _ in range(batch.num_rows)]

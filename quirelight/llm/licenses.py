@@ -4,7 +4,7 @@ Paragraphs are lines; one of more than WINDOW words is read as windows of WINDOW
 runs of letters and digits, lower-cased. A paragraph's features are its word 1-grams and 2-grams that the TEMPLATES
 know. A multinomial logistic regression over the families and `unknown` is trained on the driver: on the templates'
 sentences and on parts and damaged copies of them, against mixtures of their words and paragraphs of at most
-SAMPLE_DOCS documents (the first by a hash of doc_id; those that look like a template are left out). A quarter of the
+SAMPLE_DOCS documents (the first by a hash of doc_id, of each SAMPLE_CHARS characters; those that look like a template are left out). A quarter of the
 examples is held out to set the temperature of the probabilities and the least probability below which a paragraph
 counts as unknown. A predicted family stands only where at least CONFIRM of the paragraph's 2-grams are in one
 template of that family, and the family whose template holds most of them is preferred among near equals.
@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, small_batches, utf8
+from quirelight.llm.common import bounded, narrow, small_batches, utf8
 from quirelight.llm.text_hash import ALNUM, LOWER, Ranges, runs, words
 
 WINDOW = 40
 CONFIRM = 0.5
 SAMPLE_DOCS = 400
+SAMPLE_CHARS = 4000
 COPIES = 20
 SEED = 7
 UNKNOWN = "unknown"
@@ -201,7 +202,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFr
     spark = docs.sparkSession
     small_batches(spark)
     docs = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
-    sample = docs.where("text is not null").select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, 4000).alias("text")).orderBy("h", "text").limit(SAMPLE_DOCS).collect()  # bounded rows and sizes
+    ids = docs.select(F.col("doc_id").alias("s_id")).where("s_id is not null").orderBy(F.xxhash64("s_id"), "s_id").limit(SAMPLE_DOCS).distinct()
+    sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id"), "left_semi").groupBy("doc_id").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).where("text is not null").orderBy("doc_id").collect()  # SAMPLE_DOCS rows at most
     model = Classifier([w for r in sample for line in r.text.split("\n") if len(w := word_list(line)) > 1], templates)
     joined = b"\n".join(b" ".join(g) for g in sorted(model.any_bigram))
     data, offsets = np.frombuffer(joined, np.uint8), np.array([0, len(joined)])
@@ -210,7 +212,7 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFr
 
     def find(batches):
         model, bigrams = sent.value
-        for batch in batches:
+        for batch in bounded(batches):
             data, offsets = utf8(batch.column("text"))
             data = LOWER[data]
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]

@@ -3,12 +3,13 @@
 A sentence ends after a word that ends in . ! or ?, at a line's end, and at the text's end; one of more than
 LONG_SENTENCE words also ends after each word whose hash is divisible by 8, so that a long passage without stops is cut
 at places that its own words fix. A span is a run of at least SENTENCES consecutive sentences and MIN_WORDS words: from
-each sentence the shortest run that starts there, and the shortest that ends there. Spans are hashed over their
-lower-cased (A-Z) words, hashes are counted over all documents with their first place in order of (doc_id, place), and
-every span that repeats and isn't the first is joined back; the sentences that it covers are removed.
+each sentence the shortest run that starts there. Spans are hashed over their lower-cased (A-Z) words and the hashes
+counted over all documents; the spans that repeat get their hash's first place in order of (doc_id, place), and the
+sentences that any other of them covers are removed. (So the end of a repeated passage, under MIN_WORDS long, may stay
+if it doesn't fill a span with what precedes it.)
 
-Counts are combined before the shuffle; the join back is an equi-join on the hash, in which adaptive execution splits a
-passage that very many documents share; what meets in one task is one document's own spans.
+Counts and first places are combined before the shuffle; the joins back are equi-joins on the hash, in which adaptive
+execution splits a passage that very many documents share; what meets in one task is one document's own spans.
 
 Cases: a null or empty text has no sentences and stays empty; a text without a run of the size has no spans; rows that
 share doc_id and text are one document stored repeatedly, and neither is removed for the other's sake; rows that share
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, small_batches, stored, utf8
+from quirelight.llm.common import bounded, narrow, small_batches, stored, utf8
 from quirelight.llm.text_hash import LOWER, WORD, Ranges, words
 
 SENTENCES = 2
@@ -50,20 +51,16 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def spans(first: np.ndarray, row: np.ndarray, least: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentences of the spans, without repeats."""
+    """First and last sentences of the spans."""
     k = np.arange(len(row))
-    forward = np.maximum(k + least - 1, np.searchsorted(first, first[:-1] + min_words) - 1)
-    backward = np.minimum(k - least + 1, np.searchsorted(first, first[1:] - min_words, side="right") - 1)
-    lo, hi = np.concatenate([k, backward]), np.concatenate([forward, k])
-    good = (lo >= 0) & (hi < len(row))
-    lo, hi = lo[good], hi[good]
-    good = row[lo] == row[hi]
-    both = np.unique(np.column_stack([lo[good], hi[good]]), axis=0) if good.any() else np.zeros((0, 2), np.int64)
-    return both[:, 0], both[:, 1]
+    last = np.maximum(k + least - 1, np.searchsorted(first, first[:-1] + min_words) - 1)
+    k, last = k[last < len(row)], last[last < len(row)]
+    same = row[k] == row[last]
+    return k[same], last[same]
 
 
 def _found(batches, least: int, min_words: int):
-    for batch in batches:
+    for batch in bounded(batches):
         data, offsets = utf8(batch.column("text"))
         first, _, row, hashed = sentences(data, offsets)
         lo, hi = spans(first, row, least, min_words)
@@ -81,15 +78,16 @@ def dedup(docs: DataFrame, least: int = SENTENCES, min_words: int = MIN_WORDS) -
     small_batches(spark)
     docs = narrow(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash(F.coalesce("text", F.lit(""))).alias("k"))
     found = docs.mapInArrow(lambda b: _found(b, least, min_words), "h long, doc_id long, k int, at int, n int")
-    place = F.struct("doc_id", "k", "at")
-    repeated = found.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select(F.col("h").alias("r_h"), F.col("first.doc_id").alias("f_doc"), F.col("first.k").alias("f_k"), F.col("first.at").alias("f_at"))
-    repeated = stored(repeated, "sentence-spans")
-    later = found.join(repeated, F.col("h") == F.col("r_h")).where(~(F.col("doc_id").eqNullSafe(F.col("f_doc")) & (F.col("k") == F.col("f_k")) & (F.col("at") == F.col("f_at"))))
+    repeated = stored(found.groupBy(F.col("h").alias("r_h")).count().where("count > 1").select("r_h"), "sentence-hashes")
+    found = stored(found.join(repeated, F.col("h") == F.col("r_h"), "left_semi"), "sentence-spans")
+    # written, so that adaptive execution can split the join's hot hashes
+    first = stored(found.groupBy(F.col("h").alias("f_h")).agg(F.min(F.struct("doc_id", "k", "at")).alias("first")), "sentence-first")
+    later = found.join(first, F.col("h") == F.col("f_h")).where(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("k") == F.col("first.k")) & (F.col("at") == F.col("first.at"))))
     drop = later.groupBy(F.col("doc_id").alias("d_doc"), F.col("k").alias("d_k")).agg(F.collect_set(F.struct("at", "n")).alias("drop"))
     joined = docs.join(drop, F.col("doc_id").eqNullSafe(F.col("d_doc")) & (F.col("k") == F.col("d_k")), "left").select("doc_id", "text", "drop")
 
     def kept(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             data, offsets = utf8(batch.column("text"))
             _, byte, row, _ = sentences(data, offsets)
             borders = np.searchsorted(row, np.arange(batch.num_rows + 1))

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, shared_folder, small_batches, utf8
+from quirelight.llm.common import bounded, narrow, shared_folder, small_batches, utf8
 from quirelight.llm.text_hash import Ranges
 
 SEQUENCE_LENGTH = 2048
@@ -263,7 +263,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, le
         end = np.array([end_id], encode.kind).tobytes()
         docs = ids = 0
         sink = index_sink = None
-        for batch in batches:
+        for batch in bounded(batches):
             if not batch.num_rows:
                 continue
             if sink is None:

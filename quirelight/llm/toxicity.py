@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import held_out, narrow, small_batches, stored, utf8
+from quirelight.llm.common import bounded, held_out, narrow, small_batches, stored, utf8
 from quirelight.llm.text_hash import WORD, Ranges, runs, words
 
 SAMPLE = 6000
@@ -169,7 +169,7 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 0.1) ->
 
 def _family(batches):
     """The lowest hash of five consecutive words: near copies share it, so that they count once."""
-    for batch in batches:
+    for batch in bounded(batches):
         data, offsets = utf8(batch.column("text"))
         starts, ends, row = words(data, offsets, WORD)
         hashes = Ranges(data).of(starts, ends)

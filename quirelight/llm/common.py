@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch handed to Python; texts are long, so Spark's default of 10,000 is too many.
 BATCH_ROWS = 512
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
 FILTER_BITS = 1 << 22
 
 

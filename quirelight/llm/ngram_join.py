@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, row_key, small_batches, stored, utf8
+from quirelight.llm.common import bit_test, bounded, narrow, row_key, small_batches, stored, utf8
 from quirelight.llm.graph import components
 from quirelight.llm.text_hash import BASE, LOWER, WORD, Ranges, mix, runs, words
 
@@ -73,7 +73,7 @@ def _described(batches, n: int, bands: int, rows: int):
     rng = np.random.default_rng(5)
     a = rng.integers(0, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 2**63, bands * rows, dtype=np.uint64)
-    for batch in batches:
+    for batch in bounded(batches):
         grams, border = shingles(batch.column("text"), n)
         full = np.flatnonzero(np.diff(border))
         keys: list[bytes | None] = [None] * batch.num_rows
@@ -146,7 +146,9 @@ def join(docs: DataFrame, n: int = N, recall: float = RECALL) -> DataFrame:
 
     placed = classes.select("node", F.explode("buckets").alias("bucket"))
     least = placed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select(F.col("bucket").alias("b"), "least")
-    ties = placed.join(least, F.col("bucket") == F.col("b")).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    least = stored(least, "ngram-buckets")
+    tested, shared = bit_test(placed, "bucket", least.select("b"))
+    ties = tested.where(shared).select("node", "bucket").join(least, F.col("bucket") == F.col("b")).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     clusters = components(ties, "ngram-clusters")
 
     # the sets of clustered classes, from the text of each one's representative, to the tasks that need them
@@ -156,10 +158,11 @@ def join(docs: DataFrame, n: int = N, recall: float = RECALL) -> DataFrame:
         "node", "root", "blocks", "copies", F.col("rep.doc_id").alias("r_doc"), F.col("rep.text_key").alias("r_key")
     )
     todo = stored(todo, "ngram-todo")
-    texts = docs.join(todo, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("text_key") == F.col("r_key"))).select("node", "root", "blocks", "copies", "text")
+    tested, clustered = bit_test(docs, "text_key", todo.select("r_key"))
+    texts = tested.where(clustered).select(*docs.columns).join(todo, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("text_key") == F.col("r_key"))).select("node", "root", "blocks", "copies", "text")
 
     def with_sets(batches):
-        for batch in batches:
+        for batch in bounded(batches):
             grams, border = shingles(batch.column("text"), n)
             sets = [np.unique(grams[lo:hi]).tobytes() for lo, hi in zip(border[:-1], border[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "root", "blocks", "copies")] + [pa.array(sets, pa.binary())], ["node", "root", "blocks", "copies", "grams"])
@@ -177,6 +180,7 @@ def join(docs: DataFrame, n: int = N, recall: float = RECALL) -> DataFrame:
     least_id = named.groupBy(F.col("root").alias("g_root")).agg(F.min("rep").alias("first"))
     named = named.join(least_id, F.col("root") == F.col("g_root")).join(links.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left")
     named = named.select(F.col("node").alias("n_node"), F.col("first.doc_id").alias("class_id"), F.col("first.text_key").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    named = stored(named, "ngram-named")  # written, so that adaptive execution can split the join of a class with very many copies
     out = described.select("doc_id", "text_key", "node").join(named, F.col("node") == F.col("n_node"), "left")
     return out.select("doc_id", "text_key", F.coalesce("class_id", F.when(F.col("n_node").isNull(), F.col("doc_id"))).alias("class_id"), F.coalesce("class_key", "text_key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 

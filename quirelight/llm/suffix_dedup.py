@@ -17,7 +17,7 @@ anchor, equal strings have equal anchors, and so the suffixes at anchors, with t
 4. The removed ranges go back by document and are cut from its text.
 
 A group of copies is one key a run, with its documents and places in a few bytes each. The tasks of 1 and 3 are as many
-as the text needs, TASK_BYTES each. A filter of FILTER_BITS bits on doc_id keeps most documents without candidates out
+as the text needs, TASK_BYTES each. A filter of fixed size on doc_id keeps most documents without candidates out
 of the joins; it only saves work.
 
 Cases: null and empty texts have nothing to remove; matches never cross documents; rows of one doc_id never remove each
@@ -27,23 +27,22 @@ columns other than those named are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-import pickle
-
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import bounded, narrow, row_key, small_batches, stored, utf8
+from quirelight.llm.common import bit_test, bounded, narrow, row_key, small_batches, stored, utf8
+from quirelight.llm.packing import large, packed, rising, risen, small, unpacked
 from quirelight.llm.text_hash import Ranges
 
 LENGTH = 50
 GRAM = 24
 TASK_BYTES = 12 << 20
-RUN_BYTES = 32 << 20
-FILTER_BITS = 1 << 20
+RUN_BYTES = 16 << 20
 NO_ID = -(2**63)
+_RANDOM = np.random.default_rng(20260304)
+_VALUES, _COEFFICIENTS = (_RANDOM.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))  # LENGTH up to 140
 SPAN = np.dtype([("start", "<u4"), ("n", "<u2")])
 
 
@@ -70,25 +69,6 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     return at, hashes[at], np.searchsorted(offsets, at, side="right") - 1
 
 
-def _packed(*values) -> bytes:
-    return zstandard.compress(pickle.dumps(values, protocol=5), 1)
-
-
-def _unpacked(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.decompress(blob))
-
-
-def _small(values: np.ndarray) -> tuple[int, np.ndarray]:
-    """The least value, and the differences from it in as few bytes as hold them."""
-    least = int(values.min()) if len(values) else 0
-    rest = values.astype(np.int64) - least if len(values) else np.zeros(0, np.int64)
-    return least, rest.astype(np.min_scalar_type(int(rest.max()) if len(rest) else 0)) if (rest >= 0).all() else rest
-
-
-def _large(packed: tuple[int, np.ndarray]) -> np.ndarray:
-    return packed[1].astype(np.int64) + packed[0]
-
-
 def _candidate_runs(batches, buckets: int, length: int, gram: int):
     """Rows (bucket, run): sorted gram hashes as differences, and their documents."""
     hashes, docs, size = [], [], 0
@@ -103,7 +83,7 @@ def _candidate_runs(batches, buckets: int, length: int, gram: int):
         h, d = h[new], d[new]
         cuts = np.searchsorted(h, (np.arange(buckets + 1, dtype=np.float64) * (2.0**48 / buckets)).astype(np.uint64))
         some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        blobs = [_packed(int(h[cuts[b]]), np.diff(h[cuts[b] : cuts[b + 1]]).astype(np.min_scalar_type(np.diff(h[cuts[b] : cuts[b + 1]]).max(initial=0))), _small(d[cuts[b] : cuts[b + 1]])) for b in some]
+        blobs = [packed(rising(h[cuts[b] : cuts[b + 1]]), small(d[cuts[b] : cuts[b + 1]])) for b in some]
         hashes.clear()
         docs.clear()
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "run"])
@@ -124,9 +104,9 @@ def _shared(table: pa.Table) -> pa.Table:
     """Of one bucket: for each document, its hashes that another document has too."""
     h, d = [], []
     for blob in table.column("run"):
-        first, steps, docs = _unpacked(blob.as_py())
-        h.append(np.uint64(first) + np.concatenate(([0], np.cumsum(steps.astype(np.uint64)))).astype(np.uint64))
-        d.append(_large(docs))
+        hashes, docs = unpacked(blob.as_py())
+        h.append(risen(hashes))
+        d.append(large(docs))
     h, d = np.concatenate(h), np.concatenate(d)
     order = np.lexsort((d, h))
     h, d = h[order], d[order]
@@ -180,7 +160,7 @@ def _sorted_runs(batches, buckets: int, length: int, gram: int):
             distinct = k[first]
             rest = distinct[np.arange(k.shape[1]) >= shared[:, None]].tobytes()
             ids, which = np.unique(np.column_stack([doc[own], text_key[own]]), axis=0, return_inverse=True)
-            blobs.append(_packed(k.shape[1], shared, rest, _small(np.diff(np.append(first, len(k)))), _small(ids[:, 0]), ids[:, 1], _small(which), _small(place[own])))
+            blobs.append(packed(k.shape[1], shared, rest, small(np.diff(np.append(first, len(k)))), small(ids[:, 0]), ids[:, 1], small(which), small(place[own])))
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "run"])
 
     for batch in bounded(batches):
@@ -200,7 +180,7 @@ def _sorted_runs(batches, buckets: int, length: int, gram: int):
             bucket = (h.astype(np.float64) * (buckets / 2.0**48)).astype(np.int32)
             held.append((_keys(data, offsets, at, row, length, left), np.minimum(bucket, buckets - 1), ids[row], text_keys[row], at - offsets[row]))
             size += len(at) * 100
-            if size >= RUN_BYTES * 2:
+            if size >= RUN_BYTES:
                 yield from flush()
                 size = 0
     yield from flush()
@@ -210,9 +190,10 @@ class Run:
     """A front-coded run, read key by key; key: the current one as a number, None at the end."""
 
     def __init__(self, blob: bytes):
-        self.width, shared, self.rest, counts, ids, self.text_keys, which, place = _unpacked(blob)
-        self.shared, self.ends = shared.tolist(), np.cumsum(_large(counts)).tolist()
-        self.ids, self.which, self.place = _large(ids), _large(which), _large(place)
+        self.width, shared, self.rest, counts, ids, text_keys, which, place = unpacked(blob)
+        self.shared, self.counts = shared.tolist(), large(counts)
+        which = large(which)
+        self.members = large(ids)[which], text_keys[which], large(place)  # of all keys in order
         self.i, self.at, self.bytes, self.key = -1, 0, b"", 0
         self.step()
 
@@ -229,15 +210,9 @@ class Run:
         self.key = int.from_bytes(self.bytes, "big")
         return n
 
-    def members(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """doc_id, text_key and place of the current key's occurrences, by doc_id."""
-        own = slice(self.ends[self.i - 1] if self.i else 0, self.ends[self.i])
-        which = self.which[own]
-        return self.ids[which], self.text_keys[which], self.place[own]
-
 
 def merged(runs: list[Run]):
-    """The loser tree: yields (prefix shared with the key before, run), the run standing at its key, in order of keys.
+    """The loser tree: yields (prefix shared with the key before, run's number), the run standing at its key, in order.
     A run's prefix is with the last winner. The longer one is the smaller key, unseen; at equal ones the keys are
     compared, which gives the loser's prefix with the new winner."""
     size = 1
@@ -280,7 +255,7 @@ def merged(runs: list[Run]):
     last = None
     while keys[top] is not None:
         run = runs[top]
-        yield (width if keys[top] == last else prefix[top]), run
+        yield (width if keys[top] == last else prefix[top]), top
         last = keys[top]
         prefix[top] = run.step()
         keys[top] = run.key
@@ -293,67 +268,72 @@ def merged(runs: list[Run]):
 def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
     """One bucket's runs merged: by document, the ranges to remove around this bucket's anchors."""
     left = length - gram
-    out_doc, out_key, out_start, out_n = [], [], [], []
-
-    def remove(docs, text_keys, places, back: int, ahead: int):
-        """Of each occurrence the bytes from `back` before the anchor to `ahead` after its start."""
-        out_doc.append(docs)
-        out_key.append(text_keys)
-        out_start.append(places - back)
-        out_n.append(np.full(len(docs), back + ahead))
-
-    group: list[list] = []  # keys of one gram: [bytes, least doc, occurrences of each run]
-
-    def close():
-        many = len(group) > 1
-        least: list[dict] = []
-        if many:
-            for o in range(left + 1):
-                found: dict[bytes, int] = {}
-                for key, first, _ in group:
-                    if key[length + left] >= length - o and key[length + left + 1] >= o:
-                        s = key[: length - o] + key[length : length + o]
-                        if found.get(s, first + 1) > first:
-                            found[s] = first
-                least.append(found)
-        for key, first, parts in group:
-            right, before = key[length + left], key[length + left + 1]
-            if right + before < length:
-                continue
-            for docs, text_keys, places in parts:
-                later = docs > first
-                if later.any():
-                    remove(docs[later], text_keys[later], places[later], before, right)
-            if many:
-                gone = [o for o in range(max(0, length - right), min(left, before) + 1) if least[o][key[: length - o] + key[length : length + o]] < first]
-                while gone:  # consecutive alignments are one range
-                    upto = next((i for i in range(1, len(gone)) if gone[i] != gone[i - 1] + 1), len(gone))
-                    for docs, text_keys, places in parts:
-                        own = docs == first
-                        if own.any():
-                            remove(docs[own], text_keys[own], places[own], gone[upto - 1], length - gone[0])
-                    gone = gone[upto:]
-
     runs = [Run(x.as_py()) for x in table.column("run")]
-    for shared, run in merged(runs):
-        if shared < gram and group:
-            close()
-            group.clear()
-        docs, text_keys, places = run.members()
-        if group and shared == run.width:
-            group[-1][1] = min(group[-1][1], int(docs[0]))
-            group[-1][2].append((docs, text_keys, places))
-        else:
-            group.append([run.bytes, int(docs[0]), [(docs, text_keys, places)]])
-    close()
-    if not out_doc:
-        return pa.table({"s_doc": pa.array([], pa.int64()), "s_key": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
-    docs, keys, spans = np.concatenate(out_doc), np.concatenate(out_key), np.zeros(sum(map(len, out_doc)), SPAN)
-    spans["start"], spans["n"] = np.concatenate(out_start), np.concatenate(out_n)
-    order = np.lexsort((spans["start"], keys, docs))
-    docs, keys, spans = docs[order], keys[order], spans[order]
-    start = np.flatnonzero(np.concatenate(([True], (docs[1:] != docs[:-1]) | (keys[1:] != keys[:-1]))))
-    return pa.table({"s_doc": pa.array(docs[start], pa.int64()), "s_key": pa.array(keys[start], pa.int64()), "spans": pa.array([x.tobytes() for x in np.split(spans, start[1:])], pa.binary())})
+    shared, of_run, distinct = [], [], []
+    for n, r in merged(runs):
+        shared.append(n)
+        of_run.append(r)
+        if n < runs[0].width:
+            distinct.append(runs[r].bytes)
+    shared, of_run = np.array(shared), np.array(of_run)
+    key = np.cumsum(shared < runs[0].width) - 1  # of each merged place: the distinct key's number
+    keys = np.frombuffer(b"".join(distinct), np.uint8).reshape(len(distinct), -1)
+    group = (np.cumsum(shared < gram) - 1)[shared < runs[0].width]  # of each distinct key: its gram's number
+
+    # occurrences: a run's keys leave the tree in the run's order
+    order = np.argsort(of_run, kind="stable")
+    counts = np.concatenate([r.counts for r in runs])
+    member_key = np.repeat(key[order], counts)
+    docs, text_keys, places = (np.concatenate([r.members[i] for r in runs]) for i in range(3))
+    del runs, distinct
+    first = np.full(len(keys), np.iinfo(np.int64).max)
+    np.minimum.at(first, member_key, docs)
+    right, before = keys[:, length + left].astype(np.int64), keys[:, length + left + 1].astype(np.int64)
+    enough = right + before >= length
+
+    # every string around an anchor whose key an earlier document has
+    later = (docs > first[member_key]) & enough[member_key]
+    out = [(docs[later], text_keys[later], places[later] - before[member_key[later]], (right + before)[member_key[later]])]
+
+    # strings that the least document of a key shares with an earlier document's other key of the gram
+    many = np.flatnonzero((np.bincount(group)[group] > 1) & enough)
+    if len(many):
+        own = keys[many]
+        earlier = np.zeros((len(many), left + 3), np.int8)  # by the number of bytes before the anchor, from column 1
+        ahead = np.zeros(len(many), np.uint64)
+        back = [np.zeros(len(many), np.uint64)]
+        for i in range(left):
+            back.append(back[-1] + _COEFFICIENTS[length + i] * _VALUES[own[:, length + i]])
+        for i in range(length):
+            ahead += _COEFFICIENTS[i] * _VALUES[own[:, i]]
+            o = length - 1 - i
+            if o > left:
+                continue
+            can = np.flatnonzero((right[many] > i) & (before[many] >= o))
+            if len(can):
+                _, which = np.unique(ahead[can] + back[o][can], return_inverse=True)
+                least = np.full(which.max() + 1, np.iinfo(np.int64).max)
+                np.minimum.at(least, which, first[many[can]])
+                earlier[can, o + 1] = least[which] < first[many[can]]
+        change = np.diff(earlier, axis=1)
+        row, lo = np.nonzero(change == 1)
+        hi = np.nonzero(change == -1)[1] - 1  # alignments lo to hi are one range
+        if len(row):
+            number = np.full(len(keys), -1)
+            number[many] = np.arange(len(many))
+            at = np.flatnonzero((docs == first[member_key]) & (number[member_key] >= 0))
+            at = at[np.argsort(number[member_key[at]], kind="stable")]
+            begin = np.searchsorted(number[member_key[at]], row)
+            n = np.searchsorted(number[member_key[at]], row, side="right") - begin
+            pick = at[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            out.append((docs[pick], text_keys[pick], places[pick] - np.repeat(hi, n), np.repeat(hi + length - lo, n)))
+    docs, text_keys, start, size = (np.concatenate([x[i] for x in out]) for i in range(4))
+    spans = np.zeros(len(docs), SPAN)
+    spans["start"], spans["n"] = start, size
+    order = np.lexsort((start, text_keys, docs))
+    docs, text_keys, spans = docs[order], text_keys[order], spans[order]
+    start = np.flatnonzero(np.concatenate(([True], (docs[1:] != docs[:-1]) | (text_keys[1:] != text_keys[:-1])))) if len(docs) else np.zeros(0, np.int64)
+    return pa.table({"s_doc": pa.array(docs[start], pa.int64()), "s_key": pa.array(text_keys[start], pa.int64()), "spans": pa.array([x.tobytes() for x in np.split(spans, start[1:])] if len(docs) else [], pa.binary())})
 
 
 def _cut(batches):
@@ -389,11 +369,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     found = runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared, "c_doc long, hashes binary")
     found = stored(found, "suffix-candidates")
 
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    marked = found.select("c_doc").distinct().select(bit("c_doc").alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
-    marked = F.broadcast(stored(marked, "suffix-filter"))  # FILTER_BITS / 64 rows at most
-    tested = docs.withColumn("bit", bit("doc_id")).join(marked, F.shiftright("bit", 6) == F.col("word"), "left")
-    in_play = F.coalesce(F.expr("(shiftrightunsigned(bits, cast(bit & 63 as int)) & 1) = 1"), F.lit(False))
+    tested, in_play = bit_test(docs, "doc_id", found.select("c_doc"))
     some, none = tested.where(in_play).select(*docs.columns), tested.where(~in_play).select(*docs.columns)
 
     by_doc = found.groupBy("c_doc").agg(F.collect_list("hashes").alias("hashes"))

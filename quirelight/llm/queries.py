@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, licenses, mixing, ngram_join, oracles, sentence_dedup, suffix_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, licenses, lm_score, mixing, ngram_join, oracles, sentence_dedup, suffix_dedup, token_file, toxicity
 from quirelight.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_score(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public tokenizer's file."""
     import public_tokenizers
@@ -52,6 +56,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
+    "op3_suffix_tree_score": op3_suffix_tree_score,
     "op4_token_files": op4_token_files,
     "op5_decontaminate": op5_decontaminate,
     "op6_suffix_dedup": op6_suffix_dedup,

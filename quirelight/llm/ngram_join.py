@@ -32,9 +32,9 @@ N = 5
 THRESHOLD = (4, 5)  # as a fraction, so that the test is exact
 RECALL = 0.9995
 MOST_HASHES = 256
-BLOCK = 768
-BLOCK_SHINGLES = 2_000_000
-COLUMNS = 8192
+BLOCK = 512
+BLOCK_SHINGLES = 1_000_000
+COLUMNS = 4096
 
 
 def bands_and_rows(threshold: float, recall: float, most: int = MOST_HASHES) -> tuple[int, int]:
@@ -110,7 +110,7 @@ def verified(table: pa.Table) -> pa.Table:
     shared = np.bincount(column)[column] > 1
     member, column = member[shared], column[shared]
     column = np.unique(column, return_inverse=True)[1] if len(column) else column
-    common = np.zeros((len(sets), len(sets)), np.float64)
+    common = np.zeros((len(sets), len(sets)), np.float32)  # exact below 2**24
     cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + COLUMNS + 1, COLUMNS))
     for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
         part = np.zeros((len(sets), min(COLUMNS, int(column[hi - 1]) - k * COLUMNS + 1) if hi > lo else 1), np.float32)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, licenses, lm_score, mixing, ngram_join, oracles, sentence_dedup, suffix_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, licenses, lm_score, mixing, ngram_join, oracles, outliers, sentence_dedup, suffix_dedup, token_file, toxicity
 from quirelight.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op8_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_dedup.digest(sentence_dedup.dedup(table(spark, sf_dir, "documents")))
 
 
+def op9_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return outliers.quality(table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
@@ -62,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ngram_join": op7_ngram_join,
     "op8_sentence_spans": op8_sentence_spans,
+    "op9_robust_outliers": op9_robust_outliers,
     "op10_license_scan": op10_license_scan,
 }
 ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE, "op7_ngram_join": oracles.NGRAM_JOIN}

@@ -107,7 +107,7 @@ def _scan(docs: DataFrame, items: list[tuple[str, str]], width: int) -> DataFram
     return docs.mapInArrow(search, RESULT)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES, keep_key: bool = False) -> DataFrame:
     """Per document row: doc_id, n_words, spans (starts and ends of occurrences, in words, flat) and items (ids found)."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -118,13 +118,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WOR
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
     parts = [_scan(docs, [tuple(r) for r in benchmark.where(block == b).collect()], width) for b in range(blocks)]
     if blocks == 1:
-        return parts[0].drop("text_key")
+        return parts[0] if keep_key else parts[0].drop("text_key")
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)
     merged = merged.groupBy("doc_id", "text_key").agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     rows = docs.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
-    return rows.join(merged, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key"))).select("doc_id", "n_words", "spans", "items")
+    return rows.join(merged, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key"))).select("doc_id", *["text_key"] * keep_key, "n_words", "spans", "items")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs (all columns) without those in which a window of the benchmark occurs."""
+    found = decontaminate(docs, benchmark, keep_key=True).where(F.size("items") > 0).select(F.col("doc_id").alias("hit_doc_id"), F.col("text_key").alias("hit_text_key"))
+    rows = docs.withColumn("row_text_key", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    return rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("hit_doc_id")) & (F.col("row_text_key") == F.col("hit_text_key")), "left_anti").drop("row_text_key")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -35,6 +35,13 @@ BLOCK_WORDS = 1 << 16
 SEED = 20260909
 
 
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def seeded(doc_id, text, seed: int):
+    return F.xxhash64(F.lit(seed), doc_id, F.coalesce(text, F.lit("")))
+
+
 def targets(sizes: list[int], weights: list[float], budget: float, most: float) -> list[float]:
     """Weighted shares of budget * sum(sizes), none above most * its size; the excess goes to the others by weight."""
     total, out, open_ = budget * sum(sizes), [0.0] * len(sizes), set(range(len(sizes)))
@@ -63,11 +70,11 @@ def splitting_tree(draws: np.ndarray, shards: int, rng: np.random.Generator) ->
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float = MOST, shards: int = SHARDS, block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """One row per document row: doc_id, source, size, source_size, target, taken, and draws: an array of
+    """One row per document row: doc_id, h (its seeded hash), source, size, source_size, target, taken, and draws: an array of
     (pass, shard, position, words) for its output records, position being its place in the shard's shuffle."""
     spark = docs.sparkSession
     docs = narrow(docs, "doc_id", "text", "source").select(
-        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size"), F.xxhash64(F.lit(seed), "doc_id", F.coalesce("text", F.lit(""))).alias("h")
+        "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), seeded(F.col("doc_id"), F.col("text"), seed).alias("h")
     )
     docs = stored(docs, "mix-sizes")  # the texts are read once
     # one row for each source: the mix is configured by source, on the driver
@@ -115,7 +122,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float =
     last = F.when(F.col("extra") > 0, F.array(record(F.col("whole"), F.col("extra"))))
     none = F.array().cast("array<struct<pass:int,shard:int,position:bigint,words:bigint>>")
     all_draws = F.when(F.col("size") > 0, F.concat(F.coalesce(passes, none), F.coalesce(last, none))).otherwise(none)
-    return docs.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken"), all_draws.alias("draws"))
+    return docs.select("doc_id", "h", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("extra")).alias("taken"), all_draws.alias("draws"))
 
 
 def mixed_records(mixed: DataFrame) -> DataFrame:
@@ -125,5 +132,19 @@ def mixed_records(mixed: DataFrame) -> DataFrame:
     return one.select("d.shard", "d.position", "doc_id", "d.pass", "d.words")
 
 
+def drawn(docs: DataFrame) -> DataFrame:
+    """docs (all columns, among them doc_id, text, source and n_chars) as the mix has them: a row for each draw. A
+    document drawn in part keeps its first words, single-spaced."""
+    once = mix(docs).groupBy(F.col("doc_id").alias("m_doc"), F.col("h").alias("m_h")).agg(F.max_by(F.struct("draws", "size"), "taken").alias("m"))
+    once = once.where(F.size("m.draws") > 0).select("m_doc", "m_h", "m.draws", F.col("m.size").alias("m_size"))
+    rows = docs.withColumn("row_h", seeded(docs["doc_id"], docs["text"], SEED))
+    rows = rows.join(once, F.col("doc_id").eqNullSafe(F.col("m_doc")) & (F.col("row_h") == F.col("m_h"))).withColumn("draw", F.explode("draws"))
+    text = F.when(F.col("draw.words") < F.col("m_size"), F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("draw.words").cast("int")), " ")).otherwise(F.col("text"))
+    rows = rows.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rows.select(*docs.columns)
+
+
 def taken(docs: DataFrame) -> DataFrame:
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken", F.size("draws").alias("n_draws"))

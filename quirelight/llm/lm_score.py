@@ -243,12 +243,27 @@ class Tree:
 
 
 def _scored(batches, model, buckets: int):
-    """Rows of documents (row, doc_id, held_out, n_tokens, known and base of hot words, score), and requests (bucket,
-    blob) for the counts of the other words."""
+    """Rows of documents (part, row, doc_id, held_out, n_tokens, known and base of hot words, score), and requests
+    (part, bucket, blob) for the counts of a part's other words. A part is what a task reads between two flushes."""
     tree, hot, hot_counts, n, v = model.value
     base = np.log10(float(n + v + 1))
-    part, ordinal = TaskContext.get().partitionId() << 40, 0
-    names = ["row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "bucket", "blob"]
+    part, ordinal, size = TaskContext.get().partitionId() << 24, 0, 0
+    names = ["part", "row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "bucket", "blob"]
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def flush():
+        if not held:
+            return
+        h, r = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+        held.clear()
+        order = np.argsort(h, kind="stable")
+        h, r = h[order], r[order]
+        cuts = ranges(h, buckets)
+        some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+        blobs = [packed(rising(h[cuts[b] : cuts[b + 1]]), small(r[cuts[b] : cuts[b + 1]])) for b in some]
+        nulls = [pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array([part] * len(some), pa.int64()), *nulls, pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names)
+
     for batch in bounded(batches):
         rows = batch.num_rows
         if not rows:
@@ -263,40 +278,44 @@ def _scored(batches, model, buckets: int):
         hot_base = np.bincount(row[found], np.log10(c + 1.0) - base, rows)
         known = np.bincount(row[found], minlength=rows)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part + ordinal + np.arange(rows)), batch.column("doc_id"), batch.column("held_out"), pa.array(np.bincount(row, minlength=rows)), pa.array(known), pa.array(hot_base), pa.array(tree.score(text, begin)), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names
+            [pa.array([part] * rows, pa.int64()), pa.array(ordinal + np.arange(rows)), batch.column("doc_id"), batch.column("held_out"), pa.array(np.bincount(row, minlength=rows)), pa.array(known), pa.array(hot_base), pa.array(tree.score(text, begin)), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names
         )
-        h, r = hashes[~found], row[~found] + ordinal
-        order = np.argsort(h, kind="stable")
-        h, r = h[order], r[order]
-        cuts = ranges(h, buckets)
-        some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        blobs = [packed(part, rising(h[cuts[b] : cuts[b + 1]]), small(r[cuts[b] : cuts[b + 1]])) for b in some]
-        nulls = [pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-        yield pa.RecordBatch.from_arrays([*nulls, pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names)
-        ordinal += rows
+        held.append((hashes[~found], row[~found] + ordinal))
+        ordinal, size = ordinal + rows, size + len(data)
+        if size >= FLUSH_BYTES:
+            yield from flush()
+            part, ordinal, size = part + 1, 0, 0
+    yield from flush()
 
 
-def _answered(key, requests: pa.Table, counts: pa.Table, total: int) -> pa.Table:
-    """One bucket: what its words add to each row that asked."""
+def _answered(requests: pa.Table, counts: pa.Table, total: int) -> pa.Table:
+    """One bucket: what its words add to the rows of each part that asked."""
     w, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if counts.num_rows:
         w, c = unpacked(counts.column("counts")[0].as_py())
         w, c = risen(w), large(c)
-    rows, values, known = [], [], []
+    answers = []
     for blob in requests.column("blob"):
-        part, h, r = unpacked(blob.as_py())
+        h, r = unpacked(blob.as_py())
         h, r = risen(h), large(r)
         at = np.minimum(np.searchsorted(w, h), max(0, len(w) - 1))
         there = w[at] == h if len(w) else np.zeros(len(h), bool)
         n = np.where(there, c[at] if len(w) else 0, 0)
-        least = int(r.min())
-        own = np.bincount(r - least)
-        some = np.flatnonzero(own)
-        rows.append(part + least + some)
-        values.append(np.bincount(r - least, np.log10(n + 1.0) - np.log10(float(total)))[some])
-        known.append(np.bincount(r - least, there)[some].astype(np.int64))
-    join = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
-    return pa.table({"a_row": pa.array(join(rows, np.int64)), "a_base": pa.array(join(values, float)), "a_known": pa.array(join(known, np.int64))})
+        some, which = np.unique(r, return_inverse=True)
+        answers.append(packed(small(some), np.bincount(which, np.log10(n + 1.0) - np.log10(float(total))), np.bincount(which, there).astype(np.int64)))
+    return pa.table({"part": requests.column("part"), "answer": pa.array(answers, pa.binary())})
+
+
+def _added(rows: pa.Table, answers: pa.Table, n: int) -> pa.Table:
+    """One part's documents with the answers added."""
+    base, known, row = rows.column("base").to_numpy().copy(), rows.column("known").to_numpy().copy(), rows.column("row").to_numpy()
+    place = np.empty(len(row), np.int64)
+    place[row] = np.arange(len(row))
+    for blob in answers.column("answer"):
+        some, values, there = unpacked(blob.as_py())
+        base[place[large(some)]] += values
+        known[place[large(some)]] += there
+    return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": rows.column("n_tokens"), "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(row), n)), "base_score": pa.array(base), "score": rows.column("score")})
 
 
 def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH, least_share: float = LEAST_SHARE, hot: int = HOT) -> DataFrame:
@@ -346,12 +365,10 @@ def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH,
     tree = Tree([(r.length, r.context, r.symbol, r.n) for r in nodes.collect()], depth, least)
     model = spark.sparkContext.broadcast((tree, hot_words, hot_counts, n, v))
 
-    both = docs.mapInArrow(lambda b: _scored(b, model, buckets), "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, bucket int, blob binary")
+    both = docs.mapInArrow(lambda b: _scored(b, model, buckets), "part long, row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, bucket int, blob binary")
     both = stored(both, "lm-scores")
-    requests = both.where("row is null").select("bucket", "blob").repartition(buckets, "bucket")
+    requests = both.where("row is null").select("part", "bucket", "blob").repartition(buckets, "bucket")
     counts = word_counts.select("bucket", "counts").repartition(buckets, "bucket")
-    answers = requests.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(lambda k, a, b: _answered(k, a, b, n + v + 1), "a_row long, a_base double, a_known long")
-    answers = answers.groupBy("a_row").agg(F.sum("a_base").alias("a_base"), F.sum("a_known").alias("a_known"))
-    rows = both.where("row is not null").join(answers, F.col("row") == F.col("a_row"), "left")
-    zero = lambda c, z: F.coalesce(c, F.lit(z))
-    return rows.select("doc_id", "held_out", "n_tokens", (F.col("known") + zero("a_known", 0)).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), (F.col("base") + zero("a_base", 0.0)).alias("base_score"), "score")
+    answers = requests.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(lambda a, b: _answered(a, b, n + v + 1), "part long, answer binary")
+    rows = both.where("row is not null").drop("bucket", "blob")
+    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda a, b: _added(a, b, n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

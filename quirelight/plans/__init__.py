@@ -4,5 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+from quirelight.plans import documents
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**documents.QUERIES}
+ORACLES: dict[str, str] = {**documents.ORACLES}

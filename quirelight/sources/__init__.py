@@ -1 +1 @@
-
+"""Where pages, spans and labels come from."""

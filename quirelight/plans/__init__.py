@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.plans import documents
+from quirelight.plans import documents, labels
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**documents.QUERIES}
-ORACLES: dict[str, str] = {**documents.ORACLES}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**documents.QUERIES, **labels.QUERIES}
+ORACLES: dict[str, str] = {**documents.ORACLES, **labels.ORACLES}

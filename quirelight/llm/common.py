@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import re
 import tempfile
 import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def files(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a folder that executors share, and the path in it."""
+    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
+    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
@@ -97,6 +107,13 @@ def bit_test(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_BIT
     return tested, F.coalesce(F.expr("(shiftrightunsigned(filter_bits, cast(filter_bit & 63 as int)) & 1) = 1"), F.lit(False))
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers live long and share an executor's memory with its JVM."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def row_key(doc_id, text) -> list[F.Column]:
     """Names of a row beyond its doc_id: rows that share doc_id and text are one document stored repeatedly."""
     return [doc_id, F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_key")]

@@ -129,9 +129,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW_WOR
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs (all columns) without those in which a window of the benchmark occurs."""
-    found = decontaminate(docs, benchmark, keep_key=True).where(F.size("items") > 0).select(F.col("doc_id").alias("hit_doc_id"), F.col("text_key").alias("hit_text_key"))
-    rows = docs.withColumn("row_text_key", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
-    return rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("hit_doc_id")) & (F.col("row_text_key") == F.col("hit_text_key")), "left_anti").drop("row_text_key")
+    found = decontaminate(docs, benchmark, keep_key=True).where(F.size("items") > 0).select(F.col("doc_id").alias("ql__hit_doc_id"), F.col("text_key").alias("ql__hit_text_key"))
+    rows = docs.withColumn("ql__text_key", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    return rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("ql__hit_doc_id")) & (F.col("ql__text_key") == F.col("ql__hit_text_key")), "left_anti").drop("ql__text_key")
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -135,11 +135,11 @@ def mixed_records(mixed: DataFrame) -> DataFrame:
 def drawn(docs: DataFrame) -> DataFrame:
     """docs (all columns, among them doc_id, text, source and n_chars) as the mix has them: a row for each draw. A
     document drawn in part keeps its first words, single-spaced."""
-    once = mix(docs).groupBy(F.col("doc_id").alias("m_doc"), F.col("h").alias("m_h")).agg(F.max_by(F.struct("draws", "size"), "taken").alias("m"))
-    once = once.where(F.size("m.draws") > 0).select("m_doc", "m_h", "m.draws", F.col("m.size").alias("m_size"))
-    rows = docs.withColumn("row_h", seeded(docs["doc_id"], docs["text"], SEED))
-    rows = rows.join(once, F.col("doc_id").eqNullSafe(F.col("m_doc")) & (F.col("row_h") == F.col("m_h"))).withColumn("draw", F.explode("draws"))
-    text = F.when(F.col("draw.words") < F.col("m_size"), F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("draw.words").cast("int")), " ")).otherwise(F.col("text"))
+    once = mix(docs).groupBy(F.col("doc_id").alias("ql__doc"), F.col("h").alias("ql__m_h")).agg(F.max_by(F.struct("draws", "size"), "taken").alias("m"))
+    once = once.where(F.size("m.draws") > 0).select("ql__doc", "ql__m_h", F.col("m.draws").alias("ql__draws"), F.col("m.size").alias("ql__size"))
+    rows = docs.withColumn("ql__h", seeded(docs["doc_id"], docs["text"], SEED))
+    rows = rows.join(once, F.col("doc_id").eqNullSafe(F.col("ql__doc")) & (F.col("ql__h") == F.col("ql__m_h"))).withColumn("ql__draw", F.explode("ql__draws"))
+    text = F.when(F.col("ql__draw.words") < F.col("ql__size"), F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1, F.col("ql__draw.words").cast("int")), " ")).otherwise(F.col("text"))
     rows = rows.withColumn("text", text)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -194,7 +194,7 @@ def _once(table: pa.Table) -> pa.Table:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """docs (all columns), of each class the document with the least doc_id (then text hash), once."""
     found = join(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("class_key"))).select(F.col("doc_id").alias("kept_doc_id"), F.col("text_key").alias("kept_text_key")).distinct()
-    keyed = docs.withColumn("row_text_key", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
-    matched = keyed.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("kept_doc_id")) & (F.col("row_text_key") == F.col("kept_text_key")), "left_semi")
-    return matched.dropDuplicates(["doc_id", "row_text_key"]).drop("row_text_key")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_key") == F.col("class_key"))).select(F.col("doc_id").alias("ql__kept_doc_id"), F.col("text_key").alias("ql__kept_text_key")).distinct()
+    keyed = docs.withColumn("ql__text_key", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    matched = keyed.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("ql__kept_doc_id")) & (F.col("ql__text_key") == F.col("ql__kept_text_key")), "left_semi")
+    return matched.dropDuplicates(["doc_id", "ql__text_key"]).drop("ql__text_key")

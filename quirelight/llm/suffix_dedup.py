@@ -4,21 +4,21 @@ A byte goes when a string of LENGTH bytes that covers it also starts in a docume
 compared on the input. Not every suffix is sorted: in every string of LENGTH bytes the GRAM bytes of least hash are its
 anchor, equal strings have equal anchors, and so the suffixes at anchors, with the bytes before them, decide for all.
 
-1. Candidates. Each task sorts the hashes of its anchors' grams and sends them as differences, by ranges of the hash;
-   where the runs meet, hashes of two documents or more are found, and go back by document.
-2. Runs. A document's candidate anchors give keys: the LENGTH bytes from the anchor on (its suffix), then the LENGTH -
-   GRAM bytes before it, backwards. A task sorts its keys, joins equal ones, front-codes them (the length of the prefix
-   shared with the key before, and the rest), and sends each part of the run to the task of its gram's hash, as only
-   keys with the same gram have a string in common.
+1. Candidates. Each task writes its documents as blocks of BLOCK_BYTES to the shared folder, so that texts are never
+   shuffled, and sends the sorted distinct hashes of a block's grams as differences, by ranges of the hash. Where
+   blocks meet, hashes of two documents or more are found, and go back by block.
+2. Runs. A block's candidate anchors give keys: the LENGTH bytes from the anchor on (its suffix), then the LENGTH -
+   GRAM bytes before it, backwards. The keys are sorted, equal ones joined, and the rest front-coded (the length of the
+   prefix shared with the key before, and what follows it). Each part of the run goes to the task of its gram's hash,
+   as only keys with the same gram have a string in common.
 3. Merge. A loser tree combines the runs. It keeps for each run the prefix that its key shares with the last winner:
    the longer prefix wins unseen, and equal prefixes are never compared again, only what follows. What leaves it is
    the sorted suffix array with its common prefixes. Equal keys meet: all but the least document's lose every string
    around the anchor. Where a gram has several keys, the strings around it are grouped one alignment at a time.
-4. The removed ranges go back by document and are cut from its text.
+4. The removed ranges go back by block and are cut from its texts.
 
 A group of copies is one key a run, with its documents and places in a few bytes each. The tasks of 1 and 3 are as many
-as the text needs, TASK_BYTES each. A filter of fixed size on doc_id keeps most documents without candidates out
-of the joins; it only saves work.
+as the text needs, TASK_BYTES each.
 
 Cases: null and empty texts have nothing to remove; matches never cross documents; rows of one doc_id never remove each
 other's bytes; a null doc_id is less than all others; cuts may split a UTF-8 sequence, so what is kept is binary;
@@ -27,23 +27,24 @@ columns other than those named are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import bit_test, bounded, narrow, row_key, small_batches, stored, utf8
+from quirelight.llm.common import bounded, files, narrow, release, shared_folder, small_batches, stored, utf8
 from quirelight.llm.packing import large, packed, rising, risen, small, unpacked
-from quirelight.llm.text_hash import Ranges
+from quirelight.llm.text_hash import Ranges, mix
 
 LENGTH = 50
 GRAM = 24
-TASK_BYTES = 12 << 20
-RUN_BYTES = 16 << 20
+TASK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 NO_ID = -(2**63)
 _RANDOM = np.random.default_rng(20260304)
 _VALUES, _COEFFICIENTS = (_RANDOM.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))  # LENGTH up to 140
-SPAN = np.dtype([("start", "<u4"), ("n", "<u2")])
 
 
 def sliding(f, values: np.ndarray, width: int) -> np.ndarray:
@@ -66,59 +67,75 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     least = np.where(np.arange(len(least)) + length <= offsets[row + 1], least, 0)  # of strings inside a row
     edge = np.zeros(width - 1, np.uint64)
     at = np.flatnonzero(sliding(np.maximum, np.concatenate([edge, least, edge]), width) == hashes)
-    return at, hashes[at], np.searchsorted(offsets, at, side="right") - 1
+    # chosen for being least, the hashes crowd at the low end; mixed again they spread evenly over tasks
+    return at, mix(hashes[at] ^ np.uint64(0xA0761D6478BD642F)), np.searchsorted(offsets, at, side="right") - 1
 
 
-def _candidate_runs(batches, buckets: int, length: int, gram: int):
-    """Rows (bucket, run): sorted gram hashes as differences, and their documents."""
-    hashes, docs, size = [], [], 0
+def _dealt(batches, folder: str, buckets: int, length: int, gram: int):
+    """Writes blocks. Rows (bucket, path, run): of bucket -1 for each block, and for each range of hashes its sorted
+    distinct gram hashes as differences, and whether two documents of the block have them."""
+    held, hashes, docs, size = [], [], [], 0
+    names = ["bucket", "path", "run"]
 
     def flush():
-        if not hashes:
+        if not held:
             return
+        path = f"{folder}/block-{uuid.uuid4().hex}.arrows"
+        fs, at = files(path)
+        fs.create_dir(at.rpartition("/")[0], recursive=True)
+        with fs.open_output_stream(at) as sink, pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for batch in held:
+                out.write_batch(batch)
         h, d = np.concatenate(hashes) >> np.uint64(16), np.concatenate(docs)
+        held.clear(), hashes.clear(), docs.clear()
         order = np.lexsort((d, h))
         h, d = h[order], d[order]
-        new = np.concatenate(([True], (h[1:] != h[:-1]) | (d[1:] != d[:-1])))
-        h, d = h[new], d[new]
+        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
+        last = np.append(first[1:], len(h))[: len(first)] - 1
+        several, h = d[first] != d[last], h[first]
         cuts = np.searchsorted(h, (np.arange(buckets + 1, dtype=np.float64) * (2.0**48 / buckets)).astype(np.uint64))
         some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        blobs = [packed(rising(h[cuts[b] : cuts[b + 1]]), small(d[cuts[b] : cuts[b + 1]])) for b in some]
-        hashes.clear()
-        docs.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "run"])
+        blobs = [packed(rising(h[cuts[b] : cuts[b + 1]]), np.packbits(several[cuts[b] : cuts[b + 1]])) for b in some]
+        del h, d, order, first, last, several
+        release()
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *some], pa.int32()), pa.array([path] * (len(some) + 1)), pa.array([b"", *blobs], pa.binary())], names)
 
     for batch in bounded(batches):
         data, offsets = utf8(batch.column("text"))
         _, h, row = anchors(data, offsets, length, gram)
+        held.append(batch)
         hashes.append(h)
         docs.append(batch.column("doc_id").to_numpy()[row])
         size += len(data)
-        if size >= RUN_BYTES:
+        if size >= BLOCK_BYTES:
             yield from flush()
             size = 0
     yield from flush()
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of one bucket: for each document, its hashes that another document has too."""
-    h, d = [], []
-    for blob in table.column("run"):
-        hashes, docs = unpacked(blob.as_py())
-        h.append(risen(hashes))
-        d.append(large(docs))
-    h, d = np.concatenate(h), np.concatenate(d)
-    order = np.lexsort((d, h))
-    h, d = h[order], d[order]
-    start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-    counts = np.diff(np.append(start, len(h)))
-    keep = np.repeat(d[start] != d[start + counts - 1], counts)
-    h, d = h[keep], d[keep]
-    order = np.argsort(d, kind="stable")
-    h, d = h[order], d[order]
-    start = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1]))) if len(d) else np.zeros(0, np.int64)
-    six = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    return pa.table({"c_doc": pa.array(d[start], pa.int64()), "hashes": pa.array([x.tobytes() for x in np.split(six, start[1:])] if len(d) else [], pa.binary())})
+    """Of one bucket: for each block, its hashes that another document has too."""
+    parts = [unpacked(x.as_py()) for x in table.column("run")]
+    each = [risen(x[0]) for x in parts]
+    h = np.concatenate(each)
+    good = np.concatenate([np.unpackbits(x[1], count=len(e)).astype(bool) for x, e in zip(parts, each, strict=True)])
+    order = np.argsort(h, kind="stable")
+    h, good = h[order], good[order]
+    twice = np.zeros(len(h), bool)
+    twice[1:] |= h[1:] == h[:-1]
+    twice[:-1] |= h[:-1] == h[1:]
+    shared = np.zeros(len(h), bool)
+    shared[order] = twice | good
+    cuts = np.cumsum([0, *map(len, each)])
+    found = [e[shared[lo:hi]] for e, lo, hi in zip(each, cuts[:-1], cuts[1:], strict=True)]
+    return pa.table({"path": table.column("path"), "hashes": pa.array([packed(rising(x)) if len(x) else None for x in found], pa.binary())}).drop_null()
+
+
+def _block(path: str):
+    """The batches of a block."""
+    fs, at = files(path)
+    with fs.open_input_stream(at) as source, pa.ipc.open_stream(source) as found:
+        yield from found
 
 
 def _keys(data: np.ndarray, offsets: np.ndarray, at: np.ndarray, row: np.ndarray, length: int, left: int) -> np.ndarray:
@@ -135,65 +152,50 @@ def _keys(data: np.ndarray, offsets: np.ndarray, at: np.ndarray, row: np.ndarray
     return out
 
 
-def _sorted_runs(batches, buckets: int, length: int, gram: int):
-    """Rows (bucket, run): front-coded sorted distinct keys, with each one's documents and places."""
-    left = length - gram
-    held, size = [], 0
-
-    def flush():
-        if not held:
-            return
-        keys, bucket, doc, text_key, place = (np.concatenate([x[i] for x in held]) for i in range(5))
-        held.clear()
-        columns = keys.view(">u8")
-        order = np.lexsort((place, doc, *(columns[:, i] for i in reversed(range(columns.shape[1]))), bucket))
-        keys, bucket, doc, text_key, place = keys[order], bucket[order], doc[order], text_key[order], place[order]
-        cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-        some, blobs = [b for b in range(buckets) if cuts[b] < cuts[b + 1]], []
-        for b in some:
-            own = slice(cuts[b], cuts[b + 1])
-            k = keys[own]
-            differ = k[1:] != k[:-1]
-            new = np.concatenate(([True], differ.any(axis=1)))
-            first = np.flatnonzero(new)
-            shared = np.concatenate(([0], differ.argmax(axis=1)[new[1:]])).astype(np.uint8)
-            distinct = k[first]
-            rest = distinct[np.arange(k.shape[1]) >= shared[:, None]].tobytes()
-            ids, which = np.unique(np.column_stack([doc[own], text_key[own]]), axis=0, return_inverse=True)
-            blobs.append(packed(k.shape[1], shared, rest, small(np.diff(np.append(first, len(k)))), small(ids[:, 0]), ids[:, 1], small(which), small(place[own])))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "run"])
-
-    for batch in bounded(batches):
+def _sorted_run(table: pa.Table, buckets: int, length: int, gram: int) -> pa.Table:
+    """Of one block: for each bucket, the front-coded sorted distinct keys, with each one's documents and places."""
+    path = table.column("path")[0].as_py()
+    known = np.unique(np.concatenate([risen(unpacked(x.as_py())[0]) for x in table.column("hashes")]))
+    held, ids, rows = [], [], 0
+    for batch in _block(path):
         data, offsets = utf8(batch.column("text"))
         at, h, row = anchors(data, offsets, length, gram)
         h = h >> np.uint64(16)
-        keep = np.zeros(len(at), bool)
-        borders = np.searchsorted(row, np.arange(batch.num_rows + 1))
-        for i, found in enumerate(batch.column("hashes").to_pylist()):
-            six = np.frombuffer(b"".join(found), np.uint8).reshape(-1, 6)
-            known = np.sort(np.concatenate([six, np.zeros((len(six), 2), np.uint8)], axis=1).copy().view("<u8").ravel())
-            own = h[borders[i] : borders[i + 1]]
-            keep[borders[i] : borders[i + 1]] = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
+        keep = known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
         at, h, row = at[keep], h[keep], row[keep]
-        if len(at):
-            ids, text_keys = batch.column("doc_id").to_numpy(), batch.column("text_key").to_numpy()
-            bucket = (h.astype(np.float64) * (buckets / 2.0**48)).astype(np.int32)
-            held.append((_keys(data, offsets, at, row, length, left), np.minimum(bucket, buckets - 1), ids[row], text_keys[row], at - offsets[row]))
-            size += len(at) * 100
-            if size >= RUN_BYTES:
-                yield from flush()
-                size = 0
-    yield from flush()
+        bucket = np.minimum((h.astype(np.float64) * (buckets / 2.0**48)).astype(np.int32), buckets - 1)
+        held.append((_keys(data, offsets, at, row, length, length - gram), bucket, row + rows, at - offsets[row]))
+        ids.append(batch.column("doc_id").to_numpy())
+        rows += batch.num_rows
+    keys, bucket, which, place = (np.concatenate([x[i] for x in held]) for i in range(4))
+    held.clear()
+    ids = np.concatenate(ids)
+    columns = keys.view(">u8")
+    order = np.lexsort((place, ids[which], *(columns[:, i] for i in reversed(range(columns.shape[1]))), bucket))
+    keys, bucket, which, place = keys[order], bucket[order], which[order], place[order]
+    cuts = np.searchsorted(bucket, np.arange(buckets + 1))
+    some, blobs = [b for b in range(buckets) if cuts[b] < cuts[b + 1]], []
+    for b in some:
+        own = slice(cuts[b], cuts[b + 1])
+        k = keys[own]
+        differ = k[1:] != k[:-1]
+        first = np.flatnonzero(np.concatenate(([True], differ.any(axis=1))))
+        shared = np.concatenate(([0], differ.argmax(axis=1)[first[1:] - 1])).astype(np.uint8)
+        distinct = k[first]
+        rest = distinct[np.arange(k.shape[1]) >= shared[:, None]].tobytes()
+        blobs.append(packed(k.shape[1], shared, rest, small(np.diff(np.append(first, len(k)))), path, small(ids[which[own]]), small(which[own]), small(place[own])))
+    del keys, columns, held
+    release()
+    return pa.table({"bucket": pa.array(some, pa.int32()), "run": pa.array(blobs, pa.binary())})
 
 
 class Run:
     """A front-coded run, read key by key; key: the current one as a number, None at the end."""
 
     def __init__(self, blob: bytes):
-        self.width, shared, self.rest, counts, ids, text_keys, which, place = unpacked(blob)
+        self.width, shared, self.rest, counts, self.path, ids, which, place = unpacked(blob)
         self.shared, self.counts = shared.tolist(), large(counts)
-        which = large(which)
-        self.members = large(ids)[which], text_keys[which], large(place)  # of all keys in order
+        self.members = large(ids), large(which), large(place)  # of all keys in order
         self.i, self.at, self.bytes, self.key = -1, 0, b"", 0
         self.step()
 
@@ -266,7 +268,7 @@ def merged(runs: list[Run]):
 
 
 def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
-    """One bucket's runs merged: by document, the ranges to remove around this bucket's anchors."""
+    """One bucket's runs merged: by block, the ranges to remove around this bucket's anchors."""
     left = length - gram
     runs = [Run(x.as_py()) for x in table.column("run")]
     shared, of_run, distinct = [], [], []
@@ -284,7 +286,9 @@ def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
     order = np.argsort(of_run, kind="stable")
     counts = np.concatenate([r.counts for r in runs])
     member_key = np.repeat(key[order], counts)
-    docs, text_keys, places = (np.concatenate([r.members[i] for r in runs]) for i in range(3))
+    docs, rows, places = (np.concatenate([r.members[i] for r in runs]) for i in range(3))
+    rows += np.repeat(np.arange(len(runs)) << 40, [len(r.members[0]) for r in runs])  # the run's number above
+    paths = [r.path for r in runs]
     del runs, distinct
     first = np.full(len(keys), np.iinfo(np.int64).max)
     np.minimum.at(first, member_key, docs)
@@ -293,7 +297,7 @@ def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
 
     # every string around an anchor whose key an earlier document has
     later = (docs > first[member_key]) & enough[member_key]
-    out = [(docs[later], text_keys[later], places[later] - before[member_key[later]], (right + before)[member_key[later]])]
+    out = [(rows[later], places[later] - before[member_key[later]], (right + before)[member_key[later]])]
 
     # strings that the least document of a key shares with an earlier document's other key of the gram
     many = np.flatnonzero((np.bincount(group)[group] > 1) & enough)
@@ -326,59 +330,58 @@ def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
             begin = np.searchsorted(number[member_key[at]], row)
             n = np.searchsorted(number[member_key[at]], row, side="right") - begin
             pick = at[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            out.append((docs[pick], text_keys[pick], places[pick] - np.repeat(hi, n), np.repeat(hi + length - lo, n)))
-    docs, text_keys, start, size = (np.concatenate([x[i] for x in out]) for i in range(4))
-    spans = np.zeros(len(docs), SPAN)
-    spans["start"], spans["n"] = start, size
-    order = np.lexsort((start, text_keys, docs))
-    docs, text_keys, spans = docs[order], text_keys[order], spans[order]
-    start = np.flatnonzero(np.concatenate(([True], (docs[1:] != docs[:-1]) | (text_keys[1:] != text_keys[:-1])))) if len(docs) else np.zeros(0, np.int64)
-    return pa.table({"s_doc": pa.array(docs[start], pa.int64()), "s_key": pa.array(text_keys[start], pa.int64()), "spans": pa.array([x.tobytes() for x in np.split(spans, start[1:])] if len(docs) else [], pa.binary())})
-
-
-def _cut(batches):
-    for batch in batches:
+            out.append((rows[pick], places[pick] - np.repeat(hi, n), np.repeat(hi + length - lo, n)))
+    rows, start, size = (np.concatenate([x[i] for x in out]) for i in range(3))
+    order = np.lexsort((start, rows))
+    rows, start, size = rows[order], start[order], size[order]
+    cuts = np.searchsorted(rows, np.arange(len(paths) + 1) << 40)
+    own = [(i, slice(lo, hi)) for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
+    blobs = [packed(small(rows[x] & ((1 << 40) - 1)), small(start[x]), small(size[x])) for _, x in own]
+    del keys, member_key, out
+    release()
+    return pa.table({"path": pa.array([paths[i] for i, _ in own], pa.string()), "spans": pa.array(blobs, pa.binary())})
+
+
+def _cut(path: str, spans: pa.Table) -> pa.Table:
+    """A block's documents without the removed ranges."""
+    found = [unpacked(x.as_py()) for x in spans.column("spans")]
+    rows, start, size = (np.concatenate([large(x[i]) for x in found]) if found else np.zeros(0, np.int64) for i in range(3))
+    order = np.argsort(rows, kind="stable")
+    rows, start, size = rows[order], start[order], size[order]
+    out, before = [], 0
+    for batch in _block(path):
         data, offsets = utf8(batch.column("text"))
-        kept, removed, spans = [], [], []
-        for i, found in enumerate(batch.column("spans").to_pylist()):
-            own = data[offsets[i] : offsets[i + 1]]
-            if found:
-                x = np.frombuffer(b"".join(found), SPAN)
-                change = np.zeros(len(own) + 1, np.int64)
-                np.add.at(change, x["start"].astype(np.int64), 1)
-                np.add.at(change, x["start"].astype(np.int64) + x["n"], -1)
-                gone = np.cumsum(change)[:-1] > 0
-                spans.append(int((gone & ~np.concatenate(([False], gone[:-1]))).sum()))
-                removed.append(int(gone.sum()))
-                own = own[~gone]
-            else:
-                spans.append(0)
-                removed.append(0)
-            kept.append(own.tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        lo, hi = np.searchsorted(rows, [before, before + batch.num_rows])
+        begin = offsets[rows[lo:hi] - before] + start[lo:hi]
+        change = np.zeros(len(data) + 1, np.int64)
+        np.add.at(change, begin, 1)
+        np.add.at(change, begin + size[lo:hi], -1)
+        gone = np.cumsum(change)[:-1] > 0
+        border = np.zeros(len(data) + 1, bool)
+        border[offsets] = True
+        opens = gone & (np.concatenate(([True], ~gone[:-1]))[: len(gone)] | border[:-1])
+        total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[offsets])
+        kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        out.append(pa.table({"doc_id": batch.column("doc_id"), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(total(gone)), "n_spans": pa.array(total(opens)), "kept": pa.array(kept, pa.binary())}))
+        before += batch.num_rows
+    return pa.concat_tables(out)
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per document row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary)."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = narrow(docs, "doc_id", "text").select(*row_key(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text")), "text")
+    docs = narrow(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(1, -(-size // TASK_BYTES))
-    runs = docs.select("doc_id", "text").mapInArrow(lambda b: _candidate_runs(b, buckets, length, gram), "bucket int, run binary")
-    found = runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared, "c_doc long, hashes binary")
-    found = stored(found, "suffix-candidates")
-
-    tested, in_play = bit_test(docs, "doc_id", found.select("c_doc"))
-    some, none = tested.where(in_play).select(*docs.columns), tested.where(~in_play).select(*docs.columns)
-
-    by_doc = found.groupBy("c_doc").agg(F.collect_list("hashes").alias("hashes"))
-    keyed = some.join(by_doc, F.col("doc_id") == F.col("c_doc")).select("doc_id", "text_key", "text", "hashes")
-    sorted_runs = keyed.mapInArrow(lambda b: _sorted_runs(b, buckets, length, gram), "bucket int, run binary")
-    spans = sorted_runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _removed(t, length, gram), "s_doc long, s_key long, spans binary")
-    spans = stored(spans, "suffix-spans").groupBy("s_doc", "s_key").agg(F.collect_list("spans").alias("spans"))
-    some = some.join(spans, (F.col("doc_id") == F.col("s_doc")) & (F.col("text_key") == F.col("s_key")), "left").select("doc_id", "text", "spans")
-    cut = some.unionByName(none.select("doc_id", "text", F.lit(None).cast("array<binary>").alias("spans"))).mapInArrow(lambda b: (y for x in bounded(b) for y in _cut([x])), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    folder = f"{shared_folder(spark)}/suffix-{uuid.uuid4().hex}"
+    dealt = stored(docs.mapInArrow(lambda b: _dealt(b, folder, buckets, length, gram), "bucket int, path string, run binary"), "suffix-hashes")
+    blocks = dealt.where("bucket = -1").select("path")
+    n = max(1, 2 * blocks.count())  # partitions for blocks: most have one, and they are never coalesced
+    found = dealt.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared, "path string, hashes binary")
+    runs = found.repartition(n, "path").groupBy("path").applyInArrow(lambda t: _sorted_run(t, buckets, length, gram), "bucket int, run binary")
+    spans = runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _removed(t, length, gram), "path string, spans binary")
+    cut = blocks.repartition(n, "path").groupBy("path").cogroup(spans.repartition(n, "path").groupBy("path")).applyInArrow(lambda a, b: _cut(a.column("path")[0].as_py(), b), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return cut.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 

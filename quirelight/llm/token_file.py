@@ -23,7 +23,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import uuid
 import zlib
 
@@ -34,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import bounded, narrow, shared_folder, small_batches, utf8
+from quirelight.llm.common import bounded, files, narrow, shared_folder, small_batches, utf8
 from quirelight.llm.text_hash import Ranges
 
 SEQUENCE_LENGTH = 2048
@@ -210,11 +209,6 @@ def encoder(path: str) -> Encoder:
     return _LOADED[path]
 
 
-def files(uri: str) -> tuple[pafs.FileSystem, str]:
-    uri = re.sub(r"^file:/(?!/)", "file:///", uri)
-    return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
-
-
 def _schema(kind: np.dtype, length: int) -> pa.Schema:
     return pa.schema([("tokens", pa.list_(pa.field("item", pa.from_numpy_dtype(kind), False), length)), ("mask", pa.list_(pa.field("item", pa.bool_(), False), length))])
 

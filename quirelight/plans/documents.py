@@ -164,7 +164,7 @@ def segment_tiling_violations(spark, sf_dir):
 
 @query(
     Q.chain(*Q.up_to_decisions(), Q.SEGMENTS)
-    + """SELECT t.document_id, total, (SELECT count(*) FROM segments g WHERE g.document_id = t.document_id) AS segments, count_if(is_cut) AS cuts, count_if(is_candidate) AS candidates
+    + """SELECT t.document_id, total, (SELECT count(*) FROM segments g WHERE g.document_id = t.document_id) AS segments, CAST(count_if(is_cut) AS BIGINT) AS cuts, CAST(count_if(is_candidate) AS BIGINT) AS candidates
 FROM totals t LEFT JOIN decisions d USING (document_id) GROUP BY t.document_id, total"""
 )
 def segment_stats(spark, sf_dir):
@@ -190,10 +190,50 @@ def eval_negative_controls(spark, sf_dir):
     return rows.where("is_cut and not is_seam").groupBy("document_id").agg(F.count("*").alias("false_cuts"))
 
 
-@query(Q.chain(*Q.UP_TO_SCORES) + " UNION ALL ".join(f"SELECT '{p}' AS policy, count_if(score >= {t} AND strong) AS cuts, count_if(NOT (score >= {t} AND strong) AND change_score >= 0.7) AS candidates FROM scores" for p, t in contracts.load("segmentation")["policies"].items()))
+@query(Q.chain(*Q.UP_TO_SCORES) + " UNION ALL ".join(f"SELECT '{p}' AS policy, CAST(count_if(score >= {t} AND strong) AS BIGINT) AS cuts, CAST(count_if(NOT (score >= {t} AND strong) AND change_score >= 0.7) AS BIGINT) AS candidates FROM scores" for p, t in contracts.load("segmentation")["policies"].items()))
 def policy_sweep(spark, sf_dir):
     # one pass: every seam meets three thresholds
     policies = F.array(*[F.struct(F.lit(p).alias("policy"), F.lit(float(t)).alias("threshold")) for p, t in contracts.load("segmentation")["policies"].items()])
     rows = scores(spark, sf_dir).select("score", "change_score", "strong", F.inline(policies))
     cut = (F.col("score") >= F.col("threshold")) & F.col("strong")
     return rows.groupBy("policy").agg(F.count_if(cut).alias("cuts"), F.count_if(~cut & (F.col("change_score") >= 0.7)).alias("candidates"))
+
+
+@query(
+    """SELECT source AS document_id, CAST(row_number() OVER w AS INTEGER) AS part, lang, pages, CAST(sum(pages) OVER w - pages + 1 AS INTEGER) AS start_page, CAST(sum(pages) OVER w AS INTEGER) AS end_page
+FROM (SELECT source, lang, CAST(count(*) AS INTEGER) AS pages FROM documents WHERE source IS NOT NULL GROUP BY source, lang) WINDOW w AS (PARTITION BY source ORDER BY lang)"""
+)
+def compound_parts(spark, sf_dir):
+    return compounds.parts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query(Q.chain(Q.DOC_PAGES) + "SELECT document_id, page, 'BATCH' || lpad(CAST(1000 + page - 1 AS VARCHAR), 6, '0') AS stamp FROM doc_pages")
+def compound_stamps(spark, sf_dir):
+    return compounds.stamps(compounds.doc_pages(spark.read.parquet(f"{sf_dir}/documents.parquet")), "BATCH", 1000)
+
+
+@query(
+    Q.chain(Q.DOC_PAGES, Q.STAMPED)
+    + """SELECT CASE lang WHEN 'en' THEN 'ABCDEF+TimesNewRoman-Bold' WHEN 'fr' THEN 'Arial' WHEN 'de' THEN 'CourierNew' ELSE 'Arial,Italic,Georgia' END AS families, CAST(floor(width / 10) * 10 AS BIGINT) AS width, count(*) AS pages
+FROM stamped GROUP BY ALL HAVING count(*) >= 10"""
+)
+def compound_producers(spark, sf_dir):
+    return compounds.producers(stamped(spark, sf_dir), 10)
+
+
+@query("SELECT doc_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place FROM documents) WHERE (place - 1) % 7 = 0 AND place <= 70")
+def systematic_sample(spark, sf_dir):
+    return compounds.systematic(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id"), ["doc_id"], 7, 10)
+
+
+@query(Q.chain(*Q.PAGES) + "SELECT document_id, page, char_count FROM slips WHERE page <= 2")
+def first_pages(spark, sf_dir):
+    return measured(spark, sf_dir).where("page <= 2").select("document_id", "page", "char_count")
+
+
+@query()
+def conversation_seams(spark, sf_dir):
+    """Conversations as documents, turns as pages, and the decisions at their seams."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pages = turns.select(F.col("conv_id").cast("string").alias("document_id"), (F.col("turn") + 1).cast("int").alias("page"), F.col("text").alias("raw_text"), F.lit(612.0).alias("width"), F.lit(792.0).alias("height"), F.lit(0).alias("rotation"), F.lit(0).alias("image_count"), F.array(F.col("role")).alias("fonts"))
+    return S.decided(S.scored(S.signals(S.seams(N.census(pages))))).select(*DECISION.split(", "))

@@ -79,7 +79,7 @@ def units(spark, sf_dir):
     return A.units(A.lines(spans(spark, sf_dir)))
 
 
-@query("SELECT 'x' AS document_id, 'y' AS sign, 1 AS n WHERE false")
+@query("SELECT 'x' AS document_id, 'y' AS sign, CAST(1 AS BIGINT) AS n WHERE false")
 def units_lossless(spark, sf_dir):
     return A.lost_characters(spans(spark, sf_dir), units(spark, sf_dir))
 
@@ -224,3 +224,52 @@ def regression_gate(spark, sf_dir):
     metrics = title_eval_f1(spark, sf_dir).select(F.explode(F.array(*[F.struct(F.lit(k).alias("metric"), F.col(k).alias("value"), F.lit(v).alias("baseline")) for k, v in BASELINE.items()])).alias("m"))
     gap = F.col("m.value") - F.col("m.baseline")
     return metrics.select("m.metric", "m.value", (F.floor(gap * 1e4 + 0.5) / 1e4).alias("delta"), (gap < -0.01).alias("failed"))
+
+
+BANDS = """
+edges_at AS (SELECT document_id, page, floor(x * 10 + 0.5) / 10 AS e, count(*) AS lines FROM spans GROUP BY ALL),
+edge_gaps AS (SELECT *, coalesce(CAST(e - lag(e) OVER w > 40 AS INTEGER), 1) AS new FROM edges_at WINDOW w AS (PARTITION BY document_id, page ORDER BY e)),
+edge_runs AS (SELECT *, sum(new) OVER (PARTITION BY document_id, page ORDER BY e) AS run FROM edge_gaps),
+bands AS (
+  SELECT document_id, page, CAST(row_number() OVER (PARTITION BY document_id, page ORDER BY start) AS INTEGER) AS band, start, lines
+  FROM (SELECT document_id, page, run, min(e) AS start, CAST(sum(lines) AS BIGINT) AS lines FROM edge_runs GROUP BY document_id, page, run HAVING sum(lines) >= 3))"""
+
+
+@query(Q.chain(Q.SPANS, BANDS) + "SELECT document_id, page, band, start, lines FROM bands")
+def column_bands(spark, sf_dir):
+    return A.column_bands(spans(spark, sf_dir).withColumnRenamed("x", "x0"))
+
+
+@query(
+    Q.chain(Q.SPANS, BANDS)
+    + """SELECT s.document_id, s.page, s.ord, CASE WHEN (SELECT count(*) FROM bands b WHERE b.document_id = s.document_id AND b.page = s.page) >= 2 THEN
+  coalesce((SELECT max(start) FROM bands b WHERE b.document_id = s.document_id AND b.page = s.page AND start <= x + 0.05),
+           (SELECT arg_min(start, abs(start - x)) FROM bands b WHERE b.document_id = s.document_id AND b.page = s.page)) END AS band_start FROM spans s"""
+)
+def line_bands(spark, sf_dir):
+    found = spans(spark, sf_dir).withColumnRenamed("x", "x0")
+    return A.in_bands(found, A.column_bands(found)).select("document_id", "page", "ord", "band_start")
+
+
+@query(Q.chain(Q.SPANS, Q.TYPOGRAPHY, Q.FEATURES, Q.SCORES) + "SELECT s.document_id, s.ord, s.text, f.font_rank, f.score, array_to_string(f.reasons, ',') AS excluded FROM spans s LEFT JOIN scores f ON f.document_id = s.document_id AND f.ord = s.ord")
+def unit_overlay(spark, sf_dir):
+    units = spans(spark, sf_dir)
+    scored = M.title_scores(M.matrix(units)).select(F.col("document_id").alias("s_document"), F.col("ord").alias("s_ord"), "font_rank", "score", F.array_join("reasons", ",").alias("excluded"))
+    return units.join(scored, (F.col("document_id") == F.col("s_document")) & (F.col("ord") == F.col("s_ord")), "left").select("document_id", "ord", "text", "font_rank", "score", "excluded")
+
+
+@query()
+def label_metrics(spark, sf_dir):
+    """How labels compare with harvested titles, and how label-like they are."""
+    scores = I.fused(spans(spark, sf_dir), frozen(spark, sf_dir))
+    found = I.labels(scores).join(html.titles(pages(spark, sf_dir)), "document_id")
+    f1 = M.token_f1(T.evaluation_tokens(F.col("text")), T.evaluation_tokens(F.col("title")))
+    found = I.presentability(found).withColumn("f1", f1).withColumn("words", F.size(F.split("text", " ")))
+    best = found.groupBy("document_id").agg(F.max(F.when(F.col("rank") == 1, F.col("f1"))).alias("first"), F.max("f1").alias("any"), F.max(F.when(F.col("rank") == 1, F.struct("words", "presentability"))).alias("label"))
+    share = lambda c: T.rounded(F.avg(c.cast("double")), 4)
+    return best.agg(F.count("*").alias("documents"), share(F.col("first") >= 0.7).alias("top1"), share(F.col("any") >= 0.7).alias("top3"), share(F.col("first")).alias("mean_f1"), share(F.col("label.words").between(2, 12)).alias("binder_shaped"), share(F.col("label.presentability")).alias("presentability"))
+
+
+@query(Q.chain(Q.SPANS, Q.EDGES) + "SELECT document_id, count(DISTINCT a) AS words, count(*) AS edges FROM edges GROUP BY document_id")
+def textrank_graph_stats(spark, sf_dir):
+    return I.word_edges(texts(spark, sf_dir)).groupBy("document_id").agg(F.count_distinct("a").alias("words"), F.count("*").alias("edges"))

@@ -78,7 +78,7 @@ features AS (
     {r4("greatest(0, 1 - abs(x + width / 2 - page_width / 2) / (0.25 * page_width))")} AS center_score,
     {r4("least(width * height / (page_width * page_height), 1)")} AS block_area, {r4("greatest(0, least(1, x / page_width))")} AS left_indent,
     CAST(CAST(bold AS INTEGER) AS DOUBLE) AS bold_flag, {ratio(r"[^\p{Lu}]", r"[^\p{L}]")} AS uppercase_ratio, {ratio("[^0-9]", r"\s")} AS digit_ratio,
-    len(string_split(text, ' ')) AS word_count, regexp_matches(text, '{IDENTIFIER}') AS identifier, regexp_matches(text, '{DATE}') AS date,
+    CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count, regexp_matches(text, '{IDENTIFIER}') AS identifier, regexp_matches(text, '{DATE}') AS date,
     {" OR ".join(f"regexp_matches(text, '{p}')" for p in NOISE)} AS noise,
     CASE WHEN on_page >= 3 AND median_gap IS NOT NULL THEN {r4("least((coalesce(before / median_gap, 2) + coalesce(after / median_gap, 2)) / 4, 1)")} ELSE 0.5 END AS whitespace_isolation,
     NOT (on_page >= 3 AND median_gap IS NOT NULL) AS isolation_imputed, CAST(CAST(seen = 1 AS INTEGER) AS DOUBLE) AS first_occurrence

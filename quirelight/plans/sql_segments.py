@@ -37,7 +37,7 @@ def measured(source: str) -> str:
 normed AS (SELECT *, trim(regexp_replace(raw_text, '\s+', ' ', 'g')) AS norm,
   list_filter(list_transform(string_split(raw_text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS lines FROM {source}),
 measured AS (
-  SELECT *, length(norm) AS char_count, CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS word_count, len(lines) AS line_count,
+  SELECT *, CAST(length(norm) AS INTEGER) AS char_count, CAST(CASE WHEN norm = '' THEN 0 ELSE len(string_split(norm, ' ')) END AS INTEGER) AS word_count, CAST(len(lines) AS INTEGER) AS line_count,
     CASE WHEN norm <> '' THEN 'native' ELSE 'scanned' END AS modality, {SIZE_CLASS} AS size_class,
     CASE WHEN (CASE WHEN rotation IN (90, 270) THEN height ELSE width END) > (CASE WHEN rotation IN (90, 270) THEN width ELSE height END) THEN 'landscape' ELSE 'portrait' END AS orientation,
     nullif(regexp_extract_all(raw_text, '\b([A-Z]{{3,8}})[-_]?([0-9]{{4,10}})\b', 1)[-1], '') AS stamp_prefix,
@@ -65,7 +65,7 @@ tokens AS (
     WHERE word NOT IN ({STOP}) GROUP BY document_id, page, word) WHERE rank <= 60 GROUP BY document_id, page)"""
 SERIES = """
 series AS (
-  SELECT document_id, stamp_prefix AS prefix, count(*) AS page_count, max(length(stamp_digits)) AS digits, min(stamp_number) AS first, max(stamp_number) AS last, list_sort(list(page)) AS pages
+  SELECT document_id, stamp_prefix AS prefix, count(*) AS page_count, CAST(max(length(stamp_digits)) AS INTEGER) AS digits, min(stamp_number) AS first, max(stamp_number) AS last, list_sort(list(page)) AS pages
   FROM (SELECT *, stamp_number > lag(stamp_number) OVER (PARTITION BY document_id, stamp_prefix ORDER BY page) AS rises FROM slips WHERE stamp_prefix IS NOT NULL)
   GROUP BY document_id, stamp_prefix
   HAVING count(*) >= 3 AND count(DISTINCT length(stamp_digits)) = 1 AND avg(CAST(rises AS INTEGER)) >= 0.8)"""
@@ -121,7 +121,7 @@ def evaluation(groups: str, select: str, floor: str = "") -> str:
     r4 = "coalesce(floor({0} / nullif({1}, 0) * 10000 + 0.5) / 10000, 0)".format
     return f"""
 counts AS (
-  SELECT {select} count_if(is_cut AND is_seam) AS tp, count_if(is_cut AND NOT is_seam) AS fp, count_if(NOT is_cut AND is_seam) AS fn, count_if(is_candidate AND is_seam) AS assisted
+  SELECT {select} CAST(count_if(is_cut AND is_seam) AS BIGINT) AS tp, CAST(count_if(is_cut AND NOT is_seam) AS BIGINT) AS fp, CAST(count_if(NOT is_cut AND is_seam) AS BIGINT) AS fn, count_if(is_candidate AND is_seam) AS assisted
   FROM decisions JOIN truth USING (document_id, before_page) {floor} {groups})
 SELECT {select} tp, fp, fn, {r4("tp", "(tp + fp)")} AS precision, {r4("tp", "(tp + fn)")} AS recall, {r4("2 * tp", "(2 * tp + fp + fn)")} AS f1, {r4("(tp + assisted)", "(tp + fn)")} AS assisted_recall FROM counts"""
 

@@ -44,3 +44,34 @@ def truth(stamped: DataFrame) -> DataFrame:
     number = F.regexp_extract("document_id", r"(\d+)", 1).cast("int")
     rows = stamped.where("page > 1").select("document_id", F.col("page").alias("before_page"), (F.col("k") == 1).alias("is_seam"), number.alias("s"))
     return rows.select("document_id", "before_page", "is_seam", F.when(F.col("s") % 2 == 0, "easy").when(F.col("s") % 3 == 2, "hard").otherwise("medium").alias("difficulty"), F.when(F.col("s") % 4 == 0, "binder").when(F.col("s") % 3 == 2, "mixed").otherwise("stamped").alias("scenario"))
+
+
+def parts(documents: DataFrame) -> DataFrame:
+    """document_id, part, lang, pages, start_page, end_page: each compound's parts and where a cursor puts them."""
+    sizes = documents.where("source is not null").groupBy(F.col("source").alias("document_id"), "lang").agg(F.count("*").cast("int").alias("pages"))
+    order = Window.partitionBy("document_id").orderBy("lang")
+    end = F.sum("pages").over(order).cast("int")
+    return sizes.select("document_id", F.row_number().over(order).alias("part"), "lang", "pages", (end - F.col("pages") + 1).alias("start_page"), end.alias("end_page"))
+
+
+def stamps(pages: DataFrame, prefix: str, start: int, digits: int = 6) -> DataFrame:
+    """document_id, page, stamp: a running number over each document's pages."""
+    number = F.row_number().over(Window.partitionBy("document_id").orderBy("page")) + start - 1
+    return pages.select("document_id", "page", F.concat(F.lit(prefix), F.lpad(number.cast("string"), digits, "0")).alias("stamp"))
+
+
+def producers(pages: DataFrame, least: int) -> DataFrame:
+    """families, width, pages: groups of documents' pages of one producer that are large enough to mix."""
+    rows = pages.select(F.array_join(F.array_sort(F.array_distinct("fonts")), ",").alias("families"), (F.floor(F.col("width") / 10) * 10).cast("long").alias("width"))
+    return rows.groupBy("families", "width").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+
+
+def systematic(rows: DataFrame, keys: list[str], step: int, n: int) -> DataFrame:
+    """Every step-th row in order of keys, n of them at most: n * step rows are all that is ever ordered at once."""
+    first = rows.orderBy(*keys).limit(n * step)
+    return first.withColumn("place", F.row_number().over(Window.orderBy(*keys))).where((F.col("place") - 1) % step == 0).drop("place")
+
+
+def shuffled(rows: DataFrame, key: str, seed: int, n: int) -> DataFrame:
+    """n rows by a seeded hash of a key, the same on every run."""
+    return rows.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)

@@ -52,15 +52,25 @@ def measure(pages: DataFrame) -> DataFrame:
     return out.withColumn("is_slip_sheet", slip).withColumn("stamp_number", F.col("stamp_digits").cast("long"))
 
 
-def content_tokens(census: DataFrame, kept: int = TOKENS_KEPT) -> DataFrame:
-    """document_id, page, tokens: a page's most frequent content words, sorted. Words are counted before they meet."""
+def with_tokens(census: DataFrame, kept: int = TOKENS_KEPT) -> DataFrame:
+    """Adds tokens: a page's most frequent content words, sorted. Words are sorted and their runs measured within the
+    row, so that no word is ever shuffled; arrays that are read by place are columns of their own, made once a row."""
+    word = F.transform(F.regexp_extract_all("norm", F.lit(T.TOKEN), F.lit(0)), lambda w: F.lower(w))
     stop = T.word_array("token_stopwords")
-    word = F.transform(F.regexp_extract_all("norm", F.lit(T.TOKEN), F.lit(0)), F.lower)
-    one = census.select("document_id", "page", F.explode(F.filter(word, lambda w: ~F.array_contains(stop, w))).alias("word"))
-    counts = one.groupBy("document_id", "page", "word").count()
-    best = Window.partitionBy("document_id", "page").orderBy(F.desc("count"), "word")
-    top = counts.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= kept)
-    return top.groupBy("document_id", "page").agg(F.sort_array(F.collect_list("word")).alias("tokens"))
+    out = census.withColumn("ct_words", F.array_sort(F.filter(word, lambda w: ~F.array_contains(stop, w))))
+    new = F.transform("ct_words", lambda w, i: F.when((i == 0) | (w != F.get("ct_words", i - 1)), i))
+    out = out.withColumn("ct_at", F.filter(new, lambda i: i.isNotNull()))
+    run = F.transform("ct_at", lambda i, k: F.struct((i - F.coalesce(F.get("ct_at", k + 1), F.size("ct_words"))).alias("n"), F.get("ct_words", i).alias("word")))
+    out = out.withColumn("tokens", F.array_sort(F.transform(F.slice(F.array_sort(run), 1, kept), lambda x: x["word"])))
+    return out.drop("ct_words", "ct_at")
+
+
+def content_tokens(census: DataFrame, kept: int = TOKENS_KEPT) -> DataFrame:
+    """document_id, page, tokens of the pages that have any. The test for any is made on the text: one on tokens would
+    be pushed below the columns that tokens are made from, and repeat them for every word."""
+    word = F.transform(F.regexp_extract_all("norm", F.lit(T.TOKEN), F.lit(0)), lambda w: F.lower(w))
+    some = F.exists(word, lambda w: ~F.array_contains(T.word_array("token_stopwords"), w))
+    return with_tokens(census.where(some), kept).select("document_id", "page", "tokens")
 
 
 def stamp_series(census: DataFrame) -> DataFrame:
@@ -80,11 +90,11 @@ def stamp_series(census: DataFrame) -> DataFrame:
 
 
 def census(pages: DataFrame) -> DataFrame:
-    """Everything: measurements, tokens, and whether the page's stamp is of a series."""
-    measured = measure(pages)
-    series = stamp_series(measured).select(F.col("document_id").alias("s_document"), "prefix")
-    tokens = content_tokens(measured).select(F.col("document_id").alias("t_document"), F.col("page").alias("t_page"), "tokens")
-    out = measured.join(series, (F.col("document_id") == F.col("s_document")) & (F.col("stamp_prefix") == F.col("prefix")), "left")
-    out = out.withColumn("in_series", F.col("prefix").isNotNull()).drop("s_document", "prefix")
-    out = out.join(tokens, (F.col("document_id") == F.col("t_document")) & (F.col("page") == F.col("t_page")), "left").drop("t_document", "t_page")
-    return out.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<string>")))
+    """Everything: measurements, tokens, and whether the page's stamp is of a series. One scan of the pages: the series'
+    rules are windows over a document's pages of one prefix."""
+    own = Window.partitionBy("document_id", "stamp_prefix")
+    rises = (F.col("stamp_number") > F.lag("stamp_number").over(own.orderBy("page"))).cast("double")
+    out = with_tokens(measure(pages)).withColumn("rises", rises)
+    width = F.length("stamp_digits")
+    series = (F.count("stamp_prefix").over(own) >= MIN_SERIES_PAGES) & (F.min(width).over(own) == F.max(width).over(own)) & (F.avg("rises").over(own) >= MIN_ASCENDING)
+    return out.withColumn("in_series", F.col("stamp_prefix").isNotNull() & F.coalesce(series, F.lit(False))).drop("rises")

@@ -61,7 +61,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet in the shared folder and read it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

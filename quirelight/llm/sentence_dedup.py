@@ -3,10 +3,14 @@
 A sentence ends after a word that ends in . ! or ?, at a line's end, and at the text's end; one of more than
 LONG_SENTENCE words also ends after each word whose hash is divisible by 8, so that a long passage without stops is cut
 at places that its own words fix. A span is a run of at least SENTENCES consecutive sentences and MIN_WORDS words: from
-each sentence the shortest run that starts there. Spans are hashed over their lower-cased (A-Z) words and the hashes
-counted over all documents; the spans that repeat get their hash's first place in order of (doc_id, place), and the
-sentences that any other of them covers are removed. (So the end of a repeated passage, under MIN_WORDS long, may stay
-if it doesn't fill a span with what precedes it.)
+each sentence the shortest run that starts there, and the shortest that ends there. Spans are hashed over their
+lower-cased (A-Z) words and the hashes counted over all documents; the spans that repeat get their hash's first place in
+order of (doc_id, place), and the sentences that any other of them covers are removed.
+
+That removes what hashing all runs of the size would: a run that repeats with the same sentences consists of spans, as
+from each of its sentences the shortest run either ends within it or, where too little follows, the shortest that ends
+at its last sentence begins no later; and each of these spans repeats with it, at the same distance from its start.
+(Where the same words are cut into sentences otherwise, by other line ends, the spans that start and end alike count.)
 
 Counts and first places are combined before the shuffle; the joins back are equi-joins on the hash, in which adaptive
 execution splits a passage that very many documents share; what meets in one task is one document's own spans.
@@ -51,12 +55,16 @@ def sentences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def spans(first: np.ndarray, row: np.ndarray, least: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last sentences of the spans."""
+    """First and last sentences of the spans, without repeats."""
     k = np.arange(len(row))
-    last = np.maximum(k + least - 1, np.searchsorted(first, first[:-1] + min_words) - 1)
-    k, last = k[last < len(row)], last[last < len(row)]
-    same = row[k] == row[last]
-    return k[same], last[same]
+    forward = np.maximum(k + least - 1, np.searchsorted(first, first[:-1] + min_words) - 1)
+    backward = np.minimum(k - least + 1, np.searchsorted(first, first[1:] - min_words, side="right") - 1)
+    some = (backward >= 0) & (forward[np.maximum(backward, 0)] != k)
+    lo, hi = np.concatenate([k, backward[some]]), np.concatenate([forward, k[some]])
+    lo, hi = lo[hi < len(row)], hi[hi < len(row)]
+    same = row[lo] == row[hi]
+    order = np.argsort(lo[same], kind="stable")
+    return lo[same][order], hi[same][order]
 
 
 def _found(batches, least: int, min_words: int):

@@ -49,3 +49,25 @@ def suffix_dedup(texts: list[tuple[int, str | None]], length: int = 50) -> list[
                 gone[i : i + length] = True
         out.append((d, int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[0]), bytes(b for b, g in zip(t, gone) if not g)))
     return out
+
+
+def every_run_dedup(texts: dict[int, str | None], least: int = 2, min_words: int = 16) -> dict[int, str]:
+    """sentence_dedup() by all runs of the size, however long."""
+    parts, first, seen = {}, {}, []
+    for d in sorted(texts):
+        text = (texts[d] or "").encode()
+        _, byte, _, _ = sentences(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+        cut = [0, *byte[1:].tolist(), len(text)]
+        parts[d] = [text[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        keys = [x.lower().split() for x in parts[d]]
+        for i in range(len(keys)):
+            for j in range(i + least - 1, len(keys)):
+                key = tuple(w for s in keys[i : j + 1] for w in s)
+                if len(key) >= min_words:
+                    seen.append((key, d, i, j))
+                    first.setdefault(key, (d, i))
+    gone = {d: set() for d in texts}
+    for key, d, i, j in seen:
+        if first[key] != (d, i):
+            gone[d].update(range(i, j + 1))
+    return {d: b"".join(x for k, x in enumerate(p) if k not in gone[d]).decode() for d, p in parts.items()}

@@ -195,6 +195,25 @@ def test_sentence_spans(docs, texts):
     assert got == brute.sentence_dedup(texts)
 
 
+def test_sentence_spans_reach_the_end_of_a_passage(spark):
+    say = lambda tag, n: " ".join(f"{tag}{i}" for i in range(n)) + ". "
+    passage = say("long", 20) + say("short", 5) + say("last", 5)
+    rows = [(1, passage + say("one", 30)), (2, passage + say("two", 30))]
+    got = {r.doc_id: r.text for r in sentence_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: say("two", 30)}
+
+
+def test_sentence_spans_against_every_run(spark):
+    import random
+
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("ab") for _ in range(rng.randrange(1, 9))) + ". " for _ in range(12)]
+    passages = [[rng.choice(pool) for _ in range(rng.randrange(2, 9))] for _ in range(6)]
+    rows = {i: "".join(s for _ in range(rng.randrange(0, 5)) for s in rng.choice([rng.choice(passages), [rng.choice(pool), f"x{i}. "]])) for i in range(150)}
+    got = {r.doc_id: r.text for r in sentence_dedup.dedup(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    assert got == brute.every_run_dedup(rows)
+
+
 def test_ngram_blocks_agree(spark, docs, monkeypatch):
     whole = sorted(map(str, ngram_join.join(docs).collect()))
     monkeypatch.setattr(ngram_join, "BLOCK", 1)

@@ -6,8 +6,8 @@ of them stand in windows of WINDOW words that occur twice or more. The others ar
 source by a vector of transformed statistics (STATISTICS). For each group a minimum-covariance-determinant estimate is
 made: the SUBSET share of documents nearest the centre by medians and median deviations is the first subset, and
 CONCENTRATION times its mean and covariance give Mahalanobis distances, whose SUBSET nearest documents are the next.
-Distances are scaled so that their median is what it is for normal data, and a document is rejected beyond CUTOFF, a
-squared distance. Quantiles are taken on a logarithmic grid (1 / GRID of e), so that no group is gathered: a group
+Distances are scaled so that their median is what it is for normal data (never up), and a document is rejected beyond
+CUTOFF, the squared distance under which the share TAIL of normal data lies, in all groups. Quantiles are taken on a logarithmic grid (1 / GRID of e), so that no group is gathered: a group
 reaches a task as the counts of its cells. Covariances get FLOOR on their diagonals, so that a statistic that doesn't
 vary in a group (say, no symbols at all) rejects by what is beyond the floor's scale only.
 
@@ -19,6 +19,8 @@ rows that repeat a doc_id are judged apart; an empty table gives no rows; column
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,13 +34,25 @@ CONCENTRATION = 3
 MIN_GROUP = 40
 GRID = 64
 FLOOR = 0.01
-#: Squared distance, as 20 standard deviations: texts have far heavier tails than normal data, whose 0.9999 quantile is 26.
-CUTOFF = 400.0
-CHI2_MEDIAN = 4.351  # of five degrees of freedom
+TAIL = 0.9999
 STATISTICS = ("log_words", "word_length", "symbols", "dup_lines", "repeats")
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def chi2_quantile(p: float) -> float:
+    """Of five degrees of freedom, as many as there are statistics."""
+    lo, hi = 0.0, 1000.0
+    for _ in range(100):
+        x = (lo + hi) / 2
+        below = math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3) < p
+        lo, hi = (x, hi) if below else (lo, x)
+    return lo
+
+
+CHI2_MEDIAN = chi2_quantile(0.5)
+CUTOFF = chi2_quantile(TAIL)
+
+
 def repeated_words(docs: DataFrame) -> DataFrame:
     """Adds n_repeat_words, words in windows whose hash (column hashes) occurs twice or more: the hashes are sorted with
     their places, neighbours compared, and the places' windows joined, each word once. Each array that is read by

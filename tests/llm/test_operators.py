@@ -247,6 +247,18 @@ def test_outliers_by_group(spark):
     assert all(kept[i] for i in range(120)) and not any(kept[1000 + i] for i in range(4))
 
 
+def test_moderate_outliers(spark):
+    assert abs(outliers.chi2_quantile(0.95) - 11.0705) < 1e-3 and abs(outliers.CUTOFF - 25.745) < 1e-2
+    rng = np.random.default_rng(5)
+    words = [f"{'abcdefgh'[i % 8]}{i}" for i in range(4000)]
+    text = lambda n: list(rng.choice(words, int(n), replace=False))
+    rows = [(i, " ".join(text(np.exp(rng.normal(4.7, 0.4)).clip(25, 400))), "en", "a") for i in range(200)]
+    planted = [" ".join(w + "#" * (k % 6 == 0) for k, w in enumerate(text(90))), " ".join(text(3000)), " ".join(w * 2 for w in text(90))]
+    rows += [(1000 + i, t, "en", "a") for i, t in enumerate(planted)]
+    kept = {r.doc_id: r.kept for r in outliers.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(kept[i] for i in range(200)) and not any(kept[1000 + i] for i in range(3))
+
+
 def test_licence_families(docs, texts):
     from quirelight.llm import licenses
 

@@ -11,7 +11,11 @@ CUTOFF, the squared distance under which the share TAIL of normal data lies, in
 reaches a task as the counts of its cells. Covariances get FLOOR on their diagonals, so that a statistic that doesn't
 vary in a group (say, no symbols at all) rejects by what is beyond the floor's scale only.
 
-Groups of under MIN_GROUP documents have no estimate and reject nothing.
+A group of under MIN_GROUP documents is judged by the estimate of its language, one of a language under MIN_GROUP by
+that of its source, and else by that of all documents, so that each document that passes the fixed rules has a distance.
+(The language comes first, as words' lengths are its own; a rare language's documents are held against the others of
+their source.) Where all documents together are under MIN_GROUP, their covariance is mixed with the unit matrix, the
+more the fewer they are.
 
 Cases: a null or empty text has no words and fails the fixed rules; null languages and sources are groups like others;
 rows that repeat a doc_id are judged apart; an empty table gives no rows; columns other than those named are ignored.
@@ -115,6 +119,11 @@ def _joined(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(named, same, "left").drop(*[f"o_{k}" for k in keys])
 
 
+def _pooled(df: DataFrame) -> DataFrame:
+    """Adds the language and source of the row's pool: 0 has both, 1 the language, 2 the source, 3 neither."""
+    return df.withColumn("pool_lang", F.when(F.col("pool") < 2, F.col("lang"))).withColumn("pool_source", F.when(F.col("pool") % 2 == 0, F.col("source")))
+
+
 def _distance(names: tuple[str, ...]) -> list[tuple[str, Column]]:
     """Columns, in order, that solve L y = x - m by the Cholesky factor L of the covariance; the last is y . y."""
     out: list[tuple[str, Column]] = []
@@ -128,15 +137,23 @@ def _distance(names: tuple[str, ...]) -> list[tuple[str, Column]]:
 
 
 def judged(stats: DataFrame) -> DataFrame:
-    """statistics() with base_failed, distance (squared, null where there is no estimate) and kept."""
-    keys = ["lang", "source"]
+    """statistics() with base_failed, distance (squared, null where the fixed rules fail) and kept."""
+    keys = ["pool", "pool_lang", "pool_source"]
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MOST_REPEATED) * F.col("n_words"))
     stats = stored(transformed(stats).withColumn("base_failed", failed), "quality-statistics")
     good = stats.where(~F.col("base_failed"))
-    sizes = good.groupBy(*keys).agg(F.count("*").alias("group_n"))
+    sizes = good.groupBy("lang", "source").agg(F.count("*").alias("group_n"))
+    for c in ("lang", "source"):
+        sizes = _joined(sizes, sizes.groupBy(c).agg(F.sum("group_n").alias(f"{c}_n")), [c])
+    pool = F.when(F.col("group_n") >= MIN_GROUP, 0).when(F.col("lang_n") >= MIN_GROUP, 1).when(F.col("source_n") >= MIN_GROUP, 2).otherwise(3)
+    judge = stored(_pooled(sizes.select("lang", "source", pool.alias("pool"))), "quality-pools")
+    pools = judge.select(*keys).distinct()
+    # a document counts in each pool that judges some group and that it belongs to
+    good = _pooled(good.select("doc_id", "lang", "source", *STATISTICS, F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("pool")))
+    good = _joined(good, pools.withColumn("used", F.lit(True)), keys).where("used").select("doc_id", *keys, *STATISTICS)
 
     # the first subset: medians and median deviations (values are non-negative)
-    centre = sizes
+    centre = pools
     for c in STATISTICS:
         centre = _joined(centre, _quantile(good, keys, c, 0.5, f"m_{c}"), keys)
     centre = stored(centre, "quality-centre")
@@ -154,18 +171,20 @@ def judged(stats: DataFrame) -> DataFrame:
     for _ in range(CONCENTRATION):
         inside = _joined(current, _quantile(current, keys, "d2", SUBSET, "h"), keys).where("d2 <= h")
         pairs = [(a, b) for i, b in enumerate(STATISTICS) for a in STATISTICS[: i + 1]]
-        estimate = inside.groupBy(*keys).agg(*[F.avg(c).alias(f"m_{c}") for c in STATISTICS], *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs])
+        estimate = inside.groupBy(*keys).agg(F.least(F.count("*") / (SUBSET * MIN_GROUP), F.lit(1.0)).alias("own"), *[F.avg(c).alias(f"m_{c}") for c in STATISTICS], *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs])
+        for a, b in pairs:
+            estimate = estimate.withColumn(f"c_{a}_{b}", F.col("own") * F.col(f"c_{a}_{b}") + (1.0 - F.col("own")) * float(a == b))
         for name, column in _distance(STATISTICS):
             estimate = estimate.withColumn(name, column)
         kept = [f"m_{c}" for c in STATISTICS] + [f"l_{i}_{j}" for i in range(len(STATISTICS)) for j in range(i + 1)]
         estimate = stored(estimate.select(*keys, *kept), "quality-estimate")
-        current = _with_distance(good.select("doc_id", *keys, *STATISTICS), estimate, keys)
-    scale = _joined(_quantile(current, keys, "d2", 0.5, "median"), sizes, keys)
-    scale = stored(scale.select(*keys, "group_n", F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1.0)).alias("scale")), "quality-scale")
+        current = _with_distance(good, estimate, keys)
+    scale = _quantile(current, keys, "d2", 0.5, "median")
+    scale = stored(scale.select(*keys, F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1.0)).alias("scale")), "quality-scale")
 
-    final = _joined(_with_distance(stats, estimate, keys), scale, keys)
-    distance = F.when(~F.col("base_failed") & (F.col("group_n") >= MIN_GROUP), F.col("d2") / F.col("scale"))
-    return final.withColumn("distance", distance).withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= CUTOFF))
+    final = _joined(_with_distance(_joined(stats, judge, ["lang", "source"]), estimate, keys), scale, keys)
+    distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
+    return final.withColumn("distance", distance).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(False)))
 
 
 def _with_distance(df: DataFrame, estimate: DataFrame, keys: list[str]) -> DataFrame:

@@ -259,6 +259,20 @@ def test_moderate_outliers(spark):
     assert all(kept[i] for i in range(200)) and not any(kept[1000 + i] for i in range(3))
 
 
+def test_small_groups_are_judged(spark):
+    rng = np.random.default_rng(6)
+    words = [f"{'abcdefgh'[i % 8]}{i}" for i in range(400)]
+    text = lambda end="": " ".join(w + end for w in rng.choice(words, rng.integers(60, 120), replace=False))
+    groups = [("en", f"s{i % 20}") for i in range(200)] + [(f"l{i % 15}", "one") for i in range(150)] + [(f"m{i}", f"t{i}") for i in range(30)] + [(None, None)] * 3
+    rows = [(i, text(), *g) for i, g in enumerate(groups)]
+    rows += [(1000 + i, text("###$$$"), *g) for i, g in enumerate([("en", "s0"), ("l0", "one"), ("m0", "t0"), (None, None)])]
+    found = {r.doc_id: r for r in outliers.quality(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(r.distance is not None for r in found.values())
+    assert all(found[i].kept for i in range(len(groups))) and not any(found[1000 + i].kept for i in range(4))
+    few = outliers.quality(spark.createDataFrame(rows[:3], "doc_id long, text string, lang string, source string")).collect()
+    assert all(r.kept and r.distance is not None for r in few)
+
+
 def test_licence_families(docs, texts):
     from quirelight.llm import licenses
 

@@ -12,6 +12,11 @@ template of that family, and the family whose template holds most of them is pre
 As no paragraph can be confirmed whose 2-grams are less than CONFIRM in all templates together, only those that reach
 it are classified; that count is made for every paragraph of every text.
 
+A notice within a longer line is found by the share of its template instead: hits are 2-grams of the templates, those of
+a line at most GAP apart are a cluster, and where more than CONFIRM of a template's 2-grams, among them one that no
+other family has, stand at most GAP apart in a cluster, the words from the first to the last of them are classified as a
+paragraph of their own, unless they overlap one that was found to be of the same family.
+
 Cases: null, empty and word-less texts have no paragraphs; paragraphs of under three words are unknown; rows
 that repeat a doc_id are scanned apart; an empty table trains on the templates alone and gives no rows; columns other
 than those named are ignored.
@@ -31,6 +36,7 @@ from quirelight.llm.text_hash import ALNUM, LOWER, Ranges, runs, words
 
 WINDOW = 40
 CONFIRM = 0.5
+GAP = 4
 SAMPLE_DOCS = 400
 SAMPLE_CHARS = 4000
 COPIES = 20
@@ -109,6 +115,8 @@ class Classifier:
         self.bigrams = [[set(zip(t[:-1], t[1:], strict=True)) for t in ts] for ts in lists]
         self.known = {g: i for i, g in enumerate(sorted({g for ts in lists for t in ts for g in grams(t)}))}
         self.any_bigram = {g for ts in self.bigrams for t in ts for g in t}
+        families = [set().union(*ts) for ts in self.bigrams]
+        self.own = [f.difference(*[x for x in families if x is not f]) for f in families]
         pool = sorted({w for ts in lists for t in ts for w in t})
         examples: list[tuple[list[bytes], int]] = []
         for k, ts in enumerate(lists):
@@ -170,12 +178,32 @@ class Classifier:
                 return self.names[k], float(p[fit].sum())
         return UNKNOWN, float(1 - p[fit].sum())
 
+    def notices(self, found: list[bytes]) -> list[tuple[int, int, str, float]]:
+        """First word, word after the last, family and probability of the notices in a cluster; none overlap."""
+        pairs = list(zip(found[:-1], found[1:], strict=True))
+        fits = []
+        for ts, own in zip(self.bigrams, self.own, strict=True):
+            for t in ts:
+                at = np.array([i for i, g in enumerate(pairs) if g in t], np.int64)
+                for part in np.split(at, np.flatnonzero(np.diff(at) > GAP) + 1):
+                    there = {pairs[i] for i in part}
+                    if len(there) > CONFIRM * len(t) and there & own:
+                        fits.append((-len(there) / len(t), int(part[0]), int(part[-1]) + 2))
+        out: list[tuple[int, int, str, float]] = []
+        for _, lo, hi in sorted(fits):
+            if all(hi <= a or b <= lo for a, b, _, _ in out):
+                family, p = self.classify(found[lo:hi])
+                if family != UNKNOWN:
+                    out.append((lo, hi, family, p))
+        return out
+
 
-def units(data: np.ndarray, offsets: np.ndarray, bigrams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts, byte ends and rows of paragraphs and windows, at least CONFIRM of whose 2-grams are known."""
+def units(data: np.ndarray, offsets: np.ndarray, bigrams: np.ndarray, own: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """Byte starts, byte ends and rows: of paragraphs and windows, at least CONFIRM of whose 2-grams are known; and of
+    clusters of two or more known 2-grams, at least one of them a single family's."""
     starts, ends, row = words(data, offsets, ALNUM)
     if not len(starts) or not len(bigrams):
-        return (np.zeros(0, np.int64),) * 3
+        return ((np.zeros(0, np.int64),) * 3,) * 2
     pair = runs(Ranges(data).of(starts, ends), 2)
     at = np.minimum(np.searchsorted(bigrams, pair), len(bigrams) - 1)
     hit = np.concatenate(([0], np.cumsum(bigrams[at] == pair)))
@@ -193,7 +221,14 @@ def units(data: np.ndarray, offsets: np.ndarray, bigrams: np.ndarray) -> tuple[n
     lo, hi = np.concatenate([first[short], *more_lo]), np.concatenate([stop[short], *more_hi])
     keep = (hi - lo > 2) & (hit[hi - 1] - hit[lo] >= CONFIRM * (hi - lo - 1))
     lo, hi = lo[keep], hi[keep]
-    return starts[lo], ends[hi - 1], row[lo]
+    place = np.flatnonzero((bigrams[at] == pair) & (row[1:] == row[:-1]) & (line[1:] == line[:-1]))
+    apart = (np.diff(place) > GAP) | (np.diff(row[place]) != 0) | (np.diff(line[place]) != 0)
+    begin = np.flatnonzero(np.concatenate(([True], apart))) if len(place) else np.zeros(0, np.int64)
+    size = np.diff(np.append(begin, len(place)))
+    some = np.add.reduceat(np.isin(pair[place], own), begin) if len(place) else size
+    begin, size = begin[(size > 1) & (some > 0)], size[(size > 1) & (some > 0)]
+    c_lo, c_hi = place[begin], place[begin + size - 1] + 1
+    return (starts[lo], ends[hi - 1], row[lo]), (starts[c_lo], ends[c_hi], row[c_lo])
 
 
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
@@ -205,22 +240,41 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFr
     ids = docs.select(F.col("doc_id").alias("s_id")).where("s_id is not null").orderBy(F.xxhash64("s_id"), "s_id").limit(SAMPLE_DOCS).distinct()
     sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id"), "left_semi").groupBy("doc_id").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).where("text is not null").orderBy("doc_id").collect()  # SAMPLE_DOCS rows at most
     model = Classifier([w for r in sample for line in r.text.split("\n") if len(w := word_list(line)) > 1], templates)
-    joined = b"\n".join(b" ".join(g) for g in sorted(model.any_bigram))
-    data, offsets = np.frombuffer(joined, np.uint8), np.array([0, len(joined)])
-    starts, ends, _ = words(data, offsets, ALNUM)
-    sent = spark.sparkContext.broadcast((model, np.unique(runs(Ranges(data).of(starts, ends), 2)[::2])))
+
+    def hashes(bigrams: set) -> np.ndarray:
+        joined = b"\n".join(b" ".join(g) for g in sorted(bigrams))
+        data, offsets = np.frombuffer(joined, np.uint8), np.array([0, len(joined)])
+        starts, ends, _ = words(data, offsets, ALNUM)
+        return np.unique(runs(Ranges(data).of(starts, ends), 2)[::2])
+
+    sent = spark.sparkContext.broadcast((model, hashes(model.any_bigram), hashes(set().union(*model.own))))
 
     def find(batches):
-        model, bigrams = sent.value
+        model, bigrams, own = sent.value
         for batch in bounded(batches):
             data, offsets = utf8(batch.column("text"))
             data = LOWER[data]
             found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            for a, b, r in zip(*units(data, offsets, bigrams), strict=True):
-                text = data[a:b].tobytes()
-                family, p = model.classify(WORDS.findall(text))
+            places: list[list[tuple[int, int]]] = [[] for _ in range(batch.num_rows)]
+
+            def add(r, a, b, family, p):
+                found[r].append({"family": family, "probability": p, "text": data[a:b].tobytes().decode()})  # noqa: B023
+                places[r].append((int(a), int(b)))  # noqa: B023
+
+            whole, clusters = units(data, offsets, bigrams, own)
+            for a, b, r in zip(*whole, strict=True):
+                family, p = model.classify(WORDS.findall(data[a:b].tobytes()))
                 if family != UNKNOWN:
-                    found[r].append({"family": family, "probability": p, "text": text.decode()})
+                    add(r, a, b, family, p)
+            for a, b, r in zip(*clusters, strict=True):
+                at = list(WORDS.finditer(data[a:b].tobytes()))
+                for lo, hi, family, p in model.notices([m.group() for m in at]):
+                    begin, end = a + at[lo].start(), a + at[hi - 1].end()
+                    if not any(x["family"] == family and begin < d and c < end for x, (c, d) in zip(found[r], places[r], strict=True)):
+                        add(r, begin, end, family, p)
+            for r in range(batch.num_rows):
+                if len(found[r]) > 1:
+                    found[r] = [found[r][i] for i in sorted(range(len(found[r])), key=places[r].__getitem__)]
             kind = pa.list_(pa.struct([("family", pa.string()), ("probability", pa.float64()), ("text", pa.string())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([sorted({x["family"] for x in f}) for f in found], pa.list_(pa.string())), pa.array([len(f) for f in found], pa.int64()), pa.array(found, kind)],

@@ -285,6 +285,22 @@ def test_licence_families(docs, texts):
         assert {f for m, f in marks.items() if m in (texts[r.doc_id] or "")} <= set(r.families)
 
 
+def test_licences_within_lines(spark):
+    from quirelight.llm import licenses
+
+    around = "We went down to the river in the morning and looked at the boats which the men had left under the trees for the season "
+    notices = {"apache": "Licensed under the Apache License, Version 2.0.", "mit": "Released under the MIT License.", "gpl": "Licensed under the GPL version 3.", "cc-by-nc": "Licensed under CC BY-NC 4.0."}
+    rows = [(k, around * n + t + " " + around * n) for n in (1, 5) for k, t in enumerate(notices.values(), 10 * n)]
+    rows += [(100, around + notices["mit"] + " " + around + notices["apache"] + " " + around)]
+    plain = ["The album was released under the label of the band", "studied under the MIT professor of the year", "SPDX-License-Identifier: Zlib", "use of the license and all the rights that you may have"]
+    rows += [(200 + k, around + t + " " + around) for k, t in enumerate(plain)]
+    found = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for n in (1, 5):
+        assert [found[10 * n + k].families for k in range(len(notices))] == [[f] for f in notices]
+    assert [x.family for x in found[100].found] == ["mit", "apache"] and found[100].n_paragraphs == 2
+    assert not any(found[200 + k].families for k in range(len(plain)))
+
+
 def test_pipeline(spark, docs, texts):
     kept = docs
     for name, stage in corpus_pipeline.STAGES[:-1]:

@@ -9,9 +9,10 @@ bound drop most, and the rest are verified word by word.
 The benchmark is worked through in blocks of BLOCK_BYTES of text; each block's index has that size bound when it is
 sent to the executors, and documents are scanned once per block.
 
-Cases: a null or word-less text has no words, no hits and no items; a null or word-less item has no windows; items of
-equal text all count; rows that repeat a doc_id are judged apart; a null doc_id is kept as a document; an empty
-benchmark leaves every document clean; columns other than those named are ignored.
+Cases: a null or word-less text has no words, no hits and no items; a null or word-less item has no windows; an item
+with a null item_id is left out, as in the SQL, so its windows count nowhere; items of equal text all count; rows that
+repeat a doc_id are judged apart; a null doc_id is kept as a document; an empty benchmark leaves every document clean;
+columns other than those named are ignored.
 """
 
 from __future__ import annotations

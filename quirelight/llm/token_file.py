@@ -1,6 +1,7 @@
 """Token ids in Arrow files of fixed-size-list batches.
 
-Documents are dealt to shards by ranges of (doc_id, text hash), so that the shards in order hold ascending doc_id. A
+Documents are dealt to shards of about SHARD_BYTES of text by ranges of (doc_id, text hash), so that the shards in order
+hold ascending doc_id; or, where the order of the input's rows is to be kept, each partition of it is a shard. A
 shard is an Arrow IPC file whose batches have SEQUENCES rows of two columns: `tokens`, a fixed-size list of
 SEQUENCE_LENGTH ids, and `mask`, as many booleans, false only in the padding after the shard's last id. Every row has
 the same width, so sequence i is row i % SEQUENCES of batch i // SEQUENCES: with a memory map, a view and no copy. An
@@ -38,6 +39,7 @@ from quirelight.llm.text_hash import Ranges
 
 SEQUENCE_LENGTH = 2048
 SEQUENCES = 64
+SHARD_BYTES = 32 << 20
 END_ID = 2
 KNOWN_PIECES = 1_500_000
 SLOT_BITS = 22
@@ -97,9 +99,7 @@ class Encoder:
         return ids[keep].astype(self.kind), at - before - extra
 
     def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
-        if self.n + len(hashes) > KNOWN_PIECES:
-            self.forget()
-        if len(hashes) > KNOWN_PIECES:
+        if len(hashes) > KNOWN_PIECES:  # after forget(); the next batch that doesn't fit forgets again
             bits = len(hashes).bit_length() + 1
             self.slots, self.entry = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
             self.sizes, self.counts, self.places = (np.zeros(len(hashes), np.int32) for _ in range(3))
@@ -145,10 +145,14 @@ class Encoder:
         if not known.all():
             new, first = np.unique(hashes[~known], return_index=True)
             first = np.flatnonzero(~known)[first]
+            if self.n + len(new) > KNOWN_PIECES:  # all that this batch needs is learned anew, however much it is
+                self.forget()
+                new, first = np.unique(hashes, return_index=True)
             self._learn(new, [data[starts[i] : ends[i]].tobytes() for i in first])
             at, known = self._find(hashes, sizes)
-            if not known.all():  # the others were forgotten just now
-                return self._plain(data, offsets)
+            if not known.all():  # two pieces of one hash
+                ids = self.whole([data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+                return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
         counts = self.counts[at].astype(np.int64)
         upto = np.cumsum(counts)
         ids = self.pool[np.repeat(self.places[at] - upto + counts, counts) + np.arange(upto[-1] if len(upto) else 0)]
@@ -244,11 +248,15 @@ class Writer:
         self.out.close()
 
 
-def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, length: int = SEQUENCE_LENGTH, sequences: int = SEQUENCES) -> list[tuple[str, str, int, int]]:
-    """Write all documents; returns (token file, index file, documents, ids) of each shard in order: a row a shard."""
+def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, length: int = SEQUENCE_LENGTH, sequences: int = SEQUENCES, by_id: bool = True) -> list[tuple[str, str, int, int]]:
+    """Write all documents, by doc_id or in the order of their rows; returns (token file, index file, documents, ids) of
+    each shard in order: a row a shard."""
     small_batches(docs.sparkSession)
-    docs = narrow(docs, "doc_id", "text").withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    docs = docs.repartitionByRange("doc_id", "text_key").sortWithinPartitions("doc_id", "text_key").select("doc_id", "text")
+    docs = narrow(docs, "doc_id", "text")
+    if by_id:
+        size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+        docs = docs.withColumn("text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+        docs = docs.repartitionByRange(max(1, -(-size // SHARD_BYTES)), "doc_id", "text_key").sortWithinPartitions("doc_id", "text_key").select("doc_id", "text")
 
     def shard(batches):
         fs, root = files(folder)
@@ -338,7 +346,7 @@ def read_back(spark, shards: list[tuple[str, str, int, int]]) -> DataFrame:
     return todo.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def round_trip(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer: str, end_id: int = END_ID, by_id: bool = True) -> DataFrame:
     """Write docs as token files in the shared folder and read them back."""
     spark = docs.sparkSession
-    return read_back(spark, write(docs, f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}", tokenizer, end_id))
+    return read_back(spark, write(docs, f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}", tokenizer, end_id, by_id=by_id))

@@ -2,24 +2,27 @@
 
 Paragraphs are lines; one of more than WINDOW words is read as windows of WINDOW words, WINDOW / 2 apart. Words are
 runs of letters and digits, lower-cased. A paragraph's features are its word 1-grams and 2-grams that the TEMPLATES
-know. A multinomial logistic regression over the families and `unknown` is trained on the driver: on the templates'
-sentences and on parts and damaged copies of them, against mixtures of their words and paragraphs of at most
-SAMPLE_DOCS documents (the first by a hash of doc_id, of each SAMPLE_CHARS characters; those that look like a template are left out). A quarter of the
-examples is held out to set the temperature of the probabilities and the least probability below which a paragraph
-counts as unknown. A predicted family stands only where at least CONFIRM of the paragraph's 2-grams are in one
-template of that family, and the family whose template holds most of them is preferred among near equals.
-
-As no paragraph can be confirmed whose 2-grams are less than CONFIRM in all templates together, only those that reach
-it are classified; that count is made for every paragraph of every text.
-
-A notice within a longer line is found by the share of its template instead: hits are 2-grams of the templates, those of
-a line at most GAP apart are a cluster, and where more than CONFIRM of a template's 2-grams, among them one that no
+know, as a sparse vector of length one. A multinomial logistic regression over the families and `unknown` is trained on
+the driver: on the templates' sentences and on parts and damaged copies of them, against mixtures of their words and
+SAMPLE_UNITS paragraphs (those of least hash in the whole text) of each of SAMPLE_DOCS documents at most (the first by a
+hash of doc_id), less those that look like a template. A quarter of the examples is held out to set the temperature of
+the probabilities and the least probability below which a paragraph is of the class unknown.
+
+The regression decides: its most probable class, if that is a family of at least the least probability, is the
+prediction. Comparison with templates only confirms it: the prediction stands if at least CONFIRM of the paragraph's
+2-grams are in one template of that family, and is unknown otherwise. As no paragraph can be confirmed whose 2-grams are
+less than CONFIRM in all templates together, only those that reach it need be classified; that count is made for every
+paragraph of every text.
+
+A notice within a longer line is confirmed by the share of its template instead: hits are 2-grams of the templates, those
+of a line at most GAP apart are a cluster, and where more than CONFIRM of a template's 2-grams, among them one that no
 other family has, stand at most GAP apart in a cluster, the words from the first to the last of them are classified as a
 paragraph of their own, unless they overlap one that was found to be of the same family.
 
-Cases: null, empty and word-less texts have no paragraphs; paragraphs of under three words are unknown; rows
-that repeat a doc_id are scanned apart; an empty table trains on the templates alone and gives no rows; columns other
-than those named are ignored.
+Cases: null, empty and word-less texts have no paragraphs; paragraphs of under three words are unknown; very long texts
+are read whole; of families of equal probability the first in the templates' order is predicted; rows that repeat a
+doc_id are scanned apart; an empty table trains on the templates alone and gives no rows; columns other than those named
+are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ WINDOW = 40
 CONFIRM = 0.5
 GAP = 4
 SAMPLE_DOCS = 400
-SAMPLE_CHARS = 4000
+SAMPLE_UNITS = 8
 COPIES = 20
 SEED = 7
 UNKNOWN = "unknown"
@@ -130,26 +133,42 @@ class Classifier:
         for i in range(n_known):  # words of templates in no order
             examples.append(([pool[j] for j in rng.integers(0, len(pool), 3 + i % 20)], len(lists)))
         examples += [(x, len(lists)) for x in unknown if self._share(x, self.any_bigram) < CONFIRM]
-        x = np.zeros((len(examples), len(self.known)))
-        for i, (w, _) in enumerate(examples):
-            x[i] = self.vector(w)
+        rows = [self.features(w) for w, _ in examples]
         y = np.array([k for _, k in examples])
         held = rng.random(len(y)) < 0.25
-        self.b = np.zeros((len(self.known) + 1, len(self.names)))
-        design, target = np.column_stack([x, np.ones(len(x))]), np.eye(len(self.names))[y]
-        step, speed = 2.0, np.zeros_like(self.b)
+        self.b = np.zeros((len(self.known) + 1, len(self.names)))  # the last row is the constant
+        fitted = [i for i in range(len(rows)) if not held[i]]
+        target, forward, backward = np.eye(len(self.names))[y[fitted]], *self._sparse([rows[i] for i in fitted])
+        step, speed = 8.0, np.zeros_like(self.b)
         for _ in range(200):
-            p = self._softmax(design[~held] @ self.b)
-            speed = 0.9 * speed + design[~held].T @ (target[~held] - p) / (~held).sum() - 1e-5 * self.b
+            p = self._softmax(forward(self.b))
+            speed = 0.9 * speed + backward(target - p) / len(fitted) - 1e-5 * self.b
             self.b = self.b + step * speed
-        z = design[held] @ self.b
-        self.temperature = min((0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=lambda t: -np.log(self._softmax(z / t)[np.arange(held.sum()), y[held]] + 1e-12).sum())
+        z = self._sparse([rows[i] for i in np.flatnonzero(held)])[0](self.b)
+        self.temperature = min((0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0), key=lambda t: -np.log(self._softmax(z / t)[np.arange(held.sum()), y[held]] + 1e-12).sum())
         p = self._softmax(z / self.temperature)
         guess, sure = p.argmax(axis=1), p.max(axis=1)
         self.held_out_accuracy = float((guess == y[held]).mean())
         named = guess < len(lists)
         self.least = next((c for c in (0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9) if not (named & (sure >= c)).any() or (guess == y[held])[named & (sure >= c)].mean() >= 0.99), 0.95)
 
+    def _sparse(self, rows: list[np.ndarray]):
+        """Products of the rows (numbers of features, each with one value, and the constant) with a matrix of weights,
+        and of their transpose with a matrix of residuals."""
+        sizes = np.array([len(r) + 1 for r in rows])
+        columns = np.concatenate([np.append(r, len(self.known)) for r in rows])
+        values = np.concatenate([np.append(np.full(len(r), self._value(r)), 1.0) for r in rows])[:, None]
+        begin, of = np.cumsum(sizes) - sizes, np.repeat(np.arange(len(rows)), sizes)
+        order = np.argsort(columns, kind="stable")
+        used, first = np.unique(columns[order], return_index=True)
+
+        def backward(residuals: np.ndarray) -> np.ndarray:
+            out = np.zeros((len(self.known) + 1, residuals.shape[1]))
+            out[used] = np.add.reduceat((values * residuals[of])[order], first)
+            return out
+
+        return lambda b: np.add.reduceat(values * b[columns], begin), backward
+
     @staticmethod
     def _softmax(z: np.ndarray) -> np.ndarray:
         e = np.exp(z - z.max(axis=1, keepdims=True))
@@ -160,23 +179,22 @@ class Classifier:
         own = list(zip(found[:-1], found[1:], strict=True))
         return sum(g in bigrams for g in own) / len(own) if own else 0.0
 
-    def vector(self, found: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(self.known))
-        for g in grams(found):
-            if (i := self.known.get(g)) is not None:
-                out[i] = 1.0
-        return out / max(1.0, np.sqrt(out.sum()))
+    def features(self, found: list[bytes]) -> np.ndarray:
+        """The numbers of a paragraph's known 1-grams and 2-grams."""
+        return np.array(sorted({i for g in grams(found) if (i := self.known.get(g)) is not None}), np.int64)
+
+    @staticmethod
+    def _value(features: np.ndarray) -> float:
+        return 1 / max(1.0, np.sqrt(len(features)))
 
     def classify(self, found: list[bytes]) -> tuple[str, float]:
-        """The family, confirmed by a template, or unknown; and its calibrated probability."""
-        p = self._softmax((np.append(self.vector(found), 1.0) @ self.b)[None, :] / self.temperature)[0]
-        shares = [max(self._share(found, t) for t in ts) for ts in self.bigrams]
-        fit = [k for k in range(len(shares)) if shares[k] >= CONFIRM and p[k] >= 0.1]
-        if fit:
-            k = max(fit, key=lambda k: (round(shares[k], 6), p[k]))
-            if p[fit].sum() >= self.least:
-                return self.names[k], float(p[fit].sum())
-        return UNKNOWN, float(1 - p[fit].sum())
+        """The predicted family, if a template of it confirms it, else unknown; and the calibrated probability."""
+        at = self.features(found)
+        p = self._softmax(((self.b[at] * self._value(at)).sum(axis=0) + self.b[-1])[None, :] / self.temperature)[0]
+        k = int(p.argmax())
+        if k < len(self.bigrams) and p[k] >= self.least and max(self._share(found, t) for t in self.bigrams[k]) >= CONFIRM:
+            return self.names[k], float(p[k])
+        return UNKNOWN, float(p[-1])
 
     def notices(self, found: list[bytes]) -> list[tuple[int, int, str, float]]:
         """First word, word after the last, family and probability of the notices in a cluster; none overlap."""
@@ -198,6 +216,21 @@ class Classifier:
         return out
 
 
+def paragraphs(row: np.ndarray, line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First words and words after the last of all lines and, in long ones, windows. row, line: of each word."""
+    first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (line[1:] != line[:-1]))))
+    stop = np.append(first[1:], len(row))
+    long = np.flatnonzero(stop - first > WINDOW)
+    more_lo, more_hi = [], []
+    for a, b in zip(first[long], stop[long], strict=True):
+        begin = np.arange(a, b - WINDOW // 2, WINDOW // 2)
+        more_lo.append(begin)
+        more_hi.append(np.minimum(begin + WINDOW, b))
+    short = np.ones(len(first), bool)
+    short[long] = False
+    return np.concatenate([first[short], *more_lo]), np.concatenate([stop[short], *more_hi])
+
+
 def units(data: np.ndarray, offsets: np.ndarray, bigrams: np.ndarray, own: np.ndarray) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
     """Byte starts, byte ends and rows: of paragraphs and windows, at least CONFIRM of whose 2-grams are known; and of
     clusters of two or more known 2-grams, at least one of them a single family's."""
@@ -208,17 +241,7 @@ def units(data: np.ndarray, offsets: np.ndarray, bigrams: np.ndarray, own: np.nd
     at = np.minimum(np.searchsorted(bigrams, pair), len(bigrams) - 1)
     hit = np.concatenate(([0], np.cumsum(bigrams[at] == pair)))
     line = np.concatenate(([0], np.cumsum(data == 0x0A)))[starts]
-    first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (line[1:] != line[:-1]))))
-    stop = np.append(first[1:], len(starts))
-    long = np.flatnonzero(stop - first > WINDOW)
-    more_lo, more_hi = [], []
-    for a, b in zip(first[long], stop[long], strict=True):
-        begin = np.arange(a, b - WINDOW // 2, WINDOW // 2)
-        more_lo.append(begin)
-        more_hi.append(np.minimum(begin + WINDOW, b))
-    short = np.ones(len(first), bool)
-    short[long] = False
-    lo, hi = np.concatenate([first[short], *more_lo]), np.concatenate([stop[short], *more_hi])
+    lo, hi = paragraphs(row, line)
     keep = (hi - lo > 2) & (hit[hi - 1] - hit[lo] >= CONFIRM * (hi - lo - 1))
     lo, hi = lo[keep], hi[keep]
     place = np.flatnonzero((bigrams[at] == pair) & (row[1:] == row[:-1]) & (line[1:] == line[:-1]))
@@ -231,6 +254,24 @@ def units(data: np.ndarray, offsets: np.ndarray, bigrams: np.ndarray, own: np.nd
     return (starts[lo], ends[hi - 1], row[lo]), (starts[c_lo], ends[c_hi], row[c_lo])
 
 
+def _sampled(batches):
+    """The SAMPLE_UNITS paragraphs of least hash of each document."""
+    for batch in bounded(batches):
+        data, offsets = utf8(batch.column("text"))
+        data = LOWER[data]
+        starts, ends, row = words(data, offsets, ALNUM)
+        ids, texts = [], []
+        if len(starts):
+            lo, hi = paragraphs(row, np.concatenate(([0], np.cumsum(data == 0x0A)))[starts])
+            a, b = starts[lo], ends[hi - 1]
+            order = np.lexsort((a, Ranges(data).of(a, b), row[lo]))
+            place = np.arange(len(order)) - np.searchsorted(row[lo][order], row[lo][order])
+            for i in order[place < SAMPLE_UNITS]:
+                ids.append(batch.column("doc_id")[int(row[lo[i]])].as_py())
+                texts.append(data[a[i] : b[i]].tobytes().decode())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "text"])
+
+
 def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """Per document row: doc_id, families (array, sorted), n_paragraphs (of a licence), and found: an array of
     (family, probability, text) in order."""
@@ -238,8 +279,8 @@ def scan(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES) -> DataFr
     small_batches(spark)
     docs = narrow(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     ids = docs.select(F.col("doc_id").alias("s_id")).where("s_id is not null").orderBy(F.xxhash64("s_id"), "s_id").limit(SAMPLE_DOCS).distinct()
-    sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id"), "left_semi").groupBy("doc_id").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).where("text is not null").orderBy("doc_id").collect()  # SAMPLE_DOCS rows at most
-    model = Classifier([w for r in sample for line in r.text.split("\n") if len(w := word_list(line)) > 1], templates)
+    sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("s_id"), "left_semi").mapInArrow(_sampled, "doc_id long, text string").distinct().orderBy("doc_id", "text")
+    model = Classifier([w for r in sample.collect() if len(w := word_list(r.text)) > 1], templates)  # SAMPLE_UNITS paragraphs of a document stored once
 
     def hashes(bigrams: set) -> np.ndarray:
         joined = b"\n".join(b" ".join(g) for g in sorted(bigrams))

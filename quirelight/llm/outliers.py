@@ -4,12 +4,15 @@ functions only.
 Words are [^\\x20\\x09-\\x0D]+. A document fails the fixed rules if it has under MIN_WORDS words or more than MOST_REPEATED
 of them stand in windows of WINDOW words that occur twice or more. The others are judged within their language and
 source by a vector of transformed statistics (STATISTICS). For each group a minimum-covariance-determinant estimate is
-made: the SUBSET share of documents nearest the centre by medians and median deviations is the first subset, and
-CONCENTRATION times its mean and covariance give Mahalanobis distances, whose SUBSET nearest documents are the next.
-Distances are scaled so that their median is what it is for normal data (never up), and a document is rejected beyond
-CUTOFF, the squared distance under which the share TAIL of normal data lies, in all groups. Quantiles are taken on a logarithmic grid (1 / GRID of e), so that no group is gathered: a group
-reaches a task as the counts of its cells. Covariances get FLOOR on their diagonals, so that a statistic that doesn't
-vary in a group (say, no symbols at all) rejects by what is beyond the floor's scale only.
+made. The search has STARTS first estimates: medians with median deviations, and means with covariances of disjoint parts
+of the group, dealt by a hash of doc_id. From each, concentration steps follow: the SUBSET share of documents nearest by
+Mahalanobis distance gives the next mean and covariance, until a step lowers no determinant by a share of CONVERGED (or
+after MOST_STEPS). Of all estimates of a group the one with the least determinant is kept. Distances are scaled so that
+their median is what it is for normal data (never up), and a document is rejected beyond CUTOFF, the squared distance
+under which the share TAIL of normal data lies, in all groups. Quantiles are taken on a logarithmic grid (1 / GRID of
+e), whose cells carry the sums that means and covariances need, so that a step is one aggregation and no group is
+gathered. Covariances get FLOOR on their diagonals, so that a statistic that doesn't vary in a group (say, no symbols at
+all) rejects by what is beyond the floor's scale only.
 
 A group of under MIN_GROUP documents is judged by the estimate of its language, one of a language under MIN_GROUP by
 that of its source, and else by that of all documents, so that each document that passes the fixed rules has a distance.
@@ -17,8 +20,10 @@ that of its source, and else by that of all documents, so that each document tha
 their source.) Where all documents together are under MIN_GROUP, their covariance is mixed with the unit matrix, the
 more the fewer they are.
 
-Cases: a null or empty text has no words and fails the fixed rules; null languages and sources are groups like others;
-rows that repeat a doc_id are judged apart; an empty table gives no rows; columns other than those named are ignored.
+Cases: a null or empty text has no words and fails the fixed rules; very long texts are read whole; null languages and
+sources are groups like others; a null doc_id counts as 0 where parts are dealt; a start whose part has no document takes
+the medians; of equal determinants the first start's estimate is kept; rows that repeat a doc_id are judged apart; an
+empty table gives no rows; columns other than those named are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +39,9 @@ MIN_WORDS = 20
 MOST_REPEATED = 0.3
 WINDOW = 8
 SUBSET = 0.75
-CONCENTRATION = 3
+STARTS = 4
+MOST_STEPS = 12
+CONVERGED = 0.01
 MIN_GROUP = 40
 GRID = 64
 FLOOR = 0.01
@@ -103,12 +110,28 @@ def transformed(stats: DataFrame) -> DataFrame:
     return stats.select("*", F.log1p(F.col("n_words")).alias("log_words"), (2.0 * F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n)).alias("word_length"), share("n_symbols").alias("symbols"), share("n_dup_lines").alias("dup_lines"), share("n_repeat_words").alias("repeats"))
 
 
-def _quantile(df: DataFrame, keys: list[str], value: str, q: float, name: str) -> DataFrame:
-    """By group, the upper edge of the logarithmic cell in which the q-quantile of a non-negative value lies."""
-    cells = df.groupBy(*keys, F.floor(F.log(F.col(value) + 1e-9) * GRID).alias("cell")).agg(F.count("*").alias("cell_n"))
-    own = Window.partitionBy(*keys)
-    cells = cells.withColumn("upto", F.sum("cell_n").over(own.orderBy("cell"))).withColumn("all_n", F.sum("cell_n").over(own))
-    return cells.where(F.col("upto") >= q * F.col("all_n")).groupBy(*keys).agg(F.exp((F.min("cell") + 1) / GRID).alias(name))
+PAIRS = [(a, b) for i, b in enumerate(STATISTICS) for a in STATISTICS[: i + 1]]
+MOMENTS = [f"m_{c}" for c in STATISTICS] + [f"c_{a}_{b}" for a, b in PAIRS]
+FACTOR = [f"l_{i}_{j}" for i in range(len(STATISTICS)) for j in range(i + 1)]
+
+
+def _cell(value: Column) -> Column:
+    """The cell of a logarithmic grid in which a non-negative value lies."""
+    return F.floor(F.log(value + 1e-9) * GRID)
+
+
+def _edge(cell: Column) -> Column:
+    return F.exp((cell + 1) / GRID)
+
+
+def _medians(values: DataFrame) -> DataFrame:
+    """values: g, name, v (non-negative). g and, for each statistic, the upper edge of the cell of its median: all
+    statistics in one aggregation."""
+    cells = values.groupBy("g", "name", _cell(F.col("v")).alias("cell")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("g", "name")
+    cells = cells.withColumn("upto", F.sum("n").over(own.orderBy("cell"))).withColumn("all_n", F.sum("n").over(own))
+    found = cells.where(F.col("upto") >= 0.5 * F.col("all_n")).groupBy("g", "name").agg(F.min("cell").alias("cell"))
+    return found.groupBy("g").agg(*[F.max(F.when(F.col("name") == c, _edge(F.col("cell")))).alias(c) for c in STATISTICS])
 
 
 def _joined(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,86 +142,97 @@ def _joined(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(named, same, "left").drop(*[f"o_{k}" for k in keys])
 
 
-def _pooled(df: DataFrame) -> DataFrame:
-    """Adds the language and source of the row's pool: 0 has both, 1 the language, 2 the source, 3 neither."""
-    return df.withColumn("pool_lang", F.when(F.col("pool") < 2, F.col("lang"))).withColumn("pool_source", F.when(F.col("pool") % 2 == 0, F.col("source")))
+def _group() -> Column:
+    """A number for a pool and the language and source that it has: 0 has both, 1 the language, 2 the source, 3 neither."""
+    lang, source = F.when(F.col("pool") < 2, F.col("lang")), F.when(F.col("pool") % 2 == 0, F.col("source"))
+    return F.xxhash64("pool", lang.isNull(), F.coalesce(lang, F.lit("")), source.isNull(), F.coalesce(source, F.lit("")))
 
 
-def _distance(names: tuple[str, ...]) -> list[tuple[str, Column]]:
-    """Columns, in order, that solve L y = x - m by the Cholesky factor L of the covariance; the last is y . y."""
-    out: list[tuple[str, Column]] = []
-    for i, a in enumerate(names):
+def _with_factor(estimate: DataFrame) -> DataFrame:
+    """Adds the Cholesky factor of the covariance with the floor, and the log of its determinant (by lateral aliases)."""
+    out = []
+    for i, a in enumerate(STATISTICS):
         for j in range(i + 1):
-            inner = F.col(f"c_{names[j]}_{a}") + (F.lit(FLOOR) if i == j else F.lit(0.0))
-            for k in range(j):
-                inner = inner - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            out.append((f"l_{i}_{j}", F.sqrt(F.greatest(inner, F.lit(FLOOR * 0.1))) if i == j else inner / F.col(f"l_{j}_{j}")))
-    return out
+            inner = f"c_{STATISTICS[j]}_{a}" + "".join(f" - l_{i}_{k} * l_{j}_{k}" for k in range(j))
+            out.append(f"sqrt(greatest({inner} + {FLOOR}D, {FLOOR * 0.1}D)) AS l_{i}_{i}" if i == j else f"({inner}) / l_{j}_{j} AS l_{i}_{j}")
+    return estimate.selectExpr("*", *out, " + ".join(f"2 * ln(l_{i}_{i})" for i in range(len(STATISTICS))) + " AS log_det")
+
+
+def _with_distance(df: DataFrame) -> DataFrame:
+    """Replaces the estimate's columns by d2, the squared Mahalanobis distance."""
+    out = []
+    for i, c in enumerate(STATISTICS):
+        out.append(f"({c} - m_{c}" + "".join(f" - l_{i}_{k} * y_{k}" for k in range(i)) + f") / l_{i}_{i} AS y_{i}")
+    kept = [c for c in df.columns if c not in FACTOR and not c.startswith("m_")]
+    return df.selectExpr("*", *out).selectExpr(*kept, " + ".join(f"y_{i} * y_{i}" for i in range(len(STATISTICS))) + " AS d2")
+
+
+OFF = {c: f"({c} - o_{c})" for c in STATISTICS}
+SUMS = ["count(*) AS n", *[f"sum({OFF[c]}) AS s_{c}" for c in STATISTICS], *[f"sum({OFF[a]} * {OFF[b]}) AS p_{a}_{b}" for a, b in PAIRS]]
+SUM_NAMES = [x.split(" AS ")[1] for x in SUMS]
+
+
+def _estimates(sums: DataFrame, keys: list[str], *others: str) -> DataFrame:
+    """keys, others and MOMENTS from sums of values (s_) and products (p_) about the group's origin (o_) over n documents.
+    The fewer they are, the more of the unit matrix the covariance has."""
+    own = f"least(n / {SUBSET * MIN_GROUP}D, 1D)"
+    covariance = [f"{own} * (p_{a}_{b} / n - s_{a} / n * s_{b} / n) + (1 - {own}) * {float(a == b)}D AS c_{a}_{b}" for a, b in PAIRS]
+    return sums.selectExpr(*keys, *others, *[f"s_{c} / n + o_{c} AS m_{c}" for c in STATISTICS], *covariance)
+
+
+def covariance_determinants(good: DataFrame, most_steps: int = MOST_STEPS) -> DataFrame:
+    """good: doc_id, g, STATISTICS. g, m_ and l_ columns of the estimate with the least determinant, log_det, scale."""
+    named = lambda value: ", ".join(f"struct('{c}' AS name, {value.format(c)} AS v)" for c in STATISTICS)
+    origin = stored(_medians(good.selectExpr("g", f"inline(array({named('{0}')}))")).selectExpr("g", *[f"{c} AS o_{c}" for c in STATISTICS]), "quality-origin")
+    near = stored(good.join(origin, "g"), "quality-centred")
+    spread = _medians(near.selectExpr("g", f"inline(array({named('abs({0} - o_{0})')}))")).selectExpr("g", *[f"power(1.4826D * {c}, 2) AS v_{c}" for c in STATISTICS])
+    keys = ["g", "start"]
+    first = origin.join(spread, "g").selectExpr("g", *[f"o_{c} AS m_{c}" for c in STATISTICS], *[f"{f'v_{a}' if a == b else '0D'} AS c_{a}_{b}" for a, b in PAIRS])
+    part = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(STARTS)), F.lit(STARTS - 1)).cast("int") + 1
+    others = _estimates(near.groupBy("g", part.alias("start")).agg(*map(F.expr, SUMS)).join(origin, "g"), keys).selectExpr("g AS a_g", "start AS a_start", *[f"{c} AS a_{c}" for c in MOMENTS])
+    every = first.selectExpr("g", f"explode(sequence(0, {STARTS - 1})) AS start", *MOMENTS)
+    every = every.join(others, F.expr("g = a_g AND start = a_start"), "left").selectExpr(*keys, "1e300D AS least", *[f"coalesce(a_{c}, {c}) AS {c}" for c in MOMENTS])
+    columns = [*[f"m_{c}" for c in STATISTICS], *FACTOR]
+    estimate = stored(_with_factor(every).selectExpr(*keys, "log_det", "least", *columns), "quality-estimate")
+    best = "struct(log_det, start, " + ", ".join(columns) + ")"
+    kept = None  # the starts themselves aren't estimates of the share
+    for _ in range(most_steps):
+        own = Window.partitionBy(*keys)
+        cells = _with_distance(near.join(estimate.drop("log_det"), "g")).groupBy(*keys, "least", _cell(F.col("d2")).alias("cell")).agg(*map(F.expr, SUMS))
+        cells = cells.select("*", F.sum("n").over(own.orderBy("cell")).alias("upto"), F.sum("n").over(own).alias("all_n"))
+        inside = cells.where(f"upto - n < {SUBSET} * all_n").groupBy(*keys).agg(F.first("least").alias("least"), *[F.sum(c).alias(c) for c in SUM_NAMES]).join(origin, "g")
+        # least: the determinant's log is told apart from the lowest before by more than CONVERGED, or stands for it
+        after = _with_factor(_estimates(inside, keys, "least AS before")).selectExpr(*keys, "log_det", "least(log_det, before) AS least", f"before - log_det > {CONVERGED} AS lower", *columns)
+        after = stored(after, "quality-estimate")
+        estimate = after.drop("lower")
+        found = estimate.selectExpr("g", f"{best} AS b")
+        kept = found if kept is None else kept.unionByName(found)
+        if not after.where("lower").limit(1).count():
+            break
+    found = stored(kept.groupBy("g").agg(F.min("b").alias("b")).selectExpr("g", "b.log_det", *[f"b.{c}" for c in columns]), "quality-best")
+    cells = _with_distance(good.join(found.drop("log_det"), "g")).groupBy("g", _cell(F.col("d2")).alias("cell")).agg(F.count("*").alias("n"))
+    own = Window.partitionBy("g")
+    cells = cells.select("*", F.sum("n").over(own.orderBy("cell")).alias("upto"), F.sum("n").over(own).alias("all_n"))
+    median = cells.where("upto >= 0.5 * all_n").groupBy("g").agg(_edge(F.min("cell")).alias("median"))
+    return stored(found.join(median.select("g", F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1.0)).alias("scale")), "g"), "quality-model")
 
 
 def judged(stats: DataFrame) -> DataFrame:
     """statistics() with base_failed, distance (squared, null where the fixed rules fail) and kept."""
-    keys = ["pool", "pool_lang", "pool_source"]
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MOST_REPEATED) * F.col("n_words"))
     stats = stored(transformed(stats).withColumn("base_failed", failed), "quality-statistics")
-    good = stats.where(~F.col("base_failed"))
-    sizes = good.groupBy("lang", "source").agg(F.count("*").alias("group_n"))
+    sizes = stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("group_n"))
     for c in ("lang", "source"):
         sizes = _joined(sizes, sizes.groupBy(c).agg(F.sum("group_n").alias(f"{c}_n")), [c])
     pool = F.when(F.col("group_n") >= MIN_GROUP, 0).when(F.col("lang_n") >= MIN_GROUP, 1).when(F.col("source_n") >= MIN_GROUP, 2).otherwise(3)
-    judge = stored(_pooled(sizes.select("lang", "source", pool.alias("pool"))), "quality-pools")
-    pools = judge.select(*keys).distinct()
+    judge = stored(sizes.select("lang", "source", pool.alias("pool")).withColumn("judge_g", _group()), "quality-pools")
     # a document counts in each pool that judges some group and that it belongs to
-    good = _pooled(good.select("doc_id", "lang", "source", *STATISTICS, F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("pool")))
-    good = _joined(good, pools.withColumn("used", F.lit(True)), keys).where("used").select("doc_id", *keys, *STATISTICS)
-
-    # the first subset: medians and median deviations (values are non-negative)
-    centre = pools
-    for c in STATISTICS:
-        centre = _joined(centre, _quantile(good, keys, c, 0.5, f"m_{c}"), keys)
-    centre = stored(centre, "quality-centre")
-    near = _joined(good, centre, keys)
-    spread = centre.select(*keys)
-    for c in STATISTICS:
-        spread = _joined(spread, _quantile(near.withColumn("off", F.abs(F.col(c) - F.col(f"m_{c}"))), keys, "off", 0.5, f"s_{c}"), keys)
-    spread = stored(spread, "quality-spread")
-    total = F.lit(0.0)
-    for c in STATISTICS:
-        total = total + (F.col(c) - F.col(f"m_{c}")) ** 2 / ((1.4826 * F.col(f"s_{c}")) ** 2 + FLOOR)
-    current = _joined(near, spread, keys).select("doc_id", *keys, *STATISTICS, total.alias("d2"))
-
-    estimate = None
-    for _ in range(CONCENTRATION):
-        inside = _joined(current, _quantile(current, keys, "d2", SUBSET, "h"), keys).where("d2 <= h")
-        pairs = [(a, b) for i, b in enumerate(STATISTICS) for a in STATISTICS[: i + 1]]
-        estimate = inside.groupBy(*keys).agg(F.least(F.count("*") / (SUBSET * MIN_GROUP), F.lit(1.0)).alias("own"), *[F.avg(c).alias(f"m_{c}") for c in STATISTICS], *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in pairs])
-        for a, b in pairs:
-            estimate = estimate.withColumn(f"c_{a}_{b}", F.col("own") * F.col(f"c_{a}_{b}") + (1.0 - F.col("own")) * float(a == b))
-        for name, column in _distance(STATISTICS):
-            estimate = estimate.withColumn(name, column)
-        kept = [f"m_{c}" for c in STATISTICS] + [f"l_{i}_{j}" for i in range(len(STATISTICS)) for j in range(i + 1)]
-        estimate = stored(estimate.select(*keys, *kept), "quality-estimate")
-        current = _with_distance(good, estimate, keys)
-    scale = _quantile(current, keys, "d2", 0.5, "median")
-    scale = stored(scale.select(*keys, F.greatest(F.col("median") / CHI2_MEDIAN, F.lit(1.0)).alias("scale")), "quality-scale")
-
-    final = _joined(_with_distance(_joined(stats, judge, ["lang", "source"]), estimate, keys), scale, keys)
+    good = stats.where(~F.col("base_failed")).select("doc_id", "lang", "source", *STATISTICS, F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("pool")).withColumn("g", _group())
+    good = stored(good.join(judge.select("judge_g").distinct(), F.col("g") == F.col("judge_g"), "left_semi").select("doc_id", "g", *STATISTICS), "quality-vectors")
+    model = covariance_determinants(good)
+    final = _joined(stats, judge.drop("pool"), ["lang", "source"]).join(model.drop("log_det"), F.col("judge_g") == F.col("g"), "left")
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
-    return final.withColumn("distance", distance).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(False)))
-
-
-def _with_distance(df: DataFrame, estimate: DataFrame, keys: list[str]) -> DataFrame:
-    columns = df.columns
-    df = _joined(df, estimate, keys)
-    for i, c in enumerate(STATISTICS):
-        inner = F.col(c) - F.col(f"m_{c}")
-        for k in range(i):
-            inner = inner - F.col(f"l_{i}_{k}") * F.col(f"y_{k}")
-        df = df.withColumn(f"y_{i}", inner / F.col(f"l_{i}_{i}"))
-    total = F.lit(0.0)
-    for i in range(len(STATISTICS)):
-        total = total + F.col(f"y_{i}") ** 2
-    return df.select(*columns, total.alias("d2"))
+    return _with_distance(final).withColumn("distance", distance).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(False)))
 
 
 def quality(docs: DataFrame) -> DataFrame:

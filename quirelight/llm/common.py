@@ -39,15 +39,18 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share; a temporary one only where it is unset."""
+    """The folder in spark.checkpoint.dir, which all executors share. Where it is unset, a session whose tasks all run in
+    the driver's process (as in tests) gets one of its own; a cluster is refused, as its machines share no folder."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found is None:
         known = spark.sparkContext._jsc.sc().getCheckpointDir()
         if known.isDefined():
             found = known.get()
-        else:
+        elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             found = tempfile.mkdtemp(prefix="quirelight-")
             spark.sparkContext.setCheckpointDir(found)
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/")
 
 

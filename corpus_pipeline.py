@@ -2,7 +2,12 @@
 go, sources are mixed to their weights, and the mix is written as token files and read back.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept. Every label may be learned from. A
-mixed document comes as often as it is drawn; one drawn in part is its first words, with a space between."""
+mixed document comes as often as it is drawn; one drawn in part is its first words, with a space between. The mix is
+written by shard, shuffled within each, and the token files keep the order of its rows.
+
+Cases, for every stage: nulls, empty and very long texts, ties, repeated rows, empty tables and other columns are as the
+operator's docstring says. Rows are told apart by doc_id and text: of rows that share both, ngram_join keeps one, and
+the other stages keep or drop them together. Columns beyond those of documents pass through all stages but the last."""
 
 from __future__ import annotations
 
@@ -30,7 +35,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_file.round_trip(docs, queries.tokenizer_path())
+    return token_file.round_trip(docs, queries.tokenizer_path(), by_id=False)
 
 
 STAGES = [

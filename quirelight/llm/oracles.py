@@ -5,7 +5,7 @@ ALNUM_WORDS = rf"regexp_extract_all({LOWERED}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')
 
 DECONTAMINATE = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {ALNUM_WORDS} AS w FROM documents),
-i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {ALNUM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {ALNUM_WORDS} AS w FROM benchmark),
 win AS (
   SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS s
   FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM i WHERE len(w) > 0)),
@@ -17,7 +17,7 @@ hit AS (SELECT rid, item_id, p, n FROM occ JOIN win USING (n, s)),
 cov AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + n)) AS q FROM hit) GROUP BY rid),
 its AS (
   SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
-  FROM (SELECT DISTINCT rid, item_id FROM hit) GROUP BY rid)
+  FROM (SELECT DISTINCT rid, item_id FROM hit WHERE item_id IS NOT NULL) GROUP BY rid)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN cov USING (rid) LEFT JOIN its USING (rid)

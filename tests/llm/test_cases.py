@@ -73,7 +73,8 @@ def test_values(docs, benchmark, labels):
     assert [r.families for r in licenses.scan(docs).collect() if r.doc_id == 8] == [["apache"]]
 
 
-def test_decontamination_in_blocks(docs, benchmark):
-    one = decontaminate.digest(decontaminate.decontaminate(docs, benchmark))
-    many = decontaminate.digest(decontaminate.decontaminate(docs, benchmark, block_bytes=8))
-    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+def test_decontamination_without_item_ids(spark):
+    docs = spark.createDataFrame([(1, "a b c X y"), (1, "a b c X y"), (2, "x"), (3, "b")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "B c"), (7, "x Y"), (7, "a"), (8, "a")], "item_id long, text string")
+    rows = sorted((r.doc_id, r.n_hit, r.n_items, r.contaminated) for r in decontaminate.digest(decontaminate.decontaminate(docs, items)).collect())
+    assert rows == [(1, 5, 2, True), (1, 5, 2, True), (2, 0, 0, False), (3, 0, 0, False)]

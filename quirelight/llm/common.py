@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 BATCH_ROWS = 512
 BATCH_BYTES = 1 << 20
 FILTER_BITS = 1 << 22
+#: A group of more than HOT_ROWS rows is dealt over SALTS tasks where it is joined.
+HOT_ROWS, SALTS = 512, 64
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,15 +101,28 @@ def bounded(batches, column: str = "text", most: int = BATCH_BYTES):
                 break
 
 
-def bit_test(df: DataFrame, column: str, keys: DataFrame, bits: int = FILTER_BITS) -> tuple[DataFrame, F.Column]:
-    """df with what a filter needs, and the test whether a row's column may be among the keys (one column). The filter
-    has one bit for each of `bits` hash values, so it is sent whole at any size of the input and lets ever more pass as
-    keys grow: it saves work before a join and decides nothing."""
-    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
-    key = keys.select(bit(keys.columns[0]).alias("key_bit")).groupBy(F.shiftright("key_bit", 6).alias("filter_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key_bit & 63 as int))")).alias("filter_bits"))
-    key = F.broadcast(stored(key, "filter"))  # bits / 64 rows at most
-    tested = df.withColumn("filter_bit", bit(column)).join(key, F.shiftright("filter_bit", 6) == F.col("filter_word"), "left")
-    return tested, F.coalesce(F.expr("(shiftrightunsigned(filter_bits, cast(filter_bit & 63 as int)) & 1) = 1"), F.lit(False))
+def bit_filter(keys: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """A filter for keys (one column) with one bit for each of `bits` hash values, so that it is sent whole at any size of
+    the input and lets ever more pass as keys grow: it saves work before a join and decides nothing."""
+    bit = F.pmod(F.xxhash64(keys.columns[0]), F.lit(bits)).alias("key_bit")
+    found = keys.select(bit).groupBy(F.shiftright("key_bit", 6).alias("filter_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(key_bit & 63 as int))")).alias("filter_bits"))
+    return F.broadcast(stored(found, "filter"))  # bits / 64 rows at most
+
+
+def flagged(df: DataFrame, column: str, keys: DataFrame, name: str = "may_be", bits: int = FILTER_BITS) -> DataFrame:
+    """df with whether a row's column may be among the keys of a bit_filter()."""
+    tested = df.withColumn("filter_bit", F.pmod(F.xxhash64(column), F.lit(bits))).join(keys, F.shiftright("filter_bit", 6) == F.col("filter_word"), "left")
+    may = F.coalesce(F.expr("(shiftrightunsigned(filter_bits, cast(filter_bit & 63 as int)) & 1) = 1"), F.lit(False))
+    return tested.select(*[df[c] for c in df.columns], may.alias(name))
+
+
+def spread_join(rows: DataFrame, key: str, unique: str, groups: DataFrame, group_key: str, hot: DataFrame, how: str = "inner") -> DataFrame:
+    """rows joined with groups (one row a group_key, of another name than any column of rows). Rows whose key may be in
+    the bit_filter() hot are dealt over SALTS tasks by `unique`, and those groups are sent to each of them."""
+    salt = F.when(F.col("may_be"), F.pmod(F.xxhash64(unique), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    left = flagged(rows, key, hot).withColumn("salt", salt).drop("may_be")
+    right = flagged(groups, group_key, hot).withColumn("g_salt", F.explode(F.when(F.col("may_be"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("may_be")
+    return left.join(right, (F.col(key) == F.col(group_key)) & (F.col("salt") == F.col("g_salt")), how).drop("salt", "g_salt")
 
 
 def release() -> None:

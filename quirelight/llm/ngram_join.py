@@ -6,12 +6,14 @@ Each class has bands * rows MinHash values; the rows are as many as a bound on t
 many as the target recall of a pair at the threshold then needs. Classes are shuffled on band hashes; each is tied to
 its bucket's least class, and the components of these ties are the candidate clusters, within which every pair is
 verified on the full sets by products of set-membership matrices. A cluster of more than BLOCK classes (or much text)
-is cut into blocks and each pair of blocks is a task of its own, so that memory is bounded; a task returns a row for
-each of its classes, never pairs.
+is cut into blocks and each pair of blocks is a task of its own, which counts between the two blocks only, so that
+memory is bounded; a task returns a row for each of its classes, never pairs. Where rows are joined by a cluster or a
+class that has many, they are dealt over many tasks (spread_join()).
 
 Cases: null, empty and word-less texts have no n-grams: each is alone, without links; copies link to each other; a
-null doc_id is a document, but names a class only if it has no other; rows that repeat a doc_id count as documents;
-columns other than those named are ignored; an empty table gives no rows.
+null doc_id is a document, but names a class only if it has no other; of equal doc_ids the row of the lesser text hash
+comes first; rows that repeat a doc_id count as documents; very long texts are read whole; columns other than those
+named are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import bit_test, bounded, narrow, row_key, small_batches, stored, utf8
+from quirelight.llm.common import HOT_ROWS, bit_filter, bounded, flagged, narrow, row_key, small_batches, spread_join, stored, utf8
 from quirelight.llm.graph import components
 from quirelight.llm.text_hash import BASE, LOWER, WORD, Ranges, mix, runs, words
 
@@ -32,7 +34,7 @@ N = 5
 THRESHOLD = (4, 5)  # as a fraction, so that the test is exact
 RECALL = 0.9995
 MOST_HASHES = 256
-BLOCK = 512
+BLOCK = 1024
 BLOCK_SHINGLES = 1_000_000
 COLUMNS = 4096
 
@@ -91,45 +93,58 @@ def _described(batches, n: int, bands: int, rows: int):
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), flat], ["doc_id", "text_key", "node", "size", "buckets"])
 
 
+def _matrix(sets: list[np.ndarray], columns: np.ndarray) -> np.ndarray:
+    """Which of the (sorted) values each set has, as 0 and 1."""
+    out = np.zeros((len(sets), len(columns)), np.float32)
+    for i, own in enumerate(sets):
+        lo, hi = np.searchsorted(own, [columns[0], columns[-1]])
+        own = own[lo : hi + 1]
+        at = np.minimum(np.searchsorted(columns, own), len(columns) - 1)
+        out[i, at[columns[at] == own]] = 1
+    return out
+
+
+def links_between(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Whether each set of a and each of b are at the threshold. Only values that both sides have are multiplied, COLUMNS
+    at once."""
+    shared = np.intersect1d(np.unique(np.concatenate(a)), np.unique(np.concatenate(b)), assume_unique=True)
+    common = np.zeros((len(a), len(b)), np.float32)  # exact below 2**24
+    for at in range(0, len(shared), COLUMNS):
+        part = shared[at : at + COLUMNS]
+        common += _matrix(a, part) @ _matrix(b, part).T
+    up, down = THRESHOLD
+    sizes = [np.array([len(s) for s in sets], np.int64) for sets in (a, b)]
+    return down * common >= up * (sizes[0][:, None] + sizes[1][None, :] - common)
+
+
 def verified(table: pa.Table) -> pa.Table:
-    """One task's classes: node, size, copies, block, i, j, grams (sorted 64-bit values). Per class: the documents it
-    links to here, and the least class it is connected to by links."""
+    """One task's classes: node, copies, block, i, j, grams (sorted 64-bit values). Per class: the documents it links to
+    here (in the other block, or in its own if i is j), and the least class it is connected to by these links."""
     i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    nodes, copies = table.column("node").to_pylist(), table.column("copies").to_numpy()
-    order = sorted(range(len(nodes)), key=nodes.__getitem__)
-    nodes, copies, block = [nodes[k] for k in order], copies[order], table.column("block").to_numpy()[order]
+    nodes, copies, blocks = table.column("node").to_pylist(), table.column("copies").to_numpy(), table.column("block").to_numpy()
     grams = table.column("grams")
-    sets = [np.frombuffer(grams[k].as_py(), np.uint64) for k in order]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    member = np.repeat(np.arange(len(sets)), sizes)
-    values = np.concatenate(sets)
-    by_value = np.argsort(values, kind="stable")
-    values, member = values[by_value], member[by_value]
-    new = np.concatenate(([True], values[1:] != values[:-1]))
-    column = np.cumsum(new) - 1
-    shared = np.bincount(column)[column] > 1
-    member, column = member[shared], column[shared]
-    column = np.unique(column, return_inverse=True)[1] if len(column) else column
-    common = np.zeros((len(sets), len(sets)), np.float32)  # exact below 2**24
-    cuts = np.searchsorted(column, np.arange(0, (column[-1] if len(column) else 0) + COLUMNS + 1, COLUMNS))
-    for k, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-        part = np.zeros((len(sets), min(COLUMNS, int(column[hi - 1]) - k * COLUMNS + 1) if hi > lo else 1), np.float32)
-        part[member[lo:hi], column[lo:hi] - k * COLUMNS] = 1
-        common += part @ part.T
-    up, down = THRESHOLD
-    linked = down * common >= up * (sizes[:, None] + sizes[None, :] - common)
-    np.fill_diagonal(linked, False)
-    if i != j:
-        linked &= block[:, None] != block[None, :]
-    label = np.arange(len(sets))
-    near = linked | np.eye(len(sets), dtype=bool)
-    while True:
-        least = np.where(near, label[None, :], len(sets)).min(axis=1)
-        least = least[least]
-        if (least == label).all():
-            break
-        label = least
-    return pa.table({"node": pa.array(nodes, pa.binary()), "links": pa.array(linked @ copies, pa.int64()), "root": pa.array([nodes[k] for k in label], pa.binary())})
+    order = sorted(range(len(nodes)), key=nodes.__getitem__)
+    rank = np.empty(len(nodes), np.int64)
+    rank[order] = np.arange(len(nodes))
+    sides = [np.flatnonzero(blocks == i), np.flatnonzero(blocks == j)]
+    sets = [[np.frombuffer(grams[int(k)].as_py(), np.uint64) for k in side] for side in sides]
+    label, found = rank.copy(), np.zeros(len(nodes), np.int64)
+    if len(sides[0]) and len(sides[1]):
+        linked = links_between(*sets)
+        if i == j:
+            np.fill_diagonal(linked, False)
+        found[sides[0]] = linked @ copies[sides[1]]
+        if i != j:
+            found[sides[1]] = linked.T @ copies[sides[0]]
+        while True:
+            before = label.copy()
+            for x, y, near in ((*sides, linked), (*sides[::-1], linked.T)):
+                least = np.where(near, label[y][None, :], len(nodes)).min(axis=1)
+                label[x] = np.minimum(label[x], least)
+            label = np.minimum(label, label[np.array(order)[label]])
+            if (label == before).all():
+                break
+    return pa.table({"node": pa.array(nodes, pa.binary()), "links": pa.array(found), "root": pa.array([nodes[order[k]] for k in label], pa.binary())})
 
 
 def join(docs: DataFrame, n: int = N, recall: float = RECALL) -> DataFrame:
@@ -147,19 +162,22 @@ def join(docs: DataFrame, n: int = N, recall: float = RECALL) -> DataFrame:
     placed = classes.select("node", F.explode("buckets").alias("bucket"))
     least = placed.groupBy("bucket").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least <> most").select(F.col("bucket").alias("b"), "least")
     least = stored(least, "ngram-buckets")
-    tested, shared = bit_test(placed, "bucket", least.select("b"))
-    ties = tested.where(shared).select("node", "bucket").join(least, F.col("bucket") == F.col("b")).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    shared = flagged(placed, "bucket", bit_filter(least.select("b"))).where("may_be").drop("may_be")
+    crowds = bit_filter(shared.groupBy("bucket").count().where(F.col("count") > HOT_ROWS).select("bucket"))
+    ties = spread_join(shared, "bucket", "node", least, "b", crowds).where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     clusters = components(ties, "ngram-clusters")
 
     # the sets of clustered classes, from the text of each one's representative, to the tasks that need them
-    sizes = clusters.join(classes.select(F.col("node").alias("c_node"), "size"), F.col("node") == F.col("c_node")).groupBy("root").agg(F.count("*").alias("members"), F.sum("size").alias("grams"))
-    sizes = sizes.select(F.col("root").alias("s_root"), F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("grams") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-    todo = clusters.join(sizes, F.col("root") == F.col("s_root")).drop("s_root").join(classes.select(F.col("node").alias("c_node"), "rep", "copies"), F.col("node") == F.col("c_node")).select(
-        "node", "root", "blocks", "copies", F.col("rep.doc_id").alias("r_doc"), F.col("rep.text_key").alias("r_key")
-    )
+    sized = clusters.join(classes.select(F.col("node").alias("c_node"), "size", "rep", "copies"), F.col("node") == F.col("c_node")).drop("c_node")
+    sized = stored(sized, "ngram-clusters")
+    large = sized.groupBy(F.col("root").alias("s_root")).agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks")).where("blocks > 1")
+    large = stored(large, "ngram-large")
+    crowds = bit_filter(large.select("s_root"))
+    some = flagged(sized, "root", crowds)  # the others have one block
+    todo = spread_join(some.where("may_be").drop("may_be"), "root", "node", large, "s_root", crowds, "left").drop("s_root").unionByName(some.where("not may_be").drop("may_be").withColumn("blocks", F.lit(1)))
+    todo = todo.select("node", "root", F.coalesce("blocks", F.lit(1)).alias("blocks"), "copies", F.col("rep.doc_id").alias("r_doc"), F.col("rep.text_key").alias("r_key"))
     todo = stored(todo, "ngram-todo")
-    tested, clustered = bit_test(docs, "text_key", todo.select("r_key"))
-    texts = tested.where(clustered).select(*docs.columns).join(todo, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("text_key") == F.col("r_key"))).select("node", "root", "blocks", "copies", "text")
+    texts = flagged(docs, "text_key", bit_filter(todo.select("r_key"))).where("may_be").drop("may_be").join(todo, F.col("doc_id").eqNullSafe(F.col("r_doc")) & (F.col("text_key") == F.col("r_key"))).select("node", "root", "blocks", "copies", "text")
 
     def with_sets(batches):
         for batch in bounded(batches):
@@ -176,12 +194,17 @@ def join(docs: DataFrame, n: int = N, recall: float = RECALL) -> DataFrame:
     links = checked.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(checked.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct(), "ngram-classes")
 
-    named = classes.select("node", "rep", "copies").join(joined.select(F.col("node").alias("j_node"), "root"), F.col("node") == F.col("j_node"), "left").withColumn("root", F.coalesce("root", "node"))
-    least_id = named.groupBy(F.col("root").alias("g_root")).agg(F.min("rep").alias("first"))
-    named = named.join(least_id, F.col("root") == F.col("g_root")).join(links.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left")
-    named = named.select(F.col("node").alias("n_node"), F.col("first.doc_id").alias("class_id"), F.col("first.text_key").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    named = stored(named, "ngram-named")  # written, so that adaptive execution can split the join of a class with very many copies
-    out = described.select("doc_id", "text_key", "node").join(named, F.col("node") == F.col("n_node"), "left")
+    named = classes.select("node", "rep", "copies").join(joined.select(F.col("node").alias("j_node"), "root"), F.col("node") == F.col("j_node"), "left").withColumn("root", F.coalesce("root", "node")).drop("j_node")
+    named = named.join(links.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left").drop("l_node")
+    named = stored(named, "ngram-named")
+    least_id = stored(named.groupBy(F.col("root").alias("g_root")).agg(F.min("rep").alias("first"), F.count("*").alias("classes")), "ngram-first")
+    crowds = bit_filter(least_id.where(F.col("classes") > HOT_ROWS).select("g_root"))
+    named = spread_join(named, "root", "node", least_id.drop("classes"), "g_root", crowds)
+    named = named.select(F.col("node").alias("n_node"), F.col("first.doc_id").alias("class_id"), F.col("first.text_key").alias("class_key"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
+    named = stored(named, "ngram-classes")
+    crowds = bit_filter(named.where(F.col("copies") > HOT_ROWS).select("n_node"))
+    rows = described.select("doc_id", "text_key", "node").withColumn("row", F.monotonically_increasing_id())  # only deals a class's rows over tasks
+    out = spread_join(rows, "node", "row", named.drop("copies"), "n_node", crowds, "left")
     return out.select("doc_id", "text_key", F.coalesce("class_id", F.when(F.col("n_node").isNull(), F.col("doc_id"))).alias("class_id"), F.coalesce("class_key", "text_key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 

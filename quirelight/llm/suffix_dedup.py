@@ -9,28 +9,34 @@ anchor, equal strings have equal anchors, and so the suffixes at anchors, with t
    blocks meet, hashes of two documents or more are found, and go back by block.
 2. Runs. A block's candidate anchors give keys: the LENGTH bytes from the anchor on (its suffix), then the LENGTH -
    GRAM bytes before it, backwards. The keys are sorted, equal ones joined, and the rest front-coded (the length of the
-   prefix shared with the key before, and what follows it). Each part of the run goes to the task of its gram's hash,
-   as only keys with the same gram have a string in common.
+   prefix shared with the key before, and what follows it), with each key's least document. Which places have a key
+   stays in a file beside the block. Each part of the run goes to the task of its gram's hash, as only keys with the
+   same gram have a string in common.
 3. Merge. A loser tree combines the runs. It keeps for each run the prefix that its key shares with the last winner:
-   the longer prefix wins unseen, and equal prefixes are never compared again, only what follows. What leaves it is
+   the longer prefix wins unseen, and where two are equal only the bytes that follow are compared. What leaves it is
    the sorted suffix array with its common prefixes. Equal keys meet: all but the least document's lose every string
    around the anchor. Where a gram has several keys, the strings around it are grouped one alignment at a time.
-4. The removed ranges go back by block and are cut from its texts.
+4. A bit for each key of a run (whether it has the least document), and the alignments that this document loses too, go
+   back to the block, whose places give the ranges that are cut from its texts.
 
-A group of copies is one key a run, with its documents and places in a few bytes each. The tasks of 1 and 3 are as many
-as the text needs, TASK_BYTES each.
+However many copies there are, a block sends a key once and gets a bit for it. The tasks of 1 and 3 are as many as the
+text needs, TASK_BYTES each.
 
-Cases: null and empty texts have nothing to remove; matches never cross documents; rows of one doc_id never remove each
-other's bytes; a null doc_id is less than all others; cuts may split a UTF-8 sequence, so what is kept is binary;
+Cases: null and empty texts have nothing to remove; very long texts are read whole, one that is longer than a block in a
+block of its own; matches never cross documents; rows of one doc_id never remove each other's bytes, whatever their
+texts; a null doc_id stands with -2**63, before all others; cuts may split a UTF-8 sequence, so what is kept is binary;
 columns other than those named are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,9 +46,10 @@ from quirelight.llm.text_hash import Ranges, mix
 
 LENGTH = 50
 GRAM = 24
-TASK_BYTES = 8 << 20
+TASK_BYTES = 16 << 20
 BLOCK_BYTES = 12 << 20
 NO_ID = -(2**63)
+MEMBERS = ".members"
 _RANDOM = np.random.default_rng(20260304)
 _VALUES, _COEFFICIENTS = (_RANDOM.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))  # LENGTH up to 140
 
@@ -153,7 +160,8 @@ def _keys(data: np.ndarray, offsets: np.ndarray, at: np.ndarray, row: np.ndarray
 
 
 def _sorted_run(table: pa.Table, buckets: int, length: int, gram: int) -> pa.Table:
-    """Of one block: for each bucket, the front-coded sorted distinct keys, with each one's documents and places."""
+    """Of one block: for each bucket, the front-coded sorted distinct keys, with each one's least document. Writes the
+    keys' rows and places beside the block."""
     path = table.column("path")[0].as_py()
     known = np.unique(np.concatenate([risen(unpacked(x.as_py())[0]) for x in table.column("hashes")]))
     held, ids, rows = [], [], 0
@@ -174,7 +182,7 @@ def _sorted_run(table: pa.Table, buckets: int, length: int, gram: int) -> pa.Tab
     order = np.lexsort((place, ids[which], *(columns[:, i] for i in reversed(range(columns.shape[1]))), bucket))
     keys, bucket, which, place = keys[order], bucket[order], which[order], place[order]
     cuts = np.searchsorted(bucket, np.arange(buckets + 1))
-    some, blobs = [b for b in range(buckets) if cuts[b] < cuts[b + 1]], []
+    some, blobs, members = [b for b in range(buckets) if cuts[b] < cuts[b + 1]], [], {}
     for b in some:
         own = slice(cuts[b], cuts[b + 1])
         k = keys[own]
@@ -183,20 +191,26 @@ def _sorted_run(table: pa.Table, buckets: int, length: int, gram: int) -> pa.Tab
         shared = np.concatenate(([0], differ.argmax(axis=1)[first[1:] - 1])).astype(np.uint8)
         distinct = k[first]
         rest = distinct[np.arange(k.shape[1]) >= shared[:, None]].tobytes()
-        blobs.append(packed(k.shape[1], shared, rest, small(np.diff(np.append(first, len(k)))), path, small(ids[which[own]]), small(which[own]), small(place[own])))
+        blobs.append(packed(k.shape[1], shared, rest, small(ids[which[own]][first])))
+        members[b] = packed(small(np.diff(np.append(first, len(k)))), small(which[own]), small(place[own]))
+    fs, at = files(path + MEMBERS)
+    if fs.get_file_info(at).type == pafs.FileType.NotFound:  # a task that is run again has the same to write
+        draft = f"{at}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(draft) as sink:
+            sink.write(pickle.dumps(members, protocol=5))
+        fs.move(draft, at)
     del keys, columns, held
     release()
-    return pa.table({"bucket": pa.array(some, pa.int32()), "run": pa.array(blobs, pa.binary())})
+    return pa.table({"bucket": pa.array(some, pa.int32()), "path": pa.array([path] * len(some), pa.string()), "run": pa.array(blobs, pa.binary())})
 
 
 class Run:
-    """A front-coded run, read key by key; key: the current one as a number, None at the end."""
+    """A front-coded run, read key by key; key: the current one, None at the end."""
 
     def __init__(self, blob: bytes):
-        self.width, shared, self.rest, counts, self.path, ids, which, place = unpacked(blob)
-        self.shared, self.counts = shared.tolist(), large(counts)
-        self.members = large(ids), large(which), large(place)  # of all keys in order
-        self.i, self.at, self.bytes, self.key = -1, 0, b"", 0
+        self.width, shared, self.rest, least = unpacked(blob)
+        self.shared, self.least = shared.tolist(), large(least)  # the least document of each key
+        self.i, self.at, self.key = -1, 0, b""
         self.step()
 
     def step(self) -> int:
@@ -207,20 +221,18 @@ class Run:
             return 0
         n = self.shared[self.i]
         upto = self.at + self.width - n
-        self.bytes = self.bytes[:n] + self.rest[self.at : upto]
+        self.key = self.key[:n] + self.rest[self.at : upto]
         self.at = upto
-        self.key = int.from_bytes(self.bytes, "big")
         return n
 
 
 def merged(runs: list[Run]):
     """The loser tree: yields (prefix shared with the key before, run's number), the run standing at its key, in order.
-    A run's prefix is with the last winner. The longer one is the smaller key, unseen; at equal ones the keys are
-    compared, which gives the loser's prefix with the new winner."""
+    A run's prefix is with the last winner. The longer one is the smaller key, unseen; at equal ones the bytes after it
+    are compared, which gives the loser's prefix with the new winner. A prefix of the whole width is an equal key."""
     size = 1
     while size < len(runs):
         size *= 2
-    bits = runs[0].width * 8
     width = runs[0].width
     keys = [r.key for r in runs] + [None] * (size - len(runs))
     prefix = [0] * size
@@ -232,10 +244,11 @@ def merged(runs: list[Run]):
         p, q = prefix[a], prefix[b]
         if p != q:
             return (a, b) if p > q else (b, a)
+        x, y = int.from_bytes(x[p:], "big"), int.from_bytes(y[p:], "big")
         if x == y:
             prefix[b] = width
             return a, b
-        common = (bits - (x ^ y).bit_length()) >> 3
+        common = width - (((x ^ y).bit_length() + 7) >> 3)
         if x < y:
             prefix[b] = common
             return a, b
@@ -254,11 +267,9 @@ def merged(runs: list[Run]):
             after.append(won)
         winners, level = after, half
     top = winners[0]
-    last = None
     while keys[top] is not None:
         run = runs[top]
-        yield (width if keys[top] == last else prefix[top]), top
-        last = keys[top]
+        yield prefix[top], top
         prefix[top] = run.step()
         keys[top] = run.key
         node = (top + size) >> 1
@@ -267,40 +278,35 @@ def merged(runs: list[Run]):
             node >>= 1
 
 
-def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
-    """One bucket's runs merged: by block, the ranges to remove around this bucket's anchors."""
+def _decided(table: pa.Table, length: int, gram: int) -> pa.Table:
+    """One bucket's runs merged. For each block: which of its run's keys have the key's least document, and of these the
+    ranges of alignments (numbers of bytes before the anchor) that an earlier document's other key of the gram has too."""
     left = length - gram
     runs = [Run(x.as_py()) for x in table.column("run")]
+    width = runs[0].width
     shared, of_run, distinct = [], [], []
     for n, r in merged(runs):
         shared.append(n)
         of_run.append(r)
-        if n < runs[0].width:
-            distinct.append(runs[r].bytes)
+        if n < width:
+            distinct.append(runs[r].key)
     shared, of_run = np.array(shared), np.array(of_run)
-    key = np.cumsum(shared < runs[0].width) - 1  # of each merged place: the distinct key's number
+    key = np.cumsum(shared < width) - 1  # of each merged place: the distinct key's number
     keys = np.frombuffer(b"".join(distinct), np.uint8).reshape(len(distinct), -1)
-    group = (np.cumsum(shared < gram) - 1)[shared < runs[0].width]  # of each distinct key: its gram's number
-
-    # occurrences: a run's keys leave the tree in the run's order
-    order = np.argsort(of_run, kind="stable")
-    counts = np.concatenate([r.counts for r in runs])
-    member_key = np.repeat(key[order], counts)
-    docs, rows, places = (np.concatenate([r.members[i] for r in runs]) for i in range(3))
-    rows += np.repeat(np.arange(len(runs)) << 40, [len(r.members[0]) for r in runs])  # the run's number above
-    paths = [r.path for r in runs]
-    del runs, distinct
+    group = (np.cumsum(shared < gram) - 1)[shared < width]  # of each distinct key: its gram's number
+    order = np.argsort(of_run, kind="stable")  # a run's keys leave the tree in the run's order
+    key, least = key[order], np.concatenate([r.least for r in runs])
     first = np.full(len(keys), np.iinfo(np.int64).max)
-    np.minimum.at(first, member_key, docs)
+    np.minimum.at(first, key, least)
+    has_least = least == first[key]
+    sizes = [len(r.least) for r in runs]
+    del runs, distinct
     right, before = keys[:, length + left].astype(np.int64), keys[:, length + left + 1].astype(np.int64)
-    enough = right + before >= length
-
-    # every string around an anchor whose key an earlier document has
-    later = (docs > first[member_key]) & enough[member_key]
-    out = [(rows[later], places[later] - before[member_key[later]], (right + before)[member_key[later]])]
 
     # strings that the least document of a key shares with an earlier document's other key of the gram
-    many = np.flatnonzero((np.bincount(group)[group] > 1) & enough)
+    many = np.flatnonzero((np.bincount(group)[group] > 1) & (right + before >= length))
+    number = np.zeros(0, np.int64)
+    lo = hi = number
     if len(many):
         own = keys[many]
         earlier = np.zeros((len(many), left + 3), np.int8)  # by the number of bytes before the anchor, from column 1
@@ -316,36 +322,64 @@ def _removed(table: pa.Table, length: int, gram: int) -> pa.Table:
             can = np.flatnonzero((right[many] > i) & (before[many] >= o))
             if len(can):
                 _, which = np.unique(ahead[can] + back[o][can], return_inverse=True)
-                least = np.full(which.max() + 1, np.iinfo(np.int64).max)
-                np.minimum.at(least, which, first[many[can]])
-                earlier[can, o + 1] = least[which] < first[many[can]]
+                earliest = np.full(which.max() + 1, np.iinfo(np.int64).max)
+                np.minimum.at(earliest, which, first[many[can]])
+                earlier[can, o + 1] = earliest[which] < first[many[can]]
         change = np.diff(earlier, axis=1)
         row, lo = np.nonzero(change == 1)
         hi = np.nonzero(change == -1)[1] - 1  # alignments lo to hi are one range
-        if len(row):
-            number = np.full(len(keys), -1)
-            number[many] = np.arange(len(many))
-            at = np.flatnonzero((docs == first[member_key]) & (number[member_key] >= 0))
-            at = at[np.argsort(number[member_key[at]], kind="stable")]
-            begin = np.searchsorted(number[member_key[at]], row)
-            n = np.searchsorted(number[member_key[at]], row, side="right") - begin
-            pick = at[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            out.append((rows[pick], places[pick] - np.repeat(hi, n), np.repeat(hi + length - lo, n)))
-    rows, start, size = (np.concatenate([x[i] for x in out]) for i in range(3))
-    order = np.lexsort((start, rows))
-    rows, start, size = rows[order], start[order], size[order]
-    cuts = np.searchsorted(rows, np.arange(len(paths) + 1) << 40)
-    own = [(i, slice(lo, hi)) for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if lo < hi]
-    blobs = [packed(small(rows[x] & ((1 << 40) - 1)), small(start[x]), small(size[x])) for _, x in own]
-    del keys, member_key, out
+        number = many[row]
+    ends = np.cumsum(sizes)
+    blobs = []
+    for a, b in zip(ends - sizes, ends, strict=True):
+        # keys of this run that have the least document, with their ranges
+        at = np.searchsorted(number, key[a:b])
+        n = np.where(has_least[a:b], np.searchsorted(number, key[a:b], side="right") - at, 0)
+        pick = np.repeat(at - np.cumsum(n) + n, n) + np.arange(n.sum())
+        blobs.append(packed(np.packbits(has_least[a:b]), small(np.repeat(np.arange(b - a), n)), small(lo[pick]), small(hi[pick])))
+    out = pa.table({"path": table.column("path"), "bucket": table.column("bucket"), "answer": pa.array(blobs, pa.binary())})
+    del keys, key
     release()
-    return pa.table({"path": pa.array([paths[i] for i, _ in own], pa.string()), "spans": pa.array(blobs, pa.binary())})
+    return out
 
 
-def _cut(path: str, spans: pa.Table) -> pa.Table:
+def _ranges(members: bytes, answer: bytes, ids: np.ndarray, sizes: np.ndarray, length: int, left: int) -> tuple[np.ndarray, ...]:
+    """Rows, starts and sizes of what goes around one bucket's anchors in a block."""
+    counts, rows, places = (large(x) for x in unpacked(members))
+    bits, number, lo, hi = unpacked(answer)
+    number, lo, hi = large(number), large(lo), large(hi)
+    has_least = np.unpackbits(bits, count=len(counts)).astype(bool)
+    key, begin = np.repeat(np.arange(len(counts)), counts), np.cumsum(counts) - counts
+    before, right = np.minimum(places, left), np.minimum(sizes[rows] - places, length)
+    own = ids[rows]
+    # places are in order of their documents: the first of a key is of its least document in the block
+    later = (~has_least[key] | (own > own[begin[key]])) & (before + right >= length)
+    out = [(rows[later], (places - before)[later], (before + right)[later])]
+    if len(number):
+        n = counts[number]
+        at = np.repeat(begin[number] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        of = np.repeat(np.arange(len(number)), n)
+        least = own[at] == own[begin[number]][of]
+        at, of = at[least], of[least]
+        out.append((rows[at], places[at] - hi[of], hi[of] + length - lo[of]))
+    return tuple(np.concatenate([x[i] for x in out]) for i in range(3))
+
+
+def _cut(path: str, answers: pa.Table, length: int, gram: int) -> pa.Table:
     """A block's documents without the removed ranges."""
-    found = [unpacked(x.as_py()) for x in spans.column("spans")]
-    rows, start, size = (np.concatenate([large(x[i]) for x in found]) if found else np.zeros(0, np.int64) for i in range(3))
+    ids, sizes = [], []
+    for batch in _block(path):
+        ids.append(batch.column("doc_id").to_numpy())
+        sizes.append(np.diff(utf8(batch.column("text"))[1]))
+    ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+    found = [(np.zeros(0, np.int64),) * 3]
+    if answers.num_rows:
+        fs, at = files(path + MEMBERS)
+        with fs.open_input_stream(at) as source:
+            members = pickle.loads(source.read())
+        found += [_ranges(members[b], a, ids, sizes, length, length - gram) for b, a in zip(answers.column("bucket").to_pylist(), answers.column("answer").to_pylist(), strict=True)]
+        del members
+    rows, start, size = (np.concatenate([x[i] for x in found]) for i in range(3))
     order = np.argsort(rows, kind="stable")
     rows, start, size = rows[order], start[order], size[order]
     out, before = [], 0
@@ -362,7 +396,8 @@ def _cut(path: str, spans: pa.Table) -> pa.Table:
         opens = gone & (np.concatenate(([True], ~gone[:-1]))[: len(gone)] | border[:-1])
         total = lambda x: np.diff(np.concatenate(([0], np.cumsum(x)))[offsets])
         kept = [data[a:b][~gone[a:b]].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-        out.append(pa.table({"doc_id": batch.column("doc_id"), "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(total(gone)), "n_spans": pa.array(total(opens)), "kept": pa.array(kept, pa.binary())}))
+        doc_id = pc.if_else(batch.column("no_id"), pa.scalar(None, pa.int64()), batch.column("doc_id"))
+        out.append(pa.table({"doc_id": doc_id, "n_bytes": pa.array(np.diff(offsets)), "n_removed": pa.array(total(gone)), "n_spans": pa.array(total(opens)), "kept": pa.array(kept, pa.binary())}))
         before += batch.num_rows
     return pa.concat_tables(out)
 
@@ -371,7 +406,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Per document row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary)."""
     spark = docs.sparkSession
     small_batches(spark)
-    docs = narrow(docs, "doc_id", "text").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), "text")
+    doc_id = F.col("doc_id").cast("long")
+    docs = narrow(docs, "doc_id", "text").select(F.coalesce(doc_id, F.lit(NO_ID)).alias("doc_id"), doc_id.isNull().alias("no_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(1, -(-size // TASK_BYTES))
     folder = f"{shared_folder(spark)}/suffix-{uuid.uuid4().hex}"
@@ -379,10 +415,10 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     blocks = dealt.where("bucket = -1").select("path")
     n = max(1, 2 * blocks.count())  # partitions for blocks: most have one, and they are never coalesced
     found = dealt.where("bucket >= 0").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shared, "path string, hashes binary")
-    runs = found.repartition(n, "path").groupBy("path").applyInArrow(lambda t: _sorted_run(t, buckets, length, gram), "bucket int, run binary")
-    spans = runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _removed(t, length, gram), "path string, spans binary")
-    cut = blocks.repartition(n, "path").groupBy("path").cogroup(spans.repartition(n, "path").groupBy("path")).applyInArrow(lambda a, b: _cut(a.column("path")[0].as_py(), b), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
-    return cut.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    runs = found.repartition(n, "path").groupBy("path").applyInArrow(lambda t: _sorted_run(t, buckets, length, gram), "bucket int, path string, run binary")
+    answers = runs.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _decided(t, length, gram), "path string, bucket int, answer binary")
+    cut = blocks.repartition(n, "path").groupBy("path").cogroup(answers.repartition(n, "path").groupBy("path")).applyInArrow(lambda a, b: _cut(a.column("path")[0].as_py(), b, length, gram), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return cut
 
 
 def digest(cut: DataFrame) -> DataFrame:

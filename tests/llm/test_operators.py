@@ -175,14 +175,14 @@ def test_loser_tree_orders_and_shares():
         shared = [0] + [next((i for i in range(8) if a[i] != b[i]), 8) for a, b in zip(keys[:-1], keys[1:], strict=True)]
         rest = b"".join(k[n:] for k, n in zip(keys, shared, strict=True))
         one = small(np.ones(len(keys), np.int64))
-        return suffix_dedup.Run(packed(8, np.array(shared, np.uint8), rest, one, "p", one, one, one))
+        return suffix_dedup.Run(packed(8, np.array(shared, np.uint8), rest, one))
 
     rng = np.random.default_rng(1)
     lists = [sorted({bytes(rng.integers(97, 99, 8).astype(np.uint8)) for _ in range(n)}) for n in (9, 1, 14, 5, 3)]
     runs = [run(x) for x in lists]
     got, before = [], None
     for shared, r in suffix_dedup.merged(runs):
-        key = runs[r].bytes
+        key = runs[r].key
         if before is not None:
             assert shared == next((i for i in range(8) if key[i] != before[i]), 8)
         got.append(key)

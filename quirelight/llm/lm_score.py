@@ -1,374 +1,365 @@
-"""LM scoring by a probabilistic suffix tree, beside a word-count baseline.
-
-The text model's symbols are the bytes of the lower-cased (A-Z) words, a space between words, and an end. A context is
-up to DEPTH symbols. Contexts of a share of at least LEAST_SHARE of all training symbols are candidates (so at most
-DEPTH / LEAST_SHARE, at any size of the corpus); one is retained if the divergence of its next-symbol distribution from
-that of the context without its oldest symbol is LEAST_DIVERGENCE nats or more, and with it all its suffixes. A
-retained context's distribution is smoothed by MASS pseudo-counts of its suffix's, the root's by half a count a symbol.
-A text is scored at the longest retained suffix of what precedes each symbol. For speed the tree is unrolled to an
-automaton whose states are the factors of retained contexts; as a state depends on the last DEPTH symbols only, a text
-is read in many pieces at once, each begun DEPTH symbols early.
-
-The baseline needs the count of each word (by a 64-bit hash). The HOT most frequent words are sent to all tasks; the
-others are asked for by hash range, where they meet the counts, and what they add comes back by document.
-
-All counts are over all training documents; they travel as sorted arrays, combined within tasks.
-
-Cases: a null or empty text is the end alone; without training documents N and V are 0, the base probability is 1 a
-token and the model is uniform; rows that repeat a doc_id are scored apart; a null doc_id hashes as the empty string;
-columns other than those named are ignored; an empty table gives no rows.
+"""LM scoring by a probabilistic suffix tree over words, beside a word-count baseline.
+
+A text's symbols are its lower-cased (A-Z) words [^\\x20\\x09-\\x0D]+ and an end. A word that no training text has is one
+symbol, unknown, in the model as in the baseline, so both are distributions over the same V + 1 symbols.
+
+A context is up to DEPTH symbols that precede another in the training texts. Of its successors those seen LEAST times or
+more are kept, the others are left to the shorter context. A context is retained if n times the divergence (in nats) of
+its next-symbol distribution, with what isn't kept as one symbol, from that of the context without its oldest symbol is
+at least GAIN after a charge of 1 + log(n) / 2 for each kept successor, n being how often it occurs; and with it all its
+suffixes. Nothing bounds the number of contexts: it grows with the corpus. Distributions are smoothed by absolute
+discounts: a kept successor has (count - DISCOUNT) / n, and what is left over goes to the suffix's distribution. The
+root gives unknown the share of training symbols that are words seen once (plus a half), and known ones the rest by
+count. A text is scored by its longest retained suffix before each symbol.
+
+Counts of all training documents are needed wherever a text is scored, so documents are written as blocks of
+BLOCK_BYTES to the shared folder, and texts are never shuffled. In rounds, each block sends sorted distinct hashes with
+its training counts by ranges of the hash, where all blocks' counts are added, and gets the sums back in the order it
+sent them: 1. words; 2. pairs of words that both occur LEAST times; 3. longer runs of such pairs; 4. what its training
+texts say of each context (sums over occurrences, so that a context in very many texts is one number a block). Then each
+block scores its documents. A range is what TASK_BYTES of text need; a frequent word, pair or context is one entry a
+block like any other.
+
+Hashes of words have 64 bits, those of longer runs 48, of which a clash only adds counts in the model.
+
+Cases: a null or empty text is the end alone; a very long text is a block of its own; without training documents N and V
+are 0 and both scores are 0; ties do not arise, as nothing is ranked; rows that repeat a doc_id are scored apart; a null
+doc_id hashes as the empty string; columns other than those named are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import bounded, held_out, narrow, small_batches, stored, utf8
-from quirelight.llm.packing import large, packed, ranges, rising, risen, small, unpacked
-from quirelight.llm.text_hash import LOWER, WORD, Ranges, words
-
-DEPTH = 5
-LEAST_SHARE = 1e-5
-LEAST_DIVERGENCE = 0.02
-MASS = 16.0
-HOT = 1 << 18
-END = 256  # as a symbol
+from quirelight.llm.common import bounded, files, held_out, narrow, release, shared_folder, small_batches, stored, utf8
+from quirelight.llm.packing import large, packed, rising, risen, small, unpacked
+from quirelight.llm.text_hash import LOWER, WORD, Ranges, mix, runs, words
+
+DEPTH = 3
+LEAST = 2
+GAIN = 4.0
+DISCOUNT = 0.5
+BLOCK_BYTES = 8 << 20
+TASK_BYTES = 12 << 20
+GRAM_BITS = 48
 END_HASH = np.uint64(1)  # as a word
-BITS = 9
-TASK_BYTES = 32 << 20
-FLUSH_BYTES = 32 << 20
-STRIDE = 64
-SYMBOLS = END + 1
-
-
-def symbols(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols of all rows, each after `depth` ends that stand for what precedes it; where rows start (and the length);
-    the words' hashes and rows."""
-    data = LOWER[data]
-    starts, ends, row = words(data, offsets, WORD)
-    n = len(offsets) - 1
-    in_row = np.bincount(row, minlength=n)
-    sizes = ends - starts + 1  # with the space or end after it
-    per_row = depth + np.where(in_row, np.bincount(row, sizes, n), 1).astype(np.int64)
-    begin = np.concatenate(([0], np.cumsum(per_row)))
-    out = np.full(begin[-1], END, np.uint16)
-    if len(starts):
-        first = np.concatenate(([True], row[1:] != row[:-1]))
-        upto = np.cumsum(sizes)
-        base = (upto - sizes)[first]
-        at = begin[row] + depth + (upto - sizes) - np.repeat(base, in_row[in_row > 0])
-        letters = np.repeat(at - starts, ends - starts)
-        inside = np.arange(int((ends - starts).sum())) + np.repeat(starts - (np.cumsum(ends - starts) - (ends - starts)), ends - starts)
-        out[inside + letters] = data[inside]
-        last = np.concatenate((row[1:] != row[:-1], [True]))
-        out[(at + ends - starts)[~last]] = 0x20
-    return out, begin, Ranges(data).of(starts, ends), row
-
-
-def grams(text: np.ndarray, begin: np.ndarray, depth: int) -> np.ndarray:
-    """A number for each symbol of a text: the symbols before it, the nearest in the highest bits, and itself."""
-    real = np.ones(len(text), bool)
-    real[(begin[:-1, None] + np.arange(depth)).ravel()] = False
-    at = np.flatnonzero(real)
-    out = np.zeros(len(at), np.uint64)
-    for i in range(1, depth + 1):
-        out = (out << np.uint64(BITS)) | text[at - i].astype(np.uint64)
-    return (out << np.uint64(BITS)) | text[at].astype(np.uint64)
-
-
-def summed(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    v, c = np.concatenate(values), np.concatenate(counts)
-    order = np.argsort(v, kind="stable")
-    v, c = v[order], c[order]
-    first = np.flatnonzero(np.concatenate(([True], v[1:] != v[:-1]))) if len(v) else np.zeros(0, np.int64)
-    return v[first], np.add.reduceat(c, first) if len(v) else c
-
-
-def _counted(batches, buckets: int, depth: int):
-    """Rows (kind, bucket, blob): counts of words (by hash) and of grams (by their two nearest symbols)."""
-    held: list[tuple] = []
-    size = 0
+SENT = "path string, bucket int, kind int, blob binary"
+ANSWERED = "path string, bucket int, kind int, blob binary, n long, v long, once long"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+WORDS, PAIRS, LONGER, CONTEXTS = range(4)
 
-    def flush():
-        if not held:
-            return
-        w, wc = summed([x[0] for x in held], [x[1] for x in held])
-        g, gc = summed([x[2] for x in held], [x[3] for x in held])
-        held.clear()
-        kinds, bs, blobs = [], [], []
-        cuts = ranges(w, buckets)
-        for b in range(buckets):
-            if cuts[b] < cuts[b + 1]:
-                own = slice(cuts[b], cuts[b + 1])
-                kinds.append("words"), bs.append(b), blobs.append(packed(rising(w[own]), small(wc[own])))
-        bucket = ((g >> np.uint64(BITS * (depth - 1))) % np.uint64(buckets)).astype(np.int64)
-        for b in np.unique(bucket):
-            own = bucket == b
-            kinds.append("grams"), bs.append(int(b)), blobs.append(packed(rising(g[own]), small(gc[own])))
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(bs, pa.int32()), pa.array(blobs, pa.binary())], ["kind", "bucket", "blob"])
 
-    for batch in bounded(batches):
-        data, offsets = utf8(batch.column("text"))
-        text, begin, hashes, _ = symbols(data, offsets, depth)
-        w, wc = np.unique(hashes, return_counts=True)
-        g, gc = np.unique(grams(text, begin, depth), return_counts=True)
-        if batch.num_rows:
-            w, wc = np.append(w, END_HASH), np.append(wc, batch.num_rows)
-        held.append((w, wc, g, gc))
-        size += len(data)
-        if size >= FLUSH_BYTES:
-            yield from flush()
-            size = 0
-        elif len(held) > 8:
-            held[:] = [(*summed([x[0] for x in held], [x[1] for x in held]), *summed([x[2] for x in held], [x[3] for x in held]))]
-    yield from flush()
-
-
-def _word_counts(table: pa.Table) -> pa.Table:
-    """One bucket's words with their counts, in order of hash, and the highest counts."""
-    parts = [unpacked(x.as_py()) for x in table.column("blob")]
-    w, c = summed([risen(x[0]) for x in parts], [large(x[1]) for x in parts])
-    top = np.lexsort((w, -c))[:HOT]
-    return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "n": pa.array([int(c.sum())], pa.int64()), "v": pa.array([len(w)], pa.int64()), "counts": pa.array([packed(rising(w), small(c))], pa.binary()), "top": pa.array([c[top].tolist()], pa.list_(pa.int64()))})
-
-
-def _nodes(table: pa.Table, depth: int, least: float, divergence: float) -> pa.Table:
-    """One bucket's tree below depth 2: (length, context, symbol, count) of contexts that are candidates and of length
-    2 at most, or diverge from their parents, or have such below them."""
-    parts = [unpacked(x.as_py()) for x in table.column("blob")]
-    g, c = summed([risen(x[0]) for x in parts], [large(x[1]) for x in parts])
-    symbol = (g & np.uint64(2**BITS - 1)).astype(np.int64)
-    lengths, contexts, nexts, counts = [], [], [], []
-    keep_below = np.zeros(0, np.uint64)
-    levels = {}
-    for d in range(1, depth + 1):
-        context = g >> np.uint64(BITS * (depth - d + 1))
-        pair, n = summed([(context << np.uint64(BITS)) | symbol.astype(np.uint64)], [c])
-        of = pair >> np.uint64(BITS)
-        first = np.flatnonzero(np.concatenate(([True], of[1:] != of[:-1])))
-        levels[d] = (pair, n, of[first], np.add.reduceat(n, first), first)
-    for d in range(depth, 0, -1):
-        pair, n, ctx, total, first = levels[d]
-        good = total >= least
-        if d > 2:
-            up_pair, up_n, up_ctx, up_total, _ = levels[d - 1]
-            of = pair >> np.uint64(BITS)
-            up = ((of >> np.uint64(BITS)) << np.uint64(BITS)) | (pair & np.uint64(2**BITS - 1))
-            parent = up_n[np.searchsorted(up_pair, up)] / up_total[np.searchsorted(up_ctx, of >> np.uint64(BITS))]
-            own = n / np.repeat(total, np.diff(np.append(first, len(n))))
-            apart = np.add.reduceat(own * np.log(own / parent), first)
-            good &= (apart >= divergence) | np.isin(ctx, keep_below)
-        if d > 1:
-            keep_below = np.unique(ctx[good] >> np.uint64(BITS))
-        rows = np.repeat(good if d > 1 else np.ones(len(good), bool), np.diff(np.append(first, len(n))))
-        lengths.append(np.full(rows.sum(), d)), contexts.append(pair[rows] >> np.uint64(BITS)), nexts.append(pair[rows] & np.uint64(2**BITS - 1)), counts.append(n[rows])
-    return pa.table({"length": pa.array(np.concatenate(lengths).astype(np.int32)), "context": pa.array(np.concatenate(contexts).astype(np.int64)), "symbol": pa.array(np.concatenate(nexts).astype(np.int32)), "n": pa.array(np.concatenate(counts).astype(np.int64))})
-
-
-class Tree:
-    """The retained contexts with their smoothed distributions, unrolled to an automaton."""
-
-    def __init__(self, nodes: list[tuple[int, int, int, int]], depth: int, least: float, divergence: float = LEAST_DIVERGENCE, mass: float = MASS):
-        """nodes: (length, context as a number with the nearest symbol highest, next symbol, count)."""
-        found: dict[tuple[int, ...], np.ndarray] = {}
-        for length, context, symbol, n in nodes:
-            key = tuple((context >> (BITS * i)) & (2**BITS - 1) for i in range(length))  # oldest first
-            found.setdefault(key, np.zeros(SYMBOLS))[symbol] += n
-        root = np.zeros(SYMBOLS)
-        for key, counts in found.items():
-            if len(key) == 1:
-                root += counts
-        total = {k: v.sum() for k, v in found.items()}
-        kept: set[tuple[int, ...]] = set()
-        for key in sorted(found, key=len, reverse=True):
-            if key not in kept and total[key] >= least:
-                parent = found.get(key[1:], root)
-                own, up = found[key] / total[key], parent / max(1.0, parent.sum())
-                there = own > 0
-                if len(key) > 2 or float((own[there] * np.log(own[there] / up[there])).sum()) >= divergence:
-                    kept.update(key[i:] for i in range(len(key)))
-        self.distributions = {(): (root + 0.5) / (root.sum() + 0.5 * SYMBOLS)}
-        for key in sorted(kept, key=len):
-            self.distributions[key] = (found[key] + mass * self.distributions[key[1:]]) / (total[key] + mass)
-        states = {()} | {key[i:j] for key in kept for i in range(len(key)) for j in range(i + 1, len(key) + 1)}
-        order = sorted(states, key=lambda x: (len(x), x))
-        number = {s: i for i, s in enumerate(order)}
-        # columns: the symbols seen, and one for all others, which have one probability in each state
-        seen = np.flatnonzero(root)
-        self.column = np.full(SYMBOLS, len(seen))
-        self.column[seen] = np.arange(len(seen))
-        columns = np.append(seen, np.flatnonzero(root == 0)[:1])
-        self.next = np.zeros((len(order), len(columns)), np.int32)
-        self.log10 = np.zeros((len(order), len(columns)), np.float32)
-        children: dict[tuple[int, ...], list[tuple[int, int]]] = {}
-        for s in order[1:]:
-            children.setdefault(s[:-1], []).append((s[-1], number[s]))
-        longest: dict[tuple[int, ...], int] = {}
-        for i, s in enumerate(order):
-            if s in self.distributions:
-                self.log10[i] = np.log10(self.distributions[s][columns])
-                longest[s] = i
-            else:
-                longest[s] = longest[s[1:]]
-                self.log10[i] = self.log10[longest[s]]
-            if s:
-                self.next[i] = self.next[number[s[1:]]]
-            for symbol, child in children.get(s, ()):
-                self.next[i, self.column[symbol]] = child
-        self.depth, self.states = depth, len(order)
-        self.contexts = len(self.distributions)
-        del self.distributions  # not sent
-
-    def score(self, text: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """log10 probability of each row of symbols()."""
-        depth, n = self.depth, len(text)
-        pieces = -(-n // STRIDE)
-        padded = self.column[np.concatenate([np.full(depth, END, np.int64), text, np.full(pieces * STRIDE - n, END, np.int64)])]
-        at = np.arange(pieces) * STRIDE
-        state = np.zeros(pieces, np.int64)
-        (move, log10), width = (self.next.ravel(), self.log10.ravel()), self.next.shape[1]
-        out = np.zeros((STRIDE, pieces), np.float32)
-        for i in range(depth + STRIDE):
-            place = state * width + padded[at + i]
-            if i >= depth:
-                out[i - depth] = log10[place]
-            state = move[place].astype(np.int64)
-        each = out.T.ravel()[:n].astype(np.float64)
-        each[(begin[:-1, None] + np.arange(depth)).ravel()] = 0.0
-        return np.add.reduceat(each, begin[:-1])
-
-
-def _scored(batches, model, buckets: int):
-    """Rows of documents (part, row, doc_id, held_out, n_tokens, known and base of hot words, score), and requests
-    (part, bucket, blob) for the counts of a part's other words. A part is what a task reads between two flushes."""
-    tree, hot, hot_counts, n, v = model.value
-    base = np.log10(float(n + v + 1))
-    part, ordinal, size = TaskContext.get().partitionId() << 24, 0, 0
-    names = ["part", "row", "doc_id", "held_out", "n_tokens", "known", "base", "score", "bucket", "blob"]
-    held: list[tuple[np.ndarray, np.ndarray]] = []
+def _dealt(batches, folder: str):
+    """Writes blocks; their paths."""
+    held, size, part, number = [], 0, TaskContext.get().partitionId(), 0
 
     def flush():
-        if not held:
-            return
-        h, r = np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held])
+        path = f"{folder}/block-{part:06d}-{number:06d}-{uuid.uuid4().hex}.arrows"
+        fs, at = files(path)
+        fs.create_dir(at.rpartition("/")[0], recursive=True)
+        with fs.open_output_stream(at) as sink, pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            for batch in held:
+                out.write_batch(batch)
         held.clear()
-        order = np.argsort(h, kind="stable")
-        h, r = h[order], r[order]
-        cuts = ranges(h, buckets)
-        some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-        blobs = [packed(rising(h[cuts[b] : cuts[b + 1]]), small(r[cuts[b] : cuts[b + 1]])) for b in some]
-        nulls = [pa.nulls(len(some), t) for t in (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-        yield pa.RecordBatch.from_arrays([pa.array([part] * len(some), pa.int64()), *nulls, pa.array(some, pa.int32()), pa.array(blobs, pa.binary())], names)
+        return pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
 
     for batch in bounded(batches):
-        rows = batch.num_rows
-        if not rows:
+        if not batch.num_rows:
             continue
-        data, offsets = utf8(batch.column("text"))
-        text, begin, hashes, row = symbols(data, offsets, tree.depth)
-        hashes = np.concatenate([hashes, np.full(rows, END_HASH)])
-        row = np.concatenate([row, np.arange(rows)])
-        at = np.minimum(np.searchsorted(hot, hashes), max(0, len(hot) - 1))
-        found = hot[at] == hashes if len(hot) else np.zeros(len(hashes), bool)
-        c = hot_counts[at[found]] if len(hot) else np.zeros(0)
-        hot_base = np.bincount(row[found], np.log10(c + 1.0) - base, rows)
-        known = np.bincount(row[found], minlength=rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([part] * rows, pa.int64()), pa.array(ordinal + np.arange(rows)), batch.column("doc_id"), batch.column("held_out"), pa.array(np.bincount(row, minlength=rows)), pa.array(known), pa.array(hot_base), pa.array(tree.score(text, begin)), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names
-        )
-        held.append((hashes[~found], row[~found] + ordinal))
-        ordinal, size = ordinal + rows, size + len(data)
-        if size >= FLUSH_BYTES:
-            yield from flush()
-            part, ordinal, size = part + 1, 0, 0
-    yield from flush()
-
-
-def _answered(requests: pa.Table, counts: pa.Table, total: int) -> pa.Table:
-    """One bucket: what its words add to the rows of each part that asked."""
-    w, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    if counts.num_rows:
-        w, c = unpacked(counts.column("counts")[0].as_py())
-        w, c = risen(w), large(c)
-    answers = []
-    for blob in requests.column("blob"):
-        h, r = unpacked(blob.as_py())
-        h, r = risen(h), large(r)
-        at = np.minimum(np.searchsorted(w, h), max(0, len(w) - 1))
-        there = w[at] == h if len(w) else np.zeros(len(h), bool)
-        n = np.where(there, c[at] if len(w) else 0, 0)
-        some, which = np.unique(r, return_inverse=True)
-        answers.append(packed(small(some), np.bincount(which, np.log10(n + 1.0) - np.log10(float(total))), np.bincount(which, there).astype(np.int64)))
-    return pa.table({"part": requests.column("part"), "answer": pa.array(answers, pa.binary())})
-
-
-def _added(rows: pa.Table, answers: pa.Table, n: int) -> pa.Table:
-    """One part's documents with the answers added."""
-    base, known, row = rows.column("base").to_numpy().copy(), rows.column("known").to_numpy().copy(), rows.column("row").to_numpy()
-    place = np.empty(len(row), np.int64)
-    place[row] = np.arange(len(row))
-    for blob in answers.column("answer"):
-        some, values, there = unpacked(blob.as_py())
-        base[place[large(some)]] += values
-        known[place[large(some)]] += there
-    return pa.table({"doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": rows.column("n_tokens"), "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(row), n)), "base_score": pa.array(base), "score": rows.column("score")})
-
-
-def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH, least_share: float = LEAST_SHARE, hot: int = HOT) -> DataFrame:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= BLOCK_BYTES:
+            yield flush()
+            size, number = 0, number + 1
+    if held:
+        yield flush()
+
+
+class Block:
+    """The symbols of a block's documents. place: of a symbol in its document; train: whether it may be learned from."""
+
+    def __init__(self, batches):
+        ids, held, hashes, row, sizes, rows = [], [], [], [], [], 0
+        for batch in batches:
+            data, offsets = utf8(batch.column("text"))
+            data = LOWER[data]
+            starts, ends, of = words(data, offsets, WORD)
+            n = np.bincount(of, minlength=batch.num_rows)
+            found = np.full(len(of) + batch.num_rows, END_HASH, np.uint64)
+            found[np.arange(len(of)) + of] = Ranges(data).of(starts, ends)  # each earlier row has an end too
+            hashes.append(found)
+            sizes.append(n + 1)
+            ids.append(batch.column("doc_id"))
+            held.append(batch.column("held_out").to_numpy(zero_copy_only=False))
+            rows += batch.num_rows
+        self.doc_id, self.held = pa.chunked_array(ids), np.concatenate(held)
+        self.hash, self.sizes = np.concatenate(hashes), np.concatenate(sizes)
+        self.row = np.repeat(np.arange(rows), self.sizes)
+        self.place = np.arange(len(self.row)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        self.train = ~self.held[self.row]
+
+    @classmethod
+    def read(cls, path: str) -> Block:
+        fs, at = files(path)
+        with fs.open_input_stream(at) as source, pa.ipc.open_stream(source) as found:
+            return cls(list(found))
+
+    def grams(self, k: int) -> np.ndarray:
+        """Hashes of the k symbols up to each one (of no meaning where a document has fewer before it)."""
+        out = np.zeros(len(self.hash), np.uint64)
+        out[k - 1 :] = runs(self.hash, k)
+        return mix(out ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - GRAM_BITS)
+
+
+class Counts:
+    """Training counts of a block's grams: count[k] of the k symbols up to each one, 0 where it isn't known to be LEAST or
+    more (k > 1). It is filled round by round; ask() gives the distinct hashes of the next round and their places."""
+
+    def __init__(self, block: Block, depth: int):
+        self.block, self.depth, self.count = block, depth, {}
+
+    def asked(self, kind: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
+        """Levels with the places (indexes of symbols) that are asked for, the distinct hashes, and which of them each
+        place has, levels one after another."""
+        block, levels = self.block, []
+        if kind == WORDS:
+            levels.append((1, np.arange(len(block.hash))))
+            hashes = block.hash
+        elif kind == PAIRS:
+            often = self.count[1] >= LEAST
+            at = np.flatnonzero(often[1:] & often[:-1] & (block.place[1:] > 0)) + 1
+            levels.append((2, at))
+            hashes = block.grams(2)[at]
+        else:
+            often = self.count[2] >= LEAST  # the pair that ends here
+            run, parts = often, []
+            for k in range(3, self.depth + 2):
+                run = often & np.concatenate(([False], run[:-1]))
+                at = np.flatnonzero(run)
+                levels.append((k, at))
+                parts.append(block.grams(k)[at])
+            hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        distinct, which = np.unique(hashes, return_inverse=True)
+        return levels, distinct, which
+
+    def fill(self, kind: int, blobs: list[bytes], asked=None) -> None:
+        """blobs: the answers in order of the ranges."""
+        levels, distinct, which = asked or self.asked(kind)
+        total = np.concatenate([np.zeros(0, np.int64), *[large(unpacked(x)[0]) for x in blobs]])
+        found, at = total[which] if len(which) else np.zeros(0, np.int64), 0
+        for k, places in levels:
+            self.count[k] = np.zeros(len(self.block.hash), np.int64)
+            own = found[at : at + len(places)]
+            self.count[k][places] = own if k == 1 else np.where(own >= LEAST, own, 0)
+            at += len(places)
+
+    def root(self, totals: tuple[int, int, int]) -> np.ndarray:
+        """The root's probability of each symbol."""
+        n, _, once = totals
+        if not n:
+            return np.ones(len(self.block.hash))
+        unknown = (once + 0.5) / (n + 1)
+        return np.where(self.count[1] > 0, (1 - unknown) * self.count[1] / n, unknown)
+
+    def contexts(self) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
+        """For each length the places whose context of that length occurs LEAST times; the distinct contexts' hashes; and
+        which each place has."""
+        levels, parts = [], []
+        for d in range(1, self.depth + 1):
+            at = np.flatnonzero((self.count[d][:-1] >= LEAST) & (self.block.place[1:] >= d)) + 1
+            levels.append((d, at))
+            parts.append(self.block.grams(d)[at - 1])
+        distinct, which = np.unique(np.concatenate(parts), return_inverse=True)
+        return levels, distinct, which
+
+
+def _range(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
+    """Borders in sorted hashes of equal ranges of their values."""
+    return np.searchsorted(hashes, np.array([b * 2**bits // buckets for b in range(buckets)], np.uint64)).tolist() + [len(hashes)]
+
+
+def _rows(path: str, kind: int, hashes: np.ndarray, bits: int, buckets: int, blob) -> pa.Table:
+    """Rows of SENT: for each range that has hashes, blob(slice)."""
+    cuts = _range(hashes, bits, buckets)
+    some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
+    return pa.table({"path": pa.array([path] * len(some), pa.string()), "bucket": pa.array(some, pa.int32()), "kind": pa.array([kind] * len(some), pa.int32()), "blob": pa.array([blob(slice(cuts[b], cuts[b + 1])) for b in some], pa.binary())})
+
+
+def _known(block: Block, answers: pa.Table, depth: int, upto: int) -> Counts:
+    """A block's counts from the answers to the rounds up to a kind."""
+    counts = Counts(block, depth)
+    for kind in range(upto + 1):
+        counts.fill(kind, _blobs(answers, kind))
+    return counts
+
+
+def _blobs(answers: pa.Table, kind: int) -> list[bytes]:
+    found = [(b, x) for b, k, x in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("blob").to_pylist(), strict=True) if k == kind]
+    return [x for _, x in sorted(found)]
+
+
+def _sent_counts(path: str, counts: Counts, kind: int, buckets: int) -> pa.Table:
+    levels, distinct, which = counts.asked(kind)
+    train = np.concatenate([np.zeros(0, bool), *[counts.block.train[at] for _, at in levels]])
+    n = np.bincount(which, train, len(distinct)).astype(np.int64)
+    return _rows(path, kind, distinct, 64 if kind == WORDS else GRAM_BITS, buckets, lambda x: packed(rising(distinct[x]), small(n[x])))
+
+
+def _added(table: pa.Table) -> pa.Table:
+    """One range: all blocks' counts added. For each block the sums in the order it sent; and one row with how many
+    words there are, how many distinct ones and how many seen once."""
+    table = table.sort_by("path")
+    paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
+    hashes = [risen(x[0]) for x in parts]
+    every, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(which, np.concatenate([large(x[1]) for x in parts]), len(every)).astype(np.int64)
+    ends = np.cumsum([len(h) for h in hashes])
+    blobs = [packed(small(total[which[b - len(h) : b]])) for h, b in zip(hashes, ends, strict=True)]
+    bucket, kind, n = table.column("bucket")[0].as_py(), table.column("kind")[0].as_py(), len(paths)
+    out = pa.table({"path": pa.array([*paths, None], pa.string()), "bucket": pa.array([bucket] * (n + 1), pa.int32()), "kind": pa.array([kind] * (n + 1), pa.int32()), "blob": pa.array([*blobs, None], pa.binary()), **{k: pa.array([0] * n + [int(v)], pa.int64()) for k, v in (("n", total.sum()), ("v", (total > 0).sum()), ("once", (total == 1).sum()))}})
+    del every, which, total, hashes, parts
+    release()
+    return out
+
+
+def _evidence(answers: pa.Table, depth: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
+    """What a block's training texts say of its contexts: over occurrences with a kept successor, sums of the log of its
+    share over its share in the suffix, of the latter by its count, of ones, and of one by its count; and n."""
+    path = answers.column("path")[0].as_py()
+    counts = _known(Block.read(path), answers, depth, LONGER)
+    root, train = counts.root(totals), counts.block.train
+    levels, distinct, which = counts.contexts()
+    sums = np.zeros((4, len(distinct)))
+    n, at = np.zeros(len(distinct), np.int64), 0
+    for d, places in levels:
+        own = which[at : at + len(places)]
+        at += len(places)
+        n[own] = counts.count[d][places - 1]
+        kept = counts.count[d + 1][places]
+        some = (kept >= LEAST) & train[places]
+        own, kept, places = own[some], kept[some].astype(float), places[some]
+        before = root[places] if d == 1 else counts.count[d][places] / counts.count[d - 1][places - 1]
+        for i, x in enumerate((np.log(kept / (counts.count[d][places - 1] * before)), before / kept, np.ones(len(kept)), 1 / kept)):
+            sums[i] += np.bincount(own, x, len(distinct))
+
+    def blob(x: slice) -> bytes:
+        some = np.flatnonzero(sums[2, x])
+        s = sums[:, x][:, some]
+        return packed(rising(distinct[x]), small(n[x]), small(some), s[0].astype(np.float32), s[1].astype(np.float32), small(s[2].astype(np.int64)), s[3].astype(np.float32))
+
+    out = _rows(path, CONTEXTS, distinct, GRAM_BITS, buckets, blob)
+    release()
+    return out
+
+
+def retained(n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether contexts are retained, and the share that each leaves to its suffix, from the sums of _evidence()."""
+    gain, before, kept, successors = sums
+    rest = n - kept
+    spread = np.where(rest > 0, rest * np.log(np.maximum(rest, 1) / n / np.maximum(1 - before, 1e-9)), 0)
+    good = (kept > 0) & (gain + spread - successors * (1 + 0.5 * np.log(n)) >= GAIN)
+    return good, (rest + DISCOUNT * successors) / n
+
+
+def _judged(table: pa.Table) -> pa.Table:
+    """One range of contexts: for each block, in the order it sent, which are retained and the shares left over."""
+    table = table.sort_by("path")
+    paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
+    hashes = [risen(x[0]) for x in parts]
+    every, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    n, sums, at, spans = np.ones(len(every), np.int64), np.zeros((4, len(every))), 0, []
+    for h, (_, times, some, *values) in zip(hashes, parts, strict=True):
+        own = which[at : at + len(h)]
+        spans.append(own)
+        at += len(h)
+        n[own] = large(times)
+        own = own[large(some)]
+        for i, x in enumerate((values[0], values[1], large(values[2]), values[3])):
+            sums[i, own] += x  # a block has a context once
+    good, left = retained(n, np.minimum(sums, np.stack([np.full(len(n), np.inf), np.ones(len(n)), n, np.full(len(n), np.inf)])))
+    blobs = [packed(np.packbits(good[own]), left[own].astype(np.float32)) for own in spans]
+    k = len(paths)
+    out = pa.table({"path": pa.array(paths, pa.string()), "bucket": table.column("bucket"), "kind": table.column("kind"), "blob": pa.array(blobs, pa.binary()), **{c: pa.array([0] * k, pa.int64()) for c in ("n", "v", "once")}})
+    del every, which, sums, hashes, parts
+    release()
+    return out
+
+
+def probabilities(counts: Counts, totals: tuple[int, int, int], good: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Of each symbol, by the longest retained suffix of what precedes it. good, left: of counts.contexts()."""
+    levels, _, which = counts.contexts()
+    p = counts.root(totals)
+    depth, at, shares = np.zeros(len(p), np.int64), 0, []
+    for d, places in levels:
+        own = which[at : at + len(places)]
+        at += len(places)
+        shares.append(left[own])
+        depth[places[good[own]]] = d
+    for (d, places), share in zip(levels, shares, strict=True):
+        there = depth[places] >= d
+        places, share = places[there], share[there]
+        kept = counts.count[d + 1][places]
+        p[places] = np.where(kept >= LEAST, kept - DISCOUNT, 0) / counts.count[d][places - 1] + share * p[places]
+    return p
+
+
+def _scored(answers: pa.Table, depth: int, totals: tuple[int, int, int]) -> pa.Table:
+    """A block's documents."""
+    block = Block.read(answers.column("path")[0].as_py())
+    counts = _known(block, answers, depth, LONGER)
+    found = [unpacked(x) for x in _blobs(answers, CONTEXTS)]
+    left = np.concatenate([np.zeros(0, np.float32), *[x[1] for x in found]]).astype(np.float64)
+    good = np.concatenate([np.zeros(0, bool), *[np.unpackbits(bits, count=len(x)).astype(bool) for bits, x in found]])
+    n, v, _ = totals
+    each = np.log10(probabilities(counts, totals, good, left))
+    base = np.log10(counts.count[1] + 1.0) - np.log10(float(n + v + 1))
+    begin = np.cumsum(block.sizes) - block.sizes
+    known = np.add.reduceat((counts.count[1] > 0).astype(np.int64), begin)
+    out = pa.table({"doc_id": block.doc_id, "held_out": pa.array(block.held), "n_tokens": pa.array(block.sizes.astype(np.int64)), "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(begin), n)), "base_score": pa.array(np.add.reduceat(base, begin)), "score": pa.array(np.add.reduceat(each, begin))})
+    release()
+    return out
+
+
+def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every document row."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = narrow(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), held_out(docs["doc_id"], folds, lambda r: r == held).alias("held_out"), "text")
+    folder = f"{shared_folder(spark)}/lm-{uuid.uuid4().hex}"
+    blocks = stored(docs.mapInArrow(lambda b: _dealt(b, folder), "path string"), "lm-blocks")
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
-    buckets = max(1, -(-size // TASK_BYTES))
-    train = docs.where(~F.col("held_out")).select("text")
-    counted = stored(train.mapInArrow(lambda b: _counted(b, buckets, depth), "kind string, bucket int, blob binary"), "lm-counts")
-    word_counts = counted.where("kind = 'words'").repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_word_counts, "bucket int, n long, v long, counts binary, top array<long>")
-    word_counts = stored(word_counts, "lm-words")
-    total = word_counts.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).head()
-    n, v = int(total.n or 0), int(total.v or 0)
-
-    # the least count of a hot word: where the buckets' highest counts, summed by count, reach HOT words
-    by_count = word_counts.select(F.explode("top").alias("c")).groupBy("c").count().orderBy(F.desc("c")).limit(hot).collect()  # at most HOT distinct counts
-    chosen, floor = 0, 1 << 62
-    for r in by_count:
-        if chosen + r["count"] > hot:
-            break
-        chosen, floor = chosen + r["count"], r.c
-
-    def frequent(batches):
-        for batch in batches:
-            for blob in batch.column("counts"):
-                w, c = unpacked(blob.as_py())
-                w, c = risen(w), large(c)
-                keep = c >= floor
-                yield pa.RecordBatch.from_arrays([pa.array([packed(w[keep], c[keep])], pa.binary())], ["hot"])
-
-    parts = [unpacked(r.hot) for r in word_counts.select("counts").mapInArrow(frequent, "hot binary").collect()]  # HOT words in all at most
-    hot_words, hot_counts = summed([x[0] for x in parts], [x[1] for x in parts]) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-
-    def gram_total(batches):
-        for batch in batches:
-            for blob in batch.column("blob"):
-                yield pa.RecordBatch.from_arrays([pa.array([int(large(unpacked(blob.as_py())[1]).sum())])], ["n"])
-
-    gram_rows = counted.where("kind = 'grams'")
-    n_symbols = gram_rows.select("blob").mapInArrow(gram_total, "n long").agg(F.sum("n")).head()[0] or 0
-    least = max(2.0, least_share * n_symbols)
-    nodes = gram_rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(lambda t: _nodes(t, depth, least, LEAST_DIVERGENCE), "length int, context long, symbol int, n long")
-    nodes = nodes.groupBy("length", "context", "symbol").agg(F.sum("n").alias("n"))
-    # at most depth / least_share contexts
-    tree = Tree([(r.length, r.context, r.symbol, r.n) for r in nodes.collect()], depth, least)
-    model = spark.sparkContext.broadcast((tree, hot_words, hot_counts, n, v))
-
-    both = docs.mapInArrow(lambda b: _scored(b, model, buckets), "part long, row long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, bucket int, blob binary")
-    both = stored(both, "lm-scores")
-    requests = both.where("row is null").select("part", "bucket", "blob").repartition(buckets, "bucket")
-    counts = word_counts.select("bucket", "counts").repartition(buckets, "bucket")
-    answers = requests.groupBy("bucket").cogroup(counts.groupBy("bucket")).applyInArrow(lambda a, b: _answered(a, b, n + v + 1), "part long, answer binary")
-    rows = both.where("row is not null").drop("bucket", "blob")
-    return rows.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(lambda a, b: _added(a, b, n), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    buckets, n_blocks = max(1, -(-size // TASK_BYTES)), max(1, 2 * blocks.count())  # partitions for blocks: most have one
+
+    def sums(sent: DataFrame, name: str, function=_added) -> DataFrame:
+        return stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(function, ANSWERED), name)
+
+    def by_block(known: list[DataFrame], function, schema: str) -> DataFrame:
+        every = known[0]
+        for x in known[1:]:
+            every = every.unionByName(x.where("path is not null").select(*every.columns))
+        return every.repartition(n_blocks, "path").groupBy("path").applyInArrow(function, schema)
+
+    def asking(kind: int):
+        def ask(answers: pa.Table) -> pa.Table:
+            path = answers.column("path")[0].as_py()
+            out = _sent_counts(path, _known(Block.read(path), answers, depth, kind - 1), kind, buckets)
+            release()
+            return out
+
+        return ask
+
+    first = blocks.select("path", F.lit(0).alias("bucket"), F.lit(-1).alias("kind"), F.lit(None).cast("binary").alias("blob"))
+    known = [first]
+    for kind, name in ((WORDS, "lm-words"), (PAIRS, "lm-pairs"), (LONGER, "lm-longer")):
+        known.append(sums(by_block(known, asking(kind), SENT), name))
+        if kind == WORDS:
+            found = known[-1].agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once")]).head()
+            totals = tuple(int(x) for x in found)
+    known.append(sums(by_block(known, lambda t: _evidence(t, depth, buckets, totals), SENT), "lm-contexts", _judged))
+    return by_block(known, lambda t: _scored(t, depth, totals), RESULT)

@@ -2,6 +2,8 @@
 
 
 
+import math
+
 import numpy as np
 
 from quirelight.llm.sentence_dedup import sentences
@@ -71,3 +73,48 @@ def every_run_dedup(texts: dict[int, str | None], least: int = 2, min_words: int
         if first[key] != (d, i):
             gone[d].update(range(i, j + 1))
     return {d: b"".join(x for k, x in enumerate(p) if k not in gone[d]).decode() for d, p in parts.items()}
+
+
+def suffix_tree(texts: list[list[str]], train: list[bool], depth: int, gain: float, discount: float) -> list[float]:
+    """log10 probabilities by dictionaries: texts as words, each with its end."""
+    grams: dict[tuple, int] = {}
+    for ws, learn in zip(texts, train, strict=True):
+        for k in range(1, depth + 2):
+            for i in range(len(ws) - k + 1):
+                grams[tuple(ws[i : i + k])] = grams.get(tuple(ws[i : i + k]), 0) + learn
+    one = {g[0]: n for g, n in grams.items() if len(g) == 1 and n}
+    total, once = sum(one.values()), sum(n == 1 for n in one.values())
+    if not total:
+        return [0.0] * len(texts)
+    unknown = (once + 0.5) / (total + 1)
+    root = lambda w: (1 - unknown) * one[w] / total if w in one else unknown
+    after: dict[tuple, dict[str, int]] = {}
+    for g, n in grams.items():
+        if len(g) > 1 and n >= 2:
+            after.setdefault(g[:-1], {})[g[-1]] = n
+    kept = set()
+    for c, found in after.items():
+        n = grams[c]
+        before = {w: root(w) if len(c) == 1 else grams[(*c[1:], w)] / grams[c[1:]] for w in found}
+        rest = n - sum(found.values())
+        divergence = sum(x * math.log(x / (n * before[w])) for w, x in found.items())
+        if rest:
+            divergence += rest * math.log(rest / n / max(1e-9, 1 - min(1, sum(before.values()))))
+        if divergence - len(found) * (1 + 0.5 * math.log(n)) >= gain:
+            kept.add(c)
+
+    def p(c: tuple, w: str) -> float:
+        if not c:
+            return root(w)
+        n, found = grams.get(c, 0), after.get(c, {})
+        left = (n - sum(found.values()) + discount * len(found)) / n
+        return (found[w] - discount if w in found else 0) / n + left * p(c[1:], w)
+
+    out = []
+    for ws in texts:
+        score = 0.0
+        for i, w in enumerate(ws):
+            contexts = [tuple(ws[i - d : i]) for d in range(min(depth, i), 0, -1)]
+            score += math.log10(p(next((c for c in contexts if c in kept), ()), w))
+        out.append(score)
+    return out

@@ -81,7 +81,7 @@ def test_splitting_tree_is_exact():
 
 
 def test_lm_baseline_and_model(docs, texts):
-    rows = {r.doc_id: r for r in lm_score.lm_score(docs, hot=50).collect()}
+    rows = {r.doc_id: r for r in lm_score.lm_score(docs).collect()}
     low = {i: WORDS.findall(re.sub("[A-Z]", lambda m: m.group().lower(), t or "")) for i, t in texts.items()}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in low}
     counts = collections.Counter(w for i, ws in low.items() if not held[i] for w in [*ws, "\0end"])
@@ -93,29 +93,29 @@ def test_lm_baseline_and_model(docs, texts):
         assert r.score < 0
 
 
-def test_suffix_tree_against_plain_walk():
-    """The automaton scores as a walk that looks the longest retained suffix up at each symbol."""
-    import pyarrow as pa
+@pytest.mark.parametrize("block", [1 << 10, 8 << 20])
+def test_suffix_tree_against_plain_walk(spark, monkeypatch, block):
+    """Retention, distributions and the walk to the longest suffix, by dictionaries; in one block and in many."""
+    import random
 
-    texts = ["ab ab abc", "abc abd ab", "b a b", ""] * 30
-    data, offsets = lm_score.utf8(pa.array(texts))
-    text, begin, _, _ = lm_score.symbols(data, offsets, 3)
-    counts = collections.Counter()
-    for lo, hi in zip(begin[:-1], begin[1:], strict=True):
-        row = [int(x) for x in text[lo:hi]]
-        for t in range(3, len(row)):
-            for d in range(1, 4):
-                context = 0
-                for i in range(d):
-                    context = (context << lm_score.BITS) | row[t - 1 - i]
-                context = sum(row[t - d + i] << (lm_score.BITS * i) for i in range(d))
-                counts[(d, context, row[t])] += 1
-    tree = lm_score.Tree([(d, c, s, n) for (d, c, s), n in counts.items()], 3, 2)
-    scores = tree.score(text, begin)
-    assert np.allclose(scores[:4], scores[4:8]) and (scores < 0).all()
-    assert tree.states >= tree.contexts > 1
-    total = (10 ** tree.log10.astype(float)).sum(axis=1) + (10 ** tree.log10[:, -1].astype(float)) * (lm_score.SYMBOLS - tree.log10.shape[1])
-    assert np.allclose(total, 1, atol=1e-3)
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lm_score, "TASK_BYTES", block)
+    rng = random.Random(5)
+    phrases = [[rng.choice("abcdefgh") + str(rng.randrange(4)) for _ in range(rng.randrange(2, 7))] for _ in range(12)]
+    rows = []
+    for i in range(160):
+        ws = [w for _ in range(rng.randrange(0, 9)) for w in (rng.choice(phrases) if rng.random() < 0.6 else [f"x{rng.randrange(300)}"])]
+        rows.append((i, " ".join(ws).upper() if i % 3 else " ".join(ws)))
+    got = {r.doc_id: r.score for r in lm_score.lm_score(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
+    want = brute.suffix_tree([[*t.lower().split(), "\0"] for _, t in rows], train, lm_score.DEPTH, lm_score.GAIN, lm_score.DISCOUNT)
+    assert all(math.isclose(got[i], w, rel_tol=1e-5) for (i, _), w in zip(rows, want, strict=True))
+
+
+def test_suffix_tree_beats_the_baseline(spark):
+    for sf in ("sf0.001", "sf0.01"):
+        rows = lm_score.lm_score(table(spark, f"/root/testdata/{sf}", "documents")).where("held_out").collect()
+        assert sum(r.score for r in rows) > 0.9 * sum(r.base_score for r in rows) and sum(r.score < r.base_score for r in rows) < 0.2 * len(rows)
 
 
 def test_token_files_round_trip(docs, texts):

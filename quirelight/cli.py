@@ -1,4 +1,7 @@
-"""python -m quirelight.cli census|segment|labels|policies|verify: the stages over Parquet tables of pages or spans."""
+"""python -m quirelight.cli COMMAND: the stages over Parquet tables of pages or spans, and the tools around them.
+
+census, segment (with --spans refined by font sizes), units, titles, labels; freeze (the term table), evaluate (decisions
+against a table of true seams), policies, verify."""
 
 from __future__ import annotations
 
@@ -8,7 +11,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from quirelight import contracts
+from quirelight.operators import assemble as A
 from quirelight.operators import census as N
+from quirelight.operators import features as M
 from quirelight.operators import identity as I
 from quirelight.operators import segment as S
 from quirelight.sources.files import read_records, write_records
@@ -16,12 +21,15 @@ from quirelight.sources.files import read_records, write_records
 
 def main(args: list[str] | None = None) -> int:
     cli = argparse.ArgumentParser(prog="quirelight")
-    cli.add_argument("command", choices=["census", "segment", "labels", "policies", "verify"])
-    cli.add_argument("--input", help="Parquet of pages (census, segment) or spans (labels)")
-    cli.add_argument("--output", help="folder for JSON records")
+    cli.add_argument("command", choices=["census", "segment", "units", "titles", "labels", "freeze", "evaluate", "policies", "verify"])
+    cli.add_argument("--input", help="Parquet of pages (census, segment, evaluate), spans (units, titles, labels) or of document_id and text (freeze)")
+    cli.add_argument("--output", help="folder for JSON records, or of the frozen term table (freeze)")
     cli.add_argument("--policy", default="balanced", choices=sorted(contracts.load("segmentation")["policies"]))
-    cli.add_argument("--corpus", help="Parquet of document_id and text, for term statistics (labels)")
-    cli.add_argument("--validate", action="store_true", help="fail if segments don't tile their documents")
+    cli.add_argument("--spans", help="Parquet of document_id, page, text, font_size: font sizes refine what is in the balance (segment)")
+    cli.add_argument("--terms", help="folder of a frozen term table; without one all terms are equally rare (labels)")
+    cli.add_argument("--truth", help="Parquet of document_id, before_page, is_seam for every seam (evaluate)")
+    cli.add_argument("--validate", action="store_true", help="fail if segments don't tile their documents, or pages lack required fields (census)")
+    cli.add_argument("--report", action="store_true", help="print counts of what was written")
     a = cli.parse_args(args)
     if a.command == "policies":
         for name, threshold in contracts.load("segmentation")["policies"].items():
@@ -34,19 +42,32 @@ def main(args: list[str] | None = None) -> int:
         return int(bool(found))
     spark = SparkSession.builder.getOrCreate()
     rows = spark.read.parquet(a.input)
-    if a.command == "census":
-        write_records(N.census(rows), a.output)
+    if a.command == "freeze":
+        I.freeze(rows, a.output)
         return 0
-    if a.command == "segment":
+    if a.command == "census":
+        found = N.census(rows)
+        if a.validate and found.where(N.incomplete()).limit(1).count():
+            return 1
+    elif a.command in ("segment", "evaluate"):
         census = N.census(rows)
-        found = S.rejoined(S.segments(S.decided(S.scored(S.signals(S.seams(census))), a.policy), census), census)
-        write_records(found, a.output)
-        if a.validate:
-            kept = read_records(spark, a.output, "document_id string, segment_index int, start_page int, end_page int, page_count int")
-            return int(S.tiling_violations(kept, census).limit(1).count() > 0)
-        return 0
-    corpus = spark.read.parquet(a.corpus) if a.corpus else rows.select("document_id", "text")
-    write_records(I.labels(I.fused(rows, I.idf(corpus))), a.output)
+        pairs = S.seams(census)
+        scores = S.refined(pairs, S.histogram(spark.read.parquet(a.spans), ["document_id", "page"]), a.policy) if a.spans else S.scored(S.signals(pairs))
+        decisions = S.decided(scores, a.policy)
+        found = S.evaluation(decisions, spark.read.parquet(a.truth), []) if a.command == "evaluate" else S.rejoined(S.segments(decisions, census), census)
+    elif a.command == "units":
+        found = A.units(rows)
+    elif a.command == "titles":
+        found = M.titles(M.title_scores(M.matrix(A.units(rows))))
+    else:
+        found = I.elected(I.fused(A.units(rows), *I.thaw(spark, a.terms)))
+    write_records(found, a.output)
+    if a.report:
+        kept = spark.read.json(a.output)
+        print(f"{a.command}: {kept.count()} records" + (f", {kept.select('document_id').distinct().count()} documents" if "document_id" in kept.columns else ""))
+    if a.validate and a.command == "segment":
+        kept = read_records(spark, a.output, "document_id string, segment_index int, start_page int, end_page int, page_count int")
+        return int(S.tiling_violations(kept, census).limit(1).count() > 0)
     return 0
 
 

@@ -49,3 +49,13 @@ def verify() -> list[tuple[str, str]]:
         elif content_hash(name) != listed[name]["hash"]:
             out.append((name, "drifted" if load(name)["version"] == listed[name]["version"] else "stale"))
     return out
+
+
+def findings(listed, found):
+    """DataFrames of name, version, content_hash: the manifest's rows and the contracts'. name, finding: as verify()."""
+    from pyspark.sql import functions as F
+
+    both = listed.select("name", F.col("version").alias("l_version"), F.col("content_hash").alias("l_hash")).join(found, "name", "full")
+    drifted = F.when(F.col("l_version") == F.col("version"), "drifted").otherwise("stale")
+    finding = F.when(F.col("l_hash").isNull(), "missing").when(F.col("content_hash").isNull(), "orphan").when(F.col("l_hash") != F.col("content_hash"), drifted)
+    return both.select("name", finding.alias("finding")).where("finding is not null")

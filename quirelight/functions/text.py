@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quirelight import contracts
 
+#: Patterns that results depend on.
 STAMP = r"\b([A-Z]{3,8})[-_]?(\d{4,10})\b"
 LABEL = r"(?iu)\bPage\s+(\d{1,4})\s*(?:of|/)\s*(\d{1,4})\b"
 SPACER = r"(?iu)intentionally\s+(left\s+)?blank|this\s+page\s+is\s+blank"
@@ -38,6 +39,11 @@ def normalized(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"(?U)\s+", " "))
 
 
+def stripped(text: Column) -> Column:
+    """Without white space of any kind at its ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def words(norm: Column) -> Column:
     """Of normalised text."""
     return F.when(norm == "", F.array().cast("array<string>")).otherwise(F.split(norm, " "))
@@ -45,7 +51,7 @@ def words(norm: Column) -> Column:
 
 def lines(text: Column) -> Column:
     """Stripped lines that aren't blank."""
-    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\R"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(text, F.lit("")), r"\R"), stripped), lambda x: x != "")
 
 
 def masked_edge(line: Column) -> Column:

@@ -98,3 +98,14 @@ def census(pages: DataFrame) -> DataFrame:
     width = F.length("stamp_digits")
     series = (F.count("stamp_prefix").over(own) >= MIN_SERIES_PAGES) & (F.min(width).over(own) == F.max(width).over(own)) & (F.avg("rises").over(own) >= MIN_ASCENDING)
     return out.withColumn("in_series", F.col("stamp_prefix").isNotNull() & F.coalesce(series, F.lit(False))).drop("rises")
+
+
+REQUIRED = ("document_id", "page", "char_count", "word_count", "modality", "size_class", "orientation", "text_sha", "is_blank", "is_slip_sheet")
+
+
+def incomplete():
+    """Whether a census row lacks a required field or has an impossible number."""
+    out = (F.col("page") < 1) | (F.col("char_count") < 0)
+    for c in REQUIRED:
+        out |= F.col(c).isNull()
+    return out

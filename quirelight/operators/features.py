@@ -9,6 +9,7 @@ from quirelight import contracts
 from quirelight.functions import text as T
 
 C = contracts.load("identity")
+RANKED = 5
 LAYOUT = ("font_rank", "center_score", "bold_flag", "uppercase_ratio")
 
 
@@ -37,16 +38,20 @@ def levels(units: DataFrame) -> DataFrame:
 
 
 def matrix(units: DataFrame) -> DataFrame:
-    """units with their features. A unit's size is compared with its document, its place with its page."""
+    """units with their features. A unit's size is compared with its document, its place with its page and the page's
+    median gap between lines (median_gap), its page with the first of its segment (segment_start, else 1)."""
+    for name, default in (("median_gap", F.lit(None).cast("double")), ("modality", F.lit("native")), ("segment_start", F.lit(1))):
+        if name not in units.columns:
+            units = units.withColumn(name, default)
     page = Window.partitionBy("document_id", "page").orderBy("y", "x", "ord")
     whole = Window.partitionBy("document_id", "page")
-    order = Window.partitionBy("document_id", F.lower(F.regexp_replace("text", r"\d", "#"))).orderBy("page", "y", "x", "ord")
+    order = Window.partitionBy("document_id", F.lower(F.regexp_replace(T.normalized(F.col("text")), r"\d", "#"))).orderBy("ord")
     pw, ph = F.coalesce(F.nullif("page_width", F.lit(0.0)), F.lit(612.0)), F.coalesce(F.nullif("page_height", F.lit(0.0)), F.lit(792.0))
     clamp = lambda x: F.greatest(F.lit(0.0), F.least(F.lit(1.0), x))
     r4 = lambda x: T.rounded(x, 4)
     rows = units.withColumn("before", F.col("y") - F.lag("y").over(page)).withColumn("after", F.lead("y").over(page) - F.col("y")).withColumn("on_page", F.count("*").over(whole))
-    rows = rows.withColumn("median_gap", F.median(F.when(F.col("before") > 0, F.col("before"))).over(whole)).join(typography(units), "document_id")
-    determined = (F.col("on_page") >= 3) & F.col("median_gap").isNotNull()
+    rows = rows.join(typography(units), "document_id")
+    determined = (F.col("on_page") >= 3) & (F.coalesce("median_gap", F.lit(0.0)) > 0)
     isolation = r4(F.least((F.coalesce(F.col("before") / F.col("median_gap"), F.lit(2.0)) + F.coalesce(F.col("after") / F.col("median_gap"), F.lit(2.0))) / 4, F.lit(1.0)))
     text = F.col("text")
     return rows.select(
@@ -58,10 +63,11 @@ def matrix(units: DataFrame) -> DataFrame:
         r4(F.greatest(F.lit(0.0), 1 - F.abs(F.col("x") + F.col("width") / 2 - pw / 2) / (0.25 * pw))).alias("center_score"),
         r4(F.least(F.col("width") * F.col("height") / (pw * ph), F.lit(1.0))).alias("block_area"),
         r4(clamp(F.col("x") / pw)).alias("left_indent"),
-        F.col("bold").cast("int").cast("double").alias("bold_flag"),
+        F.when(F.col("modality") != "ocr", F.col("bold").cast("int").cast("double")).alias("bold_flag"),
         T.uppercase_ratio(text).alias("uppercase_ratio"),
         T.digit_ratio(text).alias("digit_ratio"),
         F.size(F.split(text, " ")).alias("word_count"),
+        (F.col("page") - F.col("segment_start") + 1).alias("page_in_segment"),
         text.rlike(T.IDENTIFIER).alias("identifier"),
         text.rlike(T.DATE).alias("date"),
         T.is_noise(text).alias("noise"),
@@ -74,7 +80,7 @@ def matrix(units: DataFrame) -> DataFrame:
 def eligibility(features: DataFrame) -> DataFrame:
     """Adds reasons: why a unit cannot be the title; none means that it can."""
     f = F.col
-    checks = (("too_few_words", f("word_count") < 2), ("too_many_words", f("word_count") > 28), ("noise", f("noise")), ("footer_zone", f("zone") == "footer"), ("digit_heavy", f("digit_ratio") > 0.55))
+    checks = (("too_few_words", f("word_count") < 2), ("too_many_words", f("word_count") > 28), ("noise_pattern", f("noise")), ("footer_zone", f("zone") == "footer"), ("digit_heavy", f("digit_ratio") > 0.55))
     fails = F.filter(F.array(*[F.when(c, n) for n, c in checks]), lambda x: x.isNotNull())
     return features.withColumn("reasons", F.when(F.length("text") < 8, F.array(F.lit("too_short"))).otherwise(fails))
 
@@ -89,7 +95,7 @@ def title_scores(features: DataFrame) -> DataFrame:
         total = total + F.coalesce(T.rounded(F.col(name) * w, 4), F.lit(0.0))
     f, p = F.col, C["title_penalties"]
     rules = (
-        ("not_first_page", f("page") > 1),
+        ("not_first_page", f("page_in_segment") > 1),
         ("identifier", f("identifier")),
         ("date", f("date") & (f("word_count") <= 6)),
         ("digit_heavy", f("digit_ratio") > 0.30),
@@ -101,12 +107,27 @@ def title_scores(features: DataFrame) -> DataFrame:
 
 
 def titles(scores: DataFrame) -> DataFrame:
-    """document_id, title, candidate, score, margin, confidence. Below the margin the title is null."""
-    order = Window.partitionBy("document_id").orderBy(F.desc("score"), "page", "top_ratio", "left_indent", "ord")
-    ranked = scores.where("score is not null").withColumn("rank", F.row_number().over(order)).withColumn("next", F.lead("score").over(order))
-    first = ranked.where("rank = 1").withColumn("margin", T.rounded(F.coalesce(F.col("score") - F.col("next"), F.col("score")), 4))
-    state = F.when(F.col("margin") >= C["review_margin"], "review").otherwise("escalate")
-    return first.select("document_id", F.when(state == "review", F.col("text")).alias("title"), F.col("text").alias("candidate"), "score", "margin", state.alias("confidence"))
+    """document_id, title, candidate, ord, score, margin, confidence, ranking (the best five: ord, score, text). Below the
+    margin the title is null."""
+    order = Window.partitionBy("document_id").orderBy(F.desc("score"), "page_in_segment", "top_ratio", "left_indent", "ord")
+    ranked = scores.where("score is not null").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= RANKED)
+    best = ranked.groupBy("document_id").agg(F.sort_array(F.collect_list(F.struct("rank", "ord", "score", "text"))).alias("b"))
+    first, second = F.get("b", 0), F.get("b", 1)
+    best = best.withColumn("margin", T.rounded(F.coalesce(first["score"] - second["score"], first["score"]), 4))
+    state = F.when(F.col("margin") >= C["auto_margin"], "auto").when(F.col("margin") >= C["review_margin"], "review").otherwise("escalate")
+    best = best.withColumn("confidence", state)
+    ranking = F.transform("b", lambda x: F.struct(x["ord"].alias("ord"), x["score"].alias("score"), F.left(x["text"], F.lit(90)).alias("text")))
+    return best.select("document_id", F.when(F.col("confidence") != "escalate", first["text"]).alias("title"), first["text"].alias("candidate"), first["ord"].alias("ord"), first["score"].alias("score"), "margin", "confidence", ranking.alias("ranking"))
+
+
+def by_segment(units: DataFrame, segments: DataFrame, heads: DataFrame) -> DataFrame:
+    """The units of each segment's head pages as a document of their own: document_id gets the segment's number, and
+    segment_start is the segment's first page."""
+    start = segments.select(F.col("document_id").alias("s_document"), F.col("segment_index").alias("s_index"), F.col("start_page").alias("segment_start"))
+    head = heads.select(F.col("document_id").alias("h_document"), "segment_index", F.col("page").alias("h_page"))
+    head = head.join(start, (F.col("h_document") == F.col("s_document")) & (F.col("segment_index") == F.col("s_index")))
+    rows = units.join(head, (F.col("document_id") == F.col("h_document")) & (F.col("page") == F.col("h_page")))
+    return rows.select(F.concat("document_id", F.lit("#"), F.col("segment_index").cast("string")).alias("document_id"), *[c for c in units.columns if c != "document_id"], "segment_start")
 
 
 def token_f1(a: F.Column, b: F.Column) -> F.Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quirelight import contracts
 from quirelight.functions import text as T
 from quirelight.operators import features as M
+from quirelight.storage import stored
 
 C = contracts.load("identity")
 SPLIT = r"[.,;:!?()\[\]{}\"“”/\\|]+|\s+[-–—]\s+"
@@ -36,69 +37,125 @@ def phrases(texts: DataFrame) -> DataFrame:
 
 
 def rake_words(found: DataFrame) -> DataFrame:
-    """document_id, word, freq, score: (degree + frequency) / frequency."""
-    one = found.select("document_id", F.explode(F.transform("words", lambda x: F.lower(x))).alias("word"), F.size("words").alias("n"))
+    """document_id, word, freq, score: (degree + frequency) / frequency, of words of two characters or more."""
+    own = F.filter(F.transform("words", lambda x: F.lower(x)), lambda x: F.length(x) >= 2)
+    one = found.select("document_id", own.alias("own")).select("document_id", F.explode("own").alias("word"), F.size("own").alias("n"))
     counts = one.groupBy("document_id", "word").agg(F.count("*").alias("freq"), F.sum(F.col("n") - 1).alias("degree"))
     return counts.select("document_id", "word", "freq", ((F.col("degree") + F.col("freq")) / F.col("freq")).alias("score"))
 
 
+def content_terms(text: F.Column) -> F.Column:
+    """Words fit for retrieval that aren't stopwords."""
+    return F.filter(T.ir_tokens(text), lambda w: ~F.array_contains(T.word_array("connectors", "hard_stopwords"), w))
+
+
 def terms(texts: DataFrame) -> DataFrame:
     """document_id, term, tf, length."""
-    counts = texts.select("document_id", F.explode(T.ir_tokens(F.col("text"))).alias("term")).groupBy("document_id", "term").agg(F.count("*").alias("tf"))
+    counts = texts.select("document_id", F.explode(content_terms(F.col("text"))).alias("term")).groupBy("document_id", "term").agg(F.count("*").alias("tf"))
     return counts.withColumn("length", F.sum("tf").over(Window.partitionBy("document_id")))
 
 
 def idf(corpus: DataFrame) -> DataFrame:
     """corpus: document_id, text. term, df, idf (smoothed, 6 places)."""
     n = corpus.agg(F.count_distinct("document_id").alias("n"))
-    df = corpus.select("document_id", F.explode(F.array_distinct(T.ir_tokens(F.col("text")))).alias("term")).groupBy("term").agg(F.count_distinct("document_id").alias("df"))
+    df = corpus.select("document_id", F.explode(F.array_distinct(content_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count_distinct("document_id").alias("df"))
     return df.crossJoin(F.broadcast(n)).select("term", "df", T.rounded(F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1), 6).alias("idf"))  # one row
 
 
-def phrase_scores(candidates: DataFrame, words: DataFrame, name: str) -> DataFrame:
-    """Adds a column: the sum of a document's word scores over a candidate's words, in order, over the root of their
-    number. candidates: document_id, key. words: document_id, word, score."""
-    one = candidates.select("document_id", "key", F.posexplode(F.split("key", " ")).alias("i", "w"))
-    hit = one.join(words.select(F.col("document_id").alias("w_document"), F.col("word"), F.col("score").alias("s")), (F.col("document_id") == F.col("w_document")) & (F.col("w") == F.col("word")), "left")
-    row = F.sort_array(F.collect_list(F.struct("i", F.coalesce("s", F.lit(0.0)).alias("s"))))
-    total = hit.groupBy("document_id", "key").agg(row.alias("row")).select("document_id", "key", T.rounded(F.aggregate("row", F.lit(0.0), lambda a, x: a + x["s"]) / F.sqrt(F.size("row")), 4).alias(name))
-    return candidates.join(total, ["document_id", "key"], "left")
+def idf_summary(corpus: DataFrame, table: DataFrame) -> DataFrame:
+    """One row: documents, avgdl (mean terms a document, one at least, 2 places), default_idf, most (the highest idf), and
+    version (of the table's content)."""
+    lengths = corpus.select("document_id", F.size(content_terms(F.col("text"))).alias("n")).groupBy("document_id").agg(F.greatest(F.sum("n"), F.lit(1)).alias("n"))
+    sizes = lengths.agg(F.count("*").alias("documents"), T.rounded(F.avg("n"), 2).alias("avgdl"))
+    content = table.agg(F.max("idf").alias("most"), F.sum(F.xxhash64("term", "idf").cast("decimal(38,0)")).alias("sum"))
+    default = T.rounded(F.log((F.col("documents") + 0.5) / 0.5 + 1), 6)
+    version = F.concat(F.lit("IDF-"), F.col("documents").cast("string"), F.lit("docs-"), F.substring(F.sha2(F.col("sum").cast("string"), 256), 1, 16))
+    return sizes.crossJoin(content).select("documents", "avgdl", default.alias("default_idf"), "most", version.alias("version"))  # one row each
+
+
+def freeze(corpus: DataFrame, folder: str) -> None:
+    """Write the term table and its summary; thaw() reads them, so that labels don't change as a corpus grows."""
+    table = idf(corpus)
+    table.write.parquet(f"{folder}/terms")
+    idf_summary(corpus, table.sparkSession.read.parquet(f"{folder}/terms")).coalesce(1).write.json(f"{folder}/summary")
 
 
-def bm25_words(texts: DataFrame, table: DataFrame) -> DataFrame:
-    """document_id, word, score: a term's part of a phrase's BM25; terms that the table lacks count as the rarest."""
+def thaw(spark, folder: str | None) -> tuple[DataFrame, DataFrame]:
+    """The frozen table and its summary; without a folder neutral ones, by which all terms are equally rare."""
+    schema = "documents long, avgdl double, default_idf double, most double, version string"
+    if folder is None:
+        return spark.createDataFrame([], "term string, df long, idf double"), spark.createDataFrame([(0, None, 1.0, 1.0, "absent")], schema)
+    return spark.read.parquet(f"{folder}/terms"), spark.read.schema(schema).json(f"{folder}/summary")
+
+
+def bm25_words(texts: DataFrame, table: DataFrame, summary: DataFrame) -> DataFrame:
+    """document_id, word, score: a term's part of a phrase's BM25; terms that the table lacks count as the rarest. Without
+    a frozen mean length a document's own stands for it."""
     k1, b = C["bm25"]["k1"], C["bm25"]["b"]
-    found = terms(texts)
-    spread = found.select("document_id", "length").distinct().agg(F.avg("length").alias("avgdl"))
-    most = table.agg(F.max("idf").alias("most"))
-    rows = found.join(table.select("term", "idf"), "term", "left").crossJoin(F.broadcast(spread)).crossJoin(F.broadcast(most))  # one row each
+    rows = terms(texts).join(table.select("term", "idf"), "term", "left").crossJoin(F.broadcast(summary.select("avgdl", "most")))  # one row
     weight = F.coalesce("idf", "most", F.lit(1.0))
-    return rows.select("document_id", F.col("term").alias("word"), (weight * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("length") / F.col("avgdl")))).alias("score"))
+    length = F.col("length") / F.coalesce("avgdl", F.col("length").cast("double"))
+    return rows.select("document_id", F.col("term").alias("word"), (weight * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * length))).alias("score"))
+
+
+def word_scores(units: DataFrame, table: DataFrame, summary: DataFrame) -> DataFrame:
+    """document_id, word, rake, bm25, textrank: a document's words, each with the scores it has."""
+    texts = units.select("document_id", "ord", "text")
+    found = {"rake": rake_words(phrases(texts)), "bm25": bm25_words(texts, table, summary), "textrank": textrank(word_edges(texts))}
+    every = None
+    for name, words in found.items():
+        one = words.select("document_id", "word", F.lit(name).alias("kind"), "score")
+        every = one if every is None else every.unionByName(one)
+    return every.groupBy("document_id", "word").agg(*[F.max(F.when(F.col("kind") == name, F.col("score"))).alias(name) for name in found])
+
+
+def counted(word: F.Column) -> dict[str, F.Column]:
+    """Whether each score counts a word of a candidate; a score's divisor is the root of how many it counts."""
+    hard, stop = C["hard_stopwords"], C["connectors"] + C["hard_stopwords"]
+    plain, size = ~word.rlike("^[0-9]+$"), F.length(word)
+    return {"rake": (size >= 2) & ~word.isin(hard), "bm25": plain & (size >= 2) & ~word.isin(stop), "textrank": plain & (size > 2) & ~word.isin(stop)}
+
+
+def phrase_scores(found: DataFrame, words: DataFrame) -> DataFrame:
+    """Adds rake, bm25 and textrank to candidates (document_id, key): of each, the sum of the document's scores of the
+    words it counts, in order, over the root of their number. Words are joined once for all three."""
+    one = found.select("document_id", "key", F.posexplode(F.split("key", " ")).alias("i", "w"))
+    words = words.select(F.col("document_id").alias("w_document"), F.col("word").alias("w_word"), *[F.col(c).alias(f"w_{c}") for c in ("rake", "bm25", "textrank")])
+    hit = one.join(words, (F.col("document_id") == F.col("w_document")) & (F.col("w") == F.col("w_word")), "left")
+    part = F.struct("i", *[F.when(c, F.coalesce(f"w_{name}", F.lit(0.0))).alias(name) for name, c in counted(F.col("w")).items()])
+    rows = hit.groupBy("document_id", "key").agg(F.sort_array(F.collect_list(part)).alias("parts"))
+    for name in ("rake", "bm25", "textrank"):
+        own = F.array_compact(F.col("parts").getField(name))
+        rows = rows.withColumn(name, F.when(F.size(own) > 0, T.rounded(F.aggregate(own, F.lit(0.0), lambda a, v: a + v) / F.sqrt(F.size(own)), 4)).otherwise(0.0))
+    rows = rows.select(F.col("document_id").alias("p_document"), F.col("key").alias("p_key"), "rake", "bm25", "textrank")
+    return found.join(rows, (F.col("document_id") == F.col("p_document")) & (F.col("key") == F.col("p_key")), "left").drop("p_document", "p_key")
 
 
 def word_edges(texts: DataFrame) -> DataFrame:
-    """document_id, a, b: content words within three of each other in one text, both ways."""
+    """document_id, a, b: content words within three of each other in one text, both ways; a word that stands alone has
+    itself for b."""
     stop = T.word_array("connectors", "hard_stopwords")
     content = F.filter(T.lexical_tokens(F.col("text")), lambda w: (F.length(w) > 2) & ~w.rlike("^[0-9]+$") & ~F.array_contains(stop, w))
-    one = texts.select("document_id", "ord", F.posexplode(content).alias("i", "a"))
-    along = Window.partitionBy("document_id", "ord").orderBy("i")
-    near = one.withColumn("next", F.array(F.lead("a", 1).over(along), F.lead("a", 2).over(along)))
-    near = near.select("document_id", "a", F.explode("next").alias("b")).where("b is not null and a <> b")
-    return near.union(near.select("document_id", F.col("b"), F.col("a"))).distinct()
+    rows = texts.select("document_id", content.alias("w")).where(F.size("w") > 0)
+    near = lambda n: F.transform(F.slice("w", 1, F.greatest(F.size("w") - n, F.lit(0))), lambda a, i: F.struct(a.alias("a"), F.get("w", i + n).alias("b")))
+    pairs = F.concat(near(1), near(2))
+    both = rows.select("document_id", F.explode(F.concat(pairs, F.transform(pairs, lambda p: F.struct(p["b"].alias("a"), p["a"].alias("b"))), F.transform("w", lambda a: F.struct(a.alias("a"), a.alias("b"))))).alias("p"))
+    return both.select("document_id", "p.a", "p.b").distinct()
 
 
 def textrank(edges: DataFrame) -> DataFrame:
-    """document_id, word, score: 40 rounds of PageRank over one document's words, the highest scaled to 1. A document's
-    graph is what one task holds; its neighbours are summed in order of words."""
+    """document_id, word, score: PageRank over one document's words, a fixed number of rounds, the highest scaled to 1. A
+    document's graph is what one task holds; its neighbours are summed in order of words. Edges from a word to itself only
+    name it."""
     d, rounds = C["textrank"]["damping"], C["textrank"]["iterations"]
 
     def rank(table: pa.Table) -> pa.Table:
         a, b = table.column("a").to_pylist(), table.column("b").to_pylist()
-        words = sorted({*a, *b})
+        words = sorted(set(a))
         number = {w: i for i, w in enumerate(words)}
-        pairs = sorted((number[x], number[y]) for x, y in zip(a, b, strict=True))
-        of, near = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
-        degree = np.bincount(of, minlength=len(words))
+        pairs = sorted((number[x], number[y]) for x, y in zip(a, b, strict=True) if x != y)
+        of, near = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs], np.int64)
+        degree = np.maximum(1, np.bincount(of, minlength=len(words)))
         score = np.full(len(words), 1 / len(words))
         for _ in range(rounds):
             score = (1 - d) / len(words) + d * np.bincount(of, (score / degree)[near], len(words))
@@ -108,8 +165,9 @@ def textrank(edges: DataFrame) -> DataFrame:
 
 
 def presentability(df: DataFrame, column: str = "text") -> DataFrame:
-    """Adds presentability: how well a text would sit on a tab, from rules in order."""
-    t = F.trim(column)
+    """Adds presentability, how well a text would sit on a tab, and rules: what was added or taken off, in order."""
+    P = C["presentability"]
+    t = T.stripped(F.col(column))
     w = F.filter(F.split(t, r"\s+"), lambda x: x != "")
     n, chars = F.size(w), F.length(t)
     low = F.transform(w, lambda x: F.lower(x))
@@ -117,8 +175,8 @@ def presentability(df: DataFrame, column: str = "text") -> DataFrame:
     first, last = F.try_element_at(bare, F.lit(1)), F.try_element_at(bare, F.lit(-1))
     connectors, stop = T.word_array("connectors"), T.word_array("connectors", "hard_stopwords")
     over = lambda x, most: 0.5 + 0.5 * F.least((x - most) / most, F.lit(2.0))
-    long_words, long_chars = F.when(n > 18, -0.55 * over(n, 18)), F.when(chars > 95, -0.40 * over(chars, 95))
-    length = F.when((n > 18) | (chars > 95), F.least(long_words, long_chars)).when(n.between(3, 12), 0.30).when(n < 2, -0.45).when(n < 3, -0.18).otherwise(0.0)
+    long_words, long_chars = F.when(n > 18, P["too_many_words"] * over(n, 18)), F.when(chars > 95, P["over_max_chars"] * over(chars, 95))
+    by_words = F.coalesce(long_words <= long_chars, n > 18)
     tokens = T.lexical_tokens(t)
     stop_ratio = F.when(F.size(tokens) > 0, F.size(F.filter(tokens, lambda x: F.array_contains(stop, x))) / F.size(tokens)).otherwise(1.0)
     letters, uppers = F.length(F.regexp_replace(t, r"[^\p{L}]", "")), F.length(F.regexp_replace(t, r"[^\p{Lu}]", ""))
@@ -129,38 +187,50 @@ def presentability(df: DataFrame, column: str = "text") -> DataFrame:
     for a, b in ("()", "[]", "{}"):
         count = lambda s: chars - F.length(F.replace(t, F.lit(s), F.lit("")))
         unbalanced |= count(a) != count(b)
-    rules = (
-        F.lit(0.55),
-        length,
-        F.when(F.array_contains(connectors, last), -0.35),
-        F.when(F.array_contains(connectors, first) & ~first.isin("a", "an", "the"), -0.30),
-        F.when(t.rlike(r"[.!?]\s+[A-Za-z]"), -0.30),
-        F.when(t.rlike(r"[,;:\-–—/]\s*$"), -0.15),
-        F.when(t.rlike(r"\s{3,}") | t.rlike(r"(.)\1{4,}"), -0.20),
-        F.when(unbalanced, -0.20),
-        F.when(stop_ratio > 0.55, -0.35),
-        F.when((solid > 0) & (digits / solid > 0.30), -0.30),
-        F.when(F.arrays_overlap(tokens, T.word_array("furniture")), -0.25),
-        F.when(letters > 0, F.when(uppers / letters > 0.85, F.when(n <= 12, 0.10).otherwise(-0.15)).when(title_case, 0.12)),
-        F.when((chars <= 60) & n.between(3, 12), 0.08),
+    capitals = (letters > 0) & (uppers / letters > 0.85)
+    long = (n > 18) | (chars > 95)
+    rule = lambda name, condition, delta=None: F.when(condition, F.struct(F.lit(name).alias("rule"), (F.lit(P[name]) if delta is None else delta).cast("double").alias("delta")))
+    fired = F.array(
+        rule("too_many_words", long & by_words, long_words),
+        rule("over_max_chars", long & ~by_words, long_chars),
+        rule("ideal_length", ~long & n.between(3, 12)),
+        rule("too_few_words", ~long & (n < 2)),
+        rule("short_of_ideal", ~long & (n == 2)),
+        rule("ends_with_connector", F.array_contains(connectors, last)),
+        rule("starts_with_connector", F.array_contains(connectors, first) & ~first.isin("a", "an", "the")),
+        rule("sentence_punctuation", t.rlike(r"[.!?]\s+[A-Za-z]")),
+        rule("trailing_punctuation", t.rlike(r"[,;:\-–—/]\s*$")),
+        rule("repeated_whitespace_artifact", t.rlike(r"\s{3,}") | t.rlike(r"(.)\1{4,}")),
+        rule("unbalanced_brackets", unbalanced),
+        rule("high_stopword_ratio", stop_ratio > 0.55),
+        rule("digit_heavy", (solid > 0) & (digits / solid > 0.30)),
+        rule("furniture_word", F.arrays_overlap(tokens, T.word_array("furniture"))),
+        rule("caps_heading", capitals & (n <= 12)),
+        rule("all_caps_verbose", capitals & (n > 12)),
+        rule("title_case_consistent", (letters > 0) & ~capitals & title_case),
+        rule("compact", (chars <= 60) & n.between(3, 12)),
     )
-    total = F.lit(0.0)
-    for rule in rules:
-        total = total + F.coalesce(rule, F.lit(0.0))
+    empty = F.array(F.struct(F.lit("empty").alias("rule"), F.lit(-1.0).alias("delta")))
+    df = df.withColumn("rules", F.when(t == "", empty).otherwise(F.filter(fired, lambda x: x.isNotNull())))
+    total = F.aggregate("rules", F.lit(float(P["neutral"])), lambda a, x: a + x["delta"])
     return df.withColumn("presentability", F.when(t == "", 0.0).otherwise(T.rounded(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)), 4)))
 
 
 def phrase_edges(units: DataFrame) -> DataFrame:
-    """document_id, page, a, b (ord): units that may be parts of one heading, among the next three of a page."""
-    page = Window.partitionBy("document_id", "page").orderBy("y", "x", "ord")
-    rows = units.withColumn("place", F.row_number().over(page)).withColumn("up", F.col("y") - F.lag("y").over(page))
-    rows = rows.withColumn("gap", F.coalesce(F.median(F.when(F.col("up") > 0, F.col("up"))).over(Window.partitionBy("document_id", "page")), F.lit(12.0)))
-    side = lambda s: rows.select("document_id", "page", *[F.col(c).alias(f"{s}_{c}") for c in ("place", "ord", "x", "y", "width", "height", "font_size", "bold", "gap")])
-    both = side("a").join(side("b"), ["document_id", "page"]).where("b_place between a_place + 1 and a_place + 3")
-    down = F.col("b_y") - (F.col("a_y") + F.col("a_height"))
-    aligned = (F.abs(F.col("a_x") - F.col("b_x")) <= 4) | (F.abs(F.col("a_x") + F.col("a_width") / 2 - F.col("b_x") - F.col("b_width") / 2) <= 12)
-    good = down.between(-1.0, F.lit(2.2) * F.greatest(F.col("a_gap"), F.lit(1.0))) & (F.abs(F.col("a_font_size") - F.col("b_font_size")) <= 0.6) & (F.col("a_bold") == F.col("b_bold")) & aligned
-    return both.where(good).select("document_id", "page", F.col("a_ord").alias("a"), F.col("b_ord").alias("b"))
+    """document_id, page, a, b (ord): units that may be parts of one heading, among the next three. Gaps are from a unit's
+    bottom to the next one's top; their median over the whole document is the budget's measure."""
+    order, page = Window.partitionBy("document_id").orderBy("page", "y", "x", "ord"), Window.partitionBy("document_id", "page").orderBy("y", "x", "ord")
+    down = F.lead("y").over(page) - F.col("y") - F.col("height")
+    rows = units.withColumn("down", down).withColumn("gap", F.coalesce(F.median(F.when(F.col("down") > 0, F.col("down"))).over(Window.partitionBy("document_id")), F.lit(12.0)))
+    names = ("page", "ord", "x", "y", "width", "height", "font_size", "bold")
+    one = F.struct(*names)
+    rows = rows.select("document_id", one.alias("a"), "gap", F.array(*[F.lead(one, k).over(order) for k in (1, 2, 3)]).alias("next")).select("document_id", "a", "gap", F.explode("next").alias("b")).where("b is not null and a.page = b.page")
+    a, b = F.col("a"), F.col("b")
+    below = b["y"] - (a["y"] + a["height"])
+    aligned = (F.abs(a["x"] - b["x"]) <= 4) | (F.abs(a["x"] + a["width"] / 2 - b["x"] - b["width"] / 2) <= 12)
+    weight = lambda u: F.coalesce(u["bold"], F.lit(False))
+    good = below.between(-1.0, F.lit(2.2) * F.greatest(F.col("gap"), F.lit(1.0))) & (F.abs(a["font_size"] - b["font_size"]) <= 0.6) & (weight(a) == weight(b)) & aligned
+    return rows.where(good).select("document_id", a["page"].alias("page"), a["ord"].alias("a"), b["ord"].alias("b"))
 
 
 def chains(units: DataFrame, edges: DataFrame) -> DataFrame:
@@ -191,31 +261,43 @@ def candidates(units: DataFrame) -> DataFrame:
     k = F.row_number().over(Window.partitionBy("document_id", "ord").orderBy("chunk", "island", "part"))
     sub = parts.withColumn("k", k).where("parts >= 2 and size(words) >= 2").select("document_id", F.lit(1).alias("g"), "ord", "k", clean(F.array_join("words", " ")).alias("text"), F.lit("subphrase").alias("source"))
     composed = chains(units, phrase_edges(units)).select("document_id", F.lit(2).alias("g"), F.get("ords", 0).alias("ord"), F.coalesce(F.get("ords", 1), F.lit(0)).alias("k"), clean(F.col("text")).alias("text"), F.lit("composed").alias("source"))
-    every = whole.unionByName(sub).unionByName(composed).withColumn("key", F.array_join(T.lexical_tokens(F.col("text")), " ")).where("key <> ''")
+    every = whole.unionByName(sub).unionByName(composed).where(F.length("text") >= C["candidate_min_chars"]).withColumn("key", F.array_join(T.lexical_tokens(F.col("text")), " ")).where("key <> ''")
     first = F.min(F.struct("g", "ord", "k", "text"))
     out = every.groupBy("document_id", "key").agg(first.alias("f"), F.sort_array(F.collect_set("source")).alias("sources"))
-    anchor = sized.select(F.col("document_id").alias("u_d"), F.col("ord").alias("u_ord"), "page", "y", "x", "page_height", "level")
+    anchor = sized.select(F.col("document_id").alias("u_d"), F.col("ord").alias("u_ord"), "page", "y", "x", "page_height", "bold", "level")
     return out.select("document_id", "key", F.col("f.text").alias("text"), "sources", F.col("f.ord").alias("ord")).join(anchor, (F.col("document_id") == F.col("u_d")) & (F.col("ord") == F.col("u_ord"))).drop("u_d", "u_ord")
 
 
-def fused(units: DataFrame, table: DataFrame) -> DataFrame:
-    """candidates() with seven sources (term scores scaled within a document) and a score for them all."""
-    texts = units.select("document_id", "ord", "text")
+def fused(units: DataFrame, table: DataFrame, summary: DataFrame) -> DataFrame:
+    """candidates() with seven sources (term scores scaled within a document) and a score for them all. Units are written
+    once, as many steps read them."""
+    units = stored(units, "identity-units")
     rows = presentability(candidates(units))
-    level = F.lit(0.0)
+    level = F.lit(C["level_scores"]["body"])
     for name, value in C["level_scores"].items():
         level = F.when(F.col("level") == name, value).otherwise(level)
-    rows = rows.withColumn("typography", level).withColumn("position", 1 - F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("y") / F.col("page_height")))).withColumn("graph_bonus", F.array_contains("sources", "composed").cast("double"))
-    rows = phrase_scores(rows, rake_words(phrases(texts)).select("document_id", "word", "score"), "rake")
-    rows = phrase_scores(rows, bm25_words(texts, table), "bm25")
-    rows = phrase_scores(rows, textrank(word_edges(texts)), "textrank")
+    promoted = F.coalesce("bold", F.lit(False)) & F.col("level").isin("body", "h3", "h4")
+    level = F.when(promoted, F.least(F.lit(C["level_scores"]["h2"]), level + C["bold_promotion"])).otherwise(level)
+    place = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("y") / F.coalesce(F.nullif("page_height", F.lit(0.0)), F.lit(792.0))))
+    rows = rows.withColumn("typography", T.rounded(level, 4)).withColumn("position", T.rounded(1 - place, 4)).withColumn("graph_bonus", F.array_contains("sources", "composed").cast("double"))
+    rows = phrase_scores(rows, word_scores(units, table, summary))
     own = Window.partitionBy("document_id")
+    scaled = {}
     for c in ("rake", "bm25", "textrank"):
         lo, hi = F.min(c).over(own), F.max(c).over(own)
-        rows = rows.withColumn(c, F.when(hi - lo < 1e-9, 0.5).otherwise((F.col(c) - lo) / (hi - lo)))
-    first_page = F.min("page").over(own)
+        scaled[c] = F.when(hi - lo < 1e-9, 0.5).otherwise((F.col(c) - lo) / (hi - lo))
+    first = units.groupBy(F.col("document_id").alias("f_document")).agg(F.min_by("page", "ord").alias("first_page"))
+    rows = rows.select(*[scaled[c].alias(c) if c in scaled else c for c in rows.columns]).join(first, F.col("document_id") == F.col("f_document")).drop("f_document")
     furniture = F.arrays_overlap(T.lexical_tokens(F.col("text")), T.word_array("furniture"))
-    return rows.withColumn("furniture", furniture).withColumn("noise", F.col("level") == "outlier").withColumn("not_first_page", F.col("page") > first_page).withColumn("score", total(SOURCES))
+    rows = rows.withColumn("furniture", furniture).withColumn("noise", F.col("level") == "outlier").withColumn("not_first_page", F.col("page") > F.col("first_page")).drop("first_page")
+    return rows.withColumn("score", total(SOURCES)).withColumn("contributions", contributions())
+
+
+def contributions() -> F.Column:
+    """What each source and penalty gives to the score."""
+    parts = [F.struct(F.lit(n).alias("source"), T.rounded(F.col(n), 4).alias("value"), F.lit(float(w)).alias("weight"), T.rounded(F.col(n) * w, 4).alias("contribution")) for n, w in C["fusion_weights"].items()]
+    parts += [F.when(F.col(n), F.struct(F.lit(n).alias("source"), F.lit(1.0).alias("value"), F.lit(float(w)).alias("weight"), F.lit(float(w)).alias("contribution"))) for n, w in C["fusion_penalties"].items()]
+    return F.filter(F.array(*parts), lambda x: x.isNotNull())
 
 
 def total(enabled) -> F.Column:
@@ -229,30 +311,56 @@ def total(enabled) -> F.Column:
     return T.rounded(out, 4)
 
 
-def labels(scores: DataFrame, n: int = 3) -> DataFrame:
-    """document_id, rank, text, score: the best candidates, each unlike those before it; one fold over a document's
-    candidates in order, which ends its work at n."""
+def content_words(key: F.Column) -> F.Column:
     stop = T.word_array("connectors", "hard_stopwords")
-    tokens = F.array_distinct(F.filter(F.split("key", " "), lambda w: ~F.array_contains(stop, w)))
-    one = F.struct((-F.col("score")).alias("o"), "page", "y", "x", "key", "text", "score", tokens.alias("tokens"))
+    return F.array_distinct(F.filter(F.split(key, " "), lambda w: ~F.array_contains(stop, w)))
+
+
+def elected(scores: DataFrame, n: int = 3) -> DataFrame:
+    """A row a document: document_id, candidates (their number), best (the n best, each unlike those before it: text,
+    score, level, presentability, sources, contributions), suppressed (up to ten duplicates met before the n were
+    complete: text, score, duplicate_of), margin and confidence. One fold over a document's candidates in order, which
+    adds to two short arrays only."""
+    one = F.struct((-F.col("score")).alias("o"), "page", "y", "x", "key", "text", "score", content_words(F.col("key")).alias("tokens"), "level", "presentability", "sources", "contributions")
     docs = scores.groupBy("document_id").agg(F.sort_array(F.collect_list(one)).alias("s"))
-    kind = "array<struct<text:string,score:double,tokens:array<string>>>"
+    best_kind = "array<struct<text:string,score:double,tokens:array<string>,level:string,presentability:double,sources:array<string>,contributions:array<struct<source:string,value:double,weight:double,contribution:double>>>>"
+    gone_kind = "array<struct<text:string,score:double,duplicate_of:string>>"
+    names = ("text", "score", "tokens", "level", "presentability", "sources", "contributions")
+    start = F.struct(F.array().cast(best_kind).alias("best"), F.array().cast(gone_kind).alias("suppressed"))
 
     def step(state, s):
-        like = F.exists(state, lambda e: F.coalesce(F.size(F.array_intersect(e["tokens"], s["tokens"])) / F.nullif(F.least(F.size(e["tokens"]), F.size(s["tokens"])), F.lit(0)), F.lit(0.0)) >= C["duplicate_overlap"])
-        entry = F.array(F.struct(s["text"].alias("text"), s["score"].alias("score"), s["tokens"].alias("tokens"))).cast(kind)
-        return F.when((F.size(state) >= n) | like, state).otherwise(F.concat(state, entry))
+        shared = lambda e: F.coalesce(F.size(F.array_intersect(e["tokens"], s["tokens"])) / F.nullif(F.least(F.size(e["tokens"]), F.size(s["tokens"])), F.lit(0)), F.lit(0.0)) >= C["duplicate_overlap"]
+        like = F.get(F.filter(state["best"], shared), 0)
+        entry = F.array(F.struct(*[s[c].alias(c) for c in names])).cast(best_kind)
+        duplicate = F.array(F.struct(s["text"].alias("text"), s["score"].alias("score"), like["text"].alias("duplicate_of"))).cast(gone_kind)
+        grown = F.struct(F.concat(state["best"], entry).alias("best"), state["suppressed"].alias("suppressed"))
+        noted = F.struct(state["best"].alias("best"), F.when(F.size(state["suppressed"]) < 10, F.concat(state["suppressed"], duplicate)).otherwise(state["suppressed"]).alias("suppressed"))
+        return F.when(F.size(state["best"]) >= n, state).when(like.isNotNull(), noted).otherwise(grown)
 
-    best = docs.select("document_id", F.posexplode(F.aggregate("s", F.array().cast(kind), step)).alias("i", "e"))
-    return best.select("document_id", (F.col("i") + 1).alias("rank"), F.col("e.text").alias("text"), F.col("e.score").alias("score"))
+    out = docs.select("document_id", F.size("s").cast("long").alias("candidates"), F.aggregate("s", start, step).alias("e")).select("document_id", "candidates", "e.*")
+    first, second = F.get("best", 0), F.get("best", 1)
+    out = out.withColumn("margin", T.rounded(F.coalesce(first["score"] - second["score"], first["score"]), 4))
+    return out.withColumn("confidence", F.when(F.col("margin") >= C["auto_margin"], "auto").when(F.col("margin") >= C["review_margin"], "review").otherwise("escalate"))
 
 
-def ablation(scores: DataFrame, truth: DataFrame) -> DataFrame:
-    """disabled, top1: the share of documents whose best candidate matches the title (token F1 of 0.7 or more) with
-    each source off, in one pass over candidates and masks."""
-    masks = F.array(*[F.struct(F.lit(m or "none").alias("disabled"), total([s for s in SOURCES if s != m]).alias("s")) for m in (None, *SOURCES)])
-    rows = scores.select("document_id", "page", "y", "x", "key", "text", F.inline(masks))
-    order = Window.partitionBy("document_id", "disabled").orderBy(F.desc("s"), "page", "y", "x", "key")
-    best = rows.withColumn("r", F.row_number().over(order)).where("r = 1").join(truth, "document_id")
+def labels(scores: DataFrame, n: int = 3) -> DataFrame:
+    """document_id, rank, text, score, presentability of elected()'s best."""
+    best = elected(scores, n).select("document_id", F.posexplode("best").alias("i", "e"))
+    return best.select("document_id", (F.col("i") + 1).alias("rank"), F.col("e.text").alias("text"), F.col("e.score").alias("score"), F.col("e.presentability").alias("presentability"))
+
+
+def ablation(scores: DataFrame, truth: DataFrame, n: int = 3) -> DataFrame:
+    """disabled, documents, top1, top3, delta_top1, delta_top3, verdict: the shares of documents whose first label, or any
+    of n, matches the title (token F1 of 0.7 or more) with each source off, in one pass over candidates and masks."""
+    scores = scores.join(truth.select("document_id"), "document_id", "left_semi")
+    masks = F.array(*[F.struct(F.lit(m or "none").alias("disabled"), total([s for s in SOURCES if s != m]).alias("masked")) for m in (None, *SOURCES)])
+    rows = scores.select(F.col("document_id").alias("of"), "page", "y", "x", "key", "text", "level", "presentability", "sources", "contributions", F.inline(masks))
+    rows = rows.withColumnRenamed("masked", "score").withColumn("document_id", F.concat_ws("|", "disabled", "of"))
+    found = labels(rows, n).select(F.split_part("document_id", F.lit("|"), F.lit(1)).alias("disabled"), F.expr("substr(document_id, instr(document_id, '|') + 1)").alias("document_id"), "rank", "text").join(truth, "document_id")
     right = M.token_f1(T.evaluation_tokens(F.col("text")), T.evaluation_tokens(F.col("title"))) >= 0.7
-    return best.groupBy("disabled").agg(F.count("*").alias("documents"), T.rounded(F.avg(right.cast("double")), 4).alias("top1"))
+    by = found.groupBy("disabled", "document_id").agg(F.max((right & (F.col("rank") == 1)).cast("double")).alias("first"), F.max(right.cast("double")).alias("any"))
+    out = by.groupBy("disabled").agg(F.count("*").alias("documents"), T.rounded(F.avg("first"), 4).alias("top1"), T.rounded(F.avg("any"), 4).alias("top3"))
+    full = out.where("disabled = 'none'").select(F.col("top1").alias("f1"), F.col("top3").alias("f3"))  # one row
+    out = out.crossJoin(F.broadcast(full)).withColumn("delta_top1", T.rounded(F.col("top1") - F.col("f1"), 4)).withColumn("delta_top3", T.rounded(F.col("top3") - F.col("f3"), 4))
+    verdict = F.when(F.col("delta_top1") <= -0.02, "load-bearing").when(F.col("delta_top1") >= 0.02, "HARMFUL - drop or re-weight").otherwise("no measurable effect")
+    return out.select("disabled", "documents", "top1", "top3", "delta_top1", "delta_top3", verdict.alias("verdict"))

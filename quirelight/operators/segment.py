@@ -92,6 +92,17 @@ def refine_band(pairs: DataFrame, policy: str = "balanced") -> DataFrame:
     return pairs.where((F.col("score") >= C["candidate_floor"]) & (F.col("score") < C["policies"][policy]))
 
 
+def refined(pairs: DataFrame, histograms: DataFrame, policy: str = "balanced") -> DataFrame:
+    """seams() scored with the font sizes of the pages beside them, where these could tip the balance (refine_band()).
+    histograms: document_id, page, size, share. Adds refined: whether the pages' sizes were compared."""
+    band = refine_band(scored(signals(pairs)), policy).select("document_id", "before_page")
+    keys = ["document_id", "before_page"]
+    sides = [histograms.withColumn("before_page", F.col("page") + i).drop("page").join(band, keys, "left_semi") for i in (1, 0)]
+    compared = histogram_l1(*sides, keys)
+    rows = scored(signals(pairs, compared))
+    return rows.withColumn("refined", F.col("l1").isNotNull()).drop("l1")
+
+
 def segments(decisions: DataFrame, census: DataFrame) -> DataFrame:
     """Runs of pages between cuts: document_id, segment_index, start_page, end_page, page_count, opened_by, score."""
     totals = census.groupBy("document_id").agg(F.max("page").alias("total"))
@@ -112,9 +123,15 @@ def continuous(a: str, b: str) -> F.Column:
 
 
 def rejoined(found: DataFrame, census: DataFrame) -> DataFrame:
-    """Short inserts between continuous neighbours merged with both: one fold over a document's segments, left to
-    right. A merged host has at least three pages, so it is never an insert itself; what the fold needs of pages is
-    whether the page before an insert and the page after it are continuous, joined to each segment first."""
+    """Short inserts between continuous neighbours merged with both, left to right: document_id, segment_index, start_page,
+    end_page, page_count, opened_by, score, reabsorbed (of each insert: start_page, end_page, score, opened_by).
+
+    A merged host has at least three pages, so it is never an insert itself. Of a run of inserts the first, third and so
+    on is swallowed, and each takes the segment after it along; so the merges are told by windows over a document's
+    segments, and nothing but a segment's own inserts is gathered."""
+    for name, kind in (("opened_by", "string"), ("score", "double")):
+        if name not in found.columns:
+            found = found.withColumn(name, F.lit(None).cast(kind))
     page = F.struct("font_families", "header_sig", "size_class", "orientation", "modality")
     pages = census.select(F.col("document_id").alias("p_document"), F.col("page").alias("p_page"), page.alias("p"))
     order = Window.partitionBy("document_id").orderBy("segment_index")
@@ -122,24 +139,18 @@ def rejoined(found: DataFrame, census: DataFrame) -> DataFrame:
     for side in ("before", "after"):
         rows = rows.join(pages.select(F.col("p_document").alias("d"), F.col("p_page").alias("q"), F.col("p").alias(f"{side}_page")), (F.col("document_id") == F.col("d")) & (F.col(side) == F.col("q")), "left").drop("d", "q")
     insert = (F.col("page_count") <= C["max_insert_pages"]) & (F.col("segment_index") > 1) & ~F.col("last") & F.coalesce(continuous("before_page", "after_page"), F.lit(False))
-    parts = rows.select("document_id", F.struct("start_page", "end_page", insert.alias("insert")).alias("s")).groupBy("document_id").agg(F.sort_array(F.collect_list("s")).alias("parts"))
-    kind = "array<struct<start_page:int,end_page:int,open:boolean>>"
-    empty = F.struct(F.array().cast(kind).alias("stack"), F.lit(0).alias("merges"))
-
-    def step(state, s):
-        # open: the host on top swallowed an insert and takes the segment that follows too
-        stack, n = state["stack"], F.size(state["stack"])
-        top = F.get(stack, n - 1)
-        rest = F.slice(stack, 1, F.greatest(n - 1, F.lit(0)))
-        grown = lambda is_open: F.concat(rest, F.array(F.struct(top["start_page"].alias("start_page"), s["end_page"].alias("end_page"), is_open.alias("open"))))
-        pushed = F.concat(stack, F.array(F.struct(s["start_page"].alias("start_page"), s["end_page"].alias("end_page"), F.lit(False).alias("open"))))
-        swallow = (n > 0) & s["insert"] & (state["merges"] < C["max_merges"])
-        is_open = F.coalesce(top["open"], F.lit(False))
-        new = F.when(is_open, grown(F.lit(False))).when(swallow, grown(F.lit(True))).otherwise(pushed)
-        return F.struct(new.cast(kind).alias("stack"), (state["merges"] + F.when(~is_open & swallow, 1).otherwise(0)).alias("merges"))
-
-    folded = parts.select("document_id", F.posexplode(F.aggregate("parts", empty, step)["stack"]).alias("i", "s"))
-    return folded.select("document_id", (F.col("i") + 1).alias("segment_index"), F.col("s.start_page").alias("start_page"), F.col("s.end_page").alias("end_page"), (F.col("s.end_page") - F.col("s.start_page") + 1).alias("page_count"))
+    rows = rows.select("document_id", "segment_index", "start_page", "end_page", "opened_by", "score", insert.alias("insert"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("plain", F.sum((~F.col("insert")).cast("int")).over(upto))  # inserts of one run share it
+    place = F.sum(F.col("insert").cast("int")).over(Window.partitionBy("document_id", "plain").orderBy("segment_index").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("swallow", F.col("insert") & (place % 2 == 1))
+    rows = rows.withColumn("swallow", F.col("swallow") & (F.sum(F.col("swallow").cast("int")).over(upto) <= C["max_merges"]))
+    goes_on = F.col("swallow") | F.coalesce(F.lag("swallow").over(order), F.lit(False))
+    rows = rows.withColumn("goes_on", goes_on).withColumn("host", F.sum((~F.col("goes_on")).cast("int")).over(upto).cast("int"))
+    gone = F.sort_array(F.collect_list(F.when(F.col("swallow"), F.struct("start_page", "end_page", "score", "opened_by"))))
+    opened = F.when(~F.col("goes_on"), F.col("opened_by"))
+    merged = rows.groupBy("document_id", F.col("host").alias("segment_index")).agg(F.min("start_page").alias("start_page"), F.max("end_page").alias("end_page"), F.max(opened).alias("opened_by"), F.max(F.when(~F.col("goes_on"), F.col("score"))).alias("score"), gone.alias("reabsorbed"))
+    return merged.select("document_id", "segment_index", "start_page", "end_page", (F.col("end_page") - F.col("start_page") + 1).alias("page_count"), "opened_by", "score", "reabsorbed")
 
 
 def head_pages(found: DataFrame, census: DataFrame) -> DataFrame:

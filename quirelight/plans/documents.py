@@ -142,9 +142,18 @@ def final_segments(spark, sf_dir, policy="aggressive"):
     return S.rejoined(S.segments(S.decided(S.scored(S.signals(S.seams(c))), policy), c), c), c
 
 
-@query()
+@query(Q.chain(*Q.up_to_decisions("aggressive"), Q.SEGMENTS, Q.REJOINED) + "SELECT document_id, segment_index, start_page, end_page, page_count, opened_by, score, inserts FROM rejoined")
 def segments_rejoined(spark, sf_dir):
-    return final_segments(spark, sf_dir)[0]
+    inserts = F.array_join(F.transform("reabsorbed", lambda x: F.concat_ws("-", x["start_page"], x["end_page"])), ",").alias("inserts")
+    return final_segments(spark, sf_dir)[0].select("document_id", "segment_index", "start_page", "end_page", "page_count", "opened_by", "score", inserts)
+
+
+@query(Q.chain(*Q.UP_TO_SCORES, Q.REFINED) + "SELECT document_id, before_page, score, change_score, strong, refined FROM refined WHERE refined")
+def seam_scores_refined(spark, sf_dir):
+    """The seams whose pages' font sizes were compared."""
+    pages = stamped(spark, sf_dir)
+    histograms = S.histogram(compounds.page_spans(pages), ["document_id", "page"])
+    return S.refined(S.seams(N.census(pages)), histograms).where("refined").select("document_id", "before_page", "score", "change_score", "strong", "refined")
 
 
 @query(
@@ -157,9 +166,16 @@ def segment_head_pages(spark, sf_dir):
     return S.head_pages(S.segments(S.decided(S.scored(S.signals(S.seams(c)))), c), c)
 
 
-@query("SELECT 'x' AS document_id, 1 AS at, 'gap' AS violation WHERE false")
+@query(
+    Q.chain(*Q.up_to_decisions(), Q.SEGMENTS)
+    + """SELECT g.document_id, CASE WHEN n.start_page IS NULL THEN g.start_page - 1 ELSE n.start_page END AS at, CASE WHEN n.start_page IS NULL THEN 'end' ELSE 'gap' END AS violation
+FROM segments g LEFT JOIN segments n ON n.document_id = g.document_id AND n.segment_index = 3 WHERE g.segment_index = 2"""
+)
 def segment_tiling_violations(spark, sf_dir):
-    return S.tiling_violations(*final_segments(spark, sf_dir))
+    """What validation finds where each document's second segment is taken away: exactly the hole that it leaves."""
+    c = census(spark, sf_dir)
+    found = S.segments(S.decided(S.scored(S.signals(S.seams(c)))), c)
+    return S.tiling_violations(found.where("segment_index <> 2"), c)
 
 
 @query(
@@ -184,10 +200,12 @@ def eval_seams_by_group(spark, sf_dir):
     return S.evaluation(decisions(spark, sf_dir), compounds.truth(stamped(spark, sf_dir)), ["difficulty", "scenario"])
 
 
-@query(Q.chain(*Q.up_to_decisions(), Q.TRUTH) + "SELECT document_id, count(*) AS false_cuts FROM decisions JOIN truth USING (document_id, before_page) WHERE is_cut AND NOT is_seam GROUP BY ALL")
+@query(Q.chain(Q.SINGLES, *Q.up_to_decisions()[1:]) + "SELECT count(DISTINCT t.document_id) AS documents, CAST(count_if(is_cut) AS BIGINT) AS false_cuts, CAST(count_if(is_candidate) AS BIGINT) AS candidates FROM (SELECT DISTINCT document_id FROM census) t LEFT JOIN decisions d ON d.document_id = t.document_id")
 def eval_negative_controls(spark, sf_dir):
-    rows = decisions(spark, sf_dir).join(compounds.truth(stamped(spark, sf_dir)), ["document_id", "before_page"])
-    return rows.where("is_cut and not is_seam").groupBy("document_id").agg(F.count("*").alias("false_cuts"))
+    """Cuts and candidates in documents without a seam."""
+    c = N.census(compounds.stamped_pages(compounds.singles(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
+    found = S.decided(S.scored(S.signals(S.seams(c)))).agg(F.count_if("is_cut").alias("false_cuts"), F.count_if("is_candidate").alias("candidates"))
+    return c.agg(F.count_distinct("document_id").alias("documents")).crossJoin(found)  # one row each
 
 
 @query(Q.chain(*Q.UP_TO_SCORES) + " UNION ALL ".join(f"SELECT '{p}' AS policy, CAST(count_if(score >= {t} AND strong) AS BIGINT) AS cuts, CAST(count_if(NOT (score >= {t} AND strong) AND change_score >= 0.7) AS BIGINT) AS candidates FROM scores" for p, t in contracts.load("segmentation")["policies"].items()))
@@ -231,7 +249,7 @@ def first_pages(spark, sf_dir):
     return measured(spark, sf_dir).where("page <= 2").select("document_id", "page", "char_count")
 
 
-@query()
+@query(Q.chain(Q.CONVERSATIONS, *Q.up_to_decisions()[2:]).replace("FROM stamped", "FROM conversation_pages") + f"SELECT {DECISION} FROM decisions")
 def conversation_seams(spark, sf_dir):
     """Conversations as documents, turns as pages, and the decisions at their seams."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")

@@ -19,22 +19,78 @@ def unescaped(x: str) -> str:
     return x
 
 
-PATTERN = r"<(h1|p|li|footer|div|b|a)(?:\s[^>]*)?>([^<]+)"
+#: As in sources/html.py.
+UNREAD = (r"(?is)<script[^>]*>.*?</script\s*>", r"(?is)<style[^>]*>.*?</style\s*>", r"(?is)<title[^>]*>.*?</title\s*>", r"(?s)<!--.*?-->")
+PATTERN = r"<(/?[A-Za-z][A-Za-z0-9]*)[^>]*>([^<]+)"
+_READ = "'<body>' || coalesce(html, '')"
+for _pattern in UNREAD:
+    _READ = f"regexp_replace({_READ}, '{_pattern}', ' ', 'g')"
 RAW_SPANS = rf"""
+read_pages AS (SELECT page_id, {_READ} AS read FROM pages),
 raw_spans AS (
-  SELECT CAST(page_id AS VARCHAR) AS document_id, unnest(range(len(tags))) AS ord, unnest(tags) AS tag, unnest(raws) AS raw
-  FROM (SELECT page_id, regexp_extract_all(coalesce(html, ''), '{PATTERN}', 1) AS tags, regexp_extract_all(coalesce(html, ''), '{PATTERN}', 2) AS raws FROM pages))"""
+  SELECT CAST(page_id AS VARCHAR) AS document_id, unnest(range(len(tags))) AS ord, lower(unnest(tags)) AS tag, unnest(raws) AS raw
+  FROM (SELECT page_id, regexp_extract_all(read, '{PATTERN}', 1) AS tags, regexp_extract_all(read, '{PATTERN}', 2) AS raws FROM read_pages))"""
 SPANS = (
     RAW_SPANS
     + rf""",
 read_spans AS (
   SELECT document_id, CAST(ord AS INTEGER) AS ord, {unescaped(r"trim(regexp_replace(raw, '\s+', ' ', 'g'))")} AS text,
-    CAST(CASE tag WHEN 'h1' THEN 20 WHEN 'b' THEN 11 WHEN 'p' THEN 11 WHEN 'a' THEN 10 WHEN 'footer' THEN 8 ELSE 9 END AS DOUBLE) AS font_size,
-    CAST(CASE tag WHEN 'h1' THEN 72 WHEN 'b' THEN 72 WHEN 'p' THEN 72 WHEN 'a' THEN 36 WHEN 'footer' THEN 200 ELSE 108 END AS DOUBLE) AS x, tag = 'b' AS bold FROM raw_spans),
+    CAST(CASE WHEN tag = 'h1' THEN 20 WHEN tag = 'h2' THEN 16 WHEN tag = 'h3' THEN 14 WHEN tag IN ('b', 'strong', 'p') THEN 11 WHEN tag IN ('a', 'td') THEN 10 WHEN tag = 'footer' THEN 8 WHEN tag LIKE '/%' THEN 11 ELSE 9 END AS DOUBLE) AS font_size,
+    CAST(CASE WHEN tag IN ('h1', 'h2', 'h3', 'b', 'strong', 'p', 'td') THEN 72 WHEN tag = 'a' THEN 36 WHEN tag = 'footer' THEN 200 WHEN tag LIKE '/%' THEN 72 ELSE 108 END AS DOUBLE) AS x, tag IN ('b', 'strong') AS bold FROM raw_spans),
 spans AS (
   SELECT *, CAST(1 + ord // 45 AS INTEGER) AS page, 40.0::DOUBLE + 16 * (ord % 45) AS y, least(length(text) * font_size * 0.5, 468)::DOUBLE AS width, font_size AS height,
     612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height FROM read_spans WHERE text <> '')"""
 )
+LINES = r"""
+span_order AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY round_even(y, 2), x, ord) AS k FROM spans),
+tolerances AS (SELECT document_id, page, greatest(0.6 * coalesce(median(CASE WHEN height > 0 THEN height END), 12), 0.5) AS tol FROM spans GROUP BY document_id, page),
+baselines AS (
+  SELECT document_id, page, k, ord, y AS anchor, 1 AS vrow FROM span_order WHERE k = 1
+  UNION ALL
+  SELECT s.document_id, s.page, s.k, s.ord, CASE WHEN abs(r.anchor - s.y) <= tol THEN r.anchor ELSE s.y END, r.vrow + CASE WHEN abs(r.anchor - s.y) <= tol THEN 0 ELSE 1 END
+  FROM baselines r JOIN span_order s ON s.document_id = r.document_id AND s.page = r.page AND s.k = r.k + 1 JOIN tolerances t ON t.document_id = s.document_id AND t.page = s.page),
+gutters AS (
+  SELECT s.*, r.vrow, coalesce(s.x - lag(s.x + s.width) OVER w > greatest(2.5 * lag(s.font_size) OVER w, 18), false) AS cut
+  FROM span_order s JOIN baselines r ON r.document_id = s.document_id AND r.page = s.page AND r.ord = s.ord WINDOW w AS (PARTITION BY s.document_id, s.page, r.vrow ORDER BY s.x, s.ord)),
+line_parts AS (SELECT *, sum(CAST(cut AS INTEGER)) OVER (PARTITION BY document_id, page, vrow ORDER BY x, ord) AS piece FROM gutters),
+made_lines AS (
+  SELECT * FROM (
+    SELECT document_id, page, vrow, piece, min(y) AS y, min(x) AS x0, max(x + width) AS x1, max(y + height) AS bottom, trim(regexp_replace(string_agg(text, '' ORDER BY x, ord), '\s+', ' ', 'g')) AS text,
+      max(font_size) AS font_size, bool_or(bold) AS bold, string_agg(CAST(ord AS VARCHAR), ',' ORDER BY x, ord) AS ids FROM line_parts GROUP BY document_id, page, vrow, piece) WHERE text <> ''),
+left_edges AS (SELECT DISTINCT document_id, page, round_even(x0, 1) AS e FROM made_lines),
+edge_steps AS (SELECT *, CAST(coalesce(e - lag(e) OVER w > 40, true) AS INTEGER) AS new FROM left_edges WINDOW w AS (PARTITION BY document_id, page ORDER BY e)),
+edge_runs_of AS (SELECT *, sum(new) OVER (PARTITION BY document_id, page ORDER BY e) AS run FROM edge_steps),
+edge_bands AS (SELECT document_id, page, run, min(e) AS lo, max(e) AS hi FROM edge_runs_of GROUP BY document_id, page, run),
+full_bands AS (
+  SELECT b.document_id, b.page, lo FROM edge_bands b JOIN made_lines l ON l.document_id = b.document_id AND l.page = b.page AND l.x0 BETWEEN lo - 0.05 AND hi + 0.05
+  GROUP BY b.document_id, b.page, run, lo HAVING count(*) >= 3),
+band_starts AS (SELECT document_id, page, list(lo ORDER BY lo) AS starts FROM full_bands GROUP BY document_id, page HAVING count(*) >= 2),
+banded AS (
+  SELECT l.*, CAST(CASE WHEN starts[1] <= x0 + 0.05 THEN len(list_filter(starts, lambda s: s <= x0 + 0.05)) - 1
+    WHEN starts IS NOT NULL THEN list_position(list_transform(starts, lambda s: abs(s - x0)), list_min(list_transform(starts, lambda s: abs(s - x0)))) - 1 END AS INTEGER) AS band
+  FROM made_lines l LEFT JOIN band_starts b ON b.document_id = l.document_id AND b.page = l.page),
+lines AS (SELECT *, CAST(row_number() OVER (PARTITION BY document_id, page ORDER BY coalesce(band, 0), y, x0, vrow, piece) AS INTEGER) AS line FROM banded)"""
+UNITS = (
+    LINES
+    + """,
+line_steps AS (SELECT *, y - lag(y) OVER w AS gap, lag(font_size) OVER w AS last_size, lag(bold) OVER w AS last_bold, lag(band) OVER w AS last_band FROM lines WINDOW w AS (PARTITION BY document_id, page ORDER BY line)),
+line_medians AS (SELECT document_id, page, coalesce(median(CASE WHEN gap > 0 THEN gap END), 12) AS middle FROM line_steps GROUP BY document_id, page),
+line_pairs AS (
+  SELECT l.*, middle, abs(font_size - last_size) < 0.6 AND bold = last_bold AND band IS NOT DISTINCT FROM last_band AND gap <= greatest(middle * 1.6, last_size * 1.4) AS alike, len(string_split(text, ' ')) AS n_words
+  FROM line_steps l JOIN line_medians m ON m.document_id = l.document_id AND m.page = l.page),
+unit_runs AS (
+  SELECT document_id, page, line, 1 AS run, 1 AS unit FROM line_pairs WHERE line = 1
+  UNION ALL
+  SELECT p.document_id, p.page, p.line, CASE WHEN p.alike AND (u.run < 3 OR p.n_words <= 12) THEN u.run + 1 ELSE 1 END, u.unit + CASE WHEN p.alike AND (u.run < 3 OR p.n_words <= 12) THEN 0 ELSE 1 END
+  FROM unit_runs u JOIN line_pairs p ON p.document_id = u.document_id AND p.page = u.page AND p.line = u.line + 1),
+unit_groups AS (
+  SELECT p.document_id, p.page, unit, string_agg(text, ' ' ORDER BY p.line) AS text, min(x0) AS x, min(y) AS y, max(x1) AS x1, max(bottom) AS bottom, max(font_size) AS font_size, bool_or(bold) AS bold, count(*) AS n,
+    string_agg(ids, ',' ORDER BY p.line) AS span_ids, any_value(middle) AS middle
+  FROM line_pairs p JOIN unit_runs u ON u.document_id = p.document_id AND u.page = p.page AND u.line = p.line GROUP BY p.document_id, p.page, unit),
+units AS (
+  SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY page, unit) AS INTEGER) AS ord, page, text, round(x, 2) AS x, round(y, 2) AS y, round(x1 - x, 2) AS width, round(bottom - y, 2) AS height,
+    round(font_size, 2) AS font_size, bold, CAST(n AS INTEGER) AS line_count, span_ids, 612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height, round(middle, 2) AS median_gap FROM unit_groups)"""
+)
 HISTOGRAM = """
 histogram AS (
   SELECT document_id, page, round_even(font_size * 2, 0) / 2 AS size, sum(length(text)) / sum(sum(length(text))) OVER (PARTITION BY document_id, page) AS share
@@ -43,7 +99,7 @@ TYPOGRAPHY = """
 sizes AS (
   SELECT document_id, round_even(font_size * 2, 0) / 2 AS size, sum(greatest(length(text), 1)) AS mass,
     sum(greatest(length(text), 1)) / sum(sum(greatest(length(text), 1))) OVER (PARTITION BY document_id) AS share
-  FROM spans GROUP BY document_id, round_even(font_size * 2, 0) / 2),
+  FROM units GROUP BY document_id, round_even(font_size * 2, 0) / 2),
 modal AS (SELECT document_id, size AS baseline FROM sizes QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY mass DESC, size) = 1),
 contrasts AS (SELECT document_id, least(count_if(share >= 0.05), 4) / 4 AS contrast FROM sizes GROUP BY document_id),
 typography AS (SELECT document_id, baseline, contrast, contrast <= 0.25 AS flat FROM modal JOIN contrasts USING (document_id))"""
@@ -69,9 +125,8 @@ FEATURE = "document_id, page, ord, font_rank, top_ratio, zone, center_score, blo
 FEATURES = rf"""
 gaps AS (
   SELECT *, y - lag(y) OVER w AS before, lead(y) OVER w - y AS after, count(*) OVER (PARTITION BY document_id, page) AS on_page,
-    row_number() OVER (PARTITION BY document_id, lower(regexp_replace(text, '[0-9]', '#', 'g')) ORDER BY page, y, x, ord) AS seen
-  FROM spans WINDOW w AS (PARTITION BY document_id, page ORDER BY y, x, ord)),
-gap_medians AS (SELECT document_id, page, median(CASE WHEN before > 0 THEN before END) AS median_gap FROM gaps GROUP BY document_id, page),
+    row_number() OVER (PARTITION BY document_id, lower(regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '[0-9]', '#', 'g')) ORDER BY ord) AS seen
+  FROM units WINDOW w AS (PARTITION BY document_id, page ORDER BY y, x, ord)),
 features AS (
   SELECT g.*, t.flat, {r4("least(font_size / baseline, 2.5) / 2.5")} AS font_rank, {r4("greatest(0, least(1, y / page_height))")} AS top_ratio,
     CASE WHEN y / page_height < 0.10 THEN 'header' WHEN y / page_height > 0.90 THEN 'footer' ELSE 'body' END AS zone,
@@ -80,15 +135,15 @@ features AS (
     CAST(CAST(bold AS INTEGER) AS DOUBLE) AS bold_flag, {ratio(r"[^\p{Lu}]", r"[^\p{L}]")} AS uppercase_ratio, {ratio("[^0-9]", r"\s")} AS digit_ratio,
     CAST(len(string_split(text, ' ')) AS INTEGER) AS word_count, regexp_matches(text, '{IDENTIFIER}') AS identifier, regexp_matches(text, '{DATE}') AS date,
     {" OR ".join(f"regexp_matches(text, '{p}')" for p in NOISE)} AS noise,
-    CASE WHEN on_page >= 3 AND median_gap IS NOT NULL THEN {r4("least((coalesce(before / median_gap, 2) + coalesce(after / median_gap, 2)) / 4, 1)")} ELSE 0.5 END AS whitespace_isolation,
-    NOT (on_page >= 3 AND median_gap IS NOT NULL) AS isolation_imputed, CAST(CAST(seen = 1 AS INTEGER) AS DOUBLE) AS first_occurrence
-  FROM gaps g JOIN gap_medians m ON m.document_id = g.document_id AND m.page = g.page JOIN typography t ON t.document_id = g.document_id)"""
+    CASE WHEN on_page >= 3 AND median_gap > 0 THEN {r4("least((coalesce(before / median_gap, 2) + coalesce(after / median_gap, 2)) / 4, 1)")} ELSE 0.5 END AS whitespace_isolation,
+    NOT (on_page >= 3 AND median_gap > 0) AS isolation_imputed, CAST(CAST(seen = 1 AS INTEGER) AS DOUBLE) AS first_occurrence
+  FROM gaps g JOIN typography t ON t.document_id = g.document_id)"""
 LAYOUT = ("font_rank", "center_score", "bold_flag", "uppercase_ratio")
 _WEIGHTED = " + ".join(f"coalesce({r4(f'(CASE WHEN flat THEN {w * 0.4} ELSE {w} END) * {n}' if n in LAYOUT else f'{w} * {n}')}, 0)" for n, w in C["title_weights"].items())
 SCORES = f"""
 judged AS (
   SELECT *, 1 - top_ratio AS top_ratio_inverted, CASE WHEN length(text) < 8 THEN ['too_short'] ELSE list_filter([
-    CASE WHEN word_count < 2 THEN 'too_few_words' END, CASE WHEN word_count > 28 THEN 'too_many_words' END, CASE WHEN noise THEN 'noise' END,
+    CASE WHEN word_count < 2 THEN 'too_few_words' END, CASE WHEN word_count > 28 THEN 'too_many_words' END, CASE WHEN noise THEN 'noise_pattern' END,
     CASE WHEN zone = 'footer' THEN 'footer_zone' END, CASE WHEN digit_ratio > 0.55 THEN 'digit_heavy' END], lambda x: x IS NOT NULL) END AS reasons FROM features),
 weighed AS (
   SELECT *, {_WEIGHTED} + CASE WHEN page > 1 THEN -1.2 ELSE 0 END + CASE WHEN identifier THEN -1.6 ELSE 0 END + CASE WHEN date AND word_count <= 6 THEN -0.6 ELSE 0 END
@@ -97,8 +152,12 @@ scores AS (SELECT *, CASE WHEN len(reasons) = 0 THEN {r4("raw_score")} END AS sc
 TITLES = f"""
 ranked AS (
   SELECT *, row_number() OVER w AS rank, lead(score) OVER w AS next FROM scores WHERE score IS NOT NULL WINDOW w AS (PARTITION BY document_id ORDER BY score DESC, page, top_ratio, left_indent, ord)),
-margins AS (SELECT document_id, text AS candidate, score, {r4("coalesce(score - next, score)")} AS margin FROM ranked WHERE rank = 1),
-titles AS (SELECT document_id, CASE WHEN margin >= 0.1 THEN candidate END AS title, candidate, score, margin, CASE WHEN margin >= 0.1 THEN 'review' ELSE 'escalate' END AS confidence FROM margins)"""
+rankings AS (SELECT document_id, string_agg(CAST(ord AS VARCHAR), ',' ORDER BY rank) AS ranking FROM ranked WHERE rank <= 5 GROUP BY document_id),
+margins AS (SELECT document_id, ord, text AS candidate, score, {r4("coalesce(score - next, score)")} AS margin FROM ranked WHERE rank = 1),
+titles AS (
+  SELECT document_id, ord, CASE WHEN margin >= 0.1 THEN candidate END AS title, candidate, score, margin, CASE WHEN margin >= 99 THEN 'auto' WHEN margin >= 0.1 THEN 'review' ELSE 'escalate' END AS confidence, ranking
+  FROM margins JOIN rankings USING (document_id))"""
+#: As in sources/html.py.
 JUNK = (r"(?i)^(untitled|no title|document\s*[0-9]*|slide\s*[0-9]+|print job|chapter\s*[0-9]+)", r"(?i)^microsoft\s+(word|powerpoint|excel)\b", r"\.[A-Za-z0-9]{2,6}\s*$", r"(?i)text_all|final[_ ]?draft|^copy of", r"(?i)^[a-z0-9_\-]{1,20}$")
 HARVEST = rf"""
 raw_titles AS (SELECT CAST(page_id AS VARCHAR) AS document_id, trim(regexp_replace({unescaped("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, '\s+', ' ', 'g')) AS title FROM pages),
@@ -111,28 +170,34 @@ def evaluation_tokens(x: str) -> str:
 
 TITLE_F1 = f"""
 compared AS (
-  SELECT t.title AS emitted, {evaluation_tokens("t.candidate")} AS a, {evaluation_tokens("h.title")} AS b FROM titles t JOIN harvest h ON h.document_id = t.document_id),
-title_f1 AS (SELECT emitted, CASE WHEN len(list_intersect(a, b)) > 0 THEN 2 * len(list_intersect(a, b)) / (len(a) + len(b)) ELSE 0 END AS f1 FROM compared)"""
+  SELECT t.title AS emitted, t.confidence, {evaluation_tokens("t.candidate")} AS a, {evaluation_tokens("h.title")} AS b FROM titles t JOIN harvest h ON h.document_id = t.document_id),
+title_f1 AS (SELECT emitted, confidence, CASE WHEN len(list_intersect(a, b)) > 0 THEN 2 * len(list_intersect(a, b)) / (len(a) + len(b)) ELSE 0 END AS f1 FROM compared)"""
 _share = lambda x: f"floor(avg(CAST({x} AS INTEGER)) * 10000 + 0.5) / 10000"
 TITLE_METRICS = f"""
-SELECT count(*) AS documents, {_share("emitted IS NOT NULL")} AS coverage, {_share("(f1 >= 0.7 AND emitted IS NOT NULL)")} AS accuracy, {_share("(f1 >= 0.5)")} AS lenient, {_share("(f1 >= 0.7)")} AS candidate_accuracy FROM title_f1"""
+SELECT count(*) AS documents, {_share("emitted IS NOT NULL")} AS coverage, {_share("(f1 >= 0.7 AND emitted IS NOT NULL)")} AS accuracy, {_share("(f1 >= 0.5 AND emitted IS NOT NULL)")} AS lenient,
+  coalesce(floor(count_if(f1 >= 0.7 AND emitted IS NOT NULL) / nullif(count_if(emitted IS NOT NULL), 0) * 10000 + 0.5) / 10000, 0) AS precision_emit, {_share("confidence = 'escalate'")} AS escalation_rate,
+  {_share("(f1 >= 0.7)")} AS candidate_accuracy FROM title_f1"""
 LEXICAL = r"list_transform(regexp_extract_all({0}, '[A-Za-z][A-Za-z''’\-]*|[0-9]+[A-Za-z]*'), lambda w: lower(w))"
-IR = "list_filter(" + LEXICAL + ", lambda w: length(w) >= 2 AND NOT regexp_matches(w, '^[0-9]+$'))"
+IR = "list_filter(" + LEXICAL + f", lambda w: length(w) >= 2 AND NOT regexp_matches(w, '^[0-9]+$') AND NOT list_contains({listed('connectors', 'hard_stopwords')}, w))"
 TOKENS = f"""
-term_counts AS (SELECT document_id, term, count(*) AS tf FROM (SELECT document_id, unnest({IR.format("text")}) AS term FROM spans) GROUP BY document_id, term),
+term_counts AS (SELECT document_id, term, count(*) AS tf FROM (SELECT document_id, unnest({IR.format("text")}) AS term FROM units) GROUP BY document_id, term),
 terms AS (SELECT *, CAST(sum(tf) OVER (PARTITION BY document_id) AS BIGINT) AS length FROM term_counts)"""
 IDF = f"""
+corpus AS (SELECT item_id, {IR.format("coalesce(text, '')")} AS words FROM benchmark WHERE item_id IS NOT NULL),
 idf AS (
   SELECT term, df, floor(ln((n - df + 0.5) / (df + 0.5) + 1) * 1e6 + 0.5) / 1e6 AS idf
-  FROM (SELECT term, count(DISTINCT item_id) AS df FROM (SELECT item_id, unnest({IR.format("text")}) AS term FROM benchmark) GROUP BY term), (SELECT count(DISTINCT item_id) AS n FROM benchmark))"""
+  FROM (SELECT term, count(DISTINCT item_id) AS df FROM (SELECT item_id, unnest(words) AS term FROM corpus) GROUP BY term), (SELECT count(DISTINCT item_id) AS n FROM corpus)),
+idf_summary AS (
+  SELECT count(*) AS documents, floor(avg(n) * 100 + 0.5) / 100 AS avgdl, (SELECT max(idf) FROM idf) AS most
+  FROM (SELECT item_id, greatest(sum(len(words)), 1) AS n FROM corpus GROUP BY item_id))"""
 BM25 = """
 bm25 AS (
-  SELECT document_id, t.term AS word, coalesce(i.idf, most, 1.0) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / avgdl)) AS score
-  FROM terms t LEFT JOIN idf i ON i.term = t.term, (SELECT avg(length) AS avgdl FROM (SELECT DISTINCT document_id, length FROM terms)), (SELECT max(idf) AS most FROM idf))"""
+  SELECT document_id, t.term AS word, coalesce(i.idf, most, 1.0) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * (length / coalesce(avgdl, length)))) AS score
+  FROM terms t LEFT JOIN idf i ON i.term = t.term, idf_summary)"""
 _SPLIT = r"[.,;:!?()\[\]{}\"“”/\\|]+|\s+[-–—]\s+"
 _EDGE = r"[\"''“”‘’()\[\]{}.,;:!?]+"
 PHRASES = rf"""
-chunks AS (SELECT document_id, ord, unnest(parts) AS c, unnest(range(len(parts))) AS chunk FROM (SELECT document_id, ord, regexp_split_to_array(text, '{_SPLIT}') AS parts FROM spans)),
+chunks AS (SELECT document_id, ord, unnest(parts) AS c, unnest(range(len(parts))) AS chunk FROM (SELECT document_id, ord, regexp_split_to_array(text, '{_SPLIT}') AS parts FROM units)),
 split_words AS (SELECT document_id, ord, chunk, unnest(ws) AS raw, unnest(range(len(ws))) AS i FROM (SELECT document_id, ord, chunk, regexp_split_to_array(trim(c), '\s+') AS ws FROM chunks)),
 bare AS (SELECT *, regexp_replace(regexp_replace(raw, '^{_EDGE}', ''), '{_EDGE}$', '') AS word FROM split_words),
 marked AS (SELECT *, list_contains({listed("hard_stopwords")}, lower(word)) AS hard FROM bare WHERE word <> ''),
@@ -143,12 +208,21 @@ phrases AS (SELECT document_id, ord, chunk, island, part, list(word ORDER BY i)
 RAKE = """
 rake AS (
   SELECT document_id, word, count(*) AS freq, (sum(n - 1) + count(*)) / count(*) AS score
-  FROM (SELECT document_id, lower(unnest(words)) AS word, len(words) AS n FROM phrases) GROUP BY document_id, word)"""
+  FROM (SELECT document_id, unnest(own) AS word, len(own) AS n FROM (SELECT document_id, list_filter(list_transform(words, lambda w: lower(w)), lambda w: length(w) >= 2) AS own FROM phrases)) GROUP BY document_id, word)"""
 EDGES = rf"""
-contents AS (SELECT document_id, ord, list_filter({LEXICAL.format("text")}, lambda w: length(w) > 2 AND NOT regexp_matches(w, '^[0-9]+$') AND NOT list_contains({listed("connectors", "hard_stopwords")}, w)) AS ws FROM spans),
+contents AS (SELECT document_id, ord, list_filter({LEXICAL.format("text")}, lambda w: length(w) > 2 AND NOT regexp_matches(w, '^[0-9]+$') AND NOT list_contains({listed("connectors", "hard_stopwords")}, w)) AS ws FROM units),
 placed AS (SELECT document_id, ord, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM contents),
 near AS (SELECT p.document_id, p.w AS a, q.w AS b FROM placed p JOIN placed q ON q.document_id = p.document_id AND q.ord = p.ord AND q.i BETWEEN p.i + 1 AND p.i + 2 WHERE p.w <> q.w),
-edges AS (SELECT DISTINCT document_id, a, b FROM (SELECT * FROM near UNION ALL SELECT document_id, b, a FROM near))"""
+edges AS (SELECT DISTINCT document_id, a, b FROM (SELECT * FROM near UNION ALL SELECT document_id, b, a FROM near UNION ALL SELECT document_id, w, w FROM placed))"""
+TEXTRANK = """
+node_counts AS (SELECT document_id, count(DISTINCT a) AS n FROM edges GROUP BY document_id),
+degrees AS (SELECT document_id, a AS word, greatest(1, count_if(a <> b)) AS degree FROM edges GROUP BY document_id, a),
+ranking_links AS (SELECT e.document_id, e.a, e.b, n, degree, e.a <> e.b AS real FROM edges e JOIN degrees d ON d.document_id = e.document_id AND d.word = e.b JOIN node_counts c ON c.document_id = e.document_id),
+word_ranks AS (
+  SELECT 0 AS it, d.document_id, d.word, 1e0 / n AS score FROM degrees d JOIN node_counts c ON c.document_id = d.document_id
+  UNION ALL
+  SELECT r.it + 1, l.document_id, l.a, 15e-2 / n + 85e-2 * sum(CASE WHEN real THEN r.score / degree ELSE 0 END) FROM word_ranks r JOIN ranking_links l ON l.document_id = r.document_id AND l.b = r.word WHERE r.it < 40 GROUP BY r.it, l.document_id, l.a, n),
+textrank AS (SELECT document_id, word, score / max(score) OVER (PARTITION BY document_id) AS score FROM word_ranks WHERE it = 40)"""
 
 
 def _count(sign: str) -> str:
@@ -157,9 +231,12 @@ def _count(sign: str) -> str:
 
 _REPEATED = "list_contains(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5) = repeat(substr(t, i, 1), 5)), true)"
 _OVER = "(0.5 + 0.5 * least(({0} - {1}) / {1}, 2.0))".format
-PRESENTABILITY = rf"""
+
+def presentability(source: str = "units", column: str = "text", key: str = "ord") -> str:
+    """How presentable a column of a table with a key in each document is."""
+    return rf"""
 shaped AS (
-  SELECT document_id, ord, trim(text) AS t, list_filter(regexp_split_to_array(trim(text), '\s+'), lambda x: x <> '') AS w, {LEXICAL.format("trim(text)")} AS toks FROM spans),
+  SELECT document_id, {key}, trim({column}) AS t, list_filter(regexp_split_to_array(trim({column}), '\s+'), lambda x: x <> '') AS w, {LEXICAL.format(f"trim({column})")} AS toks FROM {source}),
 counted AS (
   SELECT *, len(w) AS n, length(t) AS chars, regexp_replace(regexp_replace(lower(w[1]), '^[.,;:]+', ''), '[.,;:]+$', '') AS first_word,
     regexp_replace(regexp_replace(lower(w[-1]), '^[.,;:]+', ''), '[.,;:]+$', '') AS last_word,
@@ -167,7 +244,7 @@ counted AS (
     CASE WHEN len(toks) > 0 THEN len(list_filter(toks, lambda x: list_contains({listed("connectors", "hard_stopwords")}, x))) / len(toks) ELSE 1 END AS stop_ratio,
     list_filter(w, lambda x: regexp_matches(x, '^\p{{L}}') AND NOT list_contains({listed("connectors", "hard_stopwords")}, lower(x))) AS content FROM shaped),
 summed AS (
-  SELECT document_id, ord, t, 0.55
+  SELECT document_id, {key}, t, 0.55
     + CASE WHEN n > 18 OR chars > 95 THEN least(CASE WHEN n > 18 THEN -0.55 * {_OVER("n", "18")} END, CASE WHEN chars > 95 THEN -0.40 * {_OVER("chars", "95")} END)
       WHEN n BETWEEN 3 AND 12 THEN 0.30 WHEN n < 2 THEN -0.45 WHEN n < 3 THEN -0.18 ELSE 0 END
     + CASE WHEN list_contains({listed("connectors")}, last_word) THEN -0.35 ELSE 0 END
@@ -180,13 +257,16 @@ summed AS (
     + CASE WHEN letters > 0 AND uppers / letters > 0.85 THEN CASE WHEN n <= 12 THEN 0.10 ELSE -0.15 END
       WHEN letters > 0 AND len(content) >= 2 AND len(list_filter(content, lambda x: regexp_matches(x, '^\p{{Lu}}'))) / len(content) >= 0.75 THEN 0.12 ELSE 0 END
     + CASE WHEN chars <= 60 AND n BETWEEN 3 AND 12 THEN 0.08 ELSE 0 END AS total FROM counted),
-presentability AS (SELECT document_id, ord, CASE WHEN t = '' THEN 0 ELSE {r4("greatest(0, least(1, total))")} END AS presentability FROM summed)"""
+presentability AS (SELECT document_id, {key}, CASE WHEN t = '' THEN 0 ELSE {r4("greatest(0, least(1, total))")} END AS presentability FROM summed)"""
+
+
+PRESENTABILITY = presentability()
 PHRASE_EDGES = """
-ordered AS (SELECT *, row_number() OVER w AS place, y - lag(y) OVER w AS up FROM spans WINDOW w AS (PARTITION BY document_id, page ORDER BY y, x, ord)),
-page_gaps AS (SELECT document_id, page, coalesce(median(CASE WHEN up > 0 THEN up END), 12) AS gap FROM ordered GROUP BY document_id, page),
+below AS (SELECT *, lead(y) OVER (PARTITION BY document_id, page ORDER BY y, x, ord) - (y + height) AS down, row_number() OVER (PARTITION BY document_id ORDER BY page, y, x, ord) AS place FROM units),
+down_medians AS (SELECT document_id, coalesce(median(CASE WHEN down > 0 THEN down END), 12) AS gap FROM below GROUP BY document_id),
 phrase_edges AS (
-  SELECT a.document_id, a.page, a.ord AS a, b.ord AS b FROM ordered a JOIN ordered b ON b.document_id = a.document_id AND b.page = a.page AND b.place BETWEEN a.place + 1 AND a.place + 3
-  JOIN page_gaps g ON g.document_id = a.document_id AND g.page = a.page
+  SELECT a.document_id, a.page, a.ord AS a, b.ord AS b FROM below a JOIN below b ON b.document_id = a.document_id AND b.page = a.page AND b.place BETWEEN a.place + 1 AND a.place + 3
+  JOIN down_medians g ON g.document_id = a.document_id
   WHERE b.y - (a.y + a.height) BETWEEN -1 AND 2.2 * greatest(gap, 1) AND abs(a.font_size - b.font_size) <= 0.6 AND a.bold = b.bold
     AND (abs(a.x - b.x) <= 4 OR abs(a.x + a.width / 2 - b.x - b.width / 2) <= 12))"""
 CHAINS = """
@@ -195,10 +275,133 @@ linked AS (
   UNION ALL SELECT e.document_id, e.a, e.b, f.b FROM phrase_edges e JOIN phrase_edges f ON f.document_id = e.document_id AND f.a = e.b),
 chains AS (
   SELECT * FROM (
-    SELECT l.document_id, concat_ws(' - ', x.text, y.text, z.text) AS text FROM linked l JOIN spans x ON x.document_id = l.document_id AND x.ord = l.a
-    JOIN spans y ON y.document_id = l.document_id AND y.ord = l.b LEFT JOIN spans z ON z.document_id = l.document_id AND z.ord = l.c)
+    SELECT l.document_id, l.a, l.b, concat_ws(' - ', x.text, y.text, z.text) AS text FROM linked l JOIN units x ON x.document_id = l.document_id AND x.ord = l.a
+    JOIN units y ON y.document_id = l.document_id AND y.ord = l.b LEFT JOIN units z ON z.document_id = l.document_id AND z.ord = l.c)
   WHERE len(string_split(text, ' ')) <= 16)"""
 
 
+def cleaned(x: str) -> str:
+    return rf"regexp_replace(regexp_replace(trim(regexp_replace({x}, '\s+', ' ', 'g')), '^[ \t\-–—·|]+', ''), '[ \t\-–—·|]+$', '')"
+
+
+CANDIDATES = f"""
+leveled AS (SELECT u.*, level FROM units u JOIN levels l ON l.document_id = u.document_id AND l.size = round_even(u.font_size * 2, 0) / 2),
+gated AS (SELECT document_id, ord FROM leveled WHERE level LIKE 'h%' OR len(string_split(text, ' ')) <= 16),
+gated_phrases AS (
+  SELECT p.document_id, p.ord, words, count(*) OVER (PARTITION BY p.document_id, p.ord) AS parts, row_number() OVER (PARTITION BY p.document_id, p.ord ORDER BY chunk, island, part) AS k
+  FROM phrases p JOIN gated g ON g.document_id = p.document_id AND g.ord = p.ord),
+generated AS (
+  SELECT document_id, 0 AS g, ord, 0 AS k, {cleaned("text")} AS text, 'unit' AS source FROM units
+  UNION ALL SELECT document_id, 1, ord, k, {cleaned("array_to_string(words, ' ')")}, 'subphrase' FROM gated_phrases WHERE parts >= 2 AND len(words) >= 2
+  UNION ALL SELECT document_id, 2, a, b, {cleaned("text")}, 'composed' FROM chains),
+keyed AS (SELECT *, array_to_string({LEXICAL.format("text")}, ' ') AS key FROM generated WHERE length(text) >= 6),
+first_keys AS (
+  SELECT document_id, key, min({{'g': g, 'ord': ord, 'k': k, 'text': text}}) AS f, array_to_string(list_sort(list_distinct(list(source))), ',') AS sources FROM keyed WHERE key <> '' GROUP BY document_id, key),
+candidates AS (
+  SELECT c.document_id, c.key, c.f.text AS text, c.sources, u.ord, u.page, u.y, u.x, u.page_height, u.bold, u.level
+  FROM first_keys c JOIN leveled u ON u.document_id = c.document_id AND u.ord = c.f.ord)"""
+
+
+def _mean(name: str, condition: str) -> str:
+    return f"coalesce({r4(f'(coalesce(sum(CASE WHEN {condition} THEN coalesce({name}, 0) END), 0) / sqrt(nullif(count_if({condition}), 0)))')}, 0) AS {name}"
+
+
+_PLAIN = "NOT regexp_matches(w, '^[0-9]+$')"
+_HARD, _STOP = f"list_contains({listed('hard_stopwords')}, w)", f"list_contains({listed('connectors', 'hard_stopwords')}, w)"
+_SCALED = ", ".join(f"CASE WHEN max({c}) OVER d - min({c}) OVER d < 1e-9 THEN 0.5 ELSE ({c} - min({c}) OVER d) / (max({c}) OVER d - min({c}) OVER d) END AS {c}" for c in ("rake", "bm25", "textrank"))
+_LEVEL = "CASE level " + " ".join(f"WHEN '{n}' THEN {v}::DOUBLE" for n, v in C["level_scores"].items()) + " ELSE 0.2::DOUBLE END"
+SOURCES = tuple(C["fusion_weights"])
+
+
+def fused_total(enabled=SOURCES) -> str:
+    """The score of candidates with some of the sources."""
+    parts = [r4(f"({n} * {C['fusion_weights'][n]}::DOUBLE)") for n in SOURCES if n in enabled]
+    parts += [f"CASE WHEN {n} THEN {v}::DOUBLE ELSE 0 END" for n, v in C["fusion_penalties"].items()]
+    return r4("(0e0 + " + " + ".join(parts) + ")")
+
+
+FUSED = f"""
+candidate_words AS (SELECT document_id, key, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM (SELECT document_id, key, string_split(key, ' ') AS ws FROM candidates)),
+known_words AS (
+  SELECT c.document_id, c.key, c.i, c.w, r.score AS rake, b.score AS bm25, t.score AS textrank FROM candidate_words c LEFT JOIN rake r ON r.document_id = c.document_id AND r.word = c.w
+  LEFT JOIN bm25 b ON b.document_id = c.document_id AND b.word = c.w LEFT JOIN textrank t ON t.document_id = c.document_id AND t.word = c.w),
+phrase_means AS (
+  SELECT document_id, key, {_mean("rake", f"length(w) >= 2 AND NOT {_HARD}")}, {_mean("bm25", f"length(w) >= 2 AND {_PLAIN} AND NOT {_STOP}")}, {_mean("textrank", f"length(w) > 2 AND {_PLAIN} AND NOT {_STOP}")}
+  FROM known_words GROUP BY document_id, key),
+first_pages_of AS (SELECT document_id, arg_min(page, ord) AS first_page FROM units GROUP BY document_id),
+sourced AS (
+  SELECT c.*, {r4(f"(CASE WHEN bold AND level IN ('body', 'h3', 'h4') THEN least(0.72::DOUBLE, {_LEVEL} + 0.12::DOUBLE) ELSE {_LEVEL} END)")} AS typography, {r4("(1 - greatest(0, least(1, y / page_height)))")} AS position,
+    CAST(list_contains(string_split(sources, ','), 'composed') AS INTEGER)::DOUBLE AS graph_bonus, p.presentability, m.rake, m.bm25, m.textrank, list_has_any({LEXICAL.format("c.text")}, {listed("furniture")}) AS furniture,
+    level = 'outlier' AS noise, page > first_page AS not_first_page
+  FROM candidates c JOIN presentability p ON p.document_id = c.document_id AND p.key = c.key JOIN phrase_means m ON m.document_id = c.document_id AND m.key = c.key JOIN first_pages_of f ON f.document_id = c.document_id),
+scaled AS (SELECT * EXCLUDE (rake, bm25, textrank), {_SCALED} FROM sourced WINDOW d AS (PARTITION BY document_id)),
+fused AS (SELECT *, {fused_total()} AS score FROM scaled)"""
+
+
+def election(source: str, name: str) -> str:
+    """The greedy choice of three labels of each document of a table of scored candidates, as a table `name`."""
+    tokens = f"list_distinct(list_filter(string_split(key, ' '), lambda w: NOT {_STOP}))"
+    same = "len(list_filter(e.tokens, lambda t: len(list_intersect(t, l.own)) / nullif(least(len(t), len(l.own)), 0) >= 0.7)) > 0"
+    kept = lambda old, new: f"CASE WHEN {same} THEN e.{old} ELSE list_append(e.{old}, l.{new}) END AS {old}"
+    return f"""
+{name}_order AS (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY score DESC, page, y, x, key) AS k, {tokens} AS own FROM {source}),
+{name}_steps AS (
+  SELECT document_id, k, [text] AS texts, [score] AS scores, [presentability] AS shapes, [own] AS tokens, 0 AS gone FROM {name}_order WHERE k = 1
+  UNION ALL
+  SELECT l.document_id, l.k, {kept("texts", "text")}, {kept("scores", "score")}, {kept("shapes", "presentability")}, {kept("tokens", "own")}, e.gone + CASE WHEN {same} THEN 1 ELSE 0 END
+  FROM {name}_steps e JOIN {name}_order l ON l.document_id = e.document_id AND l.k = e.k + 1 WHERE len(e.texts) < 3),
+{name}_last AS (SELECT * FROM {name}_steps QUALIFY row_number() OVER (PARTITION BY document_id ORDER BY k DESC) = 1),
+{name} AS (SELECT document_id, CAST(unnest(range(1, len(texts) + 1)) AS INTEGER) AS rank, unnest(texts) AS text, unnest(scores) AS score, unnest(shapes) AS presentability FROM {name}_last)"""
+
+
+LABELS = election("fused", "labels")
+_MARGIN = r4("coalesce(scores[1] - scores[2], scores[1])")
+LABEL_STATES = f"""
+SELECT document_id, n AS candidates, {_MARGIN} AS margin, CASE WHEN {_MARGIN} >= 99 THEN 'auto' WHEN {_MARGIN} >= 0.1 THEN 'review' ELSE 'escalate' END AS confidence, CAST(least(gone, 10) AS BIGINT) AS suppressed
+FROM labels_last JOIN (SELECT document_id, count(*) AS n FROM fused GROUP BY document_id) USING (document_id)"""
+
+
+def _f1(a: str, b: str) -> str:
+    x, y = evaluation_tokens(a), evaluation_tokens(b)
+    return f"CASE WHEN len(list_intersect({x}, {y})) > 0 THEN 2 * len(list_intersect({x}, {y})) / (len({x}) + len({y})) ELSE 0 END"
+
+
+LABEL_METRICS = f"""
+SELECT count(*) AS documents, {_share("(first >= 0.7)")} AS top1, {_share("(best >= 0.7)")} AS top3, floor(avg(first) * 10000 + 0.5) / 10000 AS mean_f1, {_share("(words BETWEEN 2 AND 12)")} AS binder_shaped,
+  floor(avg(shape) * 10000 + 0.5) / 10000 AS presentability, floor(avg(words) * 10 + 0.5) / 10 AS mean_words, floor(avg(n) * 10 + 0.5) / 10 AS mean_candidates
+FROM (
+  SELECT l.document_id, max(CASE WHEN rank = 1 THEN f1 END) AS first, max(f1) AS best, max(CASE WHEN rank = 1 THEN len(string_split(text, ' ')) END) AS words, max(CASE WHEN rank = 1 THEN presentability END) AS shape
+  FROM (SELECT l.*, {_f1("l.text", "h.title")} AS f1 FROM labels l JOIN harvest h ON h.document_id = l.document_id) l GROUP BY l.document_id)
+JOIN (SELECT document_id, count(*) AS n FROM fused GROUP BY document_id) USING (document_id)"""
+_MASKS = " UNION ALL ".join(f"SELECT s.* REPLACE ('{m or 'none'}|' || s.document_id AS document_id), {fused_total([x for x in SOURCES if x != m])} AS score FROM scaled s JOIN harvest h ON h.document_id = s.document_id" for m in (None, *SOURCES))
+ABLATED = f"""
+masked AS ({_MASKS}),""" + election("masked", "ablated")
+ABLATION = f"""
+, matched AS (SELECT split_part(a.document_id, '|', 1) AS disabled, h.document_id, rank, {_f1("a.text", "h.title")} >= 0.7 AS fits FROM ablated a JOIN harvest h ON h.document_id = substr(a.document_id, instr(a.document_id, '|') + 1)),
+by_document AS (SELECT disabled, document_id, max(CAST(fits AND rank = 1 AS INTEGER)) AS one, max(CAST(fits AS INTEGER)) AS three FROM matched GROUP BY disabled, document_id),
+shares AS (SELECT disabled, count(*) AS documents, floor(avg(one) * 10000 + 0.5) / 10000 AS top1, floor(avg(three) * 10000 + 0.5) / 10000 AS top3 FROM by_document GROUP BY disabled),
+deltas AS (SELECT s.*, {r4("(s.top1 - f.top1)")} AS delta_top1, {r4("(s.top3 - f.top3)")} AS delta_top3 FROM shares s, (SELECT * FROM shares WHERE disabled = 'none') f)
+SELECT *, CASE WHEN delta_top1 <= -0.02 THEN 'load-bearing' WHEN delta_top1 >= 0.02 THEN 'HARMFUL - drop or re-weight' ELSE 'no measurable effect' END AS verdict FROM deltas"""
+
+
 def chain(*parts: str) -> str:
-    return "WITH " + ",".join(parts) + "\n"
+    return "WITH RECURSIVE " + ",".join(parts) + "\n"
+
+
+def _segment_titles() -> str:
+    from quirelight.plans import sql_segments as G
+
+    pages = """
+web_pages AS (
+  SELECT document_id, page, string_agg(text, chr(10) ORDER BY ord) AS raw_text, 612.0::DOUBLE AS width, 792.0::DOUBLE AS height, 0 AS rotation, 0 AS image_count, ['Web'] AS font_families FROM units GROUP BY document_id, page)"""
+    heads = """
+segment_heads AS (
+  SELECT g.document_id, segment_index, start_page, unnest(range(start_page, least(end_page, start_page + 1 + CAST(is_slip_sheet AS INTEGER)) + 1)) AS page FROM segments g JOIN census c ON c.document_id = g.document_id AND c.page = g.start_page),
+head_units AS (
+  SELECT u.* REPLACE (u.document_id || '#' || segment_index AS document_id), start_page AS segment_start FROM units u JOIN segment_heads h ON h.document_id = u.document_id AND h.page = u.page)"""
+    own = lambda x: x.replace("FROM units", "FROM head_units").replace("CASE WHEN page > 1 THEN", "CASE WHEN page > segment_start THEN").replace(" scores AS", " title_scores_of AS").replace("\nscores AS", "\ntitle_scores_of AS").replace("FROM scores", "FROM title_scores_of")
+    series = (G.measured("web_pages"), G.TOKENS, G.SERIES, G.CENSUS, G.SEAMS, G.SCORES, G.decisions("aggressive"), G.SEGMENTS)
+    return chain(SPANS, UNITS, pages, *series, heads, own(TYPOGRAPHY), own(FEATURES), own(SCORES), own(TITLES)) + "SELECT document_id, title, candidate, ord, score, margin, confidence FROM titles"
+
+
+SEGMENT_TITLES = _segment_titles()

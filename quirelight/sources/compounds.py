@@ -39,6 +39,21 @@ def stamped_pages(documents: DataFrame) -> DataFrame:
     )
 
 
+def singles(documents: DataFrame) -> DataFrame:
+    """The documents of each source's first language alone: as compounds they are one document each, without a seam, so
+    that every cut in them is false."""
+    first = documents.groupBy(F.col("source").alias("f_source")).agg(F.min("lang").alias("f_lang"))
+    return documents.join(first, (F.col("source") == F.col("f_source")) & (F.col("lang") == F.col("f_lang")), "left_semi")
+
+
+def page_spans(stamped: DataFrame) -> DataFrame:
+    """document_id, page, text, font_size: each page's first 40 characters as a heading of 16 points and the rest in its
+    language's size."""
+    body = F.when(F.col("lang") == "en", 10.0).when(F.col("lang") == "fr", 11.5).when(F.col("lang") == "de", 9.0).otherwise(13.0)
+    parts = F.array(F.struct(F.left("raw_text", F.lit(40)).alias("text"), F.lit(16.0).alias("font_size")), F.struct(F.substring("raw_text", 41, 1 << 30).alias("text"), body.alias("font_size")))
+    return stamped.select("document_id", "page", F.inline(parts)).where("text <> ''")
+
+
 def truth(stamped: DataFrame) -> DataFrame:
     """A row per seam: document_id, before_page, is_seam, difficulty, scenario."""
     number = F.regexp_extract("document_id", r"(\d+)", 1).cast("int")

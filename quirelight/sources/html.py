@@ -1,33 +1,39 @@
-"""Positioned spans from web pages: each element's own text is a span, laid out by its place and tag."""
+"""Positioned spans from web pages: each run of text between two tags is a span, laid out by its place and the tag
+before it. All text is read but that of scripts, styles, the title and comments."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-PATTERN = r"<(h1|p|li|footer|div|b|a)(?:\s[^>]*)?>([^<]+)"
+UNREAD = (r"(?is)<script[^>]*>.*?</script\s*>", r"(?is)<style[^>]*>.*?</style\s*>", r"(?is)<title[^>]*>.*?</title\s*>", r"(?s)<!--.*?-->")
+PATTERN = r"<(/?[A-Za-z][A-Za-z0-9]*)[^>]*>([^<]+)"
 LINES = 45
-#: font size and left edge by tag, and for others
-LAYOUT = {"h1": (20.0, 72.0), "b": (11.0, 72.0), "p": (11.0, 72.0), "a": (10.0, 36.0), "footer": (8.0, 200.0)}
+#: font size and left edge by the tag before the text; text after the end of an element runs on as in a paragraph
+LAYOUT = {"h1": (20.0, 72.0), "h2": (16.0, 72.0), "h3": (14.0, 72.0), "b": (11.0, 72.0), "strong": (11.0, 72.0), "p": (11.0, 72.0), "td": (10.0, 72.0), "a": (10.0, 36.0), "footer": (8.0, 200.0)}
+RUNNING = (11.0, 72.0)
 OTHER = (9.0, 108.0)
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
 def spans(pages: DataFrame) -> DataFrame:
-    """document_id, page, ord, text, x, y, width, height, font_size, bold, page_width, page_height."""
-    html = F.coalesce("html", F.lit(""))
-    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(PATTERN), F.lit(1)).alias("tag"), F.regexp_extract_all(html, F.lit(PATTERN), F.lit(2)).alias("raw"))
-    rows = pages.select(F.col("page_id").cast("string").alias("document_id"), F.posexplode(pairs).alias("ord", "e")).select("document_id", "ord", F.col("e.tag").alias("tag"), F.col("e.raw").alias("raw"))
+    """document_id, page, ord, text, x, y, width, height, font_size, font_name, bold, modality, page_width, page_height."""
+    html = F.concat(F.lit("<body>"), F.coalesce("html", F.lit("")))
+    for pattern in UNREAD:
+        html = F.regexp_replace(html, pattern, " ")
+    rows = pages.select(F.col("page_id").cast("string").alias("document_id"), html.alias("html"))
+    pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(PATTERN), F.lit(1)).alias("tag"), F.regexp_extract_all("html", F.lit(PATTERN), F.lit(2)).alias("raw"))
+    rows = rows.select("document_id", F.posexplode(pairs).alias("ord", "e")).select("document_id", "ord", F.lower("e.tag").alias("tag"), F.col("e.raw").alias("raw"))
     text = F.trim(F.regexp_replace("raw", r"\s+", " "))
     for entity, sign in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(sign))
-    size, left = F.lit(OTHER[0]), F.lit(OTHER[1])
+    size, left = (F.when(F.col("tag").startswith("/"), a).otherwise(b) for a, b in zip(RUNNING, OTHER, strict=True))
     for tag, (s, x) in LAYOUT.items():
         size, left = F.when(F.col("tag") == tag, s).otherwise(size), F.when(F.col("tag") == tag, x).otherwise(left)
-    rows = rows.select("document_id", "ord", text.alias("text"), size.alias("font_size"), left.alias("x"), (F.col("tag") == "b").alias("bold")).where("text <> ''")
+    rows = rows.select("document_id", "ord", text.alias("text"), size.alias("font_size"), left.alias("x"), F.col("tag").isin("b", "strong").alias("bold")).where("text <> ''")
     place = F.col("ord") % LINES
     return rows.select(
-        "document_id", (1 + F.floor(F.col("ord") / LINES)).cast("int").alias("page"), "ord", "text", "x", (40.0 + 16.0 * place).alias("y"), F.least(F.length("text") * F.col("font_size") * 0.5, F.lit(468.0)).alias("width"), F.col("font_size").alias("height"), "font_size", "bold", F.lit(612.0).alias("page_width"), F.lit(792.0).alias("page_height")
+        "document_id", (1 + F.floor(F.col("ord") / LINES)).cast("int").alias("page"), "ord", "text", "x", (40.0 + 16.0 * place).alias("y"), F.least(F.length("text") * F.col("font_size") * 0.5, F.lit(468.0)).alias("width"), F.col("font_size").alias("height"), "font_size", F.lit("Web").alias("font_name"), "bold", F.lit("native").alias("modality"), F.lit(612.0).alias("page_width"), F.lit(792.0).alias("page_height")
     )
 
 

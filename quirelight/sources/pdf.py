@@ -81,4 +81,4 @@ def ocr_lines(words):
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("left", "text"))), lambda w: w["text"]), " ")
     lines = words.where(F.trim("text") != "").groupBy("document_id", "page", "block", "par", "line").agg(text.alias("text"), F.min("left").alias("l"), F.min("top").alias("t"), F.max(F.col("left") + F.col("width")).alias("r"), F.max(F.col("top") + F.col("height")).alias("b"))
     size = F.col("b") - F.col("t")
-    return lines.select("document_id", "page", "block", "par", "line", "text", (F.col("l") / scale).alias("x"), (F.col("t") / scale).alias("y"), ((F.col("r") - F.col("l")) / scale).alias("width"), (size / scale).alias("height"), (size / scale).alias("font_size"), F.lit("OCR").alias("font_name"), F.lit(False).alias("bold"))
+    return lines.select("document_id", "page", "block", "par", "line", "text", (F.col("l") / scale).alias("x"), (F.col("t") / scale).alias("y"), ((F.col("r") - F.col("l")) / scale).alias("width"), (size / scale).alias("height"), (size / scale).alias("font_size"), F.lit("OCR").alias("font_name"), F.lit(None).cast("boolean").alias("bold"), F.lit("ocr").alias("modality"))

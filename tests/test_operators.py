@@ -151,7 +151,8 @@ def test_lines_follow_their_anchor(spark):
 def test_labels_use_words_of_the_page(spark):
     raw = spark.read.parquet(f"{SF}/pages.parquet")
     spans = html.spans(raw)
-    found = identity.labels(identity.fused(spans, identity.idf(spans.select("document_id", "text"))))
+    table = identity.idf(spans.select("document_id", "text"))
+    found = identity.labels(identity.fused(assemble.units(spans), table, identity.idf_summary(spans.select("document_id", "text"), table)))
     own = {r.document_id: set(re.findall(r"\w+", r.t.lower())) for r in spans.groupBy("document_id").agg(F.array_join(F.collect_list("text"), " ").alias("t")).collect()}
     rows = found.collect()
     assert rows and all(set(re.findall(r"\w+", r.text.lower())) <= own[r.document_id] for r in rows)
@@ -170,6 +171,80 @@ def test_partitions_do_not_change_results(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
+SPAN = "document_id string, page int, ord int, text string, x double, y double, width double, height double, font_size double, bold boolean"
+
+
+def test_columns_are_read_one_after_the_other(spark):
+    rows = [("d", 1, 2 * k + c, f"{side} {k}", x, 100.0 + 12 * k, 40.0, 10.0, 10.0, False) for k in range(4) for c, (side, x) in enumerate((("left", 72.0), ("right", 320.0)))]
+    found = assemble.units(spark.createDataFrame(rows, SPAN)).orderBy("ord").collect()
+    assert [u.text for u in found] == ["left 0 left 1 left 2 left 3", "right 0 right 1 right 2 right 3"]
+    assert [(u.x, u.y, u.width, u.line_count, u.span_ids, u.median_gap) for u in found] == [(72.0, 100.0, 40.0, 4, [0, 2, 4, 6], 12.0), (320.0, 100.0, 40.0, 4, [1, 3, 5, 7], 12.0)]
+
+
+def test_unit_gaps_are_from_top_to_top(spark):
+    tops = [0, 12, 24, 42, 54, 66]  # median 12: 18 is within 1.6 of it for tall lines too
+    rows = [("d", 1, k, f"line {k}", 72.0, float(y), 40.0, 11.0, 10.0, False) for k, y in enumerate(tops)]
+    assert [u.line_count for u in assemble.units(spark.createDataFrame(rows, SPAN)).collect()] == [6]
+    rows = [(*r[:5], r[5] + 8 * (r[2] > 2), *r[6:]) for r in rows]
+    assert sorted(u.line_count for u in assemble.units(spark.createDataFrame(rows, SPAN)).collect()) == [3, 3]
+
+
+def test_recognised_text_has_no_weight(spark):
+    words = spark.createDataFrame([("d", 1, 1, 1, 1, "World", 400, 100, 100, 50), ("d", 1, 1, 1, 1, "Hello", 100, 110, 200, 50)], "document_id string, page int, block int, par int, line int, text string, left int, top int, width int, height int")
+    lines = pdf_source.ocr_lines(words).withColumn("ord", F.lit(0))
+    (u,) = assemble.units(lines).collect()
+    assert (u.text, u.bold, u.modality) == ("Hello World", None, "ocr")
+    assert features.matrix(assemble.units(lines)).head().bold_flag is None
+
+
+def test_lines_of_tabs_are_blank(spark):
+    r = census.measure(pages(spark, ["\tHead line\t\n\t\t\nbody"])).head()
+    assert (r.header_sig, r.line_count) == ("head line", 2)
+
+
+def test_short_candidates_and_bold(spark):
+    rows = [("d", 1, 0, "Short", 72.0, 40.0, 40.0, 12.0, 12.0, True), ("d", 1, 1, "A bold line of body text", 72.0, 300.0, 90.0, 10.0, 10.0, True), ("d", 1, 2, "plain words run on and on " * 9, 72.0, 500.0, 90.0, 10.0, 10.0, False)]
+    units = assemble.units(spark.createDataFrame(rows, SPAN))
+    found = {r.text: r for r in identity.fused(units, *identity.thaw(spark, None)).collect()}
+    assert "Short" not in found and found["A bold line of body text"].typography == 0.32
+    best = identity.elected(identity.fused(units, *identity.thaw(spark, None))).head()
+    assert {x.text[:5] for x in best.best} == {"A bol", "plain"} and best.confidence in ("review", "escalate")
+    assert abs(sum(x.contribution for x in best.best[0].contributions) - best.best[0].score) < 1e-6
+
+
+def test_terms_are_frozen(spark, tmp_path):
+    corpus = spark.createDataFrame([("a", "river levels report"), ("b", "river of stones"), ("c", "")], "document_id string, text string")
+    identity.freeze(corpus, str(tmp_path / "idf"))
+    table, summary = identity.thaw(spark, str(tmp_path / "idf"))
+    assert {r.term: r.df for r in table.collect()} == {"river": 2, "levels": 1, "report": 1, "stones": 1}
+    s = summary.head()
+    assert (s.documents, s.avgdl) == (3, 2.0) and s.version.startswith("IDF-3docs-")
+
+
+def test_titles_by_segment(spark):
+    units = spark.createDataFrame([("d", 1, 1, "Cover of the first", 72.0, 40.0), ("d", 3, 2, "Cover of the second", 72.0, 40.0), ("d", 4, 3, "Not a head page", 72.0, 40.0)], "document_id string, page int, ord int, text string, x double, y double")
+    units = units.selectExpr("*", "100D AS width", "10D AS height", "10D AS font_size", "false AS bold", "612D AS page_width", "792D AS page_height")
+    found = spark.createDataFrame([("d", 1, 1, 2), ("d", 2, 3, 9)], "document_id string, segment_index int, start_page int, end_page int")
+    heads = spark.createDataFrame([("d", 1, 1), ("d", 1, 2), ("d", 2, 3)], "document_id string, segment_index int, page int")
+    rows = features.matrix(features.by_segment(units, found, heads)).collect()
+    assert sorted((r.document_id, r.text, r.page_in_segment) for r in rows) == [("d#1", "Cover of the first", 1), ("d#2", "Cover of the second", 1)]
+
+
+def test_font_sizes_tip_the_balance(spark):
+    two = pages(spark, ["Alpha beta gamma delta. " * 10]).unionByName(pages(spark, ["", "Omega beta gamma delta. " * 10], fonts=["Courier"]).where("page = 2"))
+    pairs = segment.seams(census.census(two))
+    sizes = spark.createDataFrame([("d", 1, 10.0, 1.0), ("d", 2, 12.0, 1.0)], "document_id string, page int, size double, share double")
+    row = segment.decided(segment.refined(pairs, sizes)).head()
+    assert [s.name for s in row.signals] == ["font_family_change", "font_size_change"] and row.is_cut and row.refined
+
+
+def test_reabsorbed_inserts_are_kept(spark):
+    schema = "document_id string, segment_index int, start_page int, end_page int, page_count int, opened_by string, score double"
+    found = spark.createDataFrame([("d", 1, 1, 2, 2, "document_start", None), ("d", 2, 3, 3, 1, "modality_flip", 1.5), ("d", 3, 4, 6, 3, "modality_flip", 1.6)], schema)
+    (r,) = segment.rejoined(found, census.census(pages(spark, ["some text here"] * 6))).collect()
+    assert (r.opened_by, [tuple(x) for x in r.reabsorbed]) == ("document_start", [(3, 3, 1.5, "modality_flip")])
+
+
 def test_contracts(tmp_path):
     assert contracts.verify() == []
     c = contracts.load("segmentation")
@@ -201,7 +276,7 @@ def test_files(spark, tmp_path):
 def test_ocr_lines(spark):
     words = spark.createDataFrame([("d", 1, 1, 1, 1, "World", 400, 100, 100, 50), ("d", 1, 1, 1, 1, "Hello", 100, 110, 200, 50), ("d", 1, 1, 1, 2, " ", 0, 0, 1, 1)], "document_id string, page int, block int, par int, line int, text string, left int, top int, width int, height int")
     (r,) = pdf_source.ocr_lines(words).collect()
-    assert (r.text, r.x, r.y, r.width) == ("Hello World", 24.0, 24.0, 96.0) and not r.bold
+    assert (r.text, r.x, r.y, r.width) == ("Hello World", 24.0, 24.0, 96.0) and r.bold is None
 
 
 def test_census_of_a_stream(spark, tmp_path):

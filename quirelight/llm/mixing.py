@@ -107,7 +107,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float =
 
     # the last pass: whole blocks in permuted order up to the rest, then part of the straddling one
     name = F.coalesce(F.col("source"), F.lit("\0"))
-    sums = docs.groupBy("source", "block", "whole", "rest", "blocks").agg(F.sum("size").alias("words"))
+    sums = docs.groupBy("source", "block", "whole", "rest", "blocks").agg(F.sum("size").alias("words")).where("words > 0")
     sums = sums.withColumn("place", F.xxhash64(F.lit(seed), name, "block")).withColumn("chunk", F.pmod(F.shiftrightunsigned("place", 32), F.lit(CHUNKS)).cast("int"))
     chunks = sums.groupBy(F.col("source").alias("c_source"), F.col("chunk").alias("c_chunk")).agg(F.count("*").alias("n"), F.sum("words").alias("w"))
     earlier = Window.partitionBy("c_source").orderBy("c_chunk").rowsBetween(Window.unboundedPreceding, -1)  # CHUNKS rows a source
@@ -116,22 +116,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: float =
     sums = sums.withColumn("rank", F.row_number().over(within)).withColumn("upto", F.sum("words").over(within.rowsBetween(Window.unboundedPreceding, 0)))
     sums = sums.join(chunks, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("chunk") == F.col("c_chunk"))).withColumn("rank", F.col("rank") + F.col("n_before")).withColumn("upto", F.col("upto") + F.col("w_before"))
     sums = sums.withColumn("quota", F.greatest(F.lit(0), F.least("words", F.col("rest") - F.col("upto") + F.col("words"))))
-    sums = stored(sums.select("source", "block", "rank", "quota", "words"), "mix-blocks")
+    sums = stored(sums.select("source", "block", "rank", "quota", "words"), "mix-blocks")  # blocks with words
 
     # quotas of draws (a block in a pass) by source and shard; a tree on the driver over one number for each source
-    drawn = {r.source: int(r.n) for r in sums.groupBy("source").agg(F.count(F.when(F.col("quota") > 0, 1)).alias("n")).collect()}
-    draws = np.array([k * b + drawn.get(r.source, 0) for r, k, b in zip(found, whole, blocks, strict=True)], dtype=np.int64)
+    drawn = {r.source: (int(r.b), int(r.n)) for r in sums.groupBy("source").agg(F.count("*").alias("b"), F.count(F.when(F.col("quota") > 0, 1)).alias("n")).collect()}
+    draws = np.array([k * drawn.get(r.source, (0, 0))[0] + drawn.get(r.source, (0, 0))[1] for r, k in zip(found, whole, strict=True)], dtype=np.int64)
     shards = shards or max(LEAST_SHARDS, -(-int(sum(goal)) // SHARD_WORDS))
     upto_shard = np.cumsum(splitting_tree(draws, shards, np.random.default_rng(seed)), axis=0) if len(draws) else np.zeros((shards, 0), np.int64)
-    borders = spark.createDataFrame([(r.source, upto_shard[:, i].tolist()) for i, r in enumerate(found)], "b_source string, borders array<long>")
+    borders = spark.createDataFrame([(r.source, drawn.get(r.source, (0, 0))[0], upto_shard[:, i].tolist()) for i, r in enumerate(found)], "b_source string, in_pass long, borders array<long>")
 
-    # a draw's number among its source's draws: pass * blocks + the block's rank, and from it the shard; by block
-    rows = sums.join(F.broadcast(plan.select("p_source", "whole", "blocks")), F.col("source").eqNullSafe(F.col("p_source"))).join(F.broadcast(borders), F.col("source").eqNullSafe(F.col("b_source")))
-    number = lambda k: k * F.col("blocks") + F.col("rank") - 1
+    # a draw's number among its source's draws: passes before it * blocks in a pass + the block's rank; so its shard
+    rows = sums.join(F.broadcast(plan.select("p_source", "whole")), F.col("source").eqNullSafe(F.col("p_source"))).join(F.broadcast(borders), F.col("source").eqNullSafe(F.col("b_source")))
+    number = lambda k: k * F.col("in_pass") + F.col("rank") - 1
     shard_of = F.transform(F.sequence(F.lit(0), F.col("whole")), lambda k: _upto(number(k), F.col("borders")))
     by_block = rows.select(F.col("source").alias("s_source"), F.col("block").alias("s_block"), "quota", "words", shard_of.alias("shard_of"))
-    docs = docs.join(by_block, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("block") == F.col("s_block")), "left").drop("s_source", "s_block")
-    partial = (F.col("quota") > 0) & (F.col("quota") < F.col("words"))
+    docs = docs.join(by_block, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("block") == F.col("s_block")), "left").drop("s_source", "s_block").withColumn("quota", F.coalesce("quota", F.lit(0)))
+    partial = (F.col("quota") > 0) & (F.col("quota") < F.coalesce("words", F.lit(0)))
     inner = Window.partitionBy("source", "block").orderBy("h", "doc_id")  # by range: rows alike get one sum
     alike = Window.partitionBy("source", "block", "h", "doc_id")
     straddling = docs.where(partial).withColumn("copies", F.count("*").over(alike)).withColumn("before", F.sum("size").over(inner) - F.col("size") * F.col("copies"))

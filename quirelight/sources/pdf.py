@@ -5,8 +5,85 @@ from __future__ import annotations
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 PAGES = "document_id string, page int, raw_text string, width double, height double, rotation int, image_count int, fonts array<string>, error string"
-SPANS = "document_id string, page int, ord int, text string, x double, y double, width double, height double, font_size double, font_name string, bold boolean, page_width double, page_height double, error string"
+SPANS = "document_id string, page int, ord int, text string, x double, y double, width double, height double, font_size double, font_name string, bold boolean, modality string, page_width double, page_height double, error string"
 BOLD = 16
+SCALE = 300 / 72  # pixels of recognised pages to points
+
+
+def page_row(document_id, number, page):
+    """A page of PyMuPDF as a row of PAGES."""
+    yield document_id, number, page.get_text(), page.rect.width, page.rect.height, page.rotation, len(page.get_images()), [f[3] for f in page.get_fonts()], None
+
+
+def span_rows(document_id, number, page, recognise=None):
+    """A page's spans as rows of SPANS. A page without text is given to recognise(page), if there is one: rows of text, x,
+    y, width, height, of which no weight is known."""
+    found, width, height = 0, page.rect.width, page.rect.height
+    for block in page.get_text("dict")["blocks"]:
+        for line in block.get("lines", ()):
+            for s in line["spans"]:
+                if s["text"].strip():
+                    x0, y0, x1, y1 = s["bbox"]
+                    yield document_id, number, found, s["text"], round(x0, 2), round(y0, 2), round(x1 - x0, 2), round(y1 - y0, 2), round(s["size"], 2), s["font"], bool(s["flags"] & BOLD) or "bold" in s["font"].lower(), "native", width, height, None
+                    found += 1
+    if not found and recognise is not None:
+        for text, x, y, w, h in recognise(page):
+            yield document_id, number, found, text, x, y, w, h, h, "OCR", None, "ocr", width, height, None
+            found += 1
+
+
+def recogniser():
+    """Lines of a page by Tesseract, or None where it isn't installed."""
+    try:
+        import pytesseract
+        from PIL import Image
+    except ImportError:
+        return None
+
+    def read(page):
+        seen = page.get_pixmap(dpi=300)
+        words = pytesseract.image_to_data(Image.frombytes("RGB", (seen.width, seen.height), seen.samples), output_type=pytesseract.Output.DICT)
+        lines: dict[tuple, list[int]] = {}
+        for i, text in enumerate(words["text"]):
+            if text.strip():
+                lines.setdefault((words["block_num"][i], words["par_num"][i], words["line_num"][i]), []).append(i)
+        for at in lines.values():
+            at.sort(key=lambda i: words["left"][i])
+            x, y = min(words["left"][i] for i in at), min(words["top"][i] for i in at)
+            r, b = max(words["left"][i] + words["width"][i] for i in at), max(words["top"][i] + words["height"][i] for i in at)
+            yield " ".join(words["text"][i] for i in at), x / SCALE, y / SCALE, (r - x) / SCALE, (b - y) / SCALE
+
+    return read
+
+
+def read_content(content: bytes, path: str, spans: bool):
+    """Rows of one file; if it fails, those before and one with the error."""
+    import hashlib
+
+    try:
+        document_id = hashlib.sha256(content).hexdigest()[:16]
+        import fitz
+
+        with fitz.open(stream=content, filetype="pdf") as pdf:
+            for number, page in enumerate(pdf, 1):
+                yield from span_rows(document_id, number, page, recogniser()) if spans else page_row(document_id, number, page)
+    except Exception as e:
+        yield (None,) * (len((SPANS if spans else PAGES).split(", ")) - 1) + (f"{path}: {e}",)
+
+
+def read_files(files, spans: bool = False):
+    """files: path, content (of pdf_files(), from any store that Spark reads). Their pages, or their spans."""
+    import pandas as pd
+
+    schema = SPANS if spans else PAGES
+    names = [x.split(" ")[0] for x in schema.split(", ")]
+
+    def read(frames):
+        for frame in frames:
+            for path, content in zip(frame["path"], frame["content"], strict=True):  # one file's rows at a time
+                yield pd.DataFrame(list(read_content(bytes(content), path, spans)), columns=names)
+
+    return files.select("path", "content").mapInPandas(read, schema)
 
 
 class File(InputPartition):
@@ -16,8 +93,8 @@ class File(InputPartition):
 
 
 class PdfSource(DataSource):
-    """Options: paths (comma-separated files), table (pages or spans). A file is a partition; one that fails gives one
-    row with the error and the others go on."""
+    """Options: path (a folder or file of a store that pyarrow knows, also load()'s argument) or paths (comma-separated),
+    table (pages or spans). A file is a partition; one that fails gives one row with the error and the others go on."""
 
     @classmethod
     def name(cls) -> str:
@@ -33,43 +110,40 @@ class PdfSource(DataSource):
 class PdfReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.files = sorted(x for x in options.get("paths", "").split(",") if x)
+        if options.get("path"):
+            self.files += listed(options["path"])
         self.spans = options.get("table") == "spans"
 
     def partitions(self):
         return [File(p) for p in self.files]
 
     def read(self, partition):
-        import hashlib
-
-        width = 14 if self.spans else 9
         try:
-            with open(partition.path, "rb") as f:
+            fs, at = opened(partition.path)
+            with fs.open_input_stream(at) as f:
                 content = f.read()
-            document_id = hashlib.sha256(content).hexdigest()[:16]
-            import fitz
-
-            with fitz.open(stream=content, filetype="pdf") as pdf:
-                for number, page in enumerate(pdf, 1):
-                    yield from (self._spans if self.spans else self._page)(document_id, number, page)
-        except Exception as e:
-            yield (None,) * (width - 1) + (f"{partition.path}: {e}",)
-
-    @staticmethod
-    def _page(document_id, number, page):
-        yield document_id, number, page.get_text(), page.rect.width, page.rect.height, page.rotation, len(page.get_images()), [f[3] for f in page.get_fonts()], None
-
-    @staticmethod
-    def _spans(document_id, number, page):
-        ord_ = 0
-        for block in page.get_text("dict")["blocks"]:
-            if block["type"]:
-                continue
-            for line in block["lines"]:
-                for s in line["spans"]:
-                    if s["text"].strip():
-                        x0, y0, x1, y1 = s["bbox"]
-                        yield document_id, number, ord_, s["text"], round(x0, 2), round(y0, 2), round(x1 - x0, 2), round(y1 - y0, 2), round(s["size"], 2), s["font"], bool(s["flags"] & BOLD) or "bold" in s["font"].lower(), page.rect.width, page.rect.height, None
-                        ord_ += 1
+        except OSError as e:
+            yield (None,) * (len((SPANS if self.spans else PAGES).split(", ")) - 1) + (f"{partition.path}: {e}",)
+            return
+        yield from read_content(content, partition.path, self.spans)
+
+
+def opened(path: str):
+    """The file system of a path, and the path in it."""
+    import pyarrow.fs as pafs
+
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+
+
+def listed(path: str) -> list[str]:
+    """The PDF files of a folder, or the file itself."""
+    import pyarrow.fs as pafs
+
+    fs, at = opened(path)
+    root = path[: len(path) - len(at)] if path.endswith(at) else ""
+    if fs.get_file_info(at).type != pafs.FileType.Directory:
+        return [path]
+    return sorted(root + x.path for x in fs.get_file_info(pafs.FileSelector(at)) if x.path.lower().endswith(".pdf"))
 
 
 def ocr_lines(words):

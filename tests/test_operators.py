@@ -279,6 +279,45 @@ def test_ocr_lines(spark):
     assert (r.text, r.x, r.y, r.width) == ("Hello World", 24.0, 24.0, 96.0) and r.bold is None
 
 
+class FakePage:
+    """What the reader asks of a page."""
+
+    class rect:  # noqa: N801
+        width, height = 612.0, 792.0
+
+    rotation = 0
+
+    def __init__(self, *spans):
+        self.spans = spans
+
+    def get_text(self, kind=None):
+        lines = [{"spans": [{"text": t, "bbox": (72.0, y, 172.0, y + 12.0), "size": 12.0, "font": font, "flags": 0}]} for t, y, font in self.spans]
+        return {"blocks": [{"lines": lines}, {"image": b""}]} if kind else "\n".join(t for t, _, _ in self.spans)
+
+    def get_images(self):
+        return [1]
+
+    def get_fonts(self):
+        return [(0, 0, 0, "Arial")]
+
+
+def test_pdf_rows(spark, tmp_path):
+    page = FakePage(("Title", 40.0, "Arial-Bold"), (" ", 60.0, "Arial"), ("body", 80.0, "Arial"))
+    assert list(pdf_source.page_row("d", 1, page)) == [("d", 1, "Title\n \nbody", 612.0, 792.0, 0, 1, ["Arial"], None)]
+    rows = spark.createDataFrame(list(pdf_source.span_rows("d", 1, page)), pdf_source.SPANS)
+    assert [(u.text, u.bold, u.modality) for u in assemble.units(rows).orderBy("ord").collect()] == [("Title", True, "native"), ("body", False, "native")]
+    scanned = list(pdf_source.span_rows("d", 2, FakePage(), lambda p: [("Seen text", 24.0, 30.0, 90.0, 11.0)]))
+    (u,) = assemble.units(spark.createDataFrame(scanned, pdf_source.SPANS)).collect()
+    assert (u.text, u.bold, u.modality, u.font_size) == ("Seen text", None, "ocr", 11.0)
+    (tmp_path / "a.pdf").write_bytes(b"not a pdf")
+    (tmp_path / "b.PDF").write_bytes(b"nor this")
+    spark.dataSource.register(pdf_source.PdfSource)
+    for table in ("pages", "spans"):
+        bad = spark.read.format("quirelight_pdf").option("table", table).load(str(tmp_path)).collect()
+        assert len(bad) == 2 and all(r.error for r in bad)
+    assert [bool(r.error) for r in pdf_source.read_files(files.pdf_files(spark, str(tmp_path)), spans=True).collect()] == [True]
+
+
 def test_census_of_a_stream(spark, tmp_path):
     pages(spark, ["one page", "Exhibit A"]).write.parquet(str(tmp_path / "in"))
     stream = census_stream(spark.readStream.schema(PAGE).parquet(str(tmp_path / "in")))

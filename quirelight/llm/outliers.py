@@ -33,7 +33,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import narrow, stored
+from quirelight.llm.common import HOT_ROWS, bit_filter, flagged, narrow, spread_join, stored
 
 MIN_WORDS = 20
 MOST_REPEATED = 0.3
@@ -43,6 +43,7 @@ STARTS = 4
 MOST_STEPS = 12
 CONVERGED = 0.01
 MIN_GROUP = 40
+FEW_GROUPS = 20_000
 GRID = 64
 FLOOR = 0.01
 TAIL = 0.9999
@@ -148,6 +149,21 @@ def _group() -> Column:
     return F.xxhash64("pool", lang.isNull(), F.coalesce(lang, F.lit("")), source.isNull(), F.coalesce(source, F.lit("")))
 
 
+class Groups:
+    """Joins documents (columns doc_id and g) with a row or a few rows a group. Up to FEW_GROUPS groups are sent to every
+    task; of more, those of over HOT_ROWS documents are dealt over many tasks."""
+
+    def __init__(self, good: DataFrame):
+        sizes = stored(good.groupBy("g").count(), "quality-groups")
+        self.few = sizes.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS
+        self.hot = None if self.few else bit_filter(sizes.where(F.col("count") > HOT_ROWS).select("g"))
+
+    def join(self, rows: DataFrame, groups: DataFrame, how: str = "inner") -> DataFrame:
+        groups = groups.withColumnRenamed("g", "of_g")
+        found = rows.join(F.broadcast(groups), F.col("g") == F.col("of_g"), how) if self.few else spread_join(rows, "g", "doc_id", groups, "of_g", self.hot, how)
+        return found.drop("of_g")
+
+
 def _with_factor(estimate: DataFrame) -> DataFrame:
     """Adds the Cholesky factor of the covariance with the floor, and the log of its determinant (by lateral aliases)."""
     out = []
@@ -184,7 +200,8 @@ def covariance_determinants(good: DataFrame, most_steps: int = MOST_STEPS) -> Da
     """good: doc_id, g, STATISTICS. g, m_ and l_ columns of the estimate with the least determinant, log_det, scale."""
     named = lambda value: ", ".join(f"struct('{c}' AS name, {value.format(c)} AS v)" for c in STATISTICS)
     origin = stored(_medians(good.selectExpr("g", f"inline(array({named('{0}')}))")).selectExpr("g", *[f"{c} AS o_{c}" for c in STATISTICS]), "quality-origin")
-    near = stored(good.join(origin, "g"), "quality-centred")
+    groups = Groups(good)
+    near = stored(groups.join(good, origin), "quality-centred")
     spread = _medians(near.selectExpr("g", f"inline(array({named('abs({0} - o_{0})')}))")).selectExpr("g", *[f"power(1.4826D * {c}, 2) AS v_{c}" for c in STATISTICS])
     keys = ["g", "start"]
     first = origin.join(spread, "g").selectExpr("g", *[f"o_{c} AS m_{c}" for c in STATISTICS], *[f"{f'v_{a}' if a == b else '0D'} AS c_{a}_{b}" for a, b in PAIRS])
@@ -198,7 +215,7 @@ def covariance_determinants(good: DataFrame, most_steps: int = MOST_STEPS) -> Da
     kept = None  # the starts themselves aren't estimates of the share
     for _ in range(most_steps):
         own = Window.partitionBy(*keys)
-        cells = _with_distance(near.join(estimate.drop("log_det"), "g")).groupBy(*keys, "least", _cell(F.col("d2")).alias("cell")).agg(*map(F.expr, SUMS))
+        cells = _with_distance(groups.join(near, estimate.drop("log_det"))).groupBy(*keys, "least", _cell(F.col("d2")).alias("cell")).agg(*map(F.expr, SUMS))
         cells = cells.select("*", F.sum("n").over(own.orderBy("cell")).alias("upto"), F.sum("n").over(own).alias("all_n"))
         inside = cells.where(f"upto - n < {SUBSET} * all_n").groupBy(*keys).agg(F.first("least").alias("least"), *[F.sum(c).alias(c) for c in SUM_NAMES]).join(origin, "g")
         # least: the determinant's log is told apart from the lowest before by more than CONVERGED, or stands for it
@@ -210,7 +227,7 @@ def covariance_determinants(good: DataFrame, most_steps: int = MOST_STEPS) -> Da
         if not after.where("lower").limit(1).count():
             break
     found = stored(kept.groupBy("g").agg(F.min("b").alias("b")).selectExpr("g", "b.log_det", *[f"b.{c}" for c in columns]), "quality-best")
-    cells = _with_distance(good.join(found.drop("log_det"), "g")).groupBy("g", _cell(F.col("d2")).alias("cell")).agg(F.count("*").alias("n"))
+    cells = _with_distance(groups.join(good, found.drop("log_det"))).groupBy("g", _cell(F.col("d2")).alias("cell")).agg(F.count("*").alias("n"))
     own = Window.partitionBy("g")
     cells = cells.select("*", F.sum("n").over(own.orderBy("cell")).alias("upto"), F.sum("n").over(own).alias("all_n"))
     median = cells.where("upto >= 0.5 * all_n").groupBy("g").agg(_edge(F.min("cell")).alias("median"))
@@ -225,12 +242,18 @@ def judged(stats: DataFrame) -> DataFrame:
     for c in ("lang", "source"):
         sizes = _joined(sizes, sizes.groupBy(c).agg(F.sum("group_n").alias(f"{c}_n")), [c])
     pool = F.when(F.col("group_n") >= MIN_GROUP, 0).when(F.col("lang_n") >= MIN_GROUP, 1).when(F.col("source_n") >= MIN_GROUP, 2).otherwise(3)
-    judge = stored(sizes.select("lang", "source", pool.alias("pool")).withColumn("judge_g", _group()), "quality-pools")
+    judge = sizes.select("lang", "source", pool.alias("pool")).withColumn("judge_g", _group())
+    judge = stored(judge.withColumn("pool", F.lit(0)).select(_group().alias("g"), "judge_g"), "quality-pools")
     # a document counts in each pool that judges some group and that it belongs to
+    used = judge.select(F.col("judge_g").alias("used_g")).distinct()
     good = stats.where(~F.col("base_failed")).select("doc_id", "lang", "source", *STATISTICS, F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("pool")).withColumn("g", _group())
-    good = stored(good.join(judge.select("judge_g").distinct(), F.col("g") == F.col("judge_g"), "left_semi").select("doc_id", "g", *STATISTICS), "quality-vectors")
-    model = covariance_determinants(good)
-    final = _joined(stats, judge.drop("pool"), ["lang", "source"]).join(model.drop("log_det"), F.col("judge_g") == F.col("g"), "left")
+    in_use = bit_filter(used)  # saves work only
+    good = flagged(good.select("doc_id", "g", *STATISTICS), "g", in_use).where("may_be").drop("may_be")
+    good = stored(Groups(good).join(good, used.withColumnRenamed("used_g", "g")), "quality-vectors")
+    model = covariance_determinants(good).drop("log_det").withColumnRenamed("g", "model_g")
+    model = stored(judge.join(model, F.col("judge_g") == F.col("model_g")).drop("judge_g", "model_g"), "quality-judges")  # a row for each language and source
+    stats = stats.withColumn("pool", F.lit(0)).withColumn("g", _group()).drop("pool")
+    final = Groups(stats).join(stats, model, "left")
     distance = F.when(~F.col("base_failed"), F.col("d2") / F.col("scale"))
     return _with_distance(final).withColumn("distance", distance).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(False)))
 

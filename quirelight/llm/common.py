@@ -5,8 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import re
-import tempfile
-import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +13,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirelight.storage import shared_folder, stored  # noqa: F401
+
 #: Rows in one Arrow batch handed to Python; texts are long, so Spark's default of 10,000 is too many.
 BATCH_ROWS = 512
 BATCH_BYTES = 1 << 20
@@ -40,36 +40,12 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir, which all executors share. Where it is unset, a session whose tasks all run in
-    the driver's process (as in tests) gets one of its own; a cluster is refused, as its machines share no folder."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if known.isDefined():
-            found = known.get()
-        elif re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            found = tempfile.mkdtemp(prefix="quirelight-")
-            spark.sparkContext.setCheckpointDir(found)
-        else:
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return found.rstrip("/")
-
-
 def files(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder that executors share, and the path in it."""
     uri = re.sub(r"^file:/(?!/)", "file:///", uri)
     return pafs.FileSystem.from_uri(uri) if "://" in uri else (pafs.LocalFileSystem(), uri)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet in the shared folder and read it again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def held_out(doc_id, modulus: int, remainder_is) -> F.Column:
     """crc32(doc_id as text) mod modulus, tested; a null doc_id counts as the empty string."""
     return remainder_is(F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))), F.lit(modulus)))

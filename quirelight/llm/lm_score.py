@@ -3,7 +3,8 @@
 A text's symbols are its lower-cased (A-Z) words [^\\x20\\x09-\\x0D]+ and an end. A word that no training text has is one
 symbol, unknown, in the model as in the baseline, so both are distributions over the same V + 1 symbols.
 
-A context is up to DEPTH symbols that precede another in the training texts. Of its successors those seen LEAST times or
+A context is up to DEPTH symbols that precede another in the training texts; one that occurs as often as its suffix
+without the oldest symbol stands at the same places, and is no state of its own. Of a context's successors those seen LEAST times or
 more are kept, the others are left to the shorter context. A context is retained if n times the divergence (in nats) of
 its next-symbol distribution, with what isn't kept as one symbol, from that of the context without its oldest symbol is
 at least GAIN after a charge of 1 + log(n) / 2 for each kept successor, n being how often it occurs; and with it all its
@@ -15,12 +16,13 @@ count. A text is scored by its longest retained suffix before each symbol.
 Counts of all training documents are needed wherever a text is scored, so documents are written as blocks of
 BLOCK_BYTES to the shared folder, and texts are never shuffled. In rounds, each block sends sorted distinct hashes with
 its training counts by ranges of the hash, where all blocks' counts are added, and gets the sums back in the order it
-sent them: 1. words; 2. pairs of words that both occur LEAST times; 3. longer runs of such pairs; 4. what its training
-texts say of each context (sums over occurrences, so that a context in very many texts is one number a block). Then each
-block scores its documents. A range is what TASK_BYTES of text need; a frequent word, pair or context is one entry a
-block like any other.
+sent them: 1. words; 2. pairs of words; 3. longer runs of pairs that occur LEAST times; 4. what its training
+kept successors say of each context (a successor is told of by the first block that has it, so it is in one sum only).
+Then each block scores its documents. A range is what TASK_BYTES of text need; a frequent word, pair or context is one
+entry a block like any other.
 
-Hashes of words have 64 bits, those of longer runs 48, of which a clash only adds counts in the model.
+Hashes of words have 64 bits. Those of longer runs, of which a clash only adds counts in the model, have SPARE_BITS more
+than the number of bytes of all texts has.
 
 Cases: a null or empty text is the end alone; a very long text is a block of its own; without training documents N and V
 are 0 and both scores are 0; ties do not arise, as nothing is ranked; rows that repeat a doc_id are scored apart; a null
@@ -33,6 +35,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +50,7 @@ GAIN = 4.0
 DISCOUNT = 0.5
 BLOCK_BYTES = 8 << 20
 TASK_BYTES = 12 << 20
-GRAM_BITS = 48
+SPARE_BITS = 12
 END_HASH = np.uint64(1)  # as a word
 SENT = "path string, bucket int, kind int, blob binary"
 ANSWERED = "path string, bucket int, kind int, blob binary, n long, v long, once long"
@@ -110,32 +113,32 @@ class Block:
         with fs.open_input_stream(at) as source, pa.ipc.open_stream(source) as found:
             return cls(list(found))
 
-    def grams(self, k: int) -> np.ndarray:
+    def grams(self, k: int, bits: int) -> np.ndarray:
         """Hashes of the k symbols up to each one (of no meaning where a document has fewer before it)."""
         out = np.zeros(len(self.hash), np.uint64)
         out[k - 1 :] = runs(self.hash, k)
-        return mix(out ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - GRAM_BITS)
+        return mix(out ^ np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(64 - bits)
 
 
 class Counts:
     """Training counts of a block's grams: count[k] of the k symbols up to each one, 0 where it isn't known to be LEAST or
-    more (k > 1). It is filled round by round; ask() gives the distinct hashes of the next round and their places."""
+    more (k > 1); first[k]: a place of each gram of LEAST or more that this block is the first to have. Both are filled
+    round by round; asked() gives what the next round asks for."""
 
-    def __init__(self, block: Block, depth: int):
-        self.block, self.depth, self.count = block, depth, {}
+    def __init__(self, block: Block, depth: int, bits: int):
+        self.block, self.depth, self.bits, self.count, self.first = block, depth, bits, {}, {}
 
-    def asked(self, kind: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
-        """Levels with the places (indexes of symbols) that are asked for, the distinct hashes, and which of them each
-        place has, levels one after another."""
+    def asked(self, kind: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+        """Levels with the places (indexes of symbols) that are asked for; the distinct hashes, the first place of each,
+        and which of them each place has, levels one after another."""
         block, levels = self.block, []
         if kind == WORDS:
             levels.append((1, np.arange(len(block.hash))))
             hashes = block.hash
         elif kind == PAIRS:
-            often = self.count[1] >= LEAST
-            at = np.flatnonzero(often[1:] & often[:-1] & (block.place[1:] > 0)) + 1
+            at = np.flatnonzero(block.place)
             levels.append((2, at))
-            hashes = block.grams(2)[at]
+            hashes = block.grams(2, self.bits)[at]
         else:
             often = self.count[2] >= LEAST  # the pair that ends here
             run, parts = often, []
@@ -143,20 +146,25 @@ class Counts:
                 run = often & np.concatenate(([False], run[:-1]))
                 at = np.flatnonzero(run)
                 levels.append((k, at))
-                parts.append(block.grams(k)[at])
+                parts.append(block.grams(k, self.bits)[at])
             hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        distinct, which = np.unique(hashes, return_inverse=True)
-        return levels, distinct, which
+        distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
+        return levels, distinct, place, which
 
-    def fill(self, kind: int, blobs: list[bytes], asked=None) -> None:
+    def fill(self, kind: int, blobs: list[bytes]) -> None:
         """blobs: the answers in order of the ranges."""
-        levels, distinct, which = asked or self.asked(kind)
-        total = np.concatenate([np.zeros(0, np.int64), *[large(unpacked(x)[0]) for x in blobs]])
+        levels, distinct, place, which = self.asked(kind)
+        parts = [unpacked(x) for x in blobs]
+        total = np.concatenate([np.zeros(0, np.int64), *[large(n) for n, _ in parts]])
+        mine = np.concatenate([np.zeros(0, bool), *[np.unpackbits(f, count=len(n[1])).astype(bool) for n, f in parts]])
         found, at = total[which] if len(which) else np.zeros(0, np.int64), 0
+        own = np.sort(place[mine & (total >= LEAST)]) if len(distinct) else place
         for k, places in levels:
             self.count[k] = np.zeros(len(self.block.hash), np.int64)
-            own = found[at : at + len(places)]
-            self.count[k][places] = own if k == 1 else np.where(own >= LEAST, own, 0)
+            n = found[at : at + len(places)]
+            self.count[k][places] = n if k == 1 else np.where(n >= LEAST, n, 0)
+            lo, hi = np.searchsorted(own, [at, at + len(places)])
+            self.first[k] = places[own[lo:hi] - at]
             at += len(places)
 
     def root(self, totals: tuple[int, int, int]) -> np.ndarray:
@@ -167,14 +175,19 @@ class Counts:
         unknown = (once + 0.5) / (n + 1)
         return np.where(self.count[1] > 0, (1 - unknown) * self.count[1] / n, unknown)
 
+    def is_state(self, d: int, at: np.ndarray) -> np.ndarray:
+        """Whether the d symbols before each of the places are a state of their own, that occurs LEAST times."""
+        n = self.count[d][at - 1]
+        return (self.block.place[at] >= d) & (n >= LEAST) & ((n < self.count[d - 1][at - 1]) if d > 1 else True)
+
     def contexts(self) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
-        """For each length the places whose context of that length occurs LEAST times; the distinct contexts' hashes; and
-        which each place has."""
-        levels, parts = [], []
+        """For each length the places that have a context of that length; the distinct contexts' hashes; and which each
+        place has."""
+        levels, parts, after = [], [], np.arange(1, len(self.block.hash))
         for d in range(1, self.depth + 1):
-            at = np.flatnonzero((self.count[d][:-1] >= LEAST) & (self.block.place[1:] >= d)) + 1
+            at = after[self.is_state(d, after)]
             levels.append((d, at))
-            parts.append(self.block.grams(d)[at - 1])
+            parts.append(self.block.grams(d, self.bits)[at - 1])
         distinct, which = np.unique(np.concatenate(parts), return_inverse=True)
         return levels, distinct, which
 
@@ -191,11 +204,24 @@ def _rows(path: str, kind: int, hashes: np.ndarray, bits: int, buckets: int, blo
     return pa.table({"path": pa.array([path] * len(some), pa.string()), "bucket": pa.array(some, pa.int32()), "kind": pa.array([kind] * len(some), pa.int32()), "blob": pa.array([blob(slice(cuts[b], cuts[b + 1])) for b in some], pa.binary())})
 
 
-def _known(block: Block, answers: pa.Table, depth: int, upto: int) -> Counts:
-    """A block's counts from the answers to the rounds up to a kind."""
-    counts = Counts(block, depth)
+def _known(path: str, block: Block, answers: pa.Table, depth: int, bits: int, upto: int, fresh: int) -> Counts:
+    """A block's counts of the rounds up to a kind: from the answers to the fresh round, and from files beside the block,
+    which the tasks of the rounds after it wrote."""
+    counts = Counts(block, depth, bits)
     for kind in range(upto + 1):
+        fs, at = files(f"{path}.counts{kind}")
+        if kind != fresh:
+            with fs.open_input_stream(at) as source:
+                for k, n, first in unpacked(source.read()):
+                    counts.count[k], counts.first[k] = large(n), large(first)
+            continue
         counts.fill(kind, _blobs(answers, kind))
+        if fs.get_file_info(at).type == pafs.FileType.NotFound:  # a task that is run again has the same to write
+            levels = (1,) if kind == WORDS else (2,) if kind == PAIRS else range(3, depth + 2)
+            draft = f"{at}-{uuid.uuid4().hex}"
+            with fs.open_output_stream(draft) as sink:
+                sink.write(packed(*[(k, small(counts.count[k]), small(counts.first[k])) for k in levels]))
+            fs.move(draft, at)
     return counts
 
 
@@ -205,22 +231,24 @@ def _blobs(answers: pa.Table, kind: int) -> list[bytes]:
 
 
 def _sent_counts(path: str, counts: Counts, kind: int, buckets: int) -> pa.Table:
-    levels, distinct, which = counts.asked(kind)
+    levels, distinct, _, which = counts.asked(kind)
     train = np.concatenate([np.zeros(0, bool), *[counts.block.train[at] for _, at in levels]])
     n = np.bincount(which, train, len(distinct)).astype(np.int64)
-    return _rows(path, kind, distinct, 64 if kind == WORDS else GRAM_BITS, buckets, lambda x: packed(rising(distinct[x]), small(n[x])))
+    return _rows(path, kind, distinct, 64 if kind == WORDS else counts.bits, buckets, lambda x: packed(rising(distinct[x]), small(n[x])))
 
 
 def _added(table: pa.Table) -> pa.Table:
-    """One range: all blocks' counts added. For each block the sums in the order it sent; and one row with how many
-    words there are, how many distinct ones and how many seen once."""
+    """One range: all blocks' counts added. For each block the sums in the order it sent, and which it is the first to
+    have; and one row with how many words there are, how many distinct ones and how many seen once."""
     table = table.sort_by("path")
     paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
     hashes = [risen(x[0]) for x in parts]
-    every, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    every, place, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
     total = np.bincount(which, np.concatenate([large(x[1]) for x in parts]), len(every)).astype(np.int64)
+    first = np.zeros(len(which), bool)
+    first[place] = True
     ends = np.cumsum([len(h) for h in hashes])
-    blobs = [packed(small(total[which[b - len(h) : b]])) for h, b in zip(hashes, ends, strict=True)]
+    blobs = [packed(small(total[which[b - len(h) : b]]), np.packbits(first[b - len(h) : b])) for h, b in zip(hashes, ends, strict=True)]
     bucket, kind, n = table.column("bucket")[0].as_py(), table.column("kind")[0].as_py(), len(paths)
     out = pa.table({"path": pa.array([*paths, None], pa.string()), "bucket": pa.array([bucket] * (n + 1), pa.int32()), "kind": pa.array([kind] * (n + 1), pa.int32()), "blob": pa.array([*blobs, None], pa.binary()), **{k: pa.array([0] * n + [int(v)], pa.int64()) for k, v in (("n", total.sum()), ("v", (total > 0).sum()), ("once", (total == 1).sum()))}})
     del every, which, total, hashes, parts
@@ -228,32 +256,30 @@ def _added(table: pa.Table) -> pa.Table:
     return out
 
 
-def _evidence(answers: pa.Table, depth: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
-    """What a block's training texts say of its contexts: over occurrences with a kept successor, sums of the log of its
-    share over its share in the suffix, of the latter by its count, of ones, and of one by its count; and n."""
+def _evidence(answers: pa.Table, depth: int, bits: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
+    """A block's contexts, and what the kept successors that it is the first to have say of theirs: how often they occur
+    times the log of their share over that in the suffix, the latter, how often they occur, and their number; and n."""
     path = answers.column("path")[0].as_py()
-    counts = _known(Block.read(path), answers, depth, LONGER)
-    root, train = counts.root(totals), counts.block.train
-    levels, distinct, which = counts.contexts()
-    sums = np.zeros((4, len(distinct)))
-    n, at = np.zeros(len(distinct), np.int64), 0
-    for d, places in levels:
-        own = which[at : at + len(places)]
-        at += len(places)
-        n[own] = counts.count[d][places - 1]
-        kept = counts.count[d + 1][places]
-        some = (kept >= LEAST) & train[places]
-        own, kept, places = own[some], kept[some].astype(float), places[some]
-        before = root[places] if d == 1 else counts.count[d][places] / counts.count[d - 1][places - 1]
-        for i, x in enumerate((np.log(kept / (counts.count[d][places - 1] * before)), before / kept, np.ones(len(kept)), 1 / kept)):
+    counts = _known(path, Block.read(path), answers, depth, bits, LONGER, LONGER)
+    root = counts.root(totals)
+    _, distinct, _ = counts.contexts()
+    sums, n = np.zeros((4, len(distinct))), np.ones(len(distinct), np.int64)
+    for d in range(1, depth + 1):
+        at = counts.first[d + 1]
+        at = at[counts.is_state(d, at)]
+        own = np.searchsorted(distinct, counts.block.grams(d, bits)[at - 1])
+        n[own] = counts.count[d][at - 1]
+        kept = counts.count[d + 1][at].astype(float)
+        before = root[at] if d == 1 else counts.count[d][at] / counts.count[d - 1][at - 1]
+        for i, x in enumerate((kept * np.log(kept / (n[own] * before)), before, kept, np.ones(len(kept)))):
             sums[i] += np.bincount(own, x, len(distinct))
 
     def blob(x: slice) -> bytes:
-        some = np.flatnonzero(sums[2, x])
+        some = np.flatnonzero(sums[3, x])
         s = sums[:, x][:, some]
-        return packed(rising(distinct[x]), small(n[x]), small(some), s[0].astype(np.float32), s[1].astype(np.float32), small(s[2].astype(np.int64)), s[3].astype(np.float32))
+        return packed(rising(distinct[x]), rising(some) if len(some) else None, small(n[x][some]), s[0].astype(np.float32), s[1].astype(np.float32), small(s[2].astype(np.int64)), small(s[3].astype(np.int64)))
 
-    out = _rows(path, CONTEXTS, distinct, GRAM_BITS, buckets, blob)
+    out = _rows(path, CONTEXTS, distinct, bits, buckets, blob)
     release()
     return out
 
@@ -268,22 +294,26 @@ def retained(n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _judged(table: pa.Table) -> pa.Table:
-    """One range of contexts: for each block, in the order it sent, which are retained and the shares left over."""
+    """One range of contexts: for each block, in the order it sent, which have kept successors, and of these which are
+    retained and the shares left over."""
     table = table.sort_by("path")
     paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
     hashes = [risen(x[0]) for x in parts]
     every, which = np.unique(np.concatenate(hashes), return_inverse=True)
     n, sums, at, spans = np.ones(len(every), np.int64), np.zeros((4, len(every))), 0, []
-    for h, (_, times, some, *values) in zip(hashes, parts, strict=True):
+    for h, (_, some, times, *values) in zip(hashes, parts, strict=True):
         own = which[at : at + len(h)]
         spans.append(own)
         at += len(h)
-        n[own] = large(times)
-        own = own[large(some)]
-        for i, x in enumerate((values[0], values[1], large(values[2]), values[3])):
-            sums[i, own] += x  # a block has a context once
-    good, left = retained(n, np.minimum(sums, np.stack([np.full(len(n), np.inf), np.ones(len(n)), n, np.full(len(n), np.inf)])))
-    blobs = [packed(np.packbits(good[own]), left[own].astype(np.float32)) for own in spans]
+        if some is not None:
+            own = own[risen(some).astype(np.int64)]
+            n[own] = large(times)
+            for i, x in enumerate((values[0], values[1], large(values[2]), large(values[3]))):
+                sums[i, own] += x  # a block has a context once
+    sums[1], sums[2] = np.minimum(sums[1], 1), np.minimum(sums[2], n)  # hashes may clash
+    good, left = retained(n, sums)
+    some = sums[3] > 0
+    blobs = [packed(len(own), np.packbits(some[own]), np.packbits(good[own[some[own]]]), left[own[some[own]]].astype(np.float32)) for own in spans]
     k = len(paths)
     out = pa.table({"path": pa.array(paths, pa.string()), "bucket": table.column("bucket"), "kind": table.column("kind"), "blob": pa.array(blobs, pa.binary()), **{c: pa.array([0] * k, pa.int64()) for c in ("n", "v", "once")}})
     del every, which, sums, hashes, parts
@@ -291,6 +321,17 @@ def _judged(table: pa.Table) -> pa.Table:
     return out
 
 
+def _answered(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's contexts: whether each is retained, and the share left over (1 without kept successors)."""
+    good, left = [np.zeros(0, bool)], [np.zeros(0)]
+    for n, has, bits, share in (unpacked(x) for x in blobs):
+        has = np.unpackbits(has, count=n).astype(bool)
+        good.append(np.zeros(n, bool))
+        left.append(np.ones(n))
+        good[-1][has], left[-1][has] = np.unpackbits(bits, count=len(share)).astype(bool), share
+    return np.concatenate(good), np.concatenate(left)
+
+
 def probabilities(counts: Counts, totals: tuple[int, int, int], good: np.ndarray, left: np.ndarray) -> np.ndarray:
     """Of each symbol, by the longest retained suffix of what precedes it. good, left: of counts.contexts()."""
     levels, _, which = counts.contexts()
@@ -309,13 +350,12 @@ def probabilities(counts: Counts, totals: tuple[int, int, int], good: np.ndarray
     return p
 
 
-def _scored(answers: pa.Table, depth: int, totals: tuple[int, int, int]) -> pa.Table:
+def _scored(answers: pa.Table, depth: int, bits: int, totals: tuple[int, int, int]) -> pa.Table:
     """A block's documents."""
-    block = Block.read(answers.column("path")[0].as_py())
-    counts = _known(block, answers, depth, LONGER)
-    found = [unpacked(x) for x in _blobs(answers, CONTEXTS)]
-    left = np.concatenate([np.zeros(0, np.float32), *[x[1] for x in found]]).astype(np.float64)
-    good = np.concatenate([np.zeros(0, bool), *[np.unpackbits(bits, count=len(x)).astype(bool) for bits, x in found]])
+    path = answers.column("path")[0].as_py()
+    block = Block.read(path)
+    counts = _known(path, block, answers, depth, bits, LONGER, CONTEXTS)
+    good, left = _answered(_blobs(answers, CONTEXTS))
     n, v, _ = totals
     each = np.log10(probabilities(counts, totals, good, left))
     base = np.log10(counts.count[1] + 1.0) - np.log10(float(n + v + 1))
@@ -334,32 +374,32 @@ def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH)
     folder = f"{shared_folder(spark)}/lm-{uuid.uuid4().hex}"
     blocks = stored(docs.mapInArrow(lambda b: _dealt(b, folder), "path string"), "lm-blocks")
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    bits = min(64, SPARE_BITS + int(size).bit_length())
     buckets, n_blocks = max(1, -(-size // TASK_BYTES)), max(1, 2 * blocks.count())  # partitions for blocks: most have one
 
     def sums(sent: DataFrame, name: str, function=_added) -> DataFrame:
         return stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(function, ANSWERED), name)
 
-    def by_block(known: list[DataFrame], function, schema: str) -> DataFrame:
-        every = known[0]
-        for x in known[1:]:
-            every = every.unionByName(x.where("path is not null").select(*every.columns))
+    first = blocks.select("path", F.lit(0).alias("bucket"), F.lit(-1).alias("kind"), F.lit(None).cast("binary").alias("blob"))
+
+    def by_block(answers: DataFrame | None, function, schema: str) -> DataFrame:
+        every = first if answers is None else first.unionByName(answers.where("path is not null").select(*first.columns))  # blocks that asked nothing too
         return every.repartition(n_blocks, "path").groupBy("path").applyInArrow(function, schema)
 
     def asking(kind: int):
         def ask(answers: pa.Table) -> pa.Table:
             path = answers.column("path")[0].as_py()
-            out = _sent_counts(path, _known(Block.read(path), answers, depth, kind - 1), kind, buckets)
+            out = _sent_counts(path, _known(path, Block.read(path), answers, depth, bits, kind - 1, kind - 1), kind, buckets)
             release()
             return out
 
         return ask
 
-    first = blocks.select("path", F.lit(0).alias("bucket"), F.lit(-1).alias("kind"), F.lit(None).cast("binary").alias("blob"))
-    known = [first]
+    answers = None
     for kind, name in ((WORDS, "lm-words"), (PAIRS, "lm-pairs"), (LONGER, "lm-longer")):
-        known.append(sums(by_block(known, asking(kind), SENT), name))
+        answers = sums(by_block(answers, asking(kind), SENT), name)
         if kind == WORDS:
-            found = known[-1].agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once")]).head()
+            found = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once")]).head()
             totals = tuple(int(x) for x in found)
-    known.append(sums(by_block(known, lambda t: _evidence(t, depth, buckets, totals), SENT), "lm-contexts", _judged))
-    return by_block(known, lambda t: _scored(t, depth, totals), RESULT)
+    contexts = sums(by_block(answers, lambda t: _evidence(t, depth, bits, buckets, totals), SENT), "lm-contexts", _judged)
+    return by_block(contexts, lambda t: _scored(t, depth, bits, totals), RESULT)

@@ -27,14 +27,18 @@ def large(packed: tuple[int, np.ndarray]) -> np.ndarray:
     return packed[1].astype(np.int64) + packed[0]
 
 
-def rising(values: np.ndarray) -> tuple[int, np.ndarray]:
-    """Sorted unsigned values as the first and the steps, in as few bytes as hold them."""
+def rising(values: np.ndarray) -> tuple[int, int, bytes, int]:
+    """Sorted unsigned values as the first and the steps, in as few bytes as hold them. The steps' bytes stand by place,
+    as those of hashes are random but for the highest."""
     steps = np.diff(values)
-    return int(values[0]), steps.astype(np.min_scalar_type(int(steps.max()) if len(steps) else 0))
+    steps = steps.astype(np.min_scalar_type(int(steps.max()) if len(steps) else 0))
+    return int(values[0]), len(steps), np.ascontiguousarray(steps.view(np.uint8).reshape(len(steps), steps.itemsize).T).tobytes(), steps.itemsize
 
 
-def risen(packed: tuple[int, np.ndarray]) -> np.ndarray:
-    return np.uint64(packed[0]) + np.concatenate((np.zeros(1, np.uint64), np.cumsum(packed[1], dtype=np.uint64)))
+def risen(packed: tuple[int, int, bytes, int]) -> np.ndarray:
+    first, n, planes, width = packed
+    steps = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel() if n else np.zeros(0, np.uint8)
+    return np.uint64(first) + np.concatenate((np.zeros(1, np.uint64), np.cumsum(steps, dtype=np.uint64)))
 
 
 def ranges(hashes: np.ndarray, buckets: int) -> np.ndarray:

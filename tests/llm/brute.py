@@ -3,27 +3,59 @@
 
 
 import math
+import re
 
 import numpy as np
 
-from quirelight.llm.sentence_dedup import sentences
+from quirelight.llm.text_hash import Ranges
+
+LOWERED = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def word_hash(word: bytes) -> int:
+    return int(Ranges(np.frombuffer(word.translate(LOWERED), np.uint8)).of(np.array([0]), np.array([len(word)]))[0])
+
+
+def sentences(text: bytes, long: int = 24) -> list[tuple[int, int]]:
+    """Each sentence's first byte and number of words, word by word."""
+    found = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
+    runs, run = [], []
+    for k, (a, b) in enumerate(found):
+        run.append((a, b))
+        if k + 1 == len(found) or text[b - 1 : b] in (b".", b"!", b"?") or b"\n" in text[b : found[k + 1][0]]:
+            runs.append(run)
+            run = []
+    out = []
+    for run in runs:
+        part = []
+        for a, b in run:
+            part.append(a)
+            if len(run) > long and word_hash(text[a:b]) % 8 == 0:
+                out.append((part[0], len(part)))
+                part = []
+        if part:
+            out.append((part[0], len(part)))
+    return out
 
 
 def sentence_dedup(texts: dict[int, str | None], least: int = 2, min_words: int = 16) -> dict[int, str]:
     cut, first, seen = {}, {}, []
     for d in sorted(texts):
         text = (texts[d] or "").encode()
-        at = np.array([0, len(text)])
-        begin, byte, _, hashed = sentences(np.frombuffer(text, np.uint8), at)
+        own = sentences(text)
+        byte, size = [a for a, _ in own], np.array([n for _, n in own], np.int64)
         keys = [text[a:b].lower().split() for a, b in zip(byte, [*byte[1:], len(text)], strict=True)]
-        cut[d] = [0, *byte[1:].tolist(), len(text)] if len(byte) else [0]
-        size = np.diff(begin)
+        cut[d] = [0, *byte[1:], len(text)] if len(byte) else [0]
         found = set()
         for i in range(len(keys)):
             for j in range(i + least - 1, len(keys)):
                 if size[i : j + 1].sum() >= min_words:
                     found.add((i, j))
                     break
+            for j in range(i - least + 1, -1, -1):  # the shortest that ends here
+                if size[j : i + 1].sum() >= min_words:
+                    found.add((j, i))
+                    break
         for i, j in sorted(found):
             key = tuple(w for s in keys[i : j + 1] for w in s)
             seen.append((key, d, i, j))
@@ -58,8 +90,7 @@ def every_run_dedup(texts: dict[int, str | None], least: int = 2, min_words: int
     parts, first, seen = {}, {}, []
     for d in sorted(texts):
         text = (texts[d] or "").encode()
-        _, byte, _, _ = sentences(np.frombuffer(text, np.uint8), np.array([0, len(text)]))
-        cut = [0, *byte[1:].tolist(), len(text)]
+        cut = [0, *[a for a, _ in sentences(text)][1:], len(text)]
         parts[d] = [text[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)]
         keys = [x.lower().split() for x in parts[d]]
         for i in range(len(keys)):
@@ -93,8 +124,11 @@ def suffix_tree(texts: list[list[str]], train: list[bool], depth: int, gain: flo
         if len(g) > 1 and n >= 2:
             after.setdefault(g[:-1], {})[g[-1]] = n
     kept = set()
+    state = lambda c: len(c) == 1 or grams.get(c, 0) < grams.get(c[1:], 0)
     for c, found in after.items():
         n = grams[c]
+        if not state(c):
+            continue
         before = {w: root(w) if len(c) == 1 else grams[(*c[1:], w)] / grams[c[1:]] for w in found}
         rest = n - sum(found.values())
         divergence = sum(x * math.log(x / (n * before[w])) for w, x in found.items())
@@ -107,6 +141,8 @@ def suffix_tree(texts: list[list[str]], train: list[bool], depth: int, gain: flo
         if not c:
             return root(w)
         n, found = grams.get(c, 0), after.get(c, {})
+        if not state(c):
+            return p(c[1:], w)
         left = (n - sum(found.values()) + discount * len(found)) / n
         return (found[w] - discount if w in found else 0) / n + left * p(c[1:], w)
 
@@ -118,3 +154,31 @@ def suffix_tree(texts: list[list[str]], train: list[bool], depth: int, gain: flo
             score += math.log10(p(next((c for c in contexts if c in kept), ()), w))
         out.append(score)
     return out
+
+
+def clause(classes: list) -> np.ndarray:
+    """A clause's weights by state, by looking around each insult and threat."""
+    out = np.zeros(8)
+    for i, x in enumerate(classes):
+        if x.__class__ is float or x == "threat":
+            near = classes[max(0, i - 3) : i] + classes[i + 1 : i + 4]
+            aimed = "target" in near
+            if x != "threat" or aimed:
+                out[("negation" in classes[max(0, i - 3) : i]) + 2 * ("reported" in classes[:i]) + 4 * aimed] += 4.0 if x == "threat" else x
+    return out
+
+
+def least_determinant(x: np.ndarray, share: float, floor: float, starts: int = 60, seed: int = 0) -> tuple[float, np.ndarray]:
+    """Log determinant of the covariance (with the floor) of the best subset found by concentration from many random
+    subsets, and all rows' squared distances by it."""
+    rng, h, best = np.random.default_rng(seed), math.ceil(share * len(x)), None
+    for _ in range(starts):
+        at = rng.choice(len(x), x.shape[1] + 3, replace=False)
+        for _ in range(30):
+            centre, spread = x[at].mean(axis=0), np.cov(x[at].T, bias=True) + floor * np.eye(x.shape[1])
+            d2 = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(spread), x - centre)
+            at = np.argsort(d2, kind="stable")[:h]
+        centre, spread = x[at].mean(axis=0), np.cov(x[at].T, bias=True) + floor * np.eye(x.shape[1])
+        if best is None or np.linalg.slogdet(spread)[1] < best[0]:
+            best = np.linalg.slogdet(spread)[1], np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(spread), x - centre)
+    return best

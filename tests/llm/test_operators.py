@@ -58,6 +58,31 @@ def test_negation_and_reports_count_for_less():
     assert s("a fine day") == 0
 
 
+def test_clause_machine_against_looking_around():
+    import random
+
+    rng = random.Random(1)
+    for _ in range(2000):
+        classes = [rng.choice([None, None, None, 2.5, "threat", "target", "negation", "reported"]) for _ in range(rng.randrange(0, 25))]
+        assert np.allclose(toxicity.Grammar.clause(classes), brute.clause(classes))
+
+
+def test_long_clauses_take_linear_time():
+    import time
+
+    g = toxicity.Grammar({"idiot": (50, 0)}, 100, 900, 10)
+    began = time.time()
+    assert g.document("idiot you word " * 70_000).shape == (1, toxicity.N_STATES)
+    assert time.time() - began < 5
+
+
+def test_phrases_and_seeds():
+    g = toxicity.Grammar({"piece of": (60, 0), "of dirt": (60, 0)}, 100, 900, 10)
+    assert g.document("what a piece of dirt you are") is not None and g.document("a piece. of it") is None
+    assert g.document("such a moron") is not None  # a prior, without a label
+    assert "moron" not in toxicity.Grammar({"moron": (0, 400)}, 100, 900, 10).weights[0]  # outweighed by clean documents
+
+
 def test_mix_meets_targets(docs):
     rows = mixing.mix(docs, block_words=500).collect()
     by = collections.defaultdict(list)
@@ -73,6 +98,30 @@ def test_mix_meets_targets(docs):
     assert sorted(map(str, rows)) == sorted(map(str, again))
 
 
+def test_mix_shards_have_the_trees_quotas(docs):
+    shards, block_words = 5, 400
+    rows = mixing.mix(docs, shards=shards, block_words=block_words).collect()
+    draws = {(r.source, r["h"] % max(1, -(-r.source_size // block_words)), d["pass"], d.shard) for r in rows for d in r.draws}
+    quotas = collections.Counter((source, shard) for source, _, _, shard in draws)
+    by_source = collections.Counter(source for source, _, _, _ in draws)
+    names = sorted(by_source)
+    want = mixing.splitting_tree(np.array([by_source[s] for s in names]), shards, np.random.default_rng(mixing.SEED))
+    found = np.array([[quotas[s, k] for s in names] for k in range(shards)])
+    assert (found == want).all()
+    assert len({(r.source, r["h"] % max(1, -(-r.source_size // block_words)), d["pass"]) for r in rows for d in r.draws}) == len(draws)  # a draw is in one shard
+
+
+def test_repeated_rows_are_mixed_alike(spark):
+    rows = [(1, "a " * 100, "s"), (1, "a " * 100, "s"), (2, "b " * 50, "t")]
+    found = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    taken = [r.taken for r in found if r.doc_id == 1]
+    assert taken[0] == taken[1] and abs(sum(taken) - found[0].target if found[0].doc_id == 1 else 0) <= 2
+    words = collections.Counter()
+    for r in mixing.drawn(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        words[r.doc_id] += len(r.text.split())
+    assert words == {1: sum(taken), 2: sum(r.taken for r in found if r.doc_id == 2)}
+
+
 def test_splitting_tree_is_exact():
     draws = np.array([1000, 10, 333])
     parts = mixing.splitting_tree(draws, 7, np.random.default_rng(1))
@@ -152,6 +201,16 @@ def test_encoder_pieces():
     assert [x.tolist() for x in encode(pa.array(tests, pa.string()))] == want
 
 
+def test_more_pieces_than_are_held(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_file, "KNOWN_PIECES", 1000)
+    encode = token_file.Encoder(queries.tokenizer_path())
+    texts = [" ".join(f"w{i}x" for i in range(a, b)) for a, b in ((0, 800), (400, 1600), (0, 5000), (0, 10))]
+    for t in texts:
+        assert encode(pa.array([t]))[0].tolist() == encode.library.encode(t, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("length,gram", [(10, 4), (12, 9)])
 def test_suffix_dedup_small_alphabet(spark, length, gram):
     import random
@@ -220,6 +279,22 @@ def test_ngram_blocks_agree(spark, docs, monkeypatch):
     assert sorted(map(str, ngram_join.join(docs).collect())) == whole
 
 
+def test_recall_at_the_threshold(spark):
+    """Pairs of documents whose 5-grams have a similarity of just 0.8 and more, against all pairs."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(120):
+        words = [f"w{rng.integers(10**6)}" for _ in range(60)]
+        other = words.copy()
+        other[-int(rng.integers(1, 9)) :] = [f"z{rng.integers(10**6)}"]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    linked = {i for i in range(0, 240, 2) if 5 * len(sets[i] & sets[i + 1]) >= 4 * len(sets[i] | sets[i + 1])}
+    got = {r.doc_id: r.n_links for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(linked) > 30 and not any(got[i] for i in range(0, 240, 2) if i not in linked)
+    assert sum(got[i] == 1 for i in linked) >= 0.99 * len(linked)
+
+
 def test_bands_reach_the_recall():
     bands, rows = ngram_join.bands_and_rows(0.8, 0.9995)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9995 and bands * rows <= ngram_join.MOST_HASHES
@@ -247,6 +322,25 @@ def test_outliers_by_group(spark):
     assert all(kept[i] for i in range(120)) and not any(kept[1000 + i] for i in range(4))
 
 
+def test_least_determinants_against_random_starts(spark):
+    rng = np.random.default_rng(11)
+    clean = rng.multivariate_normal([5, 3, 1, 1, 1], 0.2 * np.eye(5) + 0.1, 300)
+    x = np.abs(np.vstack([clean, rng.normal([9, 1, 3, 0, 3], 0.2, (60, 5))]))
+    rows = [(i, 1, *map(float, v)) for i, v in enumerate(x)]
+    found = outliers.covariance_determinants(spark.createDataFrame(rows, "doc_id long, g long, " + ", ".join(f"{c} double" for c in outliers.STATISTICS)))
+    model = found.head()
+    log_det, d2 = brute.least_determinant(x, outliers.SUBSET, outliers.FLOOR)
+    assert model.log_det <= log_det + 0.15  # cells of the grid take a few rows more
+    factor = np.zeros((5, 5))
+    for i in range(5):
+        for j in range(i + 1):
+            factor[i, j] = model[f"l_{i}_{j}"]
+    y = np.linalg.solve(factor, (x - np.array([model[f"m_{c}"] for c in outliers.STATISTICS])).T)
+    own = (y**2).sum(axis=0) / model["scale"]
+    assert (own[300:] > outliers.CUTOFF).all() and (own[:300] <= outliers.CUTOFF).mean() > 0.99
+    assert np.corrcoef(own[:300], d2[:300])[0, 1] > 0.95
+
+
 def test_moderate_outliers(spark):
     assert abs(outliers.chi2_quantile(0.95) - 11.0705) < 1e-3 and abs(outliers.CUTOFF - 25.745) < 1e-2
     rng = np.random.default_rng(5)
@@ -285,6 +379,24 @@ def test_licence_families(docs, texts):
         assert {f for m, f in marks.items() if m in (texts[r.doc_id] or "")} <= set(r.families)
 
 
+def test_licences_line_by_line(docs, texts):
+    """The paragraphs found are those that the classifier names when it is given every line and window; none in prose."""
+    from quirelight.llm import licenses
+
+    rows = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    marks = re.compile("licen|GPL|SPDX|CC BY|CC0|All rights reserved|Permission|Redistribution|warrant", re.IGNORECASE)
+    false = sum(bool(r.families) and not marks.search(texts[i] or "") for i, r in rows.items())
+    assert false == 0
+    model = licenses.Classifier([])
+    for i, text in list(texts.items())[:120]:
+        want = set()
+        for line in (text or "").split("\n"):
+            found = licenses.word_list(line)
+            windows = [found] if len(found) <= licenses.WINDOW else [found[k : k + licenses.WINDOW] for k in range(0, len(found) - licenses.WINDOW // 2, licenses.WINDOW // 2)]
+            want |= {model.classify(w)[0] for w in windows if len(w) > 2} - {licenses.UNKNOWN}
+        assert want <= set(rows[i].families)
+
+
 def test_licences_within_lines(spark):
     from quirelight.llm import licenses
 
@@ -318,5 +430,10 @@ def test_pipeline(spark, docs, texts):
             for r in kept.collect():
                 words[r.doc_id] += len(WORDS.findall(r.text))
             assert {i: n for i, n in taken.items() if n} == dict(words)
-    last = corpus_pipeline.STAGES[-1][1](spark, kept, SF).collect()
-    assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in kept.collect())
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(queries.tokenizer_path())
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, SF).orderBy("start").collect()
+    ids = lambda r: [*library.encode(r.text or "", add_special_tokens=False).ids, 2]
+    # the files keep the order of the mix's rows, partition by partition
+    assert [(r.doc_id, r.ids_crc32) for r in last] == [(r.doc_id, zlib.crc32(np.array(ids(r), "<u4").tobytes())) for r in kept.collect()]

@@ -39,3 +39,19 @@ reach AS (SELECT rid AS x, rid AS y FROM d UNION SELECT r.x, l.y FROM reach r JO
 class AS (SELECT r.x AS rid, min(d.doc_id) AS class_id FROM reach r JOIN d ON d.rid = r.y GROUP BY r.x)
 SELECT d.doc_id, class_id, (SELECT count(*) FROM link l WHERE l.x = d.rid) AS n_links FROM d JOIN class USING (rid)
 """
+
+LEXICAL_SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {ALNUM_WORDS} AS w FROM documents),
+facts AS (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS big_l FROM d WHERE len(w) > 0),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * big_n + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM df, facts),
+m AS (SELECT rid, doc_id, 75 + (25 * len(w) * big_n) // big_l AS m FROM d, facts WHERE len(w) > 0),
+asked AS (SELECT iid, item_id, term, count(*) AS times
+  FROM (SELECT iid, item_id, unnest(w) AS term FROM (SELECT row_number() OVER () AS iid, item_id, {ALNUM_WORDS} AS w FROM benchmark)) GROUP BY iid, item_id, term),
+scored AS (
+  SELECT iid, item_id, rid, m.doc_id, CAST(sum(times * weight.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * m.m))) AS BIGINT) AS score
+  FROM asked JOIN tf USING (term) JOIN weight USING (term) JOIN m USING (rid) GROUP BY iid, item_id, rid, m.doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirelight.llm import decontaminate, licenses, lm_score, mixing, ngram_join, oracles, outliers, sentence_dedup, suffix_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, language_id, lexical_search, licenses, lm_score, mixing, ngram_join, oracles, outliers, sentence_dedup, suffix_dedup, token_file, toxicity, whitening
 from quirelight.llm.common import table
 
 
@@ -57,6 +57,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_source_mix": op2_source_mix,
@@ -68,5 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentence_spans": op8_sentence_spans,
     "op9_robust_outliers": op9_robust_outliers,
     "op10_license_scan": op10_license_scan,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_whitening": op12_whitening,
+    "op13_language_id": op13_language_id,
 }
-ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE, "op7_ngram_join": oracles.NGRAM_JOIN}
+ORACLES: dict[str, str] = {"op5_decontaminate": oracles.DECONTAMINATE, "op7_ngram_join": oracles.NGRAM_JOIN, "op11_lexical_search": oracles.LEXICAL_SEARCH}

@@ -66,6 +66,22 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
     return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, piece: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of each word. Longer data are hashed in pieces, cut at bytes of no word, so that memory stays a small
+    multiple of the piece beside the result."""
+    hashes, rows, a = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+    while a < len(data):
+        b = min(len(data), a + piece)
+        while b < len(data) and kind[data[b]]:
+            ahead = np.flatnonzero(~kind[data[b : b + 4096]])
+            b = b + int(ahead[0]) if len(ahead) else min(len(data), b + 4096)
+        starts, ends, row = words(data[a:b], np.clip(offsets, a, b) - a, kind)
+        hashes.append(Ranges(data[a:b]).of(starts, ends))
+        rows.append(row)
+        a = b
+    return np.concatenate(hashes), np.concatenate(rows)
+
+
 def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of each n consecutive values (len - n + 1 of them; order matters)."""
     m = len(hashes) - n + 1

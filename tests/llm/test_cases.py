@@ -2,7 +2,7 @@
 
 import pytest
 
-from quirelight.llm import decontaminate, licenses, lm_score, mixing, ngram_join, outliers, sentence_dedup, suffix_dedup, token_file, toxicity
+from quirelight.llm import decontaminate, language_id, licenses, lm_score, mixing, ngram_join, outliers, sentence_dedup, suffix_dedup, token_file, toxicity
 from quirelight.llm.queries import tokenizer_path
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, node string, bucket int, h int, row string, text_key int, size string, root int, score string, part int, hits int, row_text_key int, path string, key string, draws int, draw string, m string"
@@ -37,6 +37,7 @@ OPERATORS = {
     "sentences": lambda d, b, y: sentence_dedup.dedup(d),
     "outliers": lambda d, b, y: outliers.quality(d),
     "licenses": lambda d, b, y: licenses.scan(d),
+    "language": lambda d, b, y: language_id.language(d),
 }
 
 

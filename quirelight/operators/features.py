@@ -27,13 +27,13 @@ def typography(units: DataFrame) -> DataFrame:
 
 
 def levels(units: DataFrame) -> DataFrame:
-    """document_id, size, level: h1 to h4 for sizes above the baseline with enough text, outlier above it without,
-    body for the rest."""
+    """document_id, size, level: h1 to h4 for the four largest sizes above the baseline with enough text, outlier for
+    others above it, body for the rest."""
     rows = sizes(units).join(typography(units), "document_id")
     above = F.col("size") > F.col("baseline")
     heading = above & ((F.col("share") >= 0.03) | (F.col("mass") >= 14))
     rank = F.sum(heading.cast("int")).over(Window.partitionBy("document_id").orderBy(F.desc("size")))
-    level = F.when(heading & (F.col("rank") <= 4), F.concat(F.lit("h"), F.col("rank"))).when(above & ~heading, "outlier").otherwise("body")
+    level = F.when(heading & (F.col("rank") <= 4), F.concat(F.lit("h"), F.col("rank"))).when(above, "outlier").otherwise("body")
     return rows.withColumn("rank", rank).select("document_id", "size", level.alias("level"))
 
 
@@ -52,14 +52,15 @@ def matrix(units: DataFrame) -> DataFrame:
     rows = units.withColumn("before", F.col("y") - F.lag("y").over(page)).withColumn("after", F.lead("y").over(page) - F.col("y")).withColumn("on_page", F.count("*").over(whole))
     rows = rows.join(typography(units), "document_id")
     determined = (F.col("on_page") >= 3) & (F.coalesce("median_gap", F.lit(0.0)) > 0)
+    top = r4(clamp(F.col("y") / ph))
     isolation = r4(F.least((F.coalesce(F.col("before") / F.col("median_gap"), F.lit(2.0)) + F.coalesce(F.col("after") / F.col("median_gap"), F.lit(2.0))) / 4, F.lit(1.0)))
     text = F.col("text")
     return rows.select(
         *units.columns,
         "flat",
         r4(F.least(F.col("font_size") / F.col("baseline"), F.lit(2.5)) / 2.5).alias("font_rank"),
-        r4(clamp(F.col("y") / ph)).alias("top_ratio"),
-        F.when(F.col("y") / ph < 0.10, "header").when(F.col("y") / ph > 0.90, "footer").otherwise("body").alias("zone"),
+        top.alias("top_ratio"),
+        F.when(top < 0.10, "header").when(top > 0.90, "footer").otherwise("body").alias("zone"),
         r4(F.greatest(F.lit(0.0), 1 - F.abs(F.col("x") + F.col("width") / 2 - pw / 2) / (0.25 * pw))).alias("center_score"),
         r4(F.least(F.col("width") * F.col("height") / (pw * ph), F.lit(1.0))).alias("block_area"),
         r4(clamp(F.col("x") / pw)).alias("left_indent"),

@@ -56,10 +56,10 @@ def fused(spark, sf_dir):
 
 
 r6 = lambda c: (F.floor(F.col(c) * 1e6 + 0.5) / 1e6).alias(c)
-SPAN = "document_id, page, ord, text, x, y, width, font_size, bold"
+SPAN = "document_id, page, ord, text, x, y, width, font_size, bold, block, tag"
 
 
-@query(Q.chain(Q.SPANS) + "SELECT document_id, ord, abs(x + width / 2 - page_width / 2) <= page_width * 0.25 AS centered FROM spans")
+@query(Q.chain(Q.SPANS) + "SELECT document_id, ord, abs(x + width / 2 - page_width / 2) <= page_width * 0.03 AS centered FROM spans")
 def spans_centered(spark, sf_dir):
     return A.centered(spans(spark, sf_dir)).select("document_id", "ord", "centered")
 
@@ -328,29 +328,18 @@ def regression_gate(spark, sf_dir):
     return metrics.select("m.metric", "m.value", (F.floor(gap * 1e4 + 0.5) / 1e4).alias("delta"), (gap < -0.01).alias("failed"))
 
 
-BANDS = """
-edges_at AS (SELECT document_id, page, floor(x * 10 + 0.5) / 10 AS e, count(*) AS lines FROM spans GROUP BY ALL),
-edge_gaps AS (SELECT *, coalesce(CAST(e - lag(e) OVER w > 40 AS INTEGER), 1) AS new FROM edges_at WINDOW w AS (PARTITION BY document_id, page ORDER BY e)),
-edge_runs AS (SELECT *, sum(new) OVER (PARTITION BY document_id, page ORDER BY e) AS run FROM edge_gaps),
-bands AS (
-  SELECT document_id, page, CAST(row_number() OVER (PARTITION BY document_id, page ORDER BY start) AS INTEGER) AS band, start, lines
-  FROM (SELECT document_id, page, run, min(e) AS start, CAST(sum(lines) AS BIGINT) AS lines FROM edge_runs GROUP BY document_id, page, run HAVING sum(lines) >= 3))"""
-
-
-@query(Q.chain(Q.SPANS, BANDS) + "SELECT document_id, page, band, start, lines FROM bands")
+@query(
+    Q.chain(Q.SPANS, Q.LINES)
+    + """SELECT b.document_id, b.page, CAST(row_number() OVER (PARTITION BY b.document_id, b.page ORDER BY lo) AS INTEGER) AS band, lo AS start, n AS lines
+FROM (SELECT b.document_id, b.page, lo, count(*) AS n FROM edge_bands b JOIN made_lines l ON l.document_id = b.document_id AND l.page = b.page AND l.x0 BETWEEN lo - 0.05 AND hi + 0.05 GROUP BY ALL HAVING count(*) >= 3) b"""
+)
 def column_bands(spark, sf_dir):
-    return A.column_bands(spans(spark, sf_dir).withColumnRenamed("x", "x0"))
+    return A.column_bands(A.lines(spans(spark, sf_dir)))
 
 
-@query(
-    Q.chain(Q.SPANS, BANDS)
-    + """SELECT s.document_id, s.page, s.ord, CASE WHEN (SELECT count(*) FROM bands b WHERE b.document_id = s.document_id AND b.page = s.page) >= 2 THEN
-  coalesce((SELECT max(start) FROM bands b WHERE b.document_id = s.document_id AND b.page = s.page AND start <= x + 0.05),
-           (SELECT arg_min(start, abs(start - x)) FROM bands b WHERE b.document_id = s.document_id AND b.page = s.page)) END AS band_start FROM spans s"""
-)
+@query(Q.chain(Q.SPANS, Q.LINES) + "SELECT l.document_id, l.page, line, starts[band + 1] AS band_start FROM lines l LEFT JOIN band_starts b ON b.document_id = l.document_id AND b.page = l.page")
 def line_bands(spark, sf_dir):
-    found = spans(spark, sf_dir).withColumnRenamed("x", "x0")
-    return A.in_bands(found, A.column_bands(found)).select("document_id", "page", "ord", "band_start")
+    return A.in_bands(A.lines(spans(spark, sf_dir)).drop("band")).select("document_id", "page", "line", "band_start")
 
 
 @query(Q.chain(Q.SPANS, Q.UNITS, Q.TYPOGRAPHY, Q.FEATURES, Q.SCORES) + "SELECT s.document_id, s.ord, s.text, f.font_rank, f.score, array_to_string(f.reasons, ',') AS excluded FROM units s LEFT JOIN scores f ON f.document_id = s.document_id AND f.ord = s.ord")

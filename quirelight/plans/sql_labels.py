@@ -1,6 +1,7 @@
 """DuckDB SQL of features, titles, phrases and labels, as chains of common tables."""
 
 from quirelight import contracts
+from quirelight.sources import html
 
 C = contracts.load("identity")
 
@@ -19,28 +20,69 @@ def unescaped(x: str) -> str:
     return x
 
 
-#: As in sources/html.py.
-UNREAD = (r"(?is)<script[^>]*>.*?</script\s*>", r"(?is)<style[^>]*>.*?</style\s*>", r"(?is)<title[^>]*>.*?</title\s*>", r"(?s)<!--.*?-->")
-PATTERN = r"<(/?[A-Za-z][A-Za-z0-9]*)[^>]*>([^<]+)"
-_READ = "'<body>' || coalesce(html, '')"
-for _pattern in UNREAD:
+def _names(names) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+def _last(names) -> str:
+    """The place of the last of some elements in the stack; 0 if none is open."""
+    return f"coalesce(list_max(list_transform(range(1, len(stack) + 1), lambda i: CASE WHEN stack[i] IN {_names(names)} THEN i ELSE 0 END)), 0)"
+
+
+def _without(names, within) -> str:
+    """The stack that is left when the last of some elements ends."""
+    inner = _last(within) if within else "0"
+    return f"CASE WHEN {_last(names)} > {inner} THEN stack[1:{_last(names)} - 1] ELSE stack END"
+
+
+_READ = "coalesce(html, '')"
+for _pattern in html.UNREAD:
     _READ = f"regexp_replace({_READ}, '{_pattern}', ' ', 'g')"
-RAW_SPANS = rf"""
-read_pages AS (SELECT page_id, {_READ} AS read FROM pages),
-raw_spans AS (
-  SELECT CAST(page_id AS VARCHAR) AS document_id, unnest(range(len(tags))) AS ord, lower(unnest(tags)) AS tag, unnest(raws) AS raw
-  FROM (SELECT page_id, regexp_extract_all(read, '{PATTERN}', 1) AS tags, regexp_extract_all(read, '{PATTERN}', 2) AS raws FROM read_pages))"""
-SPANS = (
-    RAW_SPANS
-    + rf""",
-read_spans AS (
-  SELECT document_id, CAST(ord AS INTEGER) AS ord, {unescaped(r"trim(regexp_replace(raw, '\s+', ' ', 'g'))")} AS text,
-    CAST(CASE WHEN tag = 'h1' THEN 20 WHEN tag = 'h2' THEN 16 WHEN tag = 'h3' THEN 14 WHEN tag IN ('b', 'strong', 'p') THEN 11 WHEN tag IN ('a', 'td') THEN 10 WHEN tag = 'footer' THEN 8 WHEN tag LIKE '/%' THEN 11 ELSE 9 END AS DOUBLE) AS font_size,
-    CAST(CASE WHEN tag IN ('h1', 'h2', 'h3', 'b', 'strong', 'p', 'td') THEN 72 WHEN tag = 'a' THEN 36 WHEN tag = 'footer' THEN 200 WHEN tag LIKE '/%' THEN 72 ELSE 108 END AS DOUBLE) AS x, tag IN ('b', 'strong') AS bold FROM raw_spans),
+_OWN_END = " ".join(f"WHEN starts AND tag = '{t}' THEN {_without(*e)}" for t, e in html.ENDS.items())
+_CLOSING = f"list_max(list_transform(range(1, len(stack) + 1), lambda i: CASE WHEN stack[i] = tag THEN i ELSE 0 END))"
+_CLOSED = f"CASE WHEN coalesce({_CLOSING}, 0) > CASE WHEN NOT is_block THEN {_last(html.BLOCKS)} WHEN tag IN {_names(html.OUTER)} THEN 0 ELSE {_last(html.CELLS)} END THEN stack[1:{_CLOSING} - 1] ELSE stack END"
+#: One row a tag or text, in order: the stack after it, then what the line and the span are.
+_STEP = f"""
+  FROM (SELECT *, {_last(html.SIDE)} > 0 AS side, {_last(html.SIDE)} = 0 AND {_last(html.CELLS)} > 0 AS in_cell, CASE WHEN {_last(html.SIZES)} > 0 THEN stack[{_last(html.SIZES)}] END AS sized,
+      coalesce(stack[nullif({_last(html.BLOCKS)}, 0)], '') AS block_tag, {_last(html.BOLD)} > 0 AS heavy,
+      CASE WHEN tag = 'li' AND starts THEN '{html.MARKER}' WHEN tag <> '' THEN '' WHEN ends OR marked THEN ltrim(plain, ' ') ELSE plain END AS said
+    FROM (SELECT * REPLACE (
+          CASE WHEN tag <> '' AND NOT closes AND NOT is_void THEN list_append(stack, tag) ELSE stack END AS stack,
+          CASE WHEN starts AND tag IN ('table', 'tr') THEN used_main + {html.STEP} ELSE row0 END AS row0,
+          CASE WHEN starts AND tag IN ('table', 'tr') THEN -1 WHEN starts AND tag IN ('td', 'th') THEN cell + 1 ELSE cell END AS cell,
+          opened OR (starts AND tag IN ('td', 'th')) AS opened, spaced OR tag IN {_names(html.SPACED)} AS spaced,
+          ends OR breaks OR (NOT closes AND tag = 'br') AS ends, marked AND NOT breaks AND NOT (NOT closes AND tag = 'br') AS marked, block + CAST(breaks AS INTEGER) AS block)
+      FROM (SELECT * REPLACE (CASE {_OWN_END} ELSE stack END AS stack), is_block AND (closes OR NOT marked OR tag = 'li') AS breaks
+        FROM (SELECT * REPLACE (CASE WHEN closes THEN {_CLOSED} WHEN starts THEN {_without(["p"], html.CELLS)} ELSE stack END AS stack)
+          FROM (SELECT w.* EXCLUDE (k, said, sized, heavy, block_tag, side), t.k, t.tag, t.closes, t.plain, t.tag IN {_names(html.BLOCKS)} AS is_block, t.tag IN {_names(html.VOID)} AS is_void, NOT t.closes AND t.tag IN {_names(html.BLOCKS)} AS starts
+            FROM tag_walk w JOIN page_tokens t ON t.document_id = w.document_id AND t.k = w.k + 1)))))"""
+_ABOVE = "CASE WHEN in_cell AND NOT was_side THEN line WHEN side THEN used_side ELSE used_main END"
+_NEW_LINE = f"CASE WHEN in_cell AND opened THEN row0 ELSE {_ABOVE} + {html.STEP} + CASE WHEN spaced AND {_ABOVE} >= 0 THEN {html.SPACE} ELSE 0 END END"
+SPANS = rf"""
+read_pages AS (SELECT CAST(page_id AS VARCHAR) AS document_id, {_READ} AS read FROM pages),
+raw_tokens AS (
+  SELECT document_id, unnest(range(1, len(tags) + 1)) AS k, lower(unnest(tags)) AS raw_tag, unnest(texts) AS raw_text
+  FROM (SELECT document_id, regexp_extract_all(read, '{html.TOKEN}', 1) AS tags, regexp_extract_all(read, '{html.TOKEN}', 2) AS texts FROM read_pages)),
+page_tokens AS (SELECT document_id, k, ltrim(coalesce(raw_tag, ''), '/') AS tag, coalesce(raw_tag, '') LIKE '/%' AS closes, regexp_replace(coalesce(raw_text, ''), '{html.BLANKS}', ' ', 'g') AS plain FROM raw_tokens),
+tag_walk AS (
+  SELECT document_id, CAST([] AS VARCHAR[]) AS stack, 0 AS block, 0 AS line, -1 AS cell, 0 AS row0, true AS ends, false AS spaced, false AS marked, false AS opened, false AS was_side, {-html.STEP} AS used_main, {-html.STEP} AS used_side,
+    CAST(0 AS BIGINT) AS k, '' AS said, CAST(NULL AS VARCHAR) AS sized, false AS heavy, '' AS block_tag, false AS side FROM read_pages
+  UNION ALL
+  SELECT document_id, stack, block, CASE WHEN said <> '' AND ends THEN {_NEW_LINE} ELSE line END, cell, row0, ends AND said = '', spaced AND said = '', CASE WHEN said = '' THEN marked ELSE tag <> '' END, opened AND said = '',
+    CASE WHEN said = '' THEN was_side ELSE side END, CASE WHEN said <> '' AND ends AND NOT side THEN greatest(used_main, {_NEW_LINE}) ELSE used_main END,
+    CASE WHEN said <> '' AND ends AND side THEN greatest(used_side, {_NEW_LINE}) ELSE used_side END, k, said, sized, heavy, CASE WHEN said <> '' AND in_cell THEN 'c' || cell || ' ' || block_tag ELSE 'm ' || block_tag END, side {_STEP}),
+said_spans AS (
+  SELECT document_id, CAST(row_number() OVER (PARTITION BY document_id ORDER BY k) - 1 AS INTEGER) AS ord, {unescaped("said")} AS text, line, block, split_part(block_tag, ' ', 2) AS tag, side, heavy AS bold,
+    CASE WHEN side THEN -1 WHEN block_tag LIKE 'c%' THEN CAST(substr(split_part(block_tag, ' ', 1), 2) AS INTEGER) ELSE 0 END AS col,
+    CAST(CASE sized {" ".join(f"WHEN '{t}' THEN {v}" for t, v in html.SIZES.items())} ELSE {html.SIZE} END AS DOUBLE) AS font_size FROM tag_walk WHERE said <> ''),
+line_starts AS (SELECT *, CAST(coalesce(line <> lag(line) OVER w OR col <> lag(col) OVER w, true) AS INTEGER) AS new FROM said_spans WINDOW w AS (PARTITION BY document_id ORDER BY ord)),
+stretches AS (SELECT *, sum(new) OVER (PARTITION BY document_id ORDER BY ord) AS stretch FROM line_starts),
+along AS (
+  SELECT *, least(CASE WHEN side THEN {html.SIDE_EDGE} ELSE {html.MAIN_EDGE} + {html.CELL} * least(col, {html.CELLS_APART}) END::DOUBLE
+      + coalesce(sum(length(text) * font_size * 0.5) OVER (PARTITION BY document_id, stretch ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), {html.RIGHT})::DOUBLE AS x FROM stretches),
 spans AS (
-  SELECT *, CAST(1 + ord // 45 AS INTEGER) AS page, 40.0::DOUBLE + 16 * (ord % 45) AS y, least(length(text) * font_size * 0.5, 468)::DOUBLE AS width, font_size AS height,
-    612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height FROM read_spans WHERE text <> '')"""
-)
+  SELECT document_id, CAST(1 + line // {html.PAGE_STEPS} AS INTEGER) AS page, ord, text, x, ({html.TOP} + {html.QUARTER} * (line % {html.PAGE_STEPS}))::DOUBLE AS y, least(length(text) * font_size * 0.5, {html.RIGHT} - x)::DOUBLE AS width,
+    font_size AS height, font_size, bold, block, tag, 612.0::DOUBLE AS page_width, 792.0::DOUBLE AS page_height FROM along)"""
 LINES = r"""
 span_order AS (SELECT *, row_number() OVER (PARTITION BY document_id, page ORDER BY round_even(y, 2), x, ord) AS k FROM spans),
 tolerances AS (SELECT document_id, page, greatest(0.6 * coalesce(median(CASE WHEN height > 0 THEN height END), 12), 0.5) AS tol FROM spans GROUP BY document_id, page),
@@ -106,7 +148,7 @@ typography AS (SELECT document_id, baseline, contrast, contrast <= 0.25 AS flat
 LEVELS = """
 headed AS (SELECT s.*, baseline, size > baseline AND (share >= 0.03 OR mass >= 14) AS heading FROM sizes s JOIN typography USING (document_id)),
 levels AS (
-  SELECT document_id, size, CASE WHEN heading AND rank <= 4 THEN 'h' || rank WHEN size > baseline AND NOT heading THEN 'outlier' ELSE 'body' END AS level
+  SELECT document_id, size, CASE WHEN heading AND rank <= 4 THEN 'h' || rank WHEN size > baseline THEN 'outlier' ELSE 'body' END AS level
   FROM (SELECT *, CAST(sum(CAST(heading AS INTEGER)) OVER (PARTITION BY document_id ORDER BY size DESC) AS INTEGER) AS rank FROM headed))"""
 #: Word borders are spelled out, as this engine's \\b knows ASCII letters only.
 _BEFORE, _AFTER, _SIGN = r"(?:^|[^\p{L}\p{N}_])", r"(?:$|[^\p{L}\p{N}_])", r"[\p{L}\p{N}_]"
@@ -129,7 +171,7 @@ gaps AS (
   FROM units WINDOW w AS (PARTITION BY document_id, page ORDER BY y, x, ord)),
 features AS (
   SELECT g.*, t.flat, {r4("least(font_size / baseline, 2.5) / 2.5")} AS font_rank, {r4("greatest(0, least(1, y / page_height))")} AS top_ratio,
-    CASE WHEN y / page_height < 0.10 THEN 'header' WHEN y / page_height > 0.90 THEN 'footer' ELSE 'body' END AS zone,
+    CASE WHEN {r4("greatest(0, least(1, y / page_height))")} < 0.10 THEN 'header' WHEN {r4("greatest(0, least(1, y / page_height))")} > 0.90 THEN 'footer' ELSE 'body' END AS zone,
     {r4("greatest(0, 1 - abs(x + width / 2 - page_width / 2) / (0.25 * page_width))")} AS center_score,
     {r4("least(width * height / (page_width * page_height), 1)")} AS block_area, {r4("greatest(0, least(1, x / page_width))")} AS left_indent,
     CAST(CAST(bold AS INTEGER) AS DOUBLE) AS bold_flag, {ratio(r"[^\p{Lu}]", r"[^\p{L}]")} AS uppercase_ratio, {ratio("[^0-9]", r"\s")} AS digit_ratio,
@@ -157,7 +199,7 @@ margins AS (SELECT document_id, ord, text AS candidate, score, {r4("coalesce(sco
 titles AS (
   SELECT document_id, ord, CASE WHEN margin >= 0.1 THEN candidate END AS title, candidate, score, margin, CASE WHEN margin >= 99 THEN 'auto' WHEN margin >= 0.1 THEN 'review' ELSE 'escalate' END AS confidence, ranking
   FROM margins JOIN rankings USING (document_id))"""
-#: As in sources/html.py.
+#: As in sources/html.py, without \\d.
 JUNK = (r"(?i)^(untitled|no title|document\s*[0-9]*|slide\s*[0-9]+|print job|chapter\s*[0-9]+)", r"(?i)^microsoft\s+(word|powerpoint|excel)\b", r"\.[A-Za-z0-9]{2,6}\s*$", r"(?i)text_all|final[_ ]?draft|^copy of", r"(?i)^[a-z0-9_\-]{1,20}$")
 HARVEST = rf"""
 raw_titles AS (SELECT CAST(page_id AS VARCHAR) AS document_id, trim(regexp_replace({unescaped("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, '\s+', ' ', 'g')) AS title FROM pages),

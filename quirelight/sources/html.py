@@ -1,40 +1,144 @@
-"""Positioned spans from web pages: each run of text between two tags is a span, laid out by its place and the tag
-before it. All text is read but that of scripts, styles, the title and comments."""
+"""Positioned spans from web pages. The tags of a page are walked by a stack automaton that yields its blocks, lines and
+spans: a block-level tag or a break ends a line, inline elements stay on the line of their block, list items begin with a
+marker, and the cells of a table's row stand side by side as columns. What is in nav or aside runs down a side column, all
+else down the main one. All text is read but that of scripts, styles, the title and comments.
+
+Elements end as in a browser where their end tag is left out: a paragraph at the next block, a list item at the next item
+of its list, a cell or row at the next one of its table; an element that ends takes along all that is open within it. Blanks
+between inline elements are spans of their own, as lines join spans without a separator."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-UNREAD = (r"(?is)<script[^>]*>.*?</script\s*>", r"(?is)<style[^>]*>.*?</style\s*>", r"(?is)<title[^>]*>.*?</title\s*>", r"(?s)<!--.*?-->")
-PATTERN = r"<(/?[A-Za-z][A-Za-z0-9]*)[^>]*>([^<]+)"
-LINES = 45
-#: font size and left edge by the tag before the text; text after the end of an element runs on as in a paragraph
-LAYOUT = {"h1": (20.0, 72.0), "h2": (16.0, 72.0), "h3": (14.0, 72.0), "b": (11.0, 72.0), "strong": (11.0, 72.0), "p": (11.0, 72.0), "td": (10.0, 72.0), "a": (10.0, 36.0), "footer": (8.0, 200.0)}
-RUNNING = (11.0, 72.0)
-OTHER = (9.0, 108.0)
+UNREAD = (r"(?is)<script[^>]*>.*?</script\s*>", r"(?is)<style[^>]*>.*?</style\s*>", r"(?is)<title[^>]*>.*?</title\s*>", r"(?s)<!--.*?-->", r"<[!?][^>]*>")
+TOKEN = r"<(/?[A-Za-z][A-Za-z0-9]*)[^>]*>|(<?[^<]+)"
+BLANKS = r"[ \t\r\n\f]+"
+BLOCKS = "address article aside blockquote body caption dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
+VOID = "area base br col embed hr img input link meta source track wbr".split()
+SIDE, CELLS, BOLD = ["aside", "nav"], ["td", "th"], ["b", "strong", "th"]
+#: What a block ends when it starts, and the elements that keep it from those further out. Every block ends a paragraph.
+ENDS = {"li": (["li"], ["ol", "ul"]), "dt": (["dt", "dd"], ["dl"]), "dd": (["dt", "dd"], ["dl"]), "td": (CELLS, ["table"]), "th": (CELLS, ["table"]), "tr": (["tr"], ["table"])}
+#: End tags that reach out of a cell.
+OUTER = ["body", "html", "table", "tbody", "td", "tfoot", "th", "thead", "tr"]
+MARKER = "\u2022 "
+#: Font size by the innermost of these elements.
+SIZES = {"h1": 20.0, "h2": 16.0, "h3": 14.0, "h4": 13.0, "h5": 12.0, "h6": 11.5, "p": 11.0, "li": 10.0, "td": 10.0, "th": 10.0, "footer": 8.0}
+SIZE = 9.0
+#: Blocks that keep a distance from what is above and below. Heights count in quarters of a line.
+SPACED = "blockquote dl figure h1 h2 h3 h4 h5 h6 hr ol p pre table ul".split()
+STEP, SPACE, PAGE_STEPS, TOP, QUARTER = 4, 3, 180, 40.0, 4.0
+SIDE_EDGE, MAIN_EDGE, CELL, CELLS_APART, RIGHT = 36.0, 160.0, 100.0, 4, 576.0
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+SCHEMA = "document_id string, page int, ord int, text string, x double, y double, width double, height double, font_size double, bold boolean, block int, tag string"
+_TYPES = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
+
+
+def _last(stack: list[str], names) -> int:
+    """The place after the last of some elements; 0 if none is open."""
+    return next((i for i in range(len(stack), 0, -1) if stack[i - 1] in names), 0)
+
+
+def _ended(stack: list[str], names, within) -> list[str]:
+    """The stack without the last of some elements and what is in it, unless one of `within` is open inside it."""
+    at = _last(stack, names)
+    return stack[: at - 1] if at > _last(stack, within) else stack
+
+
+def _started(stack: list[str], tag: str) -> list[str]:
+    if tag in BLOCKS:
+        stack = _ended(stack, ["p"], CELLS)
+        if tag in ENDS:
+            stack = _ended(stack, *ENDS[tag])
+    return stack if tag in VOID else [*stack, tag]
+
+
+def _closed(stack: list[str], tag: str) -> list[str]:
+    return _ended(stack, [tag], BLOCKS if tag not in BLOCKS else [] if tag in OUTER else CELLS)
+
+
+def walk(tokens: list[tuple[str, str]]) -> Iterator[tuple]:
+    """tokens: tag ("/p" ends one) or text. text, block, tag, height, column (None in the side column, else 0 or the cell's
+    number), font size and weight of each span."""
+    stack: list[str] = []
+    block, line, cell, row = 0, 0, -1, 0
+    ends, spaced, marked, opened, in_side = True, False, False, False, False  # a line is to start, at a distance; it has only a marker; a cell began
+    used = {False: -STEP, True: -STEP}  # the last line's height, by whether it is in the side column
+    for tag, text in tokens:
+        tag = tag.lower()
+        spaced = spaced or tag.removeprefix("/") in SPACED
+        if tag.startswith("/"):
+            stack = _closed(stack, tag[1:])
+            if tag[1:] in BLOCKS:
+                ends, marked, block = True, False, block + 1
+            continue
+        if tag:
+            stack = _started(stack, tag)
+            if tag in ("table", "tr"):
+                row, cell = used[False] + STEP, -1
+            if tag in CELLS:
+                cell, opened = cell + 1, True
+            if tag == "br":
+                ends, marked = True, False
+            if tag not in BLOCKS or (marked and tag != "li"):
+                continue
+            ends, marked, block = True, False, block + 1
+            if tag != "li":
+                continue
+            text = MARKER
+        else:
+            text = re.sub(BLANKS, " ", text)
+            if ends or marked:
+                text = text.lstrip(" ")
+            if not text:
+                continue
+        side = _last(stack, SIDE) > 0
+        in_cell = not side and _last(stack, CELLS) > 0
+        if ends:
+            above = line if in_cell and not in_side else used[side]
+            line = row if in_cell and opened else above + STEP + SPACE * (spaced and above >= 0)
+            used[side] = max(used[side], line)
+        ends, spaced, opened, in_side, marked = False, False, False, side, bool(tag)
+        sized = _last(stack, SIZES)
+        yield text, block, stack[_last(stack, BLOCKS) - 1] if _last(stack, BLOCKS) else "", line, None if side else cell if in_cell else 0, SIZES[stack[sized - 1]] if sized else SIZE, _last(stack, BOLD) > 0
+
+
+def _placed(document_id: str, tokens: list[tuple[str, str]]) -> Iterator[tuple]:
+    """Rows of SCHEMA: spans of a line from the left, lines downwards over pages."""
+    at, x = None, 0.0
+    for ord_, (text, block, tag, line, column, size, bold) in enumerate(walk(tokens)):
+        for entity, sign in ENTITIES:
+            text = text.replace(entity, sign)
+        if at != (line, column):
+            at, x = (line, column), SIDE_EDGE if column is None else MAIN_EDGE + CELL * min(column, CELLS_APART)
+        width = len(text) * size * 0.5
+        yield document_id, 1 + line // PAGE_STEPS, ord_, text, min(x, RIGHT), TOP + QUARTER * (line % PAGE_STEPS), min(width, RIGHT - min(x, RIGHT)), size, size, bold, block, tag
+        x += width
 
 
 def spans(pages: DataFrame) -> DataFrame:
-    """document_id, page, ord, text, x, y, width, height, font_size, font_name, bold, modality, page_width, page_height."""
-    html = F.concat(F.lit("<body>"), F.coalesce("html", F.lit("")))
+    """document_id, page, ord, text, x, y, width, height, font_size, bold, block (its number), tag (its block's element),
+    font_name, modality, page_width, page_height. A page without text has no spans."""
+    html = F.coalesce("html", F.lit(""))
     for pattern in UNREAD:
         html = F.regexp_replace(html, pattern, " ")
-    rows = pages.select(F.col("page_id").cast("string").alias("document_id"), html.alias("html"))
-    pairs = F.arrays_zip(F.regexp_extract_all("html", F.lit(PATTERN), F.lit(1)).alias("tag"), F.regexp_extract_all("html", F.lit(PATTERN), F.lit(2)).alias("raw"))
-    rows = rows.select("document_id", F.posexplode(pairs).alias("ord", "e")).select("document_id", "ord", F.lower("e.tag").alias("tag"), F.col("e.raw").alias("raw"))
-    text = F.trim(F.regexp_replace("raw", r"\s+", " "))
-    for entity, sign in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(sign))
-    size, left = (F.when(F.col("tag").startswith("/"), a).otherwise(b) for a, b in zip(RUNNING, OTHER, strict=True))
-    for tag, (s, x) in LAYOUT.items():
-        size, left = F.when(F.col("tag") == tag, s).otherwise(size), F.when(F.col("tag") == tag, x).otherwise(left)
-    rows = rows.select("document_id", "ord", text.alias("text"), size.alias("font_size"), left.alias("x"), F.col("tag").isin("b", "strong").alias("bold")).where("text <> ''")
-    place = F.col("ord") % LINES
-    return rows.select(
-        "document_id", (1 + F.floor(F.col("ord") / LINES)).cast("int").alias("page"), "ord", "text", "x", (40.0 + 16.0 * place).alias("y"), F.least(F.length("text") * F.col("font_size") * 0.5, F.lit(468.0)).alias("width"), F.col("font_size").alias("height"), "font_size", F.lit("Web").alias("font_name"), "bold", F.lit("native").alias("modality"), F.lit(612.0).alias("page_width"), F.lit(792.0).alias("page_height")
-    )
+
+    def read(batches):
+        names = [c.split(" ") for c in SCHEMA.split(", ")]
+        for batch in batches:
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64).to_pydict()
+                rows = [r for i, h in zip(part["document_id"], part["html"], strict=True) for r in _placed(i, re.findall(TOKEN, h))]
+                columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(c, _TYPES[kind]) for c, (_, kind) in zip(columns, names, strict=True)], names=[n for n, _ in names])
+
+    rows = pages.select(F.col("page_id").cast("string").alias("document_id"), html.alias("html")).mapInArrow(read, SCHEMA)
+    return rows.select("*", F.lit("Web").alias("font_name"), F.lit("native").alias("modality"), F.lit(612.0).alias("page_width"), F.lit(792.0).alias("page_height"))
 
 
 def titles(pages: DataFrame) -> DataFrame:

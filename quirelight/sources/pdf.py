@@ -15,21 +15,35 @@ def page_row(document_id, number, page):
     yield document_id, number, page.get_text(), page.rect.width, page.rect.height, page.rotation, len(page.get_images()), [f[3] for f in page.get_fonts()], None
 
 
-def span_rows(document_id, number, page, recognise=None):
-    """A page's spans as rows of SPANS. A page without text is given to recognise(page), if there is one: rows of text, x,
-    y, width, height, of which no weight is known."""
-    found, width, height = 0, page.rect.width, page.rect.height
-    for block in page.get_text("dict")["blocks"]:
+def span_rows(document_id, number, page, recognise=None, first=0):
+    """A page's spans as rows of SPANS, numbered from `first`; those of blanks separate words and are kept. A page without
+    text is given to recognise(page), if there is one: rows of text, x, y, width, height, of which no weight is known."""
+    ord_, width, height = first, page.rect.width, page.rect.height
+    for block in page.get_text("dict")["blocks"] if page.get_text().strip() else ():
         for line in block.get("lines", ()):
             for s in line["spans"]:
-                if s["text"].strip():
+                if s["text"]:
                     x0, y0, x1, y1 = s["bbox"]
-                    yield document_id, number, found, s["text"], round(x0, 2), round(y0, 2), round(x1 - x0, 2), round(y1 - y0, 2), round(s["size"], 2), s["font"], bool(s["flags"] & BOLD) or "bold" in s["font"].lower(), "native", width, height, None
-                    found += 1
-    if not found and recognise is not None:
+                    yield document_id, number, ord_, s["text"], round(x0, 2), round(y0, 2), round(x1 - x0, 2), round(y1 - y0, 2), round(s["size"], 2), s["font"], bool(s["flags"] & BOLD) or "bold" in s["font"].lower(), "native", width, height, None
+                    ord_ += 1
+    if ord_ == first and recognise is not None:
         for text, x, y, w, h in recognise(page):
-            yield document_id, number, found, text, x, y, w, h, h, "OCR", None, "ocr", width, height, None
-            found += 1
+            yield document_id, number, ord_, text, x, y, w, h, h, "OCR", None, "ocr", width, height, None
+            ord_ += 1
+
+
+def recognised_lines(words):
+    """Recognised words (block, par, line, text, left, top, width, height in pixels) as lines in points: text, x, y, width,
+    height."""
+    lines: dict[tuple, list[dict]] = {}
+    for w in words:
+        if w["text"].strip():
+            lines.setdefault((w["block"], w["par"], w["line"]), []).append(w)
+    for _, own in sorted(lines.items()):
+        own.sort(key=lambda w: w["left"])
+        x, y = min(w["left"] for w in own), min(w["top"] for w in own)
+        right, foot = max(w["left"] + w["width"] for w in own), max(w["top"] + w["height"] for w in own)
+        yield " ".join(w["text"] for w in own), x / SCALE, y / SCALE, (right - x) / SCALE, (foot - y) / SCALE
 
 
 def recogniser():
@@ -43,15 +57,8 @@ def recogniser():
     def read(page):
         seen = page.get_pixmap(dpi=300)
         words = pytesseract.image_to_data(Image.frombytes("RGB", (seen.width, seen.height), seen.samples), output_type=pytesseract.Output.DICT)
-        lines: dict[tuple, list[int]] = {}
-        for i, text in enumerate(words["text"]):
-            if text.strip():
-                lines.setdefault((words["block_num"][i], words["par_num"][i], words["line_num"][i]), []).append(i)
-        for at in lines.values():
-            at.sort(key=lambda i: words["left"][i])
-            x, y = min(words["left"][i] for i in at), min(words["top"][i] for i in at)
-            r, b = max(words["left"][i] + words["width"][i] for i in at), max(words["top"][i] + words["height"][i] for i in at)
-            yield " ".join(words["text"][i] for i in at), x / SCALE, y / SCALE, (r - x) / SCALE, (b - y) / SCALE
+        names = {"block": "block_num", "par": "par_num", "line": "line_num"} | {n: n for n in ("text", "left", "top", "width", "height")}
+        return recognised_lines({n: words[k][i] for n, k in names.items()} for i in range(len(words["text"])))
 
     return read
 
@@ -65,8 +72,11 @@ def read_content(content: bytes, path: str, spans: bool):
         import fitz
 
         with fitz.open(stream=content, filetype="pdf") as pdf:
+            first = 0
             for number, page in enumerate(pdf, 1):
-                yield from span_rows(document_id, number, page, recogniser()) if spans else page_row(document_id, number, page)
+                for row in span_rows(document_id, number, page, recogniser(), first) if spans else page_row(document_id, number, page):
+                    first += 1
+                    yield row
     except Exception as e:
         yield (None,) * (len((SPANS if spans else PAGES).split(", ")) - 1) + (f"{path}: {e}",)
 

@@ -4,12 +4,14 @@ import os
 import random
 import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from quirelight import cli, contracts
 from quirelight.functions import text as T
 from quirelight.operators import assemble, census, features, identity, segment
+from quirelight.plans import sql_labels
 from quirelight.sources import compounds, files, html
 from quirelight.sources import pdf as pdf_source
 from quirelight.streaming import census_stream
@@ -333,3 +335,130 @@ def test_command_line(spark, tmp_path):
     pages(spark, ["Some text here.", "More text there."]).write.parquet(str(tmp_path / "pages"))
     assert cli.main(["segment", "--input", str(tmp_path / "pages"), "--output", str(tmp_path / "out"), "--validate"]) == 0
     assert cli.main(["census", "--input", str(tmp_path / "pages"), "--output", str(tmp_path / "census")]) == 0
+
+
+WEB = [
+    "<p>one <b>two</b> three<p>four<br>five</p> six <i>x</i> <b> y</b>",
+    "<ul><li>a<li>b<ul><li>c</ul><li><p>d</p><p>e</ul>tail",
+    "<table><tr><td>a<td>b<br>bb<tr><td><p>c</p><p>cc</p></td><td>d</table>after<nav><ol><li>n1<li>n2</ol>side</nav>main",
+    "a < b <> c &lt;p&gt; <p",
+    "<table><tr><th>H<td>x<table><tr><td>in<td>in2</table>y<td>z</tr></table>",
+    "",
+    None,
+    "<div><p>u</div></p>v<hr>w<h1>T<b>x</h1>y",
+    "<B>up</B><P>q<script>var t='</p>'</script><!-- <p>no</p> -->",
+    "<td>lost<td>cell</td>t",
+    "<nav>River<b> </b>Levels</nav>" + "<p>line</p>" * 60,
+]
+
+
+def test_tag_automaton_against_sql(spark):
+    """Hand-made and random pages, most of them malformed."""
+    rng = random.Random(5)
+    tags = "p b i a br li ul ol td tr table th nav div h1 h2 footer hr img dd dl /p /b /li /ul /td /tr /table /nav /div /h1 /footer /i /dl".split()
+    web = WEB + ["".join(rng.choice([f"<{rng.choice(tags)}>", f"<{rng.choice(tags)}>", "w ", "  ", "x"]) for _ in range(rng.randint(1, 40))) for _ in range(200)]
+    con = duckdb.connect()
+    con.execute("create table pages(page_id bigint, html varchar)")
+    con.executemany("insert into pages values (?, ?)", list(enumerate(web)))
+    names = "document_id, page, ord, text, x, y, width, font_size, bold, block, tag"
+    want = con.execute(f"{sql_labels.chain(sql_labels.SPANS)} SELECT {names} FROM spans").fetchall()
+    got = html.spans(spark.createDataFrame(list(enumerate(web)), "page_id long, html string")).select(*names.split(", ")).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_blocks_lines_and_cells(spark):
+    found = html.spans(spark.createDataFrame(list(enumerate(WEB)), "page_id long, html string"))
+    lines = {d: [r.text for r in sorted(rows, key=lambda r: (r.page, r.line))] for d, rows in _by(assemble.lines(found).collect(), "document_id").items()}
+    assert lines["0"] == ["one two three", "four", "five", "six x y"]
+    assert lines["1"] == ["• a", "• b", "• c", "• d", "e", "tail"]
+    assert lines["2"] == ["• n1", "• n2", "side", "a", "c", "cc", "after", "main", "b", "bb", "d"]  # three bands
+    assert lines["8"] == ["up", "q"] and "5" not in lines and "6" not in lines
+    assert lines["10"][0] == "River Levels" and len(lines["10"]) == 61
+    cells = {r.text: (r.x, r.y) for r in found.where("document_id = '2'").collect()}
+    assert cells["a"][1] == cells["b"][1] and cells["bb"][0] == cells["b"][0] == cells["d"][0] == cells["a"][0] + 100
+    assert cells["c"][1] == cells["d"][1] > cells["bb"][1]
+
+
+def _by(rows, name):
+    out = {}
+    for r in rows:
+        out.setdefault(r[name], []).append(r)
+    return out
+
+
+def plain_layout(spans):
+    """Lines and units of one page by the rules, span by span. spans: ord, text, x, y, w, h, size, bold."""
+    tall = sorted(s[5] for s in spans if s[5] > 0)
+    mid = lambda v: (v[(len(v) - 1) // 2] + v[len(v) // 2]) / 2
+    tol, rows = max(0.6 * (mid(tall) if tall else 12.0), 0.5), []
+    for s in sorted(spans, key=lambda s: (round(s[3], 2), s[2], s[0])):
+        home = next((r for r in rows if abs(r[0][3] - s[3]) <= tol), None)
+        if home is None:
+            rows.append([s])
+        else:
+            home.append(s)
+    lines = []
+    for r in rows:
+        r.sort(key=lambda s: (s[2], s[0]))
+        cuts = [0] + [i for i in range(1, len(r)) if r[i][2] - r[i - 1][2] - r[i - 1][4] > max(2.5 * r[i - 1][6], 18)] + [len(r)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            text = " ".join("".join(s[1] for s in r[a:b]).split())
+            if text:
+                lines.append({"x": r[a][2], "y": min(s[3] for s in r[a:b]), "text": text, "size": max(s[6] for s in r[a:b]), "bold": any(s[7] for s in r[a:b]), "ids": [s[0] for s in r[a:b]]})
+    edges = sorted({round(x["x"], 1) for x in lines})
+    runs = [[e for e in edges if sum(b - a > 40 for a, b in zip(edges, edges[1:], strict=False) if b <= e) == k] for k in range(len(edges))]
+    starts = [r[0] for r in runs if r and sum(r[0] - 0.05 <= x["x"] <= r[-1] + 0.05 for x in lines) >= 3]
+    for x in lines:
+        left = [k for k, s in enumerate(starts) if s <= x["x"] + 0.05]
+        x["band"] = None if len(starts) < 2 else left[-1] if left else sorted((abs(s - x["x"]), k) for k, s in enumerate(starts))[0][1]
+    lines.sort(key=lambda x: (x["band"] or 0, x["y"], x["x"]))
+    gaps = sorted(b["y"] - a["y"] for a, b in zip(lines, lines[1:], strict=False) if b["y"] > a["y"])
+    middle, units = mid(gaps) if gaps else 12.0, []
+    for k, x in enumerate(lines):
+        a = lines[k - 1]
+        if k and abs(x["size"] - a["size"]) < 0.6 and x["bold"] == a["bold"] and x["band"] == a["band"] and x["y"] - a["y"] <= max(1.6 * middle, 1.4 * a["size"]) and (len(units[-1]) < 3 or len(x["text"].split()) <= 12):
+            units[-1].append(x)
+        else:
+            units.append([x])
+    return [(x["text"], x["band"], x["ids"]) for x in lines], [(" ".join(x["text"] for x in u), len(u), [i for x in u for i in x["ids"]]) for u in units]
+
+
+def test_layout_against_plain_rules(spark):
+    """Random pages with columns, near baselines, blank spans and long lines."""
+    rng, rows, want = random.Random(8), [], {}
+    for page in range(1, 41):
+        spans = []
+        for k in range(rng.randint(1, 40)):
+            x = rng.choice([72.0, 72.0, 90.5, 300.0, 300.0, 305.2, 500.0]) + rng.choice([0.0, 0.0, 0.04, 30.0])
+            text = rng.choice(["word", " ", "two words", "", "a line of rather many words that a heading would not have at all in it"])
+            spans.append((k, text, x, float(rng.randint(10, 40)) * rng.choice([4, 6]), rng.choice([10.0, 40.0, 150.0]), rng.choice([0.0, 9.0, 12.0]), rng.choice([9.0, 9.4, 12.0]), rng.random() < 0.2))
+        rows += [("d", page, k, t, x, y, w, h, s, b) for k, t, x, y, w, h, s, b in spans]
+        want[page] = plain_layout(spans)
+    frame = spark.createDataFrame(rows, SPAN)
+    lines, units = _by(assemble.lines(frame).orderBy("page", "line").collect(), "page"), _by(assemble.units(frame).orderBy("ord").collect(), "page")
+    for page, (own, groups) in want.items():
+        assert [(r.text, r.band, r.span_ids) for r in lines.get(page, [])] == own
+        assert [(u.text, u.line_count, u.span_ids) for u in units.get(page, [])] == groups
+    assert any(r.band for rs in lines.values() for r in rs) and any(len(r.span_ids) > 1 for rs in lines.values() for r in rs)
+
+
+def test_values_of_the_rules(spark):
+    wide = spark.createDataFrame([("d", 306.0), ("d", 200.0), ("d", 288.0), ("d", 287.0)], "document_id string, x double").select("*", F.lit(0.0).alias("width"), F.lit(612.0).alias("page_width"))
+    assert [r.centered for r in assemble.centered(wide).collect()] == [True, False, True, False]  # within 18.36 points
+    text = [(30.0, "x" * 40), (26.0, "x" * 40), (22.0, "x" * 40), (18.0, "x" * 40), (14.0, "x" * 40), (12.0, "xx"), (10.0, "x" * 4000), (8.0, "small")]
+    units = spark.createDataFrame([("d", 1, k, t, 72.0, 40.0 + 20 * k, 90.0, s, s, False, 612.0, 792.0) for k, (s, t) in enumerate(text)], SPAN + ", page_width double, page_height double")
+    assert {r["size"]: r.level for r in features.levels(units).collect()} == {30: "h1", 26: "h2", 22: "h3", 18: "h4", 14: "outlier", 12: "outlier", 10: "body", 8: "body"}
+    place = spark.createDataFrame([("d", 1, k, "words of a unit", 72.0, y, 90.0, 10.0, 10.0, False, 612.0, 792.0) for k, y in enumerate((79.17, 79.19, 712.82, 712.90))], SPAN + ", page_width double, page_height double")
+    assert [r.zone for r in features.matrix(place).orderBy("ord").collect()] == ["body", "body", "body", "footer"]
+
+
+def test_blank_pdf_spans_part_words(spark):
+    class Line(FakePage):
+        def get_text(self, kind=None):
+            spans = [{"text": t, "bbox": (x, 40.0, x + w, 52.0), "size": 12.0, "font": "Arial", "flags": 0} for t, x, w in (("River", 72.0, 30.0), (" ", 102.0, 4.0), ("", 106.0, 0.0), ("Levels", 106.0, 30.0))]
+            return {"blocks": [{"lines": [{"spans": spans}]}]} if kind else "River Levels"
+
+    rows = [r for n in (1, 2) for r in pdf_source.span_rows("d", n, Line(), first=3 * (n - 1))]
+    assert [r[2] for r in rows] == [0, 1, 2, 3, 4, 5]
+    found = assemble.units(spark.createDataFrame(rows, pdf_source.SPANS)).orderBy("ord").collect()
+    assert [(u.text, u.span_ids) for u in found] == [("River Levels", [0, 1, 2]), ("River Levels", [3, 4, 5])]

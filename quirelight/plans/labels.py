@@ -10,6 +10,7 @@ from quirelight.operators import assemble as A
 from quirelight.operators import census as N
 from quirelight.operators import features as M
 from quirelight.operators import identity as I
+from quirelight.operators import outline as O
 from quirelight.operators import segment as S
 from quirelight.plans import sql_labels as Q
 from quirelight.sources import html
@@ -167,6 +168,21 @@ def title_harvest(spark, sf_dir):
     return html.titles(pages(spark, sf_dir))
 
 
+@query(Q.chain(Q.SPANS, Q.OUTLINE) + "SELECT document_id, ord, page, level, text, parent, CAST(depth AS INTEGER) AS depth, array_to_string(path, ' / ') AS path FROM paths")
+def outline(spark, sf_dir):
+    return O.outline(O.headings(spans(spark, sf_dir))).withColumn("path", F.array_join("path", " / "))
+
+
+@query(
+    Q.chain(Q.SPANS, Q.OUTLINE, Q.HARVEST)
+    + f"""SELECT document_id, title, 'title' AS source, 'high' AS confidence, false AS needs_review FROM harvest
+UNION ALL SELECT document_id, text, 'outline', 'medium', true FROM headings h WHERE ord = (SELECT min(ord) FROM headings f WHERE f.document_id = h.document_id) AND {Q.usable("text")} AND document_id NOT IN (SELECT document_id FROM harvest)"""
+)
+def title_harvest_sources(spark, sf_dir):
+    """Titles with where they come from: the title element, else the outline's first heading."""
+    return O.harvested(pages(spark, sf_dir))
+
+
 def compared_titles(spark, sf_dir):
     found = M.titles(M.title_scores(M.matrix(assembled(spark, sf_dir)))).withColumnRenamed("title", "emitted")
     rows = found.join(html.titles(pages(spark, sf_dir)), "document_id")

@@ -201,9 +201,22 @@ titles AS (
   FROM margins JOIN rankings USING (document_id))"""
 #: As in sources/html.py, without \\d.
 JUNK = (r"(?i)^(untitled|no title|document\s*[0-9]*|slide\s*[0-9]+|print job|chapter\s*[0-9]+)", r"(?i)^microsoft\s+(word|powerpoint|excel)\b", r"\.[A-Za-z0-9]{2,6}\s*$", r"(?i)text_all|final[_ ]?draft|^copy of", r"(?i)^[a-z0-9_\-]{1,20}$")
+def usable(x: str) -> str:
+    return f"(length({x}) >= 12 AND len(string_split({x}, ' ')) >= 2 AND NOT ({' OR '.join(f"regexp_matches({x}, '{p}')" for p in JUNK)}))"
+
+
 HARVEST = rf"""
 raw_titles AS (SELECT CAST(page_id AS VARCHAR) AS document_id, trim(regexp_replace({unescaped("regexp_extract(html, '<title>([^<]*)</title>', 1)")}, '\s+', ' ', 'g')) AS title FROM pages),
-harvest AS (SELECT document_id, title FROM raw_titles WHERE length(title) >= 12 AND len(string_split(title, ' ')) >= 2 AND NOT ({" OR ".join(f"regexp_matches(title, '{p}')" for p in JUNK)}))"""
+harvest AS (SELECT document_id, title FROM raw_titles WHERE {usable("title")})"""
+OUTLINE = r"""
+heading_spans AS (SELECT document_id, block, tag, min(ord) AS ord, min(page) AS page, trim(regexp_replace(string_agg(text, '' ORDER BY ord), '\s+', ' ', 'g')) AS text FROM spans WHERE regexp_matches(tag, '^h[1-6]$') GROUP BY document_id, block, tag),
+headings AS (SELECT document_id, ord, page, CAST(substr(tag, 2) AS INTEGER) AS level, text FROM heading_spans WHERE text <> ''),
+tree AS (
+  SELECT h.*, (SELECT max(p.ord) FROM headings p WHERE p.document_id = h.document_id AND p.ord < h.ord AND p.level < h.level
+    AND NOT EXISTS (SELECT 1 FROM headings q WHERE q.document_id = h.document_id AND q.ord > p.ord AND q.ord < h.ord AND q.level < p.level)) AS parent FROM headings h),
+paths AS (
+  SELECT *, 1 AS depth, [text] AS path FROM tree WHERE parent IS NULL
+  UNION ALL SELECT t.*, p.depth + 1, list_append(p.path, t.text) FROM tree t JOIN paths p ON p.document_id = t.document_id AND p.ord = t.parent)"""
 
 
 def evaluation_tokens(x: str) -> str:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,33 +40,45 @@ SCHEMA = "document_id string, page int, ord int, text string, x double, y double
 _TYPES = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_()}
 
 
-def _last(stack: list[str], names) -> int:
+Stack = tuple[str, ...]
+
+
+def _last(stack: Stack, names) -> int:
     """The place after the last of some elements; 0 if none is open."""
     return next((i for i in range(len(stack), 0, -1) if stack[i - 1] in names), 0)
 
 
-def _ended(stack: list[str], names, within) -> list[str]:
+def _ended(stack: Stack, names, within) -> Stack:
     """The stack without the last of some elements and what is in it, unless one of `within` is open inside it."""
     at = _last(stack, names)
     return stack[: at - 1] if at > _last(stack, within) else stack
 
 
-def _started(stack: list[str], tag: str) -> list[str]:
+@lru_cache(1 << 14)
+def _started(stack: Stack, tag: str) -> Stack:
     if tag in BLOCKS:
         stack = _ended(stack, ["p"], CELLS)
         if tag in ENDS:
             stack = _ended(stack, *ENDS[tag])
-    return stack if tag in VOID else [*stack, tag]
+    return stack if tag in VOID else (*stack, tag)
 
 
-def _closed(stack: list[str], tag: str) -> list[str]:
+@lru_cache(1 << 14)
+def _closed(stack: Stack, tag: str) -> Stack:
     return _ended(stack, [tag], BLOCKS if tag not in BLOCKS else [] if tag in OUTER else CELLS)
 
 
+@lru_cache(1 << 14)
+def _style(stack: Stack) -> tuple[bool, bool, str, float, bool]:
+    """Whether text is in the side column and in a cell, its block's element, font size and weight."""
+    block, sized = _last(stack, BLOCKS), _last(stack, SIZES)
+    return _last(stack, SIDE) > 0, _last(stack, CELLS) > 0, stack[block - 1] if block else "", SIZES[stack[sized - 1]] if sized else SIZE, _last(stack, BOLD) > 0
+
+
 def walk(tokens: list[tuple[str, str]]) -> Iterator[tuple]:
     """tokens: tag ("/p" ends one) or text. text, block, tag, height, column (None in the side column, else 0 or the cell's
     number), font size and weight of each span."""
-    stack: list[str] = []
+    stack: Stack = ()
     block, line, cell, row = 0, 0, -1, 0
     ends, spaced, marked, opened, in_side = True, False, False, False, False  # a line is to start, at a distance; it has only a marker; a cell began
     used = {False: -STEP, True: -STEP}  # the last line's height, by whether it is in the side column
@@ -97,15 +110,14 @@ def walk(tokens: list[tuple[str, str]]) -> Iterator[tuple]:
                 text = text.lstrip(" ")
             if not text:
                 continue
-        side = _last(stack, SIDE) > 0
-        in_cell = not side and _last(stack, CELLS) > 0
+        side, in_cell, element, size, bold = _style(stack)
+        in_cell = in_cell and not side
         if ends:
             above = line if in_cell and not in_side else used[side]
             line = row if in_cell and opened else above + STEP + SPACE * (spaced and above >= 0)
             used[side] = max(used[side], line)
         ends, spaced, opened, in_side, marked = False, False, False, side, bool(tag)
-        sized = _last(stack, SIZES)
-        yield text, block, stack[_last(stack, BLOCKS) - 1] if _last(stack, BLOCKS) else "", line, None if side else cell if in_cell else 0, SIZES[stack[sized - 1]] if sized else SIZE, _last(stack, BOLD) > 0
+        yield text, block, element, line, None if side else cell if in_cell else 0, size, bold
 
 
 def _placed(document_id: str, tokens: list[tuple[str, str]]) -> Iterator[tuple]:
@@ -148,7 +160,12 @@ def titles(pages: DataFrame) -> DataFrame:
         raw = F.replace(raw, F.lit(entity), F.lit(sign))
     title = F.trim(F.regexp_replace(raw, r"\s+", " "))
     rows = pages.select(F.col("page_id").cast("string").alias("document_id"), title.alias("title"))
-    return rows.where((F.length("title") >= 12) & (F.size(F.split("title", " ")) >= 2) & ~is_junk(F.col("title")))
+    return rows.where(usable(F.col("title")))
+
+
+def usable(title: F.Column) -> F.Column:
+    """Whether a title could name a document."""
+    return (F.length(title) >= 12) & (F.size(F.split(title, " ")) >= 2) & ~is_junk(title)
 
 
 #: Names that tools give, not authors.

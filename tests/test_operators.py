@@ -1,5 +1,6 @@
 """Hand cases and properties of the engine's operators."""
 
+import itertools
 import os
 import random
 import re
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quirelight import cli, contracts
 from quirelight.functions import text as T
-from quirelight.operators import assemble, census, features, identity, segment
+from quirelight.operators import assemble, census, features, identity, outline, pleading, roles, segment
 from quirelight.plans import sql_labels
 from quirelight.sources import compounds, files, html
 from quirelight.sources import pdf as pdf_source
@@ -462,3 +463,70 @@ def test_blank_pdf_spans_part_words(spark):
     assert [r[2] for r in rows] == [0, 1, 2, 3, 4, 5]
     found = assemble.units(spark.createDataFrame(rows, pdf_source.SPANS)).orderBy("ord").collect()
     assert [(u.text, u.span_ids) for u in found] == [("River Levels", [0, 1, 2]), ("River Levels", [3, 4, 5])]
+
+
+def test_outline_against_a_walk(spark):
+    rng, rows, want = random.Random(3), [], {}
+    for d in range(30):
+        stack = []
+        for k in range(rng.randint(1, 25)):
+            level = rng.randint(1, 6)
+            rows.append((str(d), k, 1, level, f"t{k}"))
+            stack = [h for h in stack if h[0] < level]
+            want[str(d), k] = (stack[-1][1] if stack else None, len(stack) + 1, [f"t{h[1]}" for h in stack] + [f"t{k}"])
+            stack.append((level, k))
+    found = outline.outline(spark.createDataFrame(rows, "document_id string, ord int, page int, level int, text string")).collect()
+    assert {(r.document_id, r.ord): (r.parent, r.depth, r.path) for r in found} == want
+
+
+def test_headings_and_harvest(spark):
+    web = [(0, "<title>no title</title><h2>A <b>bold</b> start of it</h2><p>x</p><h3>Part<br>one</h3><h2> </h2><h1>The whole</h1>"), (1, "<title>A title of its own</title><h1>Another one here</h1>"), (2, "<h1>short</h1>"), (3, None)]
+    frame = spark.createDataFrame(web, "page_id long, html string")
+    found = outline.headings(html.spans(frame)).orderBy("document_id", "ord").collect()
+    assert [(r.document_id, r.level, r.text) for r in found] == [("0", 2, "A bold start of it"), ("0", 3, "Partone"), ("0", 1, "The whole"), ("1", 1, "Another one here"), ("2", 1, "short")]
+    rows = {r.document_id: (r.title, r.source, r.confidence, r.needs_review) for r in outline.harvested(frame).collect()}
+    assert rows == {"0": ("A bold start of it", "outline", "medium", True), "1": ("A title of its own", "title", "high", False)}
+
+
+def test_roles_against_all_assignments():
+    """Every way to give roles to units, by trying them all."""
+    rng = random.Random(4)
+    for _ in range(60):
+        options = [(p, r, rng.randint(1, 4)) for p in range(1, rng.randint(2, 5)) for r in roles.ROLES if rng.random() < 0.4]
+        score = {(p, r): s for p, r, s in options}
+        last = 1 + max((p for p, _, _ in options), default=0)
+        units = sorted({p for p, _, _ in options})
+        best = None
+        for given in itertools.product([None, *units], repeat=len(roles.ROLES)):
+            used = [p for p in given if p is not None]
+            if len(set(used)) == len(used) and all((p, r) in score for p, r in zip(given, roles.ROLES, strict=True) if p is not None):
+                total = sum(score[p, r] for p, r in zip(given, roles.ROLES, strict=True) if p is not None)
+                key = (-total, [last if p is None else p for p in given])
+                best = min(best or (key, given), (key, given), key=lambda x: x[0])
+        if best:
+            assert roles.solve(options) == {r: p for p, r in zip(best[1], roles.ROLES, strict=True) if p is not None}
+    assert roles.solve([]) == {}
+
+
+def test_roles_share_nothing(spark):
+    """A control number that would be the best title is the identifier, and the next unit is the title."""
+    rows = [("d", 1, 0, "title", 50000), ("d", 1, 0, "identifier", 40000), ("d", 1, 1, "title", 30000), ("e", 1, 0, "title", 7), ("e", 1, 1, "title", 7)]
+    scores = spark.createDataFrame([(d, 1, 10.0 * o, 5.0, o, r, s) for d, _, o, r, s in rows], "document_id string, page int, y double, x double, ord int, role string, score int")
+    assert sorted((r.document_id, r.role, r.ord) for r in roles.assigned(scores).collect()) == [("d", "identifier", 0), ("d", "title", 1), ("e", "title", 0)]
+
+
+def test_captions_in_one_to_three_units(spark):
+    texts = ["Ann Smith v. City of Rome", "x", "Ann Smith,", "vs.", "Bob Jones", "x", "Ann Smith versus", "Bob", "x", "Ann Smith", "v. Bob Jones, Jr.", "12 v 14", "Ann v Bob", "Ann Smith", "v", "Bob Jones", "lower v. Upper Case", "Ann Smith v. the others"]
+    units = spark.createDataFrame([("d", 1, k, t) for k, t in enumerate(texts)] + [("d", 2, 99, "v."), ("d", 3, 100, "Bob Jones")], "document_id string, page int, ord int, text string")
+    found = [(r.ord, r["last"], r.plaintiff, r.defendant) for r in pleading.captions(units).orderBy("ord").collect()]
+    assert found == [(0, 0, "Ann Smith", "City of Rome"), (2, 4, "Ann Smith", "Bob Jones"), (6, 7, "Ann Smith", "Bob")]
+
+
+def test_numbered_margins(spark):
+    numbers = lambda page, values, pitch=24.0, x=36.0, top=60.0: [(page, v, x, top + pitch * v) for v in values]
+    rows = numbers(1, range(1, 29)) + [(1, 7, 36.0, 333.0), (1, 55, 36.0, 400.0)]  # a stray seven and a number beyond the last
+    rows += numbers(2, range(1, 15)) + numbers(3, range(1, 29), x=80.0) + numbers(4, [*range(1, 6), *range(9, 24)]) + numbers(5, [28 - k for k in range(28)], -24.0, top=800.0)[:10]
+    spans = spark.createDataFrame([("d", p, k, str(v), x, y, 10.0, 10.0, 10.0, False, 612.0, 792.0) for k, (p, v, x, y) in enumerate(rows)], SPAN + ", page_width double, page_height double")
+    assert sorted((r.page, r.first, r["last"], r.numbers, r.pitch) for r in pleading.line_number_runs(spans).collect()) == [(1, 1, 28, 28, 24.0), (4, 1, 23, 20, 24.0)]
+    left = sorted((r.page, int(r.text)) for r in pleading.without_numbers(spans).where("page in (1, 4)").collect())
+    assert left == [(1, 7), (1, 55)]

@@ -323,10 +323,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[tuple
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.string()), pa.array([n[1]], pa.int64()), pa.array([n[0]], pa.int64())], ["arc", "t", "c"])
 
     summed = rows.mapInArrow(count, "arc string, t long, c long").groupBy("arc").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
-    summed = stored(summed.where("arc is null or t >= 2"), "toxicity-arcs")
+    several = F.col("arc").isNull() | (F.col("t") >= 2)
+    summed = stored(summed.where(several | F.col("arc").isin(SEED)), "toxicity-arcs")  # clean labels outweigh seeds, so theirs stay
     whole = summed.where("arc is null").collect()  # 1 row
     toxic, clean = (int(whole[0].t or 0), int(whole[0].c or 0)) if whole else (0, 0)
-    tried = summed.count()
+    tried = summed.where(several).count()
     # every arc that could have the evidence and odds of the lowest setting, and the seeds; the sample bounds them
     n, all_ = F.col("t") + F.col("c"), max(1, toxic + clean)
     part = lambda x, total: F.when(F.col(x) > 0, F.col(x) * F.log(F.col(x) * all_ / (n * max(1, total)))).otherwise(0.0)

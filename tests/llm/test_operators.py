@@ -83,6 +83,23 @@ def test_phrases_and_seeds():
     assert "moron" not in toxicity.Grammar({"moron": (0, 400)}, 100, 900, 10).weights[0]  # outweighed by clean documents
 
 
+def test_labels_outweigh_seeds(spark):
+    """A seed word that only clean documents have is no insult after fitting; one that no document has keeps its prior."""
+    rng = np.random.default_rng(2)
+    names = [f"w{k}" for k in "abcdefghijklmnopqrstuvwxyz"]
+    names = [a + b for a in names for b in "aeiou"]
+    said = lambda extra: " ".join([*rng.choice(names, 12), *extra, *rng.choice(names, 12)]) + "."
+    rows = [(i, said(["the", "trash", "was", "taken"]), 0) for i in range(300)] + [(1000 + i, said(["you", "idiot"]), 1) for i in range(80)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    made, _, _ = toxicity.fit(docs, labels)
+    assert made[0]["trash"][0] == 0 and made[0]["trash"][1] > 200  # less those that the sample holds for near copies
+    weights = toxicity.Grammar(*made).weights[0]
+    assert "trash" not in weights and weights["idiot"] > 2 and weights["moron"] == toxicity.SEED_WEIGHT
+    found = {r.doc_id: r.predicted for r in toxicity.score(spark.createDataFrame([(1, said(["trash"])), (2, said(["you", "idiot"]))], "doc_id long, text string"), toxicity.fit(docs, labels)).collect()}
+    assert found == {1: 0, 2: 1}
+
+
 def test_mix_meets_targets(docs):
     rows = mixing.mix(docs, block_words=500).collect()
     by = collections.defaultdict(list)

@@ -13,7 +13,8 @@ TOKENS_KEPT = 60
 
 
 def measure(pages: DataFrame) -> DataFrame:
-    """pages: document_id, page, raw_text, width, height, rotation, image_count, fonts. Adds the census columns."""
+    """pages: document_id, page, raw_text, width, height, rotation, image_count, fonts. Adds the census columns; arrived, a page's
+    time in a stream, is kept."""
     norm = F.col("norm")
     pages = pages.withColumn("norm", T.normalized(F.col("raw_text"))).withColumn("lines", T.lines(F.col("raw_text")))
     turned = F.col("rotation").isin(90, 270)
@@ -22,6 +23,7 @@ def measure(pages: DataFrame) -> DataFrame:
     out = pages.select(
         "document_id",
         "page",
+        *[c for c in pages.columns if c == "arrived"],
         "norm",
         "width",
         "height",

@@ -48,13 +48,18 @@ def seams(census: DataFrame) -> DataFrame:
     order = Window.partitionBy("document_id").orderBy("page")
     pairs = census.select("document_id", F.col("page").alias("a_page"), *[F.col(c).alias(f"a_{c}") for c in SIDES], F.lead(F.struct("page", *SIDES)).over(order).alias("b"), F.lag("header_sig").over(order).alias("p_header"))
     pairs = pairs.where("b is not null").select("*", F.col("b.page").alias("before_page"), *[F.col(f"b.{c}").alias(f"b_{c}") for c in SIDES]).drop("b")
-    enough = F.least(F.size("a_tokens"), F.size("b_tokens")) >= C["min_vocabulary_tokens"]
-    pairs = pairs.withColumn("font_overlap", T.overlap(F.col("a_font_families"), F.col("b_font_families"))).withColumn("vocab_overlap", F.when(enough, T.overlap(F.col("a_tokens"), F.col("b_tokens"))))
+    pairs = overlaps(pairs)
     whole = Window.partitionBy("document_id")
     median = F.when(F.count("vocab_overlap").over(whole) >= C["min_vocabulary_pairs"], F.expr("median(vocab_overlap)").over(whole))
     return pairs.withColumn("vocab_median", median)
 
 
+def overlaps(pairs: DataFrame) -> DataFrame:
+    """Adds font_overlap and vocab_overlap of the pages beside each seam."""
+    enough = F.least(F.size("a_tokens"), F.size("b_tokens")) >= C["min_vocabulary_tokens"]
+    return pairs.withColumn("font_overlap", T.overlap(F.col("a_font_families"), F.col("b_font_families"))).withColumn("vocab_overlap", F.when(enough, T.overlap(F.col("a_tokens"), F.col("b_tokens"))))
+
+
 def signals(pairs: DataFrame, band: DataFrame | None = None) -> DataFrame:
     """Adds signals: the array of (name, weight) that fired, in order. band: document_id, before_page, l1 of font-size
     histograms of seams that were refined."""

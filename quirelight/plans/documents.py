@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from quirelight.operators import census as N
 from quirelight.operators import segment as S
 from quirelight.plans import sql_segments as Q
 from quirelight.sources import compounds
+from quirelight.storage import shared_folder
+from quirelight.streaming.seams import seams_stream
 
 QUERIES, ORACLES = {}, {}
 POLICIES = tuple(contracts.load("segmentation")["policies"])
@@ -255,3 +259,21 @@ def conversation_seams(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     pages = turns.select(F.col("conv_id").cast("string").alias("document_id"), (F.col("turn") + 1).cast("int").alias("page"), F.col("text").alias("raw_text"), F.lit(612.0).alias("width"), F.lit(792.0).alias("height"), F.lit(0).alias("rotation"), F.lit(0).alias("image_count"), F.array(F.col("role")).alias("fonts"))
     return S.decided(S.scored(S.signals(S.seams(N.census(pages))))).select(*DECISION.split(", "))
+
+
+def turn_pages(spark, sf_dir):
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turns.select(F.col("conv_id").cast("string").alias("document_id"), (F.col("turn") + 1).cast("int").alias("page"), F.col("text").alias("raw_text"), F.lit(612.0).alias("width"), F.lit(792.0).alias("height"), F.lit(0).alias("rotation"), F.lit(0).alias("image_count"), F.array(F.col("role")).alias("fonts"))
+
+
+@query(Q.chain(Q.CONVERSATIONS, *Q.up_to_decisions()[2:]).replace("FROM stamped", "FROM conversation_pages").replace("s.prefix IS NOT NULL AS in_series", "false AS in_series").replace("THEN median(vocab_overlap) END", "THEN NULL::DOUBLE END") + f"SELECT {DECISION} FROM decisions")
+def stream_seams(spark, sf_dir):
+    """Decisions of a stream of pages in shuffled files, less signals that need whole documents."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    pages = turn_pages(spark, sf_dir).withColumn("arrived", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    pages.withColumn("part", F.pmod(F.xxhash64("document_id", "page"), F.lit(4))).write.partitionBy("part").parquet(f"{folder}/pages")
+    arriving = spark.readStream.schema(pages.schema).option("recursiveFileLookup", "true").parquet(f"{folder}/pages")
+    found = seams_stream(arriving).select(*DECISION.split(", "))
+    running = found.writeStream.format("parquet").option("path", f"{folder}/seams").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
+    running.awaitTermination()
+    return spark.read.schema(found.schema).parquet(f"{folder}/seams")

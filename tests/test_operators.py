@@ -1,9 +1,13 @@
 """Hand cases and properties of the engine's operators."""
 
+import datetime
+import hashlib
 import itertools
 import os
 import random
 import re
+import tempfile
+import time
 
 import duckdb
 import pytest
@@ -15,7 +19,8 @@ from quirelight.operators import assemble, census, features, identity, outline,
 from quirelight.plans import sql_labels
 from quirelight.sources import compounds, files, html
 from quirelight.sources import pdf as pdf_source
-from quirelight.streaming import census_stream
+from quirelight.streaming import census_stream, intake
+from quirelight.streaming import seams as stream_seams
 
 SF = "/root/testdata/sf0.001"
 PAGE = "document_id string, page int, raw_text string, width double, height double, rotation int, image_count int, fonts array<string>"
@@ -530,3 +535,55 @@ def test_numbered_margins(spark):
     assert sorted((r.page, r.first, r["last"], r.numbers, r.pitch) for r in pleading.line_number_runs(spans).collect()) == [(1, 1, 28, 28, 24.0), (4, 1, 23, 20, 24.0)]
     left = sorted((r.page, int(r.text)) for r in pleading.without_numbers(spans).where("page in (1, 4)").collect())
     assert left == [(1, 7), (1, 55)]
+
+
+def streamed(spark, frames, schema, make, name, until, seconds=60):
+    """What a stream gives whose micro-batches are the frames' rows: one file each, one file a batch."""
+    folder = tempfile.mkdtemp(prefix="stream-")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    q = None
+    try:
+        for k, rows in enumerate(frames):
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            if q is None:
+                source = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+                q = make(source).writeStream.format("memory").queryName(name).option("checkpointLocation", f"{folder}/state").outputMode("append").start()
+            q.processAllAvailable()
+        end = time.time() + seconds
+        while time.time() < end and spark.table(name).count() < until:
+            time.sleep(0.5)
+        return spark.table(name).collect()
+    finally:
+        if q is not None:
+            q.stop()
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_stream_of_shuffled_pages_equals_the_batch(spark):
+    raw = spark.read.parquet(f"{SF}/documents.parquet").where("source is not null")
+    names = ["document_id", "page", "raw_text", "width", "height", "rotation", "image_count", "fonts"]
+    rows = [tuple(r) for r in compounds.stamped_pages(raw).where("page <= 6").select(*names).collect()]
+    random.Random(1).shuffle(rows)
+    start = datetime.datetime(2024, 1, 1)
+    found = streamed(spark, [[(*r, start + datetime.timedelta(seconds=k)) for r in rows[k::3]] for k in range(3)], f"{PAGE}, arrived timestamp", lambda s: stream_seams.seams_stream(s).select("document_id", "before_page", "score", "change_score", "is_cut", "p_header", F.transform("signals", lambda x: x["name"]).alias("names")), "shuffled", 1, 5)
+    pairs = stream_seams.without_whole(segment.seams(census.census(spark.createDataFrame(rows, PAGE))))
+    want = segment.decided(segment.scored(segment.signals(pairs))).select("document_id", "before_page", "score", "change_score", "is_cut", "p_header", F.transform("signals", lambda x: x["name"]).alias("names")).collect()
+    assert sorted(map(str, found)) == sorted(map(str, want)) and len(want) > 50
+    assert not {x for r in found for x in r.names} & set(stream_seams.WHOLE)
+
+
+def test_stream_waits_for_missing_pages(spark):
+    page = lambda n, text, minute, d="d": (d, n, text, 612.0, 792.0, 0, 0, ["Arial"], datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minute))
+    frames = [[page(2, "second page here.", 0), page(4, "fourth", 0)], [page(1, "first", 1), page(2, "another second", 1), page(1, "again", 1)], [page(6, "sixth", 30)], [page(1, "of another", 60, "e")]]
+    found = streamed(spark, frames, f"{PAGE}, arrived timestamp", lambda s: stream_seams.pairs_stream(s, 300_000, "1 minute").select("a_page", "before_page", "b_ends_mid_sentence"), "gaps", 3, 10)
+    assert sorted(map(tuple, found)) == [(1, 2, False), (2, 4, True), (4, 6, True)]
+
+
+def test_uploads_live_for_a_while(spark):
+    at = lambda minutes: datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=minutes)
+    kind = "content string, arrived timestamp, filename string"
+    frames = [[("x", at(0), "a"), ("x", at(5), "b"), ("y", at(1), "c"), (None, at(2), "n"), ("x", None, "never")], [("x", at(10), "d"), ("y", at(12), "e"), ("", at(3), "m")], [("x", at(20.5), "f"), ("x", at(10.5), "g"), ("y", at(22), "h")]]
+    found = streamed(spark, frames, kind, lambda s: intake.taken(s, 600, "2 hours").select("filename", "content_id"), "uploads", 5, 5)
+    # x lives from 0 to 10 and from 10.5 to 20.5, y from 1 to 11 and from 12 to 22; no bytes are one content
+    assert sorted(r.filename for r in found) == ["a", "c", "e", "g", "n"]
+    assert {r.content_id for r in found if r.filename == "a"} == {hashlib.sha256(b"x").hexdigest()[:16]}

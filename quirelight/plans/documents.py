@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from quirelight import contracts
 from quirelight.operators import census as N
 from quirelight.operators import segment as S
+from quirelight.operators import term_deltas
+from quirelight.plans import sql_labels
 from quirelight.plans import sql_segments as Q
 from quirelight.sources import compounds
-from quirelight.storage import shared_folder
+from quirelight.storage import shared_folder, stored
 from quirelight.streaming.seams import seams_stream
 
 QUERIES, ORACLES = {}, {}
@@ -277,3 +279,39 @@ def stream_seams(spark, sf_dir):
     running = found.writeStream.format("parquet").option("path", f"{folder}/seams").option("checkpointLocation", f"{folder}/state").outputMode("append").trigger(availableNow=True).start()
     running.awaitTermination()
     return spark.read.schema(found.schema).parquet(f"{folder}/seams")
+
+
+@query(
+    Q.chain(*Q.UP_TO_SCORES, Q.REFINED, Q.decisions("balanced").replace("FROM scores)", "FROM refined)"), Q.SEGMENTS, Q.REJOINED)
+    + """, compared AS (SELECT document_id, before_page AS page FROM refined WHERE refined UNION SELECT document_id, before_page - 1 FROM refined WHERE refined)
+SELECT t.document_id, total, (SELECT count(*) FROM rejoined g WHERE g.document_id = t.document_id) AS segments, CAST(count_if(is_cut) AS BIGINT) AS cuts, CAST(count_if(is_candidate) AS BIGINT) AS candidates,
+  (SELECT count(*) FROM compared c WHERE c.document_id = t.document_id) AS tier_b_pages, (SELECT CAST(coalesce(sum(CASE WHEN inserts = '' THEN 0 ELSE len(string_split(inserts, ',')) END), 0) AS BIGINT) FROM rejoined g WHERE g.document_id = t.document_id) AS reabsorbed
+FROM totals t LEFT JOIN decisions d USING (document_id) GROUP BY t.document_id, total"""
+)
+def run_stats(spark, sf_dir):
+    """A run's numbers by document: pages, segments after re-joining, cuts, candidates, pages whose font sizes were
+    compared, and inserts that were re-joined."""
+    pages = stored(stamped(spark, sf_dir), "run-pages")
+    c = N.census(pages)
+    d = stored(S.decided(S.refined(S.seams(c), S.histogram(compounds.page_spans(pages), ["document_id", "page"]))).select(*DECISION.split(", "), "refined", "signals"), "run-decisions")
+    count = lambda df, *e: df.groupBy(F.col("document_id").alias("n_document")).agg(*e)
+    beside = d.where("refined").select("document_id", F.explode(F.array("before_page", F.col("before_page") - 1)).alias("page"))
+    parts = (
+        count(d, F.count_if("is_cut").alias("cuts"), F.count_if("is_candidate").alias("candidates")),
+        count(S.rejoined(S.segments(d, c), c), F.count("*").alias("segments"), F.sum(F.size("reabsorbed")).alias("reabsorbed")),
+        count(beside, F.count_distinct("page").alias("tier_b_pages")),
+    )
+    out = c.groupBy("document_id").agg(F.max("page").alias("total"))
+    for part in parts:
+        out = out.join(part, F.col("document_id") == F.col("n_document"), "left").drop("n_document")
+    return out.select("document_id", "total", *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("segments", "cuts", "candidates", "tier_b_pages", "reabsorbed")])
+
+
+@query(sql_labels.chain(sql_labels.IDF.replace("FROM benchmark WHERE item_id IS NOT NULL", "FROM (SELECT doc_id AS item_id, text FROM documents) WHERE item_id IS NOT NULL")) + "SELECT term, df, idf FROM idf")
+def idf_incremental(spark, sf_dir):
+    """The term table of all documents from four batches that come in any order, one of them twice."""
+    folder = f"{shared_folder(spark)}/terms-{uuid.uuid4().hex}"
+    corpus = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id is not null").select(F.col("doc_id").cast("string").alias("document_id"), F.coalesce("text", F.lit("")).alias("text"))
+    for part in (2, 0, 3, 0, 1):
+        term_deltas.add_delta(corpus.where(F.pmod(F.xxhash64("document_id"), F.lit(4)) == part), folder)
+    return spark.read.parquet(f"{term_deltas.build_version(spark, folder, 'all')}/terms")

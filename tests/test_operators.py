@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quirelight import cli, contracts
 from quirelight.functions import text as T
-from quirelight.operators import assemble, census, features, identity, outline, pleading, roles, segment
+from quirelight.operators import assemble, census, features, identity, outline, pleading, roles, segment, term_deltas, validation
 from quirelight.plans import sql_labels
 from quirelight.sources import compounds, files, html
 from quirelight.sources import pdf as pdf_source
@@ -587,3 +587,56 @@ def test_uploads_live_for_a_while(spark):
     # x lives from 0 to 10 and from 10.5 to 20.5, y from 1 to 11 and from 12 to 22; no bytes are one content
     assert sorted(r.filename for r in found) == ["a", "c", "e", "g", "n"]
     assert {r.content_id for r in found if r.filename == "a"} == {hashlib.sha256(b"x").hexdigest()[:16]}
+
+
+def test_term_deltas_add_up_in_any_order(spark, tmp_path):
+    texts = [(str(k), f"river levels word{k % 3} alpha{k} Alpha{k}" if k else None) for k in range(12)]
+    frame = lambda rows: spark.createDataFrame(rows, "document_id string, text string")
+    built = {}
+    for order in ((0, 1, 2), (2, 0, 1, 0)):
+        folder = str(tmp_path / f"d{len(order)}")
+        names = [term_deltas.add_delta(frame(texts[k::3]), folder) for k in order]
+        assert len(set(names)) == 3
+        at = term_deltas.build_version(spark, folder, "v1")
+        table, summary = identity.thaw(spark, at)
+        built[order] = sorted(map(tuple, table.collect())), summary.collect()
+    assert built[0, 1, 2] == built[2, 0, 1, 0]
+    whole = identity.idf(frame(texts))
+    assert built[0, 1, 2][0] == sorted(map(tuple, whole.collect()))
+    assert built[0, 1, 2][1] == identity.idf_summary(frame(texts), whole).select("documents", "avgdl", "default_idf", "most", "version").collect()
+    # a version doesn't change as deltas come; one document in two batches is refused
+    folder = str(tmp_path / "d3")
+    before = identity.thaw(spark, f"{folder}/versions/v1")[1].collect()
+    term_deltas.add_delta(frame([("new", "river")]), folder)
+    assert identity.thaw(spark, f"{folder}/versions/v1")[1].collect() == before
+    assert identity.thaw(spark, term_deltas.build_version(spark, folder, "v2"))[1].head().documents == 13
+    assert identity.thaw(spark, term_deltas.build_version(spark, folder, "only", names[:1]))[1].head().documents == 4
+    term_deltas.add_delta(frame([("new", "another text")]), folder)
+    with pytest.raises(ValueError, match="several deltas"):
+        term_deltas.build_version(spark, folder, "v3")
+
+
+def test_rules_are_counted_in_the_writing_pass(spark, tmp_path):
+    rows = [("d", 1, 1, 3, 3), ("d", 2, 5, 6, 2), ("d", 3, 6, 7, 2), ("e", 1, 2, 4, 3), ("f", 1, 1, 2, 2)]
+    found = spark.createDataFrame(rows, "document_id string, segment_index int, start_page int, end_page int, page_count int")
+    totals = spark.createDataFrame([("d", 8), ("e", 4), ("f", 2)], "document_id string, total int")
+    checked, seen = validation.observed(validation.with_neighbours(found, totals), validation.SEGMENTS)
+    checked.drop("previous_end", "is_last", "total").write.json(str(tmp_path / "out"))
+    assert seen.get["rows"] == 5
+    assert validation.broken(seen, validation.SEGMENTS) == {"gap_or_overlap": 2, "late_start": 1, "early_end": 1}
+    spans = spark.createDataFrame([("d", 1, 0, "x", 0.0, 0.0, 1.0, 1.0, 10.0), ("d", 1, 1, "", 0.0, 0.0, -1.0, 1.0, 10.0), ("d", 0, 2, None, 0.0, 0.0, 1.0, 1.0, 0.0)], "document_id string, page int, ord int, text string, x double, y double, width double, height double, font_size double")
+    checked, seen = validation.observed(spans, validation.SPANS)
+    checked.write.format("noop").mode("overwrite").save()
+    assert validation.broken(seen, validation.SPANS) == {"missing_field": 1, "impossible_number": 2, "empty_text": 1}
+
+
+def test_command_line_fails_on_broken_rules(spark, tmp_path, capsys):
+    pages(spark, ["Some text here."]).withColumn("page", F.lit(0)).write.parquet(str(tmp_path / "pages"))
+    assert cli.main(["census", "--input", str(tmp_path / "pages"), "--output", str(tmp_path / "c")]) == 0
+    assert cli.main(["census", "--input", str(tmp_path / "pages"), "--output", str(tmp_path / "c"), "--validate", "--report"]) == 1
+    said = capsys.readouterr()
+    assert "census: 1 records" in said.out and "impossible_number: 1" in said.err
+    spark.createDataFrame([("a", "river levels"), ("b", "river")], "document_id string, text string").write.parquet(str(tmp_path / "texts"))
+    assert cli.main(["add-terms", "--input", str(tmp_path / "texts"), "--output", str(tmp_path / "t")]) == 0
+    assert cli.main(["build-terms", "--output", str(tmp_path / "t"), "--version", "one"]) == 0
+    assert identity.thaw(spark, str(tmp_path / "t/versions/one"))[0].count() == 2

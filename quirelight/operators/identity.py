@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quirelight import contracts
 from quirelight.functions import text as T
+from quirelight.operators import evidence
 from quirelight.operators import features as M
 from quirelight.storage import stored
 
@@ -290,12 +291,22 @@ def fused(units: DataFrame, table: DataFrame, summary: DataFrame) -> DataFrame:
     rows = rows.select(*[scaled[c].alias(c) if c in scaled else c for c in rows.columns]).join(first, F.col("document_id") == F.col("f_document")).drop("f_document")
     furniture = F.arrays_overlap(T.lexical_tokens(F.col("text")), T.word_array("furniture"))
     rows = rows.withColumn("furniture", furniture).withColumn("noise", F.col("level") == "outlier").withColumn("not_first_page", F.col("page") > F.col("first_page")).drop("first_page")
-    return rows.withColumn("score", total(SOURCES)).withColumn("contributions", contributions())
+    rows = evidence.added(rows, units)
+    return rows.withColumn("score", total(sources())).withColumn("contributions", contributions())
+
+
+def sources() -> tuple[str, ...]:
+    """The contract's sources and those that are registered beside them."""
+    return (*SOURCES, *evidence.weights())
+
+
+def source_weights() -> dict[str, float]:
+    return evidence.weights() | C["fusion_weights"]
 
 
 def contributions() -> F.Column:
     """What each source and penalty gives to the score."""
-    parts = [F.struct(F.lit(n).alias("source"), T.rounded(F.col(n), 4).alias("value"), F.lit(float(w)).alias("weight"), T.rounded(F.col(n) * w, 4).alias("contribution")) for n, w in C["fusion_weights"].items()]
+    parts = [F.struct(F.lit(n).alias("source"), T.rounded(F.col(n), 4).alias("value"), F.lit(float(w)).alias("weight"), T.rounded(F.col(n) * w, 4).alias("contribution")) for n, w in ((n, source_weights()[n]) for n in sources())]
     parts += [F.when(F.col(n), F.struct(F.lit(n).alias("source"), F.lit(1.0).alias("value"), F.lit(float(w)).alias("weight"), F.lit(float(w)).alias("contribution"))) for n, w in C["fusion_penalties"].items()]
     return F.filter(F.array(*parts), lambda x: x.isNotNull())
 
@@ -303,9 +314,9 @@ def contributions() -> F.Column:
 def total(enabled) -> F.Column:
     """The sum of enabled sources by weight, each rounded, and penalties, which always apply."""
     out = F.lit(0.0)
-    for name in SOURCES:
+    for name in sources():
         if name in enabled:
-            out = out + T.rounded(F.col(name) * C["fusion_weights"][name], 4)
+            out = out + T.rounded(F.col(name) * source_weights()[name], 4)
     for name, value in C["fusion_penalties"].items():
         out = out + F.when(F.col(name), value).otherwise(0.0)
     return T.rounded(out, 4)
@@ -353,7 +364,7 @@ def ablation(scores: DataFrame, truth: DataFrame, n: int = 3) -> DataFrame:
     """disabled, documents, top1, top3, delta_top1, delta_top3, verdict: the shares of documents whose first label, or any
     of n, matches the title (token F1 of 0.7 or more) with each source off, in one pass over candidates and masks."""
     scores = scores.join(truth.select("document_id"), "document_id", "left_semi")
-    masks = F.array(*[F.struct(F.lit(m or "none").alias("disabled"), total([s for s in SOURCES if s != m]).alias("masked")) for m in (None, *SOURCES)])
+    masks = F.array(*[F.struct(F.lit(m or "none").alias("disabled"), total([s for s in sources() if s != m]).alias("masked")) for m in (None, *sources())])
     rows = scores.select(F.col("document_id").alias("of"), "page", "y", "x", "key", "text", "level", "presentability", "sources", "contributions", F.inline(masks))
     rows = rows.withColumnRenamed("masked", "score").withColumn("document_id", F.concat_ws("|", "disabled", "of"))
     found = labels(rows, n).select(F.split_part("document_id", F.lit("|"), F.lit(1)).alias("disabled"), F.expr("substr(document_id, instr(document_id, '|') + 1)").alias("document_id"), "rank", "text").join(truth, "document_id")

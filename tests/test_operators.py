@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quirelight import cli, contracts
 from quirelight.functions import text as T
-from quirelight.operators import assemble, census, features, identity, outline, pleading, roles, segment, term_deltas, validation
+from quirelight.operators import assemble, census, evidence, features, identity, outline, pleading, roles, segment, term_deltas, validation
 from quirelight.plans import sql_labels
 from quirelight.sources import compounds, files, html
 from quirelight.sources import pdf as pdf_source
@@ -640,3 +640,28 @@ def test_command_line_fails_on_broken_rules(spark, tmp_path, capsys):
     assert cli.main(["add-terms", "--input", str(tmp_path / "texts"), "--output", str(tmp_path / "t")]) == 0
     assert cli.main(["build-terms", "--output", str(tmp_path / "t"), "--version", "one"]) == 0
     assert identity.thaw(spark, str(tmp_path / "t/versions/one"))[0].count() == 2
+
+
+def test_an_eighth_source(spark):
+    rows = [("d", 1, 0, "Notice of the hearing", 72.0, 40.0, 90.0, 12.0, 12.0, False), ("d", 1, 1, "Motion upon motion for it", 72.0, 300.0, 90.0, 12.0, 14.0, False), ("d", 1, 2, "plain words run on and on " * 9, 72.0, 500.0, 90.0, 10.0, 10.0, False), ("e", 1, 0, "Only one unit here", 72.0, 40.0, 90.0, 12.0, 12.0, False)]
+    units = assemble.units(spark.createDataFrame(rows, SPAN))
+    terms = identity.thaw(spark, None)
+    plain = {(r.document_id, r.key): r for r in identity.fused(units, *terms).collect()}
+    motions = evidence.foreign("motions", 2.0, "tests.evidence_example:says_motion")
+    share = evidence.Source("share", 0.5, lambda u, c: c.select("document_id", "key", F.lit(0.25).alias("raw")), scaled=False)
+    with evidence.using(motions, share):
+        fused = identity.fused(units, *terms)
+        found = {(r.document_id, r.key): r for r in fused.collect()}
+        masks = {r.disabled: r.top1 for r in identity.ablation(fused, spark.createDataFrame([("d", "Motion upon motion for it")], "document_id string, title string")).collect()}
+        best = identity.elected(fused).where("document_id = 'd'").head().best[0]
+    assert evidence.REGISTERED == {} and set(found) == set(plain)
+    key = ("d", "motion upon motion for it")
+    assert {k for k, r in found.items() if r.motions == 1.0} == {key} and found["e", "only one unit here"].motions == 0.5
+    for k, r in found.items():
+        assert r.score == pytest.approx(plain[k].score + 2.0 * r.motions + 0.125, abs=2e-4) and r.share == 0.25
+    assert {c.source: c.contribution for c in found[key].contributions}["motions"] == 2.0
+    assert best.text == "Motion upon motion for it" and {"motions", "share"} <= set(masks) and len(masks) == 10 and masks["none"] == 1.0
+    with pytest.raises(ValueError, match="column of its own"):
+        evidence.register(evidence.Source("bm25", 1.0, motions.raw))
+    wide = evidence.ForeignEvidence(units.select("document_id", "ord", "text").asTable(), F.lit("tests.evidence_example:says_motion"), F.lit(True))
+    assert wide.columns == ["document_id", "text", "raw", "ord"]

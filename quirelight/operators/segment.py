@@ -200,3 +200,39 @@ def evaluation(decisions: DataFrame, truth: DataFrame, groups: list[str]) -> Dat
     ratio = lambda a, b: F.when(b > 0, T.rounded(a / b, 4)).otherwise(F.lit(0.0))
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return out.select(*groups, "tp", "fp", "fn", ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"), ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), ratio(tp + F.col("assisted"), tp + fn).alias("assisted_recall"))
+
+
+def outcomes(cuts: DataFrame, candidates: DataFrame, truth: DataFrame) -> DataFrame:
+    """document_id, before_page, is_cut, is_candidate, is_seam: a row for each page that is any of them. The three tables
+    have document_id and before_page."""
+    names = ("is_cut", "is_candidate", "is_seam")
+    marked = [df.select("document_id", "before_page", *[F.lit(n == name).alias(n) for n in names]) for df, name in zip((cuts, candidates, truth), names, strict=True)]
+    return marked[0].unionByName(marked[1]).unionByName(marked[2]).groupBy("document_id", "before_page").agg(*[F.bool_or(n).alias(n) for n in names])
+
+
+def evaluation_by_document(found: DataFrame, documents: DataFrame) -> DataFrame:
+    """documents' columns, true_seams, tp, fp, fn, recovered, missed: the outcomes of each document, with the pages of seams
+    that are candidates only and of those that aren't even that. Documents without any outcome have noughts."""
+    cut, real, candidate = F.col("is_cut"), F.col("is_seam"), F.col("is_candidate")
+    pages = lambda c: F.array_sort(F.collect_list(F.when(c, F.col("before_page"))))
+    counts = {"true_seams": real, "tp": cut & real, "fp": cut & ~real, "fn": ~cut & real}
+    lists = {"recovered": ~cut & real & candidate, "missed": ~cut & real & ~candidate}
+    rows = found.groupBy(F.col("document_id").alias("e_document")).agg(*[F.count_if(c).alias(n) for n, c in counts.items()], *[pages(c).alias(n) for n, c in lists.items()])
+    none = F.array().cast("array<int>")
+    joined = documents.join(rows, F.col("document_id") == F.col("e_document"), "left")
+    return joined.select(*[documents[c] for c in documents.columns], *[F.coalesce(n, F.lit(0)).alias(n) for n in counts], *[F.coalesce(n, none).alias(n) for n in lists])
+
+
+def evaluation_by_difficulty(found: DataFrame, truth: DataFrame) -> DataFrame:
+    """difficulty, total, found, candidate, recall, assisted_recall over true seams."""
+    rows = truth.join(found, ["document_id", "before_page"]).groupBy("difficulty")
+    out = rows.agg(F.count("*").alias("total"), F.count_if("is_cut").alias("found"), F.count_if(~F.col("is_cut") & F.col("is_candidate")).alias("candidate"))
+    share = lambda n: T.rounded(n / F.col("total"), 4)
+    return out.withColumns({"recall": share(F.col("found")), "assisted_recall": share(F.col("found") + F.col("candidate"))})
+
+
+def evaluation_by_scenario(by_document: DataFrame) -> DataFrame:
+    """scenario, documents, tp, fp, fn, recall: what evaluation_by_document found; recall is null without a seam."""
+    out = by_document.groupBy("scenario").agg(F.count("*").alias("documents"), *[F.sum(c).alias(c) for c in ("tp", "fp", "fn")])
+    real = F.col("tp") + F.col("fn")
+    return out.withColumn("recall", F.when(real > 0, T.rounded(F.col("tp") / real, 4)))

@@ -111,11 +111,14 @@ def _slots(seed: int, sizes: dict[str, int]) -> Column:
 
 
 def distinct_pages(pages: DataFrame) -> DataFrame:
-    """Every page once, in the columns that compounds have, numbered from 1 without gaps."""
+    """Every page once, in the columns that compounds have, numbered from 1 without gaps: of each document the first 120,
+    as no part has more. Map sides keep no more of a document, so that a long one meets no task whole."""
     rest = ["raw_text", "width", "height", "fonts", "rotation", "image_count"]
     known = pages.where("document_id is not null and page is not null").select("document_id", "page", F.coalesce("raw_text", F.lit("")).alias("raw_text"), *rest[1:])
+    once = known.groupBy("document_id", "page").agg(F.min(F.struct(*rest)).alias("p"))
     number = F.row_number().over(Window.partitionBy("document_id").orderBy("page"))
-    return known.groupBy("document_id", "page").agg(F.min(F.struct(*rest)).alias("p")).select("document_id", number.alias("page"), *[F.col(f"p.{c}").alias(c) for c in rest])
+    first = once.withColumn("number", number).where(F.col("number") <= max(MOST_PAGES.values()))
+    return first.select("document_id", F.col("number").alias("page"), *[F.col(f"p.{c}").alias(c) for c in rest])
 
 
 def parts(pages: DataFrame, seed: int, long: int = 30, rounds: int | None = None) -> DataFrame:

@@ -24,8 +24,8 @@ from quirelight.sources.files import write_records
 
 def main(args: list[str] | None = None) -> int:
     cli = argparse.ArgumentParser(prog="quirelight")
-    cli.add_argument("command", choices=["census", "segment", "units", "titles", "labels", "freeze", "add-terms", "build-terms", "evaluate", "policies", "verify"])
-    cli.add_argument("--input", help="Parquet of pages (census, segment, evaluate), spans (units, titles, labels) or of document_id and text (freeze, add-terms)")
+    cli.add_argument("command", choices=["census", "segment", "units", "titles", "title-records", "labels", "freeze", "add-terms", "build-terms", "evaluate", "policies", "verify"])
+    cli.add_argument("--input", help="Parquet of pages (census, segment, evaluate), spans (units, titles, title-records, labels) or of document_id and text (freeze, add-terms)")
     cli.add_argument("--output", help="folder for JSON records, of the frozen term table (freeze), or of its deltas (add-terms, build-terms)")
     cli.add_argument("--version", help="name of the term table's version, whose folder --terms takes (build-terms)")
     cli.add_argument("--policy", default="balanced", choices=sorted(contracts.load("segmentation")["policies"]))
@@ -72,6 +72,8 @@ def main(args: list[str] | None = None) -> int:
         found, rules = A.units(rows), V.UNITS
     elif a.command == "titles":
         found = M.titles(M.title_scores(M.matrix(A.units(rows))))
+    elif a.command == "title-records":
+        found = M.title_records(M.title_scores(M.matrix(A.units(rows))))
     else:
         found = I.elected(I.fused(A.units(rows), *I.thaw(spark, a.terms)))
     rules = rules if a.validate else {}

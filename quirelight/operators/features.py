@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirelight import contracts
 from quirelight.functions import text as T
+from quirelight.storage import stored
 
 C = contracts.load("identity")
 RANKED = 5
@@ -86,15 +87,13 @@ def eligibility(features: DataFrame) -> DataFrame:
     return features.withColumn("reasons", F.when(F.length("text") < 8, F.array(F.lit("too_short"))).otherwise(fails))
 
 
-def title_scores(features: DataFrame) -> DataFrame:
-    """Adds score: weighted features in order, each rounded, then penalties; null for those that are not eligible. A
-    feature that was not measured adds nothing."""
-    rows = eligibility(features).withColumn("top_ratio_inverted", 1 - F.col("top_ratio"))
-    total = F.lit(0.0)
+def _terms(rows: DataFrame) -> tuple[list, list]:
+    """What a score adds up, in order: (name, value, weight, contribution) of each feature, and (name, weight, condition) of
+    each penalty."""
+    terms, f, p = [], F.col, C["title_penalties"]
     for name, weight in C["title_weights"].items():
         w = F.when(F.col("flat"), weight * C["flat_damping"]).otherwise(weight) if name in LAYOUT else F.lit(weight)
-        total = total + F.coalesce(T.rounded(F.col(name) * w, 4), F.lit(0.0))
-    f, p = F.col, C["title_penalties"]
+        terms.append((name, F.col(name), w, T.rounded(F.col(name) * w, 4)))
     rules = (
         ("not_first_page", f("page_in_segment") > 1),
         ("identifier", f("identifier")),
@@ -102,11 +101,32 @@ def title_scores(features: DataFrame) -> DataFrame:
         ("digit_heavy", f("digit_ratio") > 0.30),
         ("all_caps_long", (f("uppercase_ratio") > 0.9) & (f("word_count") > 8)),
     )
-    for name, condition in rules:
-        total = total + F.when(condition, p[name]).otherwise(0.0)
+    return terms, [(name, p[name], condition) for name, condition in rules]
+
+
+def title_scores(features: DataFrame) -> DataFrame:
+    """Adds score: weighted features in order, each rounded, then penalties; null for those that are not eligible. A
+    feature that was not measured adds nothing."""
+    rows = eligibility(features).withColumn("top_ratio_inverted", 1 - F.col("top_ratio"))
+    terms, penalties = _terms(rows)
+    total = F.lit(0.0)
+    for _, _, _, contribution in terms:
+        total = total + F.coalesce(contribution, F.lit(0.0))
+    for _, weight, condition in penalties:
+        total = total + F.when(condition, weight).otherwise(0.0)
     return rows.withColumn("score", F.when(F.size("reasons") == 0, T.rounded(total, 4)))
 
 
+def title_contributions(scores: DataFrame) -> Column:
+    """What adds up to each row's score: feature, value, weight, contribution. A feature that was not measured has a null
+    value, its whole weight and no contribution; penalties come if they apply, with a value of 1."""
+    terms, penalties = _terms(scores)
+    entry = lambda name, value, weight, contribution: F.struct(F.lit(name).alias("feature"), value.cast("double").alias("value"), weight.cast("double").alias("weight"), contribution.alias("contribution"))
+    parts = [entry(n, v, F.when(v.isNull(), C["title_weights"][n]).otherwise(T.rounded(w, 4)), F.coalesce(c, F.lit(0.0))) for n, v, w, c in terms]
+    parts += [F.when(condition, entry(n, F.lit(1.0), F.lit(w), F.lit(w))) for n, w, condition in penalties]
+    return F.array_compact(F.array(*parts))
+
+
 def titles(scores: DataFrame) -> DataFrame:
     """document_id, title, candidate, ord, score, margin, confidence, ranking (the best five: ord, score, text). Below the
     margin the title is null."""
@@ -121,6 +141,30 @@ def titles(scores: DataFrame) -> DataFrame:
     return best.select("document_id", F.when(F.col("confidence") != "escalate", first["text"]).alias("title"), first["text"].alias("candidate"), first["ord"].alias("ord"), first["score"].alias("score"), "margin", "confidence", ranking.alias("ranking"))
 
 
+def title_records(scores: DataFrame) -> DataFrame:
+    """A record for each document, also where no unit can be its title: what titles() gives, with the elected unit's
+    span_ids and contributions, how many units there are and how many are excluded, whether its sizes are flat, the reason
+    where there is no candidate, and the versions of what decided. Excluded units are rows of excluded_units(), as a
+    document may have any number of them."""
+    judged = scores.withColumn("span_ids", F.lit(None).cast("array<int>")) if "span_ids" not in scores.columns else scores
+    judged = stored(judged, "title-scores")  # read three times
+    whole = judged.groupBy("document_id").agg(F.count("*").alias("units"), F.count_if(F.size("reasons") > 0).alias("excluded"), F.bool_or("flat").alias("flat"))
+    won = judged.where("score is not null").select(F.col("document_id").alias("w_document"), F.col("ord").alias("w_ord"), "span_ids", title_contributions(judged).alias("contributions"))
+    best = titles(judged)
+    best = best.join(won, (F.col("document_id") == F.col("w_document")) & (F.col("ord") == F.col("w_ord"))).drop("w_document", "w_ord")
+    found = F.col("candidate").isNotNull()
+    versions = F.create_map(*[F.lit(x) for kv in sorted(contracts.versions().items()) for x in kv])
+    return whole.join(best, "document_id", "left").select(
+        "document_id", F.lit("TITLE").alias("role"), "title", "candidate", "ord", "span_ids", "score", "margin", F.coalesce("confidence", F.lit("escalate")).alias("confidence"),
+        F.when(~found, "no eligible candidate").alias("reason"), "contributions", "ranking", "units", "excluded", "flat", versions.alias("contract_versions"),
+    )
+
+
+def excluded_units(scores: DataFrame) -> DataFrame:
+    """document_id, ord, text (80 characters), reasons: the units that can't be titles."""
+    return scores.where(F.size("reasons") > 0).select("document_id", "ord", F.left("text", F.lit(80)).alias("text"), "reasons")
+
+
 def by_segment(units: DataFrame, segments: DataFrame, heads: DataFrame) -> DataFrame:
     """The units of each segment's head pages as a document of their own: document_id gets the segment's number, and
     segment_start is the segment's first page."""

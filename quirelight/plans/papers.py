@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from quirelight.operators import assemble as A
 from quirelight.operators import features as M
 from quirelight.operators import pleading as P
@@ -68,3 +70,29 @@ def filing_levels(spark, sf_dir):
 def filing_titles(spark, sf_dir):
     """Titles of papers, whose numbered margins are no candidates."""
     return M.titles(M.title_scores(M.matrix(units(spark, sf_dir)))).drop("ranking")
+
+
+def title_scores(spark, sf_dir):
+    return M.title_scores(M.matrix(units(spark, sf_dir)))
+
+
+TO_TITLES = (*TO_UNITS, Q.TYPOGRAPHY, Q.FEATURES, Q.SCORES, Q.TITLES)
+
+
+@query(Q.chain(*TO_TITLES, Q.TITLE_RECORDS) + "SELECT document_id, role, title, candidate, ord, span_ids, score, margin, confidence, reason, units, excluded, flat FROM records")
+def title_records(spark, sf_dir):
+    """The record of each paper's title, also where there is none."""
+    out = M.title_records(title_scores(spark, sf_dir)).drop("contributions", "ranking", "contract_versions")
+    return out.withColumn("span_ids", F.array_join(F.transform("span_ids", lambda x: x.cast("string")), ","))
+
+
+@query(Q.chain(*TO_TITLES, Q.TITLE_CONTRIBUTIONS) + "SELECT document_id, feature, value, weight, contribution FROM contributions")
+def title_contributions(spark, sf_dir):
+    """What adds up to the score of each paper's title."""
+    return M.title_records(title_scores(spark, sf_dir)).select("document_id", F.inline("contributions"))
+
+
+@query(Q.chain(*TO_TITLES) + "SELECT document_id, ord, left(text, 80) AS text, array_to_string(reasons, ',') AS reasons FROM scores WHERE len(reasons) > 0")
+def title_excluded(spark, sf_dir):
+    """The units that can't be a paper's title, and why."""
+    return M.excluded_units(title_scores(spark, sf_dir)).withColumn("reasons", F.array_join("reasons", ","))

@@ -199,6 +199,20 @@ margins AS (SELECT document_id, ord, text AS candidate, score, {r4("coalesce(sco
 titles AS (
   SELECT document_id, ord, CASE WHEN margin >= 0.1 THEN candidate END AS title, candidate, score, margin, CASE WHEN margin >= 99 THEN 'auto' WHEN margin >= 0.1 THEN 'review' ELSE 'escalate' END AS confidence, ranking
   FROM margins JOIN rankings USING (document_id))"""
+TITLE_RECORDS = """
+records AS (
+  SELECT s.document_id, 'TITLE' AS role, t.title, t.candidate, t.ord, (SELECT u.span_ids FROM units u WHERE u.document_id = s.document_id AND u.ord = t.ord) AS span_ids, t.score, t.margin, coalesce(t.confidence, 'escalate') AS confidence,
+    CASE WHEN t.document_id IS NULL THEN 'no eligible candidate' END AS reason, s.units, s.excluded, s.flat
+  FROM (SELECT document_id, count(*) AS units, count(*) FILTER (len(reasons) > 0) AS excluded, bool_or(flat) AS flat FROM scores GROUP BY document_id) s LEFT JOIN titles t ON t.document_id = s.document_id)"""
+_DAMPED = {n: f"CASE WHEN flat THEN {w * 0.4} ELSE {w} END" if n in LAYOUT else str(w) for n, w in C["title_weights"].items()}
+_FEATURES = [f"SELECT document_id, '{n}' AS feature, {n}::DOUBLE AS value, CASE WHEN {n} IS NULL THEN {w}::DOUBLE ELSE {r4(f'({_DAMPED[n]})::DOUBLE')} END AS weight, coalesce({r4(f'({_DAMPED[n]}) * {n}')}, 0) AS contribution FROM won" for n, w in C["title_weights"].items()]
+_PENALTIES = [
+    f"SELECT document_id, '{n}', 1.0::DOUBLE, {w}::DOUBLE, {w}::DOUBLE FROM won WHERE {when}"
+    for n, w, when in (("not_first_page", -1.2, "page > 1"), ("identifier", -1.6, "identifier"), ("date", -0.6, "date AND word_count <= 6"), ("digit_heavy", -0.8, "digit_ratio > 0.30"), ("all_caps_long", -0.4, "uppercase_ratio > 0.9 AND word_count > 8"))
+]
+TITLE_CONTRIBUTIONS = f"""
+won AS (SELECT * FROM ranked WHERE rank = 1),
+contributions AS ({" UNION ALL ".join(_FEATURES + _PENALTIES)})"""
 #: As in sources/html.py, without \\d.
 JUNK = (r"(?i)^(untitled|no title|document\s*[0-9]*|slide\s*[0-9]+|print job|chapter\s*[0-9]+)", r"(?i)^microsoft\s+(word|powerpoint|excel)\b", r"\.[A-Za-z0-9]{2,6}\s*$", r"(?i)text_all|final[_ ]?draft|^copy of", r"(?i)^[a-z0-9_\-]{1,20}$")
 def usable(x: str) -> str:

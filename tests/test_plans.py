@@ -1,5 +1,7 @@
 """What a query's plan must not do, so that its work grows with the input and no faster."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from quirelight.operators import features, identity
@@ -51,3 +53,42 @@ def test_places_of_pages_are_counted_without_texts(spark):
     assert [(r.document_id, r.page, r.k, r.n, r.text) for r in rows.collect()] == [("src1", 1, 1, 1, "c"), ("src1", 2, 1, 3, "b"), ("src1", 3, 2, 3, "a"), ("src1", 4, 3, 3, "a"), ("src2", 1, 1, 1, "d")]
     windows = [line for line in plan(compounds.doc_pages(docs).select("page", F.length("text"))).splitlines() if "Window" in line and "[source" in line]
     assert windows and not any("text" in line for line in windows)
+
+
+def shuffled_by(df) -> list[set[str]]:
+    """The columns that each exchange deals by."""
+    return [set(re.findall(r"(\w+)#", keys)) for keys in re.findall(r"Exchange hashpartitioning\((.*?)\), ", physical(df))]
+
+
+def stacked(spark):
+    rows = [("d", 1, k, text, 72.0, 100.0 + 16 * k, 90.0, 12.0, 12.0, False) for k, text in enumerate(["Notice of the", "hearing held", "in open court", "word " * 15 + "end"])]
+    rows += [("e", 1, 0, "Notice of the hearing", 72.0, 100.0, 90.0, 12.0, 12.0, False)]
+    names = "document_id string, page int, ord int, text string, x double, y double, width double, height double, font_size double, bold boolean"
+    return spark.createDataFrame(rows, names).withColumn("page_height", F.lit(792.0))
+
+
+def test_candidates_meet_by_document_alone(spark):
+    """A word, a phrase or a unit that is dealt by more than its document takes its text along once for each."""
+    units = stacked(spark)
+    table, summary = identity.thaw(spark, None)
+    found = identity.phrase_scores(identity.candidates(units), identity.word_scores(units, table, summary))
+    assert all(keys == {"document_id"} for keys in shuffled_by(identity.candidates(units))) and "Union" not in plan(found)
+    assert all(keys <= {"document_id", "term"} for keys in shuffled_by(found))
+    chains = {(r.text, tuple(r.ords)) for r in identity.chains(units).collect()}
+    assert chains == {("Notice of the - hearing held", (0, 1)), ("hearing held - in open court", (1, 2)), ("Notice of the - hearing held - in open court", (0, 1, 2))}
+    assert {(r.page, r.a, r.b) for r in identity.phrase_edges(units).collect()} == {(1, 0, 1), (1, 1, 2), (1, 2, 3)}
+    got = {(r.document_id, r.key): r for r in found.collect()}
+    assert got["d", "notice of the hearing held in open court"].y == 100.0 and got["d", "hearing held in open court"].sources == ["composed"]
+    assert {k for d, k in got if d == "e"} == {"notice of the hearing"} and all(0 <= r[c] <= 1 for r in got.values() for c in ("rake", "bm25", "textrank"))
+
+
+def test_ablation_shuffles_a_candidate_once(spark):
+    units = stacked(spark)
+    scores = identity.fused(units, *identity.thaw(spark, None))
+    truth = spark.createDataFrame([("d", "Notice of the hearing held in open court"), ("e", "Another thing")], "document_id string, title string")
+    found = identity.ablation(scores, truth)
+    lines = physical(found).splitlines()
+    masks = [i for i, line in enumerate(lines) if "Generate inline(" in line]
+    assert masks and not any("Exchange hashpartitioning(document_id" in line for line in lines[: masks[0]])
+    rows = {r.disabled: r for r in found.collect()}
+    assert set(rows) == {"none", *identity.SOURCES} and all(r.documents == 2 for r in rows.values()) and rows["none"].top3 == 0.5

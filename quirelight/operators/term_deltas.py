@@ -19,15 +19,41 @@ def delta_name(corpus: DataFrame) -> str:
     return found.h[:16]
 
 
+def counted(corpus: DataFrame) -> DataFrame:
+    """Of a batch in one pass: term and rows (how many rows of a document have it), or document_id and length. Each task adds
+    up its own terms, so that no pair of a term and a document is shuffled."""
+    kind = corpus.schema["document_id"].dataType
+    terms = corpus.select("document_id", F.coalesce(content_terms(F.col("text")), F.array().cast("array<string>")).alias("terms"))
+    own = F.struct(F.lit(None).cast("string").alias("term"), F.col("document_id"), F.lit(0).alias("rows"), F.size("terms").alias("length"))
+    seen = F.col("document_id").isNotNull().cast("int")
+    each = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(None).cast(kind).alias("document_id"), seen.alias("rows"), F.lit(0).alias("length")))
+    rows = terms.select(F.inline(F.concat(each, F.array(own))))
+    return rows.groupBy("term", "document_id").agg(F.sum("rows").alias("rows"), F.sum("length").alias("length"))
+
+
+def repeated(corpus: DataFrame) -> DataFrame:
+    """document_id of documents that have several rows."""
+    return corpus.where("document_id is not null").groupBy("document_id").count().where("count > 1").select("document_id")
+
+
 def add_delta(corpus: DataFrame, folder: str) -> str:
     """Write the delta of a batch (document_id, text; of a document's rows all count) and return its name. The documents
-    come last and name the delta as whole: one that was cut short isn't read, and written again when its batch is."""
-    name = delta_name(corpus)
-    terms = corpus.select("document_id", content_terms(F.col("text")).alias("terms"))
-    df = terms.select("document_id", F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(F.count_distinct("document_id").alias("df"))
-    lengths = terms.groupBy("document_id").agg(F.sum(F.greatest(F.size("terms"), F.lit(0))).alias("length"))
-    df.write.mode("overwrite").parquet(f"{folder}/terms/delta={name}")
-    lengths.write.mode("overwrite").parquet(f"{folder}/documents/delta={name}")
+    come last and name the delta as whole: one that was cut short isn't read, and written again when its batch is. Rows
+    are counted, and a term that several rows of one document have is then taken off again, from those documents alone."""
+    name, spark = delta_name(corpus), corpus.sparkSession
+
+    def kept(df: DataFrame, kind: str) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{kind}/delta={name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{kind}/delta={name}")
+
+    counts, again = kept(counted(corpus), "counted"), kept(repeated(corpus), "repeated")  # written, so a small one is sent
+    df = counts.where("term is not null").select("term", F.col("rows").alias("df"))
+    if not again.isEmpty():
+        terms = corpus.join(again, "document_id", "left_semi").select("document_id", F.explode(F.array_distinct(content_terms(F.col("text")))).alias("term"))
+        more = terms.groupBy("document_id", "term").agg((1 - F.count("*")).alias("df")).select("term", "df")
+        df = df.unionByName(more).groupBy("term").agg(F.sum("df").alias("df"))
+    kept(df, "terms")
+    kept(counts.where("term is null").select("document_id", "length"), "documents")
     return name
 
 
@@ -40,7 +66,7 @@ def build_version(spark: SparkSession, folder: str, version: str, names: list[st
     """Freeze the sum of deltas (all, or those named) as a version; returns its folder, which identity.thaw() reads. A
     document that is in two deltas would count twice, so it is refused. kind: the type of document_id."""
     lengths = _deltas(spark, folder, "documents", f"document_id {kind}, length long", names)
-    twice = lengths.groupBy("document_id").agg(F.count_distinct("delta").alias("n")).where("n > 1").limit(1).collect()
+    twice = lengths.groupBy("document_id").agg(F.min("delta").alias("a"), F.max("delta").alias("b")).where("a <> b").limit(1).collect()
     if twice:
         raise ValueError(f"document {twice[0].document_id} is in several deltas")
     whole = lengths.select("delta").distinct()

@@ -4,7 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from quirelight.operators import features, identity
+from quirelight.operators import features, identity, term_deltas
 from quirelight.sources import compounds
 from tests.test_title_records import UNIT
 
@@ -92,3 +92,17 @@ def test_ablation_shuffles_a_candidate_once(spark):
     assert masks and not any("Exchange hashpartitioning(document_id" in line for line in lines[: masks[0]])
     rows = {r.disabled: r for r in found.collect()}
     assert set(rows) == {"none", *identity.SOURCES} and all(r.documents == 2 for r in rows.values()) and rows["none"].top3 == 0.5
+
+
+def test_term_deltas_count_where_texts_are(spark, tmp_path):
+    rows = [("a", "river levels river"), ("a", "river bank"), ("b", "river"), ("c", None), (None, "lost river"), (None, "lost")]
+    corpus = spark.createDataFrame(rows, "document_id string, text string").repartition(3)
+    lines = physical(term_deltas.counted(corpus)).splitlines()
+    dealt = [line for line in lines if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 1 and any("partial_sum" in line for line in lines[lines.index(dealt[0]) :])
+    assert [r.document_id for r in term_deltas.repeated(corpus).collect()] == ["a"]
+    name = term_deltas.add_delta(corpus, str(tmp_path))
+    found = {r.term: r.df for r in spark.read.parquet(str(tmp_path / f"terms/delta={name}")).collect()}
+    assert found == {"river": 2, "levels": 1, "bank": 1, "lost": 0}
+    lengths = {r.document_id: r.length for r in spark.read.parquet(str(tmp_path / f"documents/delta={name}")).collect()}
+    assert lengths == {"a": 5, "b": 1, "c": 0, None: 3}

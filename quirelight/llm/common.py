@@ -40,6 +40,19 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """Within it, a job's shuffle files go when it ends, not when the driver comes to collect its garbage: for jobs that
+    are run once."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def files(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder that executors share, and the path in it."""
     uri = re.sub(r"^file:/(?!/)", "file:///", uri)

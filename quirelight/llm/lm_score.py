@@ -14,12 +14,19 @@ root gives unknown the share of training symbols that are words seen once (plus
 count. A text is scored by its longest retained suffix before each symbol.
 
 Counts of all training documents are needed wherever a text is scored, so documents are written as blocks of
-BLOCK_BYTES to the shared folder, and texts are never shuffled. In rounds, each block sends sorted distinct hashes with
-its training counts by ranges of the hash, where all blocks' counts are added, and gets the sums back in the order it
-sent them: 1. words; 2. pairs of words; 3. longer runs of pairs that occur LEAST times; 4. what its training
-kept successors say of each context (a successor is told of by the first block that has it, so it is in one sum only).
-Then each block scores its documents. A range is what TASK_BYTES of text need; a frequent word, pair or context is one
-entry a block like any other.
+BLOCK_BYTES of text to the shared folder, as numbers of the block's distinct words; texts are never shuffled. In rounds,
+each block sends sorted distinct hashes with its training counts by ranges of the hash, where all blocks' counts are
+added, and gets the sums back in the order it sent them, which it keeps beside the block: words; pairs of words that
+occur LEAST times; runs of three, of four (DEPTH + 1), both of whose parts do; at last what its training kept successors
+say of each context (a successor is told of by the first block that has it, so it is in one sum only), which is answered
+with what the block needs to score its documents. A round is one job, of which only the sums beside the blocks are
+left: its shuffles go with it, and all that was beside the blocks when the scores are stored. A range is what TASK_BYTES
+of text need; a frequent word, pair or context is one entry a block like any other.
+
+A run is asked for only if it can matter. A context that occurs n times, and its suffix m times, has a divergence of n
+log(m / n) at most (see may_gain()), so many are known not to be retained by these counts alone; and one that occurs less
+than worth() times can't have a retained extension either. What follows a context that is neither, and such contexts
+themselves, change no score. Counts are of all blocks, so all blocks leave out the same.
 
 Hashes of words have 64 bits. Those of longer runs, of which a clash only adds counts in the model, have SPARE_BITS more
 than the number of bytes of all texts has.
@@ -35,13 +42,14 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirelight.llm.common import bounded, files, held_out, narrow, release, shared_folder, small_batches, stored, utf8
-from quirelight.llm.packing import large, packed, rising, risen, small, unpacked
+from quirelight.llm.common import bounded, files, held_out, narrow, release, shared_folder, shuffles_dropped, small_batches, stored, utf8
+from quirelight.llm.packing import packed, planed, planes, rising, risen, unpacked
 from quirelight.llm.text_hash import LOWER, WORD, Ranges, mix, runs, words
 
 DEPTH = 3
@@ -52,10 +60,25 @@ BLOCK_BYTES = 8 << 20
 TASK_BYTES = 12 << 20
 SPARE_BITS = 12
 END_HASH = np.uint64(1)  # as a word
-SENT = "path string, bucket int, kind int, blob binary"
-ANSWERED = "path string, bucket int, kind int, blob binary, n long, v long, once long"
+SENT = "path string, bucket int, blob binary"
+ANSWERED = "path string, bucket int, blob binary, n long, v long, once long"
+KEPT = "n long, v long, once long"
 RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-WORDS, PAIRS, LONGER, CONTEXTS = range(4)
+#: What a divergence can lack by rounding: of the sums of shares, which are sent with 24 bits, times a count.
+ROUNDING = 1e-6
+
+
+def worth() -> float:
+    """How often a context occurs at least of which some extension can be retained: m / e is the most of n log(m / n)."""
+    return np.e * 0.95 * (GAIN + 1)
+
+
+def may_gain(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Whether contexts that occur n times may be retained, their suffixes, of at least two symbols less one, occurring m
+    times. A successor's share is log(kept / n / (its occurrences after the suffix / m)), and it follows the suffix kept
+    times at least, so each of the n occurrences adds log(m / n) at most, those of no kept successor likewise."""
+    n, m = np.maximum(n, 1), np.maximum(m, 1)
+    return n * np.log(np.maximum(m, n) / n) + 0.05 + ROUNDING * m >= GAIN + 1 + 0.5 * np.log(n)
 
 
 def _dealt(batches, folder: str):
@@ -63,13 +86,10 @@ def _dealt(batches, folder: str):
     held, size, part, number = [], 0, TaskContext.get().partitionId(), 0
 
     def flush():
-        path = f"{folder}/block-{part:06d}-{number:06d}-{uuid.uuid4().hex}.arrows"
-        fs, at = files(path)
-        fs.create_dir(at.rpartition("/")[0], recursive=True)
-        with fs.open_output_stream(at) as sink, pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-            for batch in held:
-                out.write_batch(batch)
+        path = f"{folder}/block-{part:06d}-{number:06d}-{uuid.uuid4().hex}"
+        _write(path, Block(held).kept())
         held.clear()
+        release()
         return pa.RecordBatch.from_arrays([pa.array([path])], ["path"])
 
     for batch in bounded(batches):
@@ -84,11 +104,29 @@ def _dealt(batches, folder: str):
         yield flush()
 
 
+def _write(path: str, data: bytes) -> None:
+    """A task that is run again has the same to write, or a block of another name."""
+    fs, at = files(path)
+    if fs.get_file_info(at).type == pafs.FileType.NotFound:
+        fs.create_dir(at.rpartition("/")[0], recursive=True)
+        draft = f"{at}-{uuid.uuid4().hex}"
+        with fs.open_output_stream(draft) as sink:
+            sink.write(data)
+        fs.move(draft, at)
+
+
+def _read(path: str) -> tuple:
+    fs, at = files(path)
+    with fs.open_input_stream(at) as source:
+        return unpacked(source.read())
+
+
 class Block:
-    """The symbols of a block's documents. place: of a symbol in its document; train: whether it may be learned from."""
+    """The symbols of a block's documents. words: hashes of distinct ones, number: which of them each symbol is; place: of
+    a symbol in its document; train: whether it may be learned from."""
 
     def __init__(self, batches):
-        ids, held, hashes, row, sizes, rows = [], [], [], [], [], 0
+        ids, held, hashes, sizes = [], [], [], []
         for batch in batches:
             data, offsets = utf8(batch.column("text"))
             data = LOWER[data]
@@ -100,18 +138,33 @@ class Block:
             sizes.append(n + 1)
             ids.append(batch.column("doc_id"))
             held.append(batch.column("held_out").to_numpy(zero_copy_only=False))
-            rows += batch.num_rows
-        self.doc_id, self.held = pa.chunked_array(ids), np.concatenate(held)
-        self.hash, self.sizes = np.concatenate(hashes), np.concatenate(sizes)
-        self.row = np.repeat(np.arange(rows), self.sizes)
-        self.place = np.arange(len(self.row)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
-        self.train = ~self.held[self.row]
+        self.doc_id = pa.chunked_array(ids)
+        self.words, self.number = np.unique(np.concatenate(hashes), return_inverse=True)
+        self._laid_out(np.concatenate(held), np.concatenate(sizes))
+
+    def _laid_out(self, held: np.ndarray, sizes: np.ndarray) -> None:
+        self.held, self.sizes, self.hash = held, sizes, self.words[self.number]
+        self.place = np.arange(len(self.hash)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        self.train = np.repeat(~held, sizes)
+
+    def kept(self) -> bytes:
+        """As written: the most frequent words have the lowest numbers there, which take the fewest bytes."""
+        order = np.argsort(-np.bincount(self.number, minlength=len(self.words)), kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return packed(pc.fill_null(self.doc_id, 0).to_numpy(), np.packbits(pc.is_null(self.doc_id).to_numpy()), np.packbits(self.held), planed(self.sizes), rising(self.words), planed(rank), planed(rank[self.number]))
 
     @classmethod
     def read(cls, path: str) -> Block:
-        fs, at = files(path)
-        with fs.open_input_stream(at) as source, pa.ipc.open_stream(source) as found:
-            return cls(list(found))
+        doc_id, null, held, sizes, distinct, rank, number = _read(path)
+        out, n = cls.__new__(cls), len(doc_id)
+        out.words, rank = risen(distinct), planes(rank)
+        back = np.empty(len(rank), np.int64)
+        back[rank] = np.arange(len(rank))
+        out.number = back[planes(number)]
+        out.doc_id = pa.array(doc_id, mask=np.unpackbits(null, count=n).astype(bool))
+        out._laid_out(np.unpackbits(held, count=n).astype(bool), planes(sizes))
+        return out
 
     def grams(self, k: int, bits: int) -> np.ndarray:
         """Hashes of the k symbols up to each one (of no meaning where a document has fewer before it)."""
@@ -128,44 +181,58 @@ class Counts:
     def __init__(self, block: Block, depth: int, bits: int):
         self.block, self.depth, self.bits, self.count, self.first = block, depth, bits, {}, {}
 
-    def asked(self, kind: int) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
-        """Levels with the places (indexes of symbols) that are asked for; the distinct hashes, the first place of each,
-        and which of them each place has, levels one after another."""
-        block, levels = self.block, []
-        if kind == WORDS:
-            levels.append((1, np.arange(len(block.hash))))
-            hashes = block.hash
-        elif kind == PAIRS:
-            at = np.flatnonzero(block.place)
-            levels.append((2, at))
-            hashes = block.grams(2, self.bits)[at]
-        else:
-            often = self.count[2] >= LEAST  # the pair that ends here
-            run, parts = often, []
-            for k in range(3, self.depth + 2):
-                run = often & np.concatenate(([False], run[:-1]))
-                at = np.flatnonzero(run)
-                levels.append((k, at))
-                parts.append(block.grams(k, self.bits)[at])
-            hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-        distinct, place, which = np.unique(hashes, return_index=True, return_inverse=True)
-        return levels, distinct, place, which
-
-    def fill(self, kind: int, blobs: list[bytes]) -> None:
-        """blobs: the answers in order of the ranges."""
-        levels, distinct, place, which = self.asked(kind)
+    @classmethod
+    def known(cls, path: str, depth: int, bits: int, upto: int) -> Counts:
+        """A block's counts of grams of up to so many symbols, from the files beside it."""
+        out = cls(Block.read(path), depth, bits)
+        for k in range(1, upto + 1):
+            values, first = _read(f"{path}.counts{k}")
+            if k == 1:
+                out.count[1] = planes(values)[out.block.number]
+            else:
+                at = out.places(k)
+                out.count[k] = np.zeros(len(out.block.hash), np.int64)
+                out.count[k][at] = planes(values)
+                out.first[k] = at[np.unpackbits(first, count=len(at)).astype(bool)]
+        return out
+
+    def places(self, k: int) -> np.ndarray:
+        """Where grams of k symbols are asked for (the indexes of their last symbols)."""
+        back = lambda x: np.concatenate((np.zeros(1, x.dtype), x[:-1]))
+        n = self.count[k - 1]
+        often = (n >= LEAST) & (back(n) >= LEAST) & (self.block.place > 0)
+        if k > 2:  # for what follows a context, or an extension of it, or as a context
+            at = np.flatnonzero(often)
+            often[at] = self.is_state(k - 1, at) & may_gain(n[at - 1], self.count[k - 2][at - 1])
+            if k <= self.depth:
+                often[at] |= np.maximum(n[at - 1], n[at]) >= worth()
+        return np.flatnonzero(often)
+
+    def asked(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The places that are asked for; the distinct hashes, the first place of each, and which of them each place has."""
+        at = self.places(k)
+        distinct, place, which = np.unique(self.block.grams(k, self.bits)[at], return_index=True, return_inverse=True)
+        return at, distinct, place, which
+
+    def sent(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct hashes and their training counts."""
+        if k == 1:
+            return self.block.words, np.bincount(self.block.number, self.block.train, len(self.block.words)).astype(np.int64)
+        at, distinct, _, which = self.asked(k)
+        return distinct, np.bincount(which, self.block.train[at], len(distinct)).astype(np.int64)
+
+    def answered(self, k: int, blobs: list[bytes]) -> bytes:
+        """What is kept of the answers, which are in order of the ranges."""
         parts = [unpacked(x) for x in blobs]
-        total = np.concatenate([np.zeros(0, np.int64), *[large(n) for n, _ in parts]])
-        mine = np.concatenate([np.zeros(0, bool), *[np.unpackbits(f, count=len(n[1])).astype(bool) for n, f in parts]])
-        found, at = total[which] if len(which) else np.zeros(0, np.int64), 0
-        own = np.sort(place[mine & (total >= LEAST)]) if len(distinct) else place
-        for k, places in levels:
-            self.count[k] = np.zeros(len(self.block.hash), np.int64)
-            n = found[at : at + len(places)]
-            self.count[k][places] = n if k == 1 else np.where(n >= LEAST, n, 0)
-            lo, hi = np.searchsorted(own, [at, at + len(places)])
-            self.first[k] = places[own[lo:hi] - at]
-            at += len(places)
+        total = np.concatenate([np.zeros(0, np.int64), *[planes(n) for n, _ in parts]])
+        if k == 1:
+            return packed(planed(total), None)
+        at, _, place, which = self.asked(k)
+        mine = np.concatenate([np.zeros(0, bool), *[np.unpackbits(f, count=n[0]).astype(bool) for n, f in parts]])
+        first = np.zeros(len(at), bool)
+        first[place[mine & (total >= LEAST)]] = True
+        n = np.minimum(total[which], np.minimum(self.count[k - 1][at], self.count[k - 1][at - 1]))  # hashes may clash
+        return packed(planed(np.where(n >= LEAST, n, 0)), np.packbits(first))
 
     def root(self, totals: tuple[int, int, int]) -> np.ndarray:
         """The root's probability of each symbol."""
@@ -180,16 +247,25 @@ class Counts:
         n = self.count[d][at - 1]
         return (self.block.place[at] >= d) & (n >= LEAST) & ((n < self.count[d - 1][at - 1]) if d > 1 else True)
 
-    def contexts(self) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray]:
-        """For each length the places that have a context of that length; the distinct contexts' hashes; and which each
-        place has."""
-        levels, parts, after = [], [], np.arange(1, len(self.block.hash))
+    def matters(self, d: int, at: np.ndarray) -> np.ndarray:
+        """Whether such a state may be retained, or be a suffix of one that is."""
+        state = self.is_state(d, at)
+        if d > 1:
+            n = self.count[d][at - 1]
+            state &= may_gain(n, self.count[d - 1][at - 1]) | ((n >= worth()) if d < self.depth else False)
+        return state
+
+    def contexts(self) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
+        """For each length the places that have a context of that length that matters; the distinct contexts' hashes, how
+        often each occurs, and which each place has."""
+        levels, parts, times, after = [], [], [], np.arange(1, len(self.block.hash))
         for d in range(1, self.depth + 1):
-            at = after[self.is_state(d, after)]
+            at = after[self.matters(d, after)]
             levels.append((d, at))
             parts.append(self.block.grams(d, self.bits)[at - 1])
-        distinct, which = np.unique(np.concatenate(parts), return_inverse=True)
-        return levels, distinct, which
+            times.append(self.count[d][at - 1])
+        distinct, place, which = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        return levels, distinct, np.concatenate(times)[place], which
 
 
 def _range(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
@@ -197,44 +273,33 @@ def _range(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
     return np.searchsorted(hashes, np.array([b * 2**bits // buckets for b in range(buckets)], np.uint64)).tolist() + [len(hashes)]
 
 
-def _rows(path: str, kind: int, hashes: np.ndarray, bits: int, buckets: int, blob) -> pa.Table:
+def _rows(path: str, hashes: np.ndarray, bits: int, buckets: int, blob) -> pa.Table:
     """Rows of SENT: for each range that has hashes, blob(slice)."""
     cuts = _range(hashes, bits, buckets)
     some = [b for b in range(buckets) if cuts[b] < cuts[b + 1]]
-    return pa.table({"path": pa.array([path] * len(some), pa.string()), "bucket": pa.array(some, pa.int32()), "kind": pa.array([kind] * len(some), pa.int32()), "blob": pa.array([blob(slice(cuts[b], cuts[b + 1])) for b in some], pa.binary())})
-
-
-def _known(path: str, block: Block, answers: pa.Table, depth: int, bits: int, upto: int, fresh: int) -> Counts:
-    """A block's counts of the rounds up to a kind: from the answers to the fresh round, and from files beside the block,
-    which the tasks of the rounds after it wrote."""
-    counts = Counts(block, depth, bits)
-    for kind in range(upto + 1):
-        fs, at = files(f"{path}.counts{kind}")
-        if kind != fresh:
-            with fs.open_input_stream(at) as source:
-                for k, n, first in unpacked(source.read()):
-                    counts.count[k], counts.first[k] = large(n), large(first)
-            continue
-        counts.fill(kind, _blobs(answers, kind))
-        if fs.get_file_info(at).type == pafs.FileType.NotFound:  # a task that is run again has the same to write
-            levels = (1,) if kind == WORDS else (2,) if kind == PAIRS else range(3, depth + 2)
-            draft = f"{at}-{uuid.uuid4().hex}"
-            with fs.open_output_stream(draft) as sink:
-                sink.write(packed(*[(k, small(counts.count[k]), small(counts.first[k])) for k in levels]))
-            fs.move(draft, at)
-    return counts
+    return pa.table({"path": pa.array([path] * len(some), pa.string()), "bucket": pa.array(some, pa.int32()), "blob": pa.array([blob(slice(cuts[b], cuts[b + 1])) for b in some], pa.binary())})
 
 
-def _blobs(answers: pa.Table, kind: int) -> list[bytes]:
-    found = [(b, x) for b, k, x in zip(answers.column("bucket").to_pylist(), answers.column("kind").to_pylist(), answers.column("blob").to_pylist(), strict=True) if k == kind]
-    return [x for _, x in sorted(found)]
+def _blobs(answers: pa.Table) -> list[bytes]:
+    """In order of the ranges."""
+    found = zip(answers.column("bucket").to_pylist(), answers.column("blob").to_pylist(), strict=True)
+    return [x for _, x in sorted((b, x) for b, x in found if x is not None)]
 
 
-def _sent_counts(path: str, counts: Counts, kind: int, buckets: int) -> pa.Table:
-    levels, distinct, _, which = counts.asked(kind)
-    train = np.concatenate([np.zeros(0, bool), *[counts.block.train[at] for _, at in levels]])
-    n = np.bincount(which, train, len(distinct)).astype(np.int64)
-    return _rows(path, kind, distinct, 64 if kind == WORDS else counts.bits, buckets, lambda x: packed(rising(distinct[x]), small(n[x])))
+def _sent_counts(path: str, k: int, depth: int, bits: int, buckets: int) -> pa.Table:
+    hashes, n = Counts.known(path, depth, bits, k - 1).sent(k)
+    out = _rows(path, hashes, 64 if k == 1 else bits, buckets, lambda x: packed(rising(hashes[x]), planed(n[x])))
+    release()
+    return out
+
+
+def _kept_counts(answers: pa.Table, k: int, depth: int, bits: int) -> pa.Table:
+    """Writes a block's answers beside it; the totals of the ranges are passed on."""
+    path = answers.column("path")[0].as_py()
+    if path is not None:
+        _write(f"{path}.counts{k}", Counts.known(path, depth, bits, k - 1).answered(k, _blobs(answers)))
+        release()
+    return pa.table({c: pa.array([pc.sum(answers.column(c)).as_py() or 0], pa.int64()) for c in ("n", "v", "once")})
 
 
 def _added(table: pa.Table) -> pa.Table:
@@ -244,97 +309,100 @@ def _added(table: pa.Table) -> pa.Table:
     paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
     hashes = [risen(x[0]) for x in parts]
     every, place, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    total = np.bincount(which, np.concatenate([large(x[1]) for x in parts]), len(every)).astype(np.int64)
+    total = np.bincount(which, np.concatenate([planes(x[1]) for x in parts]), len(every)).astype(np.int64)
     first = np.zeros(len(which), bool)
     first[place] = True
     ends = np.cumsum([len(h) for h in hashes])
-    blobs = [packed(small(total[which[b - len(h) : b]]), np.packbits(first[b - len(h) : b])) for h, b in zip(hashes, ends, strict=True)]
-    bucket, kind, n = table.column("bucket")[0].as_py(), table.column("kind")[0].as_py(), len(paths)
-    out = pa.table({"path": pa.array([*paths, None], pa.string()), "bucket": pa.array([bucket] * (n + 1), pa.int32()), "kind": pa.array([kind] * (n + 1), pa.int32()), "blob": pa.array([*blobs, None], pa.binary()), **{k: pa.array([0] * n + [int(v)], pa.int64()) for k, v in (("n", total.sum()), ("v", (total > 0).sum()), ("once", (total == 1).sum()))}})
+    blobs = [packed(planed(total[which[b - len(h) : b]]), np.packbits(first[b - len(h) : b])) for h, b in zip(hashes, ends, strict=True)]
+    bucket, n = table.column("bucket")[0].as_py(), len(paths)
+    out = pa.table({"path": pa.array([*paths, None], pa.string()), "bucket": pa.array([bucket] * (n + 1), pa.int32()), "blob": pa.array([*blobs, None], pa.binary()), **{k: pa.array([0] * n + [int(v)], pa.int64()) for k, v in (("n", total.sum()), ("v", (total > 0).sum()), ("once", (total == 1).sum()))}})
     del every, which, total, hashes, parts
     release()
     return out
 
 
-def _evidence(answers: pa.Table, depth: int, bits: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
+def _evidence(path: str, depth: int, bits: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
     """A block's contexts, and what the kept successors that it is the first to have say of theirs: how often they occur
-    times the log of their share over that in the suffix, the latter, how often they occur, and their number; and n."""
-    path = answers.column("path")[0].as_py()
-    counts = _known(path, Block.read(path), answers, depth, bits, LONGER, LONGER)
+    times the log of their share over that in the suffix, the latter, how often they occur, and their number; n, and
+    whether the context is one of the longest."""
+    counts = Counts.known(path, depth, bits, depth + 1)
     root = counts.root(totals)
-    _, distinct, _ = counts.contexts()
-    sums, n = np.zeros((4, len(distinct))), np.ones(len(distinct), np.int64)
+    _, distinct, n, _ = counts.contexts()
+    sums, longest = np.zeros((4, len(distinct))), np.zeros(len(distinct), bool)
     for d in range(1, depth + 1):
         at = counts.first[d + 1]
-        at = at[counts.is_state(d, at)]
+        at = at[counts.matters(d, at)]
         own = np.searchsorted(distinct, counts.block.grams(d, bits)[at - 1])
-        n[own] = counts.count[d][at - 1]
+        longest[own] = d == depth
         kept = counts.count[d + 1][at].astype(float)
         before = root[at] if d == 1 else counts.count[d][at] / counts.count[d - 1][at - 1]
         for i, x in enumerate((kept * np.log(kept / (n[own] * before)), before, kept, np.ones(len(kept)))):
             sums[i] += np.bincount(own, x, len(distinct))
 
     def blob(x: slice) -> bytes:
-        some = np.flatnonzero(sums[3, x])
-        s = sums[:, x][:, some]
-        return packed(rising(distinct[x]), rising(some) if len(some) else None, small(n[x][some]), s[0].astype(np.float32), s[1].astype(np.float32), small(s[2].astype(np.int64)), small(s[3].astype(np.int64)))
+        has = sums[3, x] > 0
+        s = sums[:, x][:, has]
+        return packed(rising(distinct[x]), np.packbits(has), planed(n[x][has]), np.packbits(longest[x][has]), s[0].astype(np.float32), s[1].astype(np.float32), planed(s[2].astype(np.int64)), planed(s[3].astype(np.int64)))
 
-    out = _rows(path, CONTEXTS, distinct, bits, buckets, blob)
+    out = _rows(path, distinct, bits, buckets, blob)
     release()
     return out
 
 
-def retained(n: np.ndarray, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether contexts are retained, and the share that each leaves to its suffix, from the sums of _evidence()."""
+def retained(n: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """Whether contexts are retained, from the sums of _evidence()."""
     gain, before, kept, successors = sums
     rest = n - kept
     spread = np.where(rest > 0, rest * np.log(np.maximum(rest, 1) / n / np.maximum(1 - before, 1e-9)), 0)
-    good = (kept > 0) & (gain + spread - successors * (1 + 0.5 * np.log(n)) >= GAIN)
-    return good, (rest + DISCOUNT * successors) / n
+    return (kept > 0) & (gain + spread - successors * (1 + 0.5 * np.log(n)) >= GAIN)
 
 
 def _judged(table: pa.Table) -> pa.Table:
-    """One range of contexts: for each block, in the order it sent, which have kept successors, and of these which are
-    retained and the shares left over."""
+    """One range of contexts: for each block, in the order it sent, which are retained; which may leave a share to their
+    suffix in some text, as they or extensions are retained; and of these how often no kept successor follows, and how
+    many there are."""
     table = table.sort_by("path")
     paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
     hashes = [risen(x[0]) for x in parts]
     every, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    n, sums, at, spans = np.ones(len(every), np.int64), np.zeros((4, len(every))), 0, []
-    for h, (_, some, times, *values) in zip(hashes, parts, strict=True):
+    n, sums, longest, at, spans = np.ones(len(every), np.int64), np.zeros((4, len(every))), np.zeros(len(every), bool), 0, []
+    for h, (_, has, times, last, *values) in zip(hashes, parts, strict=True):
         own = which[at : at + len(h)]
         spans.append(own)
         at += len(h)
-        if some is not None:
-            own = own[risen(some).astype(np.int64)]
-            n[own] = large(times)
-            for i, x in enumerate((values[0], values[1], large(values[2]), large(values[3]))):
-                sums[i, own] += x  # a block has a context once
+        own = own[np.unpackbits(has, count=len(h)).astype(bool)]
+        n[own] = planes(times)
+        longest[own] = np.unpackbits(last, count=len(own)).astype(bool)
+        for i, x in enumerate((values[0], values[1], planes(values[2]), planes(values[3]))):
+            sums[i, own] += x  # a block has a context once
     sums[1], sums[2] = np.minimum(sums[1], 1), np.minimum(sums[2], n)  # hashes may clash
-    good, left = retained(n, sums)
-    some = sums[3] > 0
-    blobs = [packed(len(own), np.packbits(some[own]), np.packbits(good[own[some[own]]]), left[own[some[own]]].astype(np.float32)) for own in spans]
+    good = retained(n, sums)
+    some = good | ((sums[3] > 0) & ~longest & (n >= worth()))
+    rest, successors = (n - sums[2]).astype(np.int64), sums[3].astype(np.int64)
+    blobs = [packed(len(own), np.packbits(some[own]), np.packbits(good[own[some[own]]]), planed(rest[own[some[own]]]), planed(successors[own[some[own]]])) for own in spans]
     k = len(paths)
-    out = pa.table({"path": pa.array(paths, pa.string()), "bucket": table.column("bucket"), "kind": table.column("kind"), "blob": pa.array(blobs, pa.binary()), **{c: pa.array([0] * k, pa.int64()) for c in ("n", "v", "once")}})
+    out = pa.table({"path": pa.array(paths, pa.string()), "bucket": table.column("bucket"), "blob": pa.array(blobs, pa.binary()), **{c: pa.array([0] * k, pa.int64()) for c in ("n", "v", "once")}})
     del every, which, sums, hashes, parts
     release()
     return out
 
 
-def _answered(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Of a block's contexts: whether each is retained, and the share left over (1 without kept successors)."""
-    good, left = [np.zeros(0, bool)], [np.zeros(0)]
-    for n, has, bits, share in (unpacked(x) for x in blobs):
-        has = np.unpackbits(has, count=n).astype(bool)
-        good.append(np.zeros(n, bool))
-        left.append(np.ones(n))
-        good[-1][has], left[-1][has] = np.unpackbits(bits, count=len(share)).astype(bool), share
-    return np.concatenate(good), np.concatenate(left)
+def _answered(blobs: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's contexts, which occur so many times: whether each is retained, and the share left to its suffix (1
+    without kept successors, or where no text needs it)."""
+    good, left, at = np.zeros(len(times), bool), np.ones(len(times)), 0
+    for n, some, bits, rest, successors in (unpacked(x) for x in blobs):
+        own = at + np.flatnonzero(np.unpackbits(some, count=n))
+        at += n
+        good[own] = np.unpackbits(bits, count=len(own)).astype(bool)
+        left[own] = (planes(rest) + DISCOUNT * planes(successors)) / times[own]
+    return good, left
 
 
-def probabilities(counts: Counts, totals: tuple[int, int, int], good: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """Of each symbol, by the longest retained suffix of what precedes it. good, left: of counts.contexts()."""
-    levels, _, which = counts.contexts()
+def probabilities(counts: Counts, totals: tuple[int, int, int], blobs: list[bytes]) -> np.ndarray:
+    """Of each symbol, by the longest retained suffix of what precedes it. blobs: the answers to counts.contexts()."""
+    levels, _, times, which = counts.contexts()
+    good, left = _answered(blobs, times)
     p = counts.root(totals)
     depth, at, shares = np.zeros(len(p), np.int64), 0, []
     for d, places in levels:
@@ -352,12 +420,9 @@ def probabilities(counts: Counts, totals: tuple[int, int, int], good: np.ndarray
 
 def _scored(answers: pa.Table, depth: int, bits: int, totals: tuple[int, int, int]) -> pa.Table:
     """A block's documents."""
-    path = answers.column("path")[0].as_py()
-    block = Block.read(path)
-    counts = _known(path, block, answers, depth, bits, LONGER, CONTEXTS)
-    good, left = _answered(_blobs(answers, CONTEXTS))
-    n, v, _ = totals
-    each = np.log10(probabilities(counts, totals, good, left))
+    counts = Counts.known(answers.column("path")[0].as_py(), depth, bits, depth + 1)
+    block, (n, v, _) = counts.block, totals
+    each = np.log10(probabilities(counts, totals, _blobs(answers)))
     base = np.log10(counts.count[1] + 1.0) - np.log10(float(n + v + 1))
     begin = np.cumsum(block.sizes) - block.sizes
     known = np.add.reduceat((counts.count[1] > 0).astype(np.int64), begin)
@@ -376,30 +441,24 @@ def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH)
     size = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     bits = min(64, SPARE_BITS + int(size).bit_length())
     buckets, n_blocks = max(1, -(-size // TASK_BYTES)), max(1, 2 * blocks.count())  # partitions for blocks: most have one
-
-    def sums(sent: DataFrame, name: str, function=_added) -> DataFrame:
-        return stored(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(function, ANSWERED), name)
-
-    first = blocks.select("path", F.lit(0).alias("bucket"), F.lit(-1).alias("kind"), F.lit(None).cast("binary").alias("blob"))
-
-    def by_block(answers: DataFrame | None, function, schema: str) -> DataFrame:
-        every = first if answers is None else first.unionByName(answers.where("path is not null").select(*first.columns))  # blocks that asked nothing too
-        return every.repartition(n_blocks, "path").groupBy("path").applyInArrow(function, schema)
-
-    def asking(kind: int):
-        def ask(answers: pa.Table) -> pa.Table:
-            path = answers.column("path")[0].as_py()
-            out = _sent_counts(path, _known(path, Block.read(path), answers, depth, bits, kind - 1, kind - 1), kind, buckets)
-            release()
-            return out
-
-        return ask
-
-    answers = None
-    for kind, name in ((WORDS, "lm-words"), (PAIRS, "lm-pairs"), (LONGER, "lm-longer")):
-        answers = sums(by_block(answers, asking(kind), SENT), name)
-        if kind == WORDS:
-            found = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once")]).head()
-            totals = tuple(int(x) for x in found)
-    contexts = sums(by_block(answers, lambda t: _evidence(t, depth, bits, buckets, totals), SENT), "lm-contexts", _judged)
-    return by_block(contexts, lambda t: _scored(t, depth, bits, totals), RESULT)
+    first = blocks.select("path", F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("blob"), *[F.lit(0).cast("long").alias(c) for c in ("n", "v", "once")])
+
+    def by_block(rows: DataFrame, function, schema: str) -> DataFrame:
+        return rows.repartition(n_blocks, "path").groupBy("path").applyInArrow(function, schema)
+
+    def answers(send, add) -> DataFrame:
+        """What ranges answer to all that blocks send, and an empty row a block, as some have nothing to send."""
+        sent = by_block(first.select("path"), lambda t: send(t.column("path")[0].as_py()), SENT)
+        return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, ANSWERED).unionByName(first)
+
+    def counted(k: int) -> tuple[int, int, int]:
+        kept = by_block(answers(lambda p: _sent_counts(p, k, depth, bits, buckets), _added), lambda t: _kept_counts(t, k, depth, bits), KEPT)
+        return tuple(int(x) for x in kept.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once")]).head())
+
+    with shuffles_dropped(spark):
+        totals, *_ = [counted(k) for k in range(1, depth + 2)]
+        scores = stored(by_block(answers(lambda p: _evidence(p, depth, bits, buckets, totals), _judged), lambda t: _scored(t, depth, bits, totals), RESULT), "lm-scores")
+    fs, at = files(folder)
+    if fs.get_file_info(at).type == pafs.FileType.Directory:
+        fs.delete_dir(at)
+    return scores

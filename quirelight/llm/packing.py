@@ -27,6 +27,17 @@ def large(packed: tuple[int, np.ndarray]) -> np.ndarray:
     return packed[1].astype(np.int64) + packed[0]
 
 
+def planed(values: np.ndarray) -> tuple[int, int, bytes]:
+    """Integers from 0 on, in as few bytes as hold the largest. Bytes stand by place: the higher ones are mostly 0."""
+    values = values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
+    return len(values), values.itemsize, np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
+
+
+def planes(packed: tuple[int, int, bytes]) -> np.ndarray:
+    n, width, data = packed
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, n).T).view(f"<u{width}").ravel().astype(np.int64)
+
+
 def rising(values: np.ndarray) -> tuple[int, int, bytes, int]:
     """Sorted unsigned values as the first and the steps, in as few bytes as hold them. The steps' bytes stand by place,
     as those of hashes are random but for the highest."""

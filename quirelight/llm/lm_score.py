@@ -17,9 +17,9 @@ Counts of all training documents are needed wherever a text is scored, so docume
 BLOCK_BYTES of text to the shared folder, as numbers of the block's distinct words; texts are never shuffled. In rounds,
 each block sends sorted distinct hashes with its training counts by ranges of the hash, where all blocks' counts are
 added, and gets the sums back in the order it sent them, which it keeps beside the block: words; pairs of words that
-occur LEAST times; runs of three, of four (DEPTH + 1), both of whose parts do; at last what its training kept successors
-say of each context (a successor is told of by the first block that has it, so it is in one sum only), which is answered
-with what the block needs to score its documents. A round is one job, of which only the sums beside the blocks are
+occur LEAST times; runs of three, of four (DEPTH + 1), both of whose parts do; then, for contexts of DEPTH symbols, of
+two (in parts, which bounds what a round moves), of one, what its training kept successors say of each (a successor is told of by the first block that has it, so it
+is in one sum only), which is answered with what the block needs to score its documents. A round is one job, of which only the sums beside the blocks are
 left: its shuffles go with it, and all that was beside the blocks when the scores are stored. A range is what TASK_BYTES
 of text need; a frequent word, pair or context is one entry a block like any other.
 
@@ -59,6 +59,7 @@ DISCOUNT = 0.5
 BLOCK_BYTES = 8 << 20
 TASK_BYTES = 12 << 20
 SPARE_BITS = 12
+PART_BITS = 1  # longer contexts are judged in 2 ** PART_BITS rounds, by the first bits of their hashes
 END_HASH = np.uint64(1)  # as a word
 SENT = "path string, bucket int, blob binary"
 ANSWERED = "path string, bucket int, blob binary, n long, v long, once long"
@@ -74,8 +75,7 @@ def worth() -> float:
 
 
 def may_gain(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """Whether contexts that occur n times may be retained, their suffixes, of at least two symbols less one, occurring m
-    times. A successor's share is log(kept / n / (its occurrences after the suffix / m)), and it follows the suffix kept
+    """Whether contexts that occur n times may be retained, their suffixes occurring m times (for two symbols or more). A successor's share is log(kept / n / (its occurrences after the suffix / m)), and it follows the suffix kept
     times at least, so each of the n occurrences adds log(m / n) at most, those of no kept successor likewise."""
     n, m = np.maximum(n, 1), np.maximum(m, 1)
     return n * np.log(np.maximum(m, n) / n) + 0.05 + ROUNDING * m >= GAIN + 1 + 0.5 * np.log(n)
@@ -148,20 +148,21 @@ class Block:
         self.train = np.repeat(~held, sizes)
 
     def kept(self) -> bytes:
-        """As written: the most frequent words have the lowest numbers there, which take the fewest bytes."""
-        order = np.argsort(-np.bincount(self.number, minlength=len(self.words)), kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        return packed(pc.fill_null(self.doc_id, 0).to_numpy(), np.packbits(pc.is_null(self.doc_id).to_numpy()), np.packbits(self.held), planed(self.sizes), rising(self.words), planed(rank), planed(rank[self.number]))
+        """As written: words by classes of how often they occur, the most frequent first, so that numbers take few bytes."""
+        level = np.frexp(np.bincount(self.number, minlength=len(self.words)))[1]
+        order, rank = np.lexsort((self.words, -level)), np.empty(len(level), np.int64)
+        rank[order] = np.arange(len(level))
+        cuts = np.flatnonzero(np.diff(level[order])) + 1
+        return packed(pc.fill_null(self.doc_id, 0).to_numpy(), np.packbits(pc.is_null(self.doc_id).to_numpy()), np.packbits(self.held), planed(self.sizes), [rising(x) for x in np.split(self.words[order], cuts)], planed(rank[self.number]))
 
     @classmethod
     def read(cls, path: str) -> Block:
-        doc_id, null, held, sizes, distinct, rank, number = _read(path)
+        doc_id, null, held, sizes, distinct, number = _read(path)
         out, n = cls.__new__(cls), len(doc_id)
-        out.words, rank = risen(distinct), planes(rank)
-        back = np.empty(len(rank), np.int64)
-        back[rank] = np.arange(len(rank))
-        out.number = back[planes(number)]
+        distinct = np.concatenate([risen(x) for x in distinct])
+        order, rank = np.argsort(distinct), np.empty(len(distinct), np.int64)
+        rank[order] = np.arange(len(distinct))
+        out.words, out.number = distinct[order], rank[planes(number)]
         out.doc_id = pa.array(doc_id, mask=np.unpackbits(null, count=n).astype(bool))
         out._laid_out(np.unpackbits(held, count=n).astype(bool), planes(sizes))
         return out
@@ -255,17 +256,32 @@ class Counts:
             state &= may_gain(n, self.count[d - 1][at - 1]) | ((n >= worth()) if d < self.depth else False)
         return state
 
-    def contexts(self) -> tuple[list[tuple[int, np.ndarray]], np.ndarray, np.ndarray, np.ndarray]:
-        """For each length the places that have a context of that length that matters; the distinct contexts' hashes, how
-        often each occurs, and which each place has."""
-        levels, parts, times, after = [], [], [], np.arange(1, len(self.block.hash))
-        for d in range(1, self.depth + 1):
-            at = after[self.matters(d, after)]
-            levels.append((d, at))
-            parts.append(self.block.grams(d, self.bits)[at - 1])
-            times.append(self.count[d][at - 1])
-        distinct, place, which = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
-        return levels, distinct, np.concatenate(times)[place], which
+    def contexts(self, d: int, length: np.ndarray, part: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The places that have a context of that length which may be retained, or a longer one that is (length: of the
+        longest known to be retained), of one part or all; the distinct contexts' hashes, a place of each, and which each
+        place has."""
+        at = np.arange(1, len(self.block.hash))
+        at = at[self.is_state(d, at)]
+        if d > 1:
+            at = at[may_gain(self.count[d][at - 1], self.count[d - 1][at - 1]) | (length[at] > d)]
+        at = at[self.in_part(d, at, part)]
+        distinct, place, which = np.unique(self.block.grams(d, self.bits)[at - 1], return_index=True, return_inverse=True)
+        return at, distinct, at[place], which
+
+    def in_part(self, d: int, at: np.ndarray, part: int | None) -> np.ndarray:
+        if part is None:
+            return np.ones(len(at), bool)
+        return self.block.grams(d, self.bits)[at - 1] >> np.uint64(self.bits - PART_BITS) == np.uint64(part)
+
+    def longest(self, path: str, d: int) -> np.ndarray:
+        """The length of the longest retained context of more than d symbols before each place, from the files beside the
+        block; 0 without."""
+        length = np.zeros(len(self.block.hash), np.int64)
+        for k in range(self.depth, d, -1):
+            for part in range(1 << PART_BITS):
+                _, bits, size = _read(f"{path}.contexts{k}-{part}")
+                length[np.unpackbits(bits, count=size).astype(bool) & (length == 0)] = k
+        return length
 
 
 def _range(hashes: np.ndarray, bits: int, buckets: int) -> np.ndarray:
@@ -321,28 +337,30 @@ def _added(table: pa.Table) -> pa.Table:
     return out
 
 
-def _evidence(path: str, depth: int, bits: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
-    """A block's contexts, and what the kept successors that it is the first to have say of theirs: how often they occur
-    times the log of their share over that in the suffix, the latter, how often they occur, and their number; n, and
-    whether the context is one of the longest."""
+def _evidence(path: str, d: int, part: int | None, depth: int, bits: int, buckets: int, totals: tuple[int, int, int]) -> pa.Table:
+    """A block's contexts of d symbols, which of them are suffixes of retained ones here, and what the kept successors
+    that it is the first to have say of theirs: how often they occur times the log of their share over that in the suffix,
+    the latter, how often they occur, and their number; and n."""
     counts = Counts.known(path, depth, bits, depth + 1)
-    root = counts.root(totals)
-    _, distinct, n, _ = counts.contexts()
-    sums, longest = np.zeros((4, len(distinct))), np.zeros(len(distinct), bool)
-    for d in range(1, depth + 1):
-        at = counts.first[d + 1]
-        at = at[counts.matters(d, at)]
-        own = np.searchsorted(distinct, counts.block.grams(d, bits)[at - 1])
-        longest[own] = d == depth
-        kept = counts.count[d + 1][at].astype(float)
-        before = root[at] if d == 1 else counts.count[d][at] / counts.count[d - 1][at - 1]
-        for i, x in enumerate((kept * np.log(kept / (n[own] * before)), before, kept, np.ones(len(kept)))):
-            sums[i] += np.bincount(own, x, len(distinct))
+    length = counts.longest(path, d)
+    at, own, _, which = counts.contexts(d, length, part)
+    inner = np.bincount(which, length[at] > d, len(own)) > 0
+    at = counts.first[d + 1]
+    at = at[counts.matters(d, at) & counts.in_part(d, at, part)]
+    told, of = np.unique(counts.block.grams(d, bits)[at - 1], return_inverse=True)
+    n = np.ones(len(told), np.int64)
+    n[of] = counts.count[d][at - 1]
+    kept = counts.count[d + 1][at].astype(float)
+    before = counts.root(totals)[at] if d == 1 else counts.count[d][at] / counts.count[d - 1][at - 1]
+    sums = [np.bincount(of, x, len(told)) for x in (kept * np.log(kept / (n[of] * before)), before, kept, np.ones(len(kept)))]
+    distinct = np.union1d(own, told)
+    asks, has, marked = np.isin(distinct, own), np.isin(distinct, told), np.zeros(len(distinct), bool)
+    marked[asks] = inner
+    upto = np.concatenate(([0], np.cumsum(has)))
 
     def blob(x: slice) -> bytes:
-        has = sums[3, x] > 0
-        s = sums[:, x][:, has]
-        return packed(rising(distinct[x]), np.packbits(has), planed(n[x][has]), np.packbits(longest[x][has]), s[0].astype(np.float32), s[1].astype(np.float32), planed(s[2].astype(np.int64)), planed(s[3].astype(np.int64)))
+        t = slice(upto[x.start], upto[x.stop])
+        return packed(rising(distinct[x]), np.packbits(asks[x]), np.packbits(marked[x][asks[x]]), np.packbits(has[x]), planed(n[t]), sums[0][t].astype(np.float32), sums[1][t].astype(np.float32), planed(sums[2][t].astype(np.int64)), planed(sums[3][t].astype(np.int64)))
 
     out = _rows(path, distinct, bits, buckets, blob)
     release()
@@ -358,28 +376,28 @@ def retained(n: np.ndarray, sums: np.ndarray) -> np.ndarray:
 
 
 def _judged(table: pa.Table) -> pa.Table:
-    """One range of contexts: for each block, in the order it sent, which are retained; which may leave a share to their
-    suffix in some text, as they or extensions are retained; and of these how often no kept successor follows, and how
-    many there are."""
+    """One range of contexts: for each block, in the order it sent, which of those it asks for are retained; and of these
+    and of suffixes of retained ones, how often no kept successor follows, and how many there are."""
     table = table.sort_by("path")
     paths, parts = table.column("path").to_pylist(), [unpacked(x) for x in table.column("blob").to_pylist()]
     hashes = [risen(x[0]) for x in parts]
     every, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    n, sums, longest, at, spans = np.ones(len(every), np.int64), np.zeros((4, len(every))), np.zeros(len(every), bool), 0, []
-    for h, (_, has, times, last, *values) in zip(hashes, parts, strict=True):
+    n, sums, at, spans = np.ones(len(every), np.int64), np.zeros((4, len(every))), 0, []
+    for h, (_, asks, marked, has, times, *values) in zip(hashes, parts, strict=True):
         own = which[at : at + len(h)]
-        spans.append(own)
         at += len(h)
+        asked = own[np.unpackbits(asks, count=len(h)).astype(bool)]
+        spans.append((asked, np.unpackbits(marked, count=len(asked)).astype(bool)))
         own = own[np.unpackbits(has, count=len(h)).astype(bool)]
         n[own] = planes(times)
-        longest[own] = np.unpackbits(last, count=len(own)).astype(bool)
         for i, x in enumerate((values[0], values[1], planes(values[2]), planes(values[3]))):
             sums[i, own] += x  # a block has a context once
     sums[1], sums[2] = np.minimum(sums[1], 1), np.minimum(sums[2], n)  # hashes may clash
-    good = retained(n, sums)
-    some = good | ((sums[3] > 0) & ~longest & (n >= worth()))
+    good, blobs = retained(n, sums), []
     rest, successors = (n - sums[2]).astype(np.int64), sums[3].astype(np.int64)
-    blobs = [packed(len(own), np.packbits(some[own]), np.packbits(good[own[some[own]]]), planed(rest[own[some[own]]]), planed(successors[own[some[own]]])) for own in spans]
+    for own, inner in spans:
+        needed = own[(good[own] | inner) & (sums[3, own] > 0)]
+        blobs.append(packed(len(own), np.packbits((good[own] | inner) & (sums[3, own] > 0)), np.packbits(good[needed]), planed(rest[needed]), planed(successors[needed])))
     k = len(paths)
     out = pa.table({"path": pa.array(paths, pa.string()), "bucket": table.column("bucket"), "blob": pa.array(blobs, pa.binary()), **{c: pa.array([0] * k, pa.int64()) for c in ("n", "v", "once")}})
     del every, which, sums, hashes, parts
@@ -389,7 +407,7 @@ def _judged(table: pa.Table) -> pa.Table:
 
 def _answered(blobs: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of a block's contexts, which occur so many times: whether each is retained, and the share left to its suffix (1
-    without kept successors, or where no text needs it)."""
+    without kept successors, or where no text here needs it)."""
     good, left, at = np.zeros(len(times), bool), np.ones(len(times)), 0
     for n, some, bits, rest, successors in (unpacked(x) for x in blobs):
         own = at + np.flatnonzero(np.unpackbits(some, count=n))
@@ -399,20 +417,32 @@ def _answered(blobs: list[bytes], times: np.ndarray) -> tuple[np.ndarray, np.nda
     return good, left
 
 
-def probabilities(counts: Counts, totals: tuple[int, int, int], blobs: list[bytes]) -> np.ndarray:
-    """Of each symbol, by the longest retained suffix of what precedes it. blobs: the answers to counts.contexts()."""
-    levels, _, times, which = counts.contexts()
-    good, left = _answered(blobs, times)
+def _kept_contexts(answers: pa.Table, d: int, part: int, depth: int, bits: int) -> pa.Table:
+    """Writes a block's answers beside it, and before which symbols a context of d symbols is retained."""
+    path, blobs = answers.column("path")[0].as_py(), _blobs(answers)
+    counts = Counts.known(path, depth, bits, depth + 1)
+    at, _, place, which = counts.contexts(d, counts.longest(path, d), part)
+    there = np.zeros(len(counts.block.hash), bool)
+    there[at] = _answered(blobs, counts.count[d][place - 1])[0][which]
+    _write(f"{path}.contexts{d}-{part}", packed(blobs, np.packbits(there), len(there)))
+    release()
+    return pa.table({c: pa.array([0], pa.int64()) for c in ("n", "v", "once")})
+
+
+def probabilities(counts: Counts, totals: tuple[int, int, int], path: str, blobs: list[bytes]) -> np.ndarray:
+    """Of each symbol, by the longest retained suffix of what precedes it. blobs: the answers to contexts of one symbol;
+    those to longer ones are beside the block."""
+    length, levels = np.zeros(len(counts.block.hash), np.int64), []
+    for d in range(counts.depth, 0, -1):
+        at, _, place, which = counts.contexts(d, length)
+        found = blobs if d == 1 else [x for part in range(1 << PART_BITS) for x in _read(f"{path}.contexts{d}-{part}")[0]]
+        good, left = _answered(found, counts.count[d][place - 1])
+        found = at[good[which]]
+        length[found] = np.maximum(length[found], d)
+        some = length[at] >= d
+        levels.append((d, at[some], left[which[some]]))
     p = counts.root(totals)
-    depth, at, shares = np.zeros(len(p), np.int64), 0, []
-    for d, places in levels:
-        own = which[at : at + len(places)]
-        at += len(places)
-        shares.append(left[own])
-        depth[places[good[own]]] = d
-    for (d, places), share in zip(levels, shares, strict=True):
-        there = depth[places] >= d
-        places, share = places[there], share[there]
+    for d, places, share in reversed(levels):
         kept = counts.count[d + 1][places]
         p[places] = np.where(kept >= LEAST, kept - DISCOUNT, 0) / counts.count[d][places - 1] + share * p[places]
     return p
@@ -420,9 +450,10 @@ def probabilities(counts: Counts, totals: tuple[int, int, int], blobs: list[byte
 
 def _scored(answers: pa.Table, depth: int, bits: int, totals: tuple[int, int, int]) -> pa.Table:
     """A block's documents."""
-    counts = Counts.known(answers.column("path")[0].as_py(), depth, bits, depth + 1)
+    path = answers.column("path")[0].as_py()
+    counts = Counts.known(path, depth, bits, depth + 1)
     block, (n, v, _) = counts.block, totals
-    each = np.log10(probabilities(counts, totals, _blobs(answers)))
+    each = np.log10(probabilities(counts, totals, path, _blobs(answers)))
     base = np.log10(counts.count[1] + 1.0) - np.log10(float(n + v + 1))
     begin = np.cumsum(block.sizes) - block.sizes
     known = np.add.reduceat((counts.count[1] > 0).astype(np.int64), begin)
@@ -455,9 +486,15 @@ def lm_score(docs: DataFrame, folds: int = 7, held: int = 2, depth: int = DEPTH)
         kept = by_block(answers(lambda p: _sent_counts(p, k, depth, bits, buckets), _added), lambda t: _kept_counts(t, k, depth, bits), KEPT)
         return tuple(int(x) for x in kept.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n", "v", "once")]).head())
 
+    def judged(d: int, part: int) -> None:
+        by_block(answers(lambda p: _evidence(p, d, part, depth, bits, buckets, totals), _judged), lambda t: _kept_contexts(t, d, part, depth, bits), KEPT).agg(F.sum("n")).head()
+
     with shuffles_dropped(spark):
         totals, *_ = [counted(k) for k in range(1, depth + 2)]
-        scores = stored(by_block(answers(lambda p: _evidence(p, depth, bits, buckets, totals), _judged), lambda t: _scored(t, depth, bits, totals), RESULT), "lm-scores")
+        for d in range(depth, 1, -1):
+            for part in range(1 << PART_BITS):
+                judged(d, part)
+        scores = stored(by_block(answers(lambda p: _evidence(p, 1, None, depth, bits, buckets, totals), _judged), lambda t: _scored(t, depth, bits, totals), RESULT), "lm-scores")
     fs, at = files(folder)
     if fs.get_file_info(at).type == pafs.FileType.Directory:
         fs.delete_dir(at)

@@ -178,6 +178,32 @@ def test_suffix_tree_against_plain_walk(spark, monkeypatch, block):
     assert all(math.isclose(got[i], w, rel_tol=1e-5) for (i, _), w in zip(rows, want, strict=True))
 
 
+def test_suffix_tree_leaves_only_its_scores(spark, docs):
+    """Blocks, sums and shuffles of the rounds are gone when the scores are there."""
+    from pathlib import Path
+
+    from quirelight.storage import shared_folder
+
+    top = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(top.glob("lm-*"))
+    out = lm_score.lm_score(docs)
+    assert {p.name.rpartition("-")[0] for p in set(top.glob("lm-*")) - before} == {"lm-blocks", "lm-scores"}
+    assert out.count() == docs.count()
+
+
+def test_contexts_left_out_cannot_be_retained():
+    rng = np.random.default_rng(3)
+    for _ in range(3000):
+        after = rng.integers(0, 9, rng.integers(1, 7))  # of the suffix, by successor
+        own = rng.binomial(after, rng.random())
+        n, m, kept = own.sum(), after.sum(), own >= lm_score.LEAST
+        if kept.any() and n < m:
+            k = own[kept].astype(float)
+            sums = np.array([[np.sum(k * np.log(k / (n * (after[kept] / m))))], [after[kept].sum() / m], [k.sum()], [kept.sum()]])
+            assert lm_score.may_gain(n, m) or not lm_score.retained(np.array([n]), sums)[0]
+            assert m >= lm_score.worth() or not lm_score.retained(np.array([n]), sums)[0]
+
+
 def test_suffix_tree_beats_the_baseline(spark):
     for sf in ("sf0.001", "sf0.01"):
         rows = lm_score.lm_score(table(spark, f"/root/testdata/{sf}", "documents")).where("held_out").collect()

@@ -94,6 +94,45 @@ def test_ablation_shuffles_a_candidate_once(spark):
     assert set(rows) == {"none", *identity.SOURCES} and all(r.documents == 2 for r in rows.values()) and rows["none"].top3 == 0.5
 
 
+PROSE = ["The Kelvin scale, of \u212a and \u0130stanbul; 12th of May 2020 (notes) - it\u2019s the rivers\u2019 \u2018own\u2019 \u03a3\u03a3", "one two three four five six seven eight nine ten eleven twelve thirteen of the", "tab\there\x1cand\x85 'quoted' word\u2019\u2028 of a", "Report of the Board, on water and air", "", "of the", "Stra\u00dfe a b of water - air / fire | water.air"]
+
+
+def test_words_are_scored_where_candidates_are(spark, monkeypatch):
+    """Words that are rows, here of phrases, of terms and of those in a large term table, cost more than all else; what is
+    cut within a document's row must be the same."""
+    rows = [("d", i, t) for i, t in enumerate(PROSE)] + [("e", 1, PROSE[3]), ("e", 2, None)]
+    texts = spark.createDataFrame(rows, "document_id string, ord int, text string")
+    table = spark.createDataFrame([("water", 2, 0.5), ("board", 1, 1.25)], "term string, df long, idf double")
+    summary = spark.createDataFrame([(3, 7.5, 2.0, 2.0, "v")], "documents long, avgdl double, default_idf double, most double, version string")
+    words = identity.word_scores(texts, table, summary)
+    assert "Generate" not in plan(words.docs) and "Window" not in plan(words.docs) and "Join" not in plan(words.docs)
+    asked = [identity.rake_words(identity.phrases(texts)), identity.bm25_words(texts, table, summary), identity.textrank(texts)]
+    for r in words.docs.collect():
+        got = identity._words_of(r.texts, None, (words.idf, words.avgdl, words.most))
+        for scores, rows in zip(got, asked, strict=True):
+            assert scores == {x.word: x.score for x in rows.where(F.col("document_id") == r.document_id).collect()}
+    phrases = {(r.ord, tuple(w.lower() for w in r.words)) for r in identity.phrases(texts.where("document_id = 'd'")).collect()}
+    assert phrases == {(i, tuple(w)) for i, t in enumerate(PROSE) for w in identity.lower_phrases(t)}
+    units = stacked(spark)
+    scored = lambda: {tuple(r) for r in identity.phrase_scores(identity.candidates(units), identity.word_scores(units, table, summary)).select("document_id", "key", "rake", "bm25", "textrank").collect()}
+    sent = scored()
+    monkeypatch.setattr(identity, "SENT_TERMS", 1)
+    assert identity.word_scores(units, table, summary).idf is None and scored() == sent
+
+
+def test_ablation_elects_once(spark):
+    """Documents are elected once for all masks, not again for the full score, and only counts are shuffled after."""
+    kind = "document_id string, page int, y double, x double, key string, text string, " + ", ".join(f"{c} double" for c in identity.SOURCES) + ", furniture boolean, noise boolean, not_first_page boolean"
+    one = lambda d, y, text, typography: (d, 1, y, 0.0, text.lower(), text, *[typography if c == "typography" else 0.1 for c in identity.SOURCES], False, False, None)
+    rows = [one("d", 1.0, "Rivers and lakes", 1.0), one("d", 2.0, "Lakes and rivers", 0.9), one("d", 3.0, "Harvest of barley", 0.8), one("e", 1.0, "Water mills", None), one("f", 1.0, "No title here", 1.0)]
+    truth = spark.createDataFrame([("d", "Harvest of barley"), ("d", "Rivers lakes"), ("e", "Wind mills"), ("g", "Nothing found")], "document_id string, title string")
+    found = identity.ablation(spark.createDataFrame(rows, kind), truth)
+    assert sum("MapInArrow" in line for line in physical(found).splitlines()) == 1 and "posexplode" not in plan(found)
+    got = {r.disabled: r for r in found.collect()}
+    assert set(got) == {"none", *identity.SOURCES} and all((r.documents, r.top1, r.top3) == (2, 0.5, 0.5) for r in got.values())
+    assert identity.ablation(spark.createDataFrame(rows, kind), truth.where("document_id = 'g'")).collect() == []
+
+
 def test_term_deltas_count_where_texts_are(spark, tmp_path):
     rows = [("a", "river levels river"), ("a", "river bank"), ("b", "river"), ("c", None), (None, "lost river"), (None, "lost")]
     corpus = spark.createDataFrame(rows, "document_id string, text string").repartition(3)
